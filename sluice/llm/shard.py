@@ -5,8 +5,8 @@ order. Splitters between shards are found by counting exact bytes below candidat
 radix histogram over the next `BITS` bits, taken only inside the cells that still hold a
 splitter, until each splitter is within tolerance of its target. Then rows move once.
 
-A group of equal texts is cut only if it is larger than the tolerance, so a hot group spreads
-over several shards instead of making one of them too large.
+A group of equal texts is cut only if its nearer edge is more than ten tolerances away, so
+a hot group spreads over several shards instead of making one of them too large.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def splitters(rows: DataFrame, size: str, k1: str, k2: str, n_shards: int, toler
     """Keys (k1, k2) at which shards 1, 2, ... begin. Nothing but counts of at most
     (n_shards - 1) * 2**BITS cells comes to the driver in a round."""
     total = rows.agg(F.sum(size)).first()[0] or 0
-    slack = tolerance * total / n_shards
+    slack, group_slack = tolerance * total / n_shards, 10 * tolerance * total / n_shards
     goals = {s: total * s / n_shards for s in range(1, n_shards)}
     done: dict[int, tuple[int, int]] = {}
     # Per open splitter: the key prefix of its cell (bits so far) and exact bytes below that cell.
@@ -67,7 +67,8 @@ def splitters(rows: DataFrame, size: str, k1: str, k2: str, n_shards: int, toler
             deeper = (prefix << BITS) | d
             at_lo, at_hi = goals[s] - lo, hi - goals[s]
             last = alone == 1 or level == 2 * LEVELS - 1  # one row can't be cut
-            if min(at_lo, at_hi) <= slack or last:
+            whole = level == LEVELS - 1 and min(at_lo, at_hi) <= group_slack  # the cell is one text
+            if min(at_lo, at_hi) <= slack or whole or last:
                 cut = deeper if at_lo <= at_hi else deeper + 1
                 cut <<= BITS * (2 * LEVELS - 1 - level)
                 done[s] = (cut >> HALF, cut & ((1 << HALF) - 1))
