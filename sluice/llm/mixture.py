@@ -83,3 +83,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     extra = F.when(F.col(u) <= F.col(f"{P}cut"), 1).otherwise(0)
     new = ("size", "source_size", "target", "repeats")
     return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new], F.col(size).alias("size"), F.col(f"{P}all").alias("source_size"), F.col(f"{P}target").alias("target"), (F.col(f"{P}whole") + extra).cast("int").alias("repeats"))
+
+
+def repeat(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: the columns of docs, each row as often as mix() takes it."""
+    times = f"{P}times"
+    out = mix(docs, **options).withColumnRenamed("repeats", times).filter(F.col(times) > 0)
+    return out.withColumn(times, F.explode(F.sequence(F.lit(1), times))).select(*[F.col(f"`{c}`") for c in docs.columns])
