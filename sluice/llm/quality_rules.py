@@ -137,8 +137,9 @@ def learn(rows: DataFrame, max_rules: int = 8, max_tests: int = 3, cuts: int = 2
         value = [((p + 0.5) / (p + n + 1), -len(h)) for (p, n), h in zip(seen, heads, strict=True)]
         rule = heads[max(range(len(heads)), key=lambda i: value[i])]
         p, n = _covered(left, [_all(rule)])[0]
-        if p < min_cover or p < precision * (p + n):
-            break
+        if p < min_cover or p < precision * (p + n):  # imprecise: look for another beginning
+            tests = [t for t in tests if t.feature != rule[0].feature]
+            continue
         rules.append(rule)
         left = left.filter(~_all(rule))
     return rules
@@ -165,9 +166,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.filter(F.pmod(F.xxhash64(f"{P}id"), F.lit(stride)) == 0)
     # max_labelled pairs of numbers at most, within a few per cent: small enough to broadcast.
     taught = docs.select(F.col(id_col).alias(f"{P}id"), F.col(text_col).alias("text")).join(F.broadcast(known), f"{P}id").select("text", "bad")
-    rules = learn(text_statistics(taught, "text"))
-    out = text_statistics(docs, text_col)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    rules = learn(text_statistics(taught, "text").filter(~failed))  # the list is for what is left
+    out = text_statistics(docs, text_col)
     out = out.withColumn("base_failed", failed)
     out = out.withColumn("kept", ~F.col("base_failed") & verdict(rules))
     return out.drop(f"{P}upper", f"{P}marks")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixture, quality_rules, shard
-from .common import read
+from . import decontaminate, line_dedup, mixture, perplexity, quality_rules, shard
+from .common import P, read
 
 
 def _digest(text):
@@ -26,6 +26,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = perplexity.classify(docs, read(spark, sf_dir, "labels"), keep=["doc_id", "lang"])
+    return out.select("doc_id", "lang", F.col(perplexity.N_BYTES).alias("n_bytes"), F.col(perplexity.PERPLEXITY).alias("perplexity"), F.col(f"{P}limit").alias("limit"), F.col(f"{P}good").alias("kept"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")
@@ -55,6 +61,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_mixing": op10_mixing,
