@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixture, perplexity, quality_rules, shard
+from . import decontaminate, line_dedup, mixture, near_dedup, perplexity, quality_rules, shard
 from .common import P, read
 
 
@@ -20,6 +20,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", _digest(F.col("text")).alias("kept_sha256"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality_rules.judge(docs, read(spark, sf_dir, "labels"))
@@ -60,6 +64,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_near_dedup": op3_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_sharding": op8_sharding,
