@@ -33,11 +33,10 @@ def splitters(rows: DataFrame, size: str, k1: str, k2: str, n_shards: int, toler
     slack, group_slack = tolerance * total / n_shards, 10 * tolerance * total / n_shards
     goals = {s: total * s / n_shards for s in range(1, n_shards)}
     done: dict[int, tuple[int, int]] = {}
-    # Per open splitter: the key prefix of its cell (bits so far) and exact bytes below that cell.
-    open_: dict[int, tuple[int, float]] = {s: (0, 0) for s in goals}
-    for level in range(2 * LEVELS):
-        if not open_:
-            break
+    # Per open splitter: the depth and key prefix of its cell, and exact bytes below that cell.
+    open_: dict[int, tuple[int, int, float]] = {s: (0, 0, 0) for s in goals}
+    while open_:
+        level = min(at for at, _, _ in open_.values())
         half, depth = divmod(level, LEVELS)
         shift = HALF - BITS * (depth + 1)
         key = F.col(k2 if half else k1)
@@ -48,33 +47,36 @@ def splitters(rows: DataFrame, size: str, k1: str, k2: str, n_shards: int, toler
             cell = F.shiftright(F.col(k1), shift + BITS)
         else:
             cell = F.concat_ws("_", F.col(k1), F.shiftright(F.col(k2), shift + BITS) if depth else F.lit(0))
-        name = (lambda p: p) if half == 0 else (lambda p: f"{p >> (BITS * depth)}_{p & ((1 << BITS * depth) - 1)}")
-        wanted = sorted({name(p) for p, _ in open_.values()})
+        here = {s: (prefix, below) for s, (at, prefix, below) in open_.items() if at == level}
+        names = {prefix: prefix if half == 0 else f"{prefix >> (BITS * depth)}_{prefix & ((1 << BITS * depth) - 1)}" for prefix, _ in here.values()}
         counts: dict = {}
-        of = rows.select(cell.alias("cell"), digit.alias("digit"), F.col(size).alias("size"))
-        for r in of.filter(F.col("cell").isin(wanted)).groupBy("cell", "digit").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).toLocalIterator():
-            counts.setdefault(r["cell"], []).append((r["digit"], r["n"], r["rows"]))
-        for s, (prefix, below) in list(open_.items()):
+        of = rows.select(cell.alias("cell"), digit.alias("digit"), key.alias("key"), F.col(size).alias("size")).filter(F.col("cell").isin(list(names.values())))
+        for r in of.groupBy("cell", "digit").agg(F.sum("size").alias("n"), F.min("key").alias("a"), F.max("key").alias("b"), F.count(F.lit(1)).alias("rows")).collect():
+            counts.setdefault(r["cell"], []).append((r["digit"], r["n"], r["a"], r["b"], r["rows"]))
+        for s, (prefix, below) in here.items():
             at, best = below, None
-            for d, n, alone in sorted(counts.get(name(prefix), [])):
+            for d, n, least, most, alone in sorted(counts.get(names[prefix], [])):
                 if at + n >= goals[s]:
-                    best = (d, at, at + n, alone)
+                    best = (d, at, at + n, least, most, alone)
                     break
                 at += n
             if best is None:  # only by rounding of the last goal
-                best = ((1 << BITS) - 1, at, at, 1)
-            d, lo, hi, alone = best
-            deeper = (prefix << BITS) | d
+                best = ((1 << BITS) - 1, at, at, 0, 1, 1)
+            d, lo, hi, least, most, alone = best
+            deeper, next_level = (prefix << BITS) | d, level + 1
             at_lo, at_hi = goals[s] - lo, hi - goals[s]
-            last = alone == 1 or level == 2 * LEVELS - 1  # one row can't be cut
-            whole = level == LEVELS - 1 and min(at_lo, at_hi) <= group_slack  # the cell is one text
-            if min(at_lo, at_hi) <= slack or whole or last:
-                cut = deeper if at_lo <= at_hi else deeper + 1
-                cut <<= BITS * (2 * LEVELS - 1 - level)
+            one_key = least == most and alone > 1
+            if one_key:  # nothing to gain from the rest of this half
+                rest = BITS * (LEVELS - 1 - depth)
+                deeper, next_level = (deeper << rest) | (least & ((1 << rest) - 1)), (half + 1) * LEVELS
+            near = min(at_lo, at_hi)
+            # One row can't be cut, nor can rows that agree in both keys; one text is cut only if it must be.
+            if near <= slack or alone == 1 or next_level == 2 * LEVELS or (half == 0 and next_level == LEVELS and near <= group_slack):
+                cut = (deeper if at_lo <= at_hi else deeper + 1) << (BITS * (2 * LEVELS - next_level))
                 done[s] = (cut >> HALF, cut & ((1 << HALF) - 1))
                 del open_[s]
             else:
-                open_[s] = (deeper, lo)
+                open_[s] = (next_level, deeper, lo)
     return [done[s] for s in sorted(done)]
 
 
