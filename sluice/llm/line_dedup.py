@@ -27,18 +27,22 @@ def _places(h: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([(h >> np.uint64(64 - bits)), (h & np.uint64((1 << bits) - 1))]).astype(np.int64)
 
 
-def _seen(bits: int):
+def column_of_hashes(batch):
+    yield batch.column(0).to_numpy(zero_copy_only=False)
+
+
+def _seen(bits: int, hashes):
     """Per task: its places once each, sorted, with a flag for those met again; by shard."""
 
     def run(batches):
         size = (1 << bits) // SHARDS
         pending = []
         for batch in batches:
-            h = batch.column(0).to_numpy(zero_copy_only=False)
-            pending.append(h)
-            if sum(map(len, pending)) >= 1 << 20:
-                yield from flush(pending, size)
-                pending = []
+            for h in hashes(batch):
+                pending.append(h)
+                if sum(map(len, pending)) >= 1 << 20:
+                    yield from flush(pending, size)
+                    pending = []
         if pending:
             yield from flush(pending, size)
 
@@ -78,24 +82,28 @@ def _merge(bits: int):
     return run
 
 
-def seen_again(hashes: DataFrame, bits: int):
-    """A broadcast of the second plane over all values of the one column (long) of hashes."""
-    pieces = hashes.mapInArrow(_seen(bits), "shard int, places binary, again binary")
+def seen_again(rows: DataFrame, bits: int, hashes=column_of_hashes):
+    """A broadcast of the second plane over all 64-bit hashes that `hashes` yields, as arrays, of
+    each batch of rows; by default the first column."""
+    pieces = rows.mapInArrow(_seen(bits, hashes), "shard int, places binary, again binary")
     planes = pieces.repartition(SHARDS, "shard").mapInArrow(_merge(bits), "shard int, bits binary")
     out = np.zeros((1 << bits) // 8, np.uint8)
     step = len(out) // SHARDS
-    for r in planes.toLocalIterator():
+    for r in planes.collect():  # 2**bits bits in all
         out[r["shard"] * step : (r["shard"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
-    return hashes.sparkSession.sparkContext.broadcast(out)
+    return rows.sparkSession.sparkContext.broadcast(out)
+
+
+def found_again(table: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes have all their bits in the second plane."""
+    p = _places(h, bits)
+    return ((table[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).astype(bool).reshape(HASHES, -1).all(0)
 
 
 def _suspected(plane, bits: int):
     def run(batches):
-        table = plane.value
         for batch in batches:
-            h = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-            p = _places(h, bits)
-            hit = ((table[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).astype(bool).reshape(HASHES, -1).all(0)
+            hit = found_again(plane.value, batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False), bits)
             kept = batch.filter(pa.array(hit))
             yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=kept.schema.names[:-1])
 

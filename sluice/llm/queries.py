@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixture, near_dedup, perplexity, quality_rules, shard
+from . import decontaminate, line_dedup, mixture, near_dedup, perplexity, quality_rules, shard, window_dedup
 from .common import P, read
 
 
@@ -30,6 +30,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = window_dedup.dedup_windows(docs, keep=["doc_id"])
+    return out.select("doc_id", F.col(window_dedup.WORDS).alias("n_words"), F.col(window_dedup.REMOVED).alias("n_removed"), _digest(F.col(window_dedup.TEXT)).alias("kept_sha256"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = perplexity.classify(docs, read(spark, sf_dir, "labels"), keep=["doc_id", "lang"])
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
@@ -84,6 +91,16 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM told GROUP BY doc_id""",
+    "op6_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS g FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+        least AS (SELECT g, min(doc_id) AS lo FROM win GROUP BY g),
+        hit AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, i FROM win JOIN least USING (g) WHERE doc_id > lo), unnest(range(i, i + 13)) AS t(j)),
+        every AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+        kept AS (SELECT every.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY pos) AS t
+                 FROM every LEFT JOIN hit ON hit.doc_id = every.doc_id AND hit.j = every.pos WHERE hit.j IS NULL GROUP BY every.doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
     "op9_decontamination": rf"""
         WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
         b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
