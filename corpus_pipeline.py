@@ -6,26 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, mixture, shard
+from sluice.llm import decontaminate, mixture, near_dedup, perplexity, shard
 from sluice.llm.common import materialize, read
 
 
+def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is within the limits of trusted text."""
+    return perplexity.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: the one with the least id."""
+    return near_dedup.dedup(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
     return mixture.repeat(docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with size, shard and slot."""
     return shard.shard(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("decontaminate", without_benchmark),
-    ("mix", mixed),
-    ("shard", sharded),
+    ("quality classifier", of_quality),
+    ("near-dedup", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("mixing", mixed),
+    ("sharding", sharded),
 ]
 #: Model fits and hash signatures have no SQL; tests/llm compares each stage with brute force.
 ORACLE_SQL = None
