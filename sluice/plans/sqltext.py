@@ -35,7 +35,7 @@ def _nodes(plan):
 
 
 def table_names(spark: SparkSession, sql: str) -> list[str]:
-    """Tables that a statement reads or writes, in order, once each."""
+    """Tables that a statement reads or writes, once each, in the order of its plan."""
     found = re.findall(r"Unresolved(?:Relation|TableOrView|Identifier|Table)\s*\[([^\]]+)\]", _plan(spark, sql).toString())
     return list(dict.fromkeys(".".join(p.strip() for p in f.split(",")) for f in found))
 
