@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixture, near_dedup, perplexity, quality_rules, shard, window_dedup
+from . import decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, shard, window_dedup
 from .common import P, read
 
 
@@ -24,6 +24,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality_rules.judge(docs, read(spark, sf_dir, "labels"))
@@ -71,6 +75,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_classifier": op7_quality_classifier,
