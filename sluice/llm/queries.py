@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, shard, window_dedup
+from . import decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, shard, suffix_dedup, window_dedup
 from .common import P, read
 
 
@@ -20,6 +20,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", _digest(F.col("text")).alias("kept_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    s = suffix_dedup
+    out = s.dedup_strings(docs, keep=["doc_id"])
+    return out.select("doc_id", F.col(s.BYTES).alias("n_bytes"), F.col(s.REMOVED).alias("n_removed"), F.col(s.SPANS).alias("n_spans"), F.sha2(s.KEPT, 256).alias("kept_sha256"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -74,6 +81,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_quality_rules": op5_quality_rules,

@@ -127,16 +127,24 @@ def window_min(g: np.ndarray, w: int) -> np.ndarray:
     return m
 
 
+def window_max(g: np.ndarray, w: int) -> np.ndarray:
+    m, have = g, 1
+    while have < w:
+        step = min(have, w - have)
+        m = np.maximum(m[:-step], m[step:])
+        have += step
+    return m
+
+
 def chosen(g: np.ndarray, w: int) -> np.ndarray:
     """Which grams are the least of some window of w grams. Of grams that share a window of w,
     each run of w has one of these at least, and equal runs have the same."""
-    out = np.zeros(len(g), bool)
     if len(g) < w:
-        return out
-    m = window_min(g, w)
-    for o in range(w):
-        out[o : o + len(m)] |= g[o : o + len(m)] == m
-    return out
+        return np.zeros(len(g), bool)
+    # The greatest of the minima of all windows around a gram: its own value if it is one of them.
+    m = np.zeros(len(g) + w - 1, g.dtype)
+    m[w - 1 : len(g)] = window_min(g, w)
+    return window_max(m, w) == g
 
 
 def covered(n: int, starts: np.ndarray, lengths) -> np.ndarray:
