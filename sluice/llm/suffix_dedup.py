@@ -166,7 +166,7 @@ def _marks(doc: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarra
     order = np.lexsort((text, doc))
     doc, text, start, size = doc[order], text[order], start[order], size[order]
     cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])) if len(doc) else np.zeros(0, np.int64)
-    end = np.append(cut[1:], len(doc))
+    end = np.append(cut[1:], len(doc))[: len(cut)]
     blobs = [pa.array([x[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (start.astype(np.int32), size.astype(np.int32))]
     none = pa.array([None] * len(cut), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array([None] * len(cut), pa.int64()), pa.array(doc[cut], pa.int64()), pa.array(text[cut], pa.int64()), none, none, none, none, *blobs, none], names=_SENT)
