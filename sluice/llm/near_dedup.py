@@ -241,7 +241,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, id_col: s
     placed = as_member.union(as_outside).join(sets, "node")
     more = placed.groupBy("key", "i", "j").applyInArrow(_tile_links(threshold), "a long, b long")
     # Rows with one id and different words, too, are one class.
-    same = member.filter("id <> node").join(member.filter("id <> node").groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "id").select(F.col("id").alias("a"), F.col("node").alias("b"))
+    several = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
+    same = member.join(several, "id").filter("node <> a").select("a", F.col("node").alias("b"))
     final = components(links.union(more).union(same))
     root = member.join(final, "node", "left").select("id", F.coalesce("root", "node").alias("class_id"))
     root = root.groupBy("id").agg(F.min("class_id").alias("class_id"))
