@@ -107,8 +107,10 @@ def learn(rows: DataFrame, max_rules: int = 8, max_tests: int = 3, cuts: int = 2
     (0 or 1). Thresholds are quantiles of all labelled rows and of the bad ones. Without both
     classes there is no rule."""
     side = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in ("n_words", "word_chars", "n_symbols", "n_repeat_words")]), F.lit(3))
-    rows = materialize(rows.select("bad", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", f"{P}upper", f"{P}marks", (side == 0).alias("prune")))
-    at = [i / cuts for i in range(1, cuts)]
+    # At most some MAX_LABELLED rows of a few numbers: one partition, so no step has to shuffle.
+    rows = rows.select("bad", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", f"{P}upper", f"{P}marks", (side == 0).alias("prune"))
+    rows = materialize(rows.repartition(8)).coalesce(1)
+    at = [i / cuts for i in range(cuts + 1)]
     ask = [F.percentile_approx(f(), at, 2000).alias(name) for name, f in FEATURES.items()]
     tests = set()
     for r in rows.groupBy("bad").agg(*ask).toLocalIterator():
