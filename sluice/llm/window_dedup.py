@@ -14,11 +14,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import P, materialize
+from .common import P
 from .line_dedup import found_again, plane_bits, seen_again
 
 #: Windows that a task gathers before it sends them on.
@@ -48,6 +50,10 @@ def _half_hashes(length: int):
     return run
 
 
+def _zipped(x: np.ndarray) -> bytes:
+    return zstandard.compress(x.tobytes(), 1)
+
+
 def _pack(h: np.ndarray, doc: np.ndarray, place: np.ndarray, buckets: int):
     """A batch of windows in the order of their hashes, cut by hash range."""
     bits = buckets.bit_length() - 1
@@ -55,14 +61,14 @@ def _pack(h: np.ndarray, doc: np.ndarray, place: np.ndarray, buckets: int):
     cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(h) else np.zeros(0, np.int64)
     end = np.append(cut[1:], len(h))
     return pa.RecordBatch.from_arrays(
-        [pa.array(key[cut], pa.int64()), pa.array([None] * len(cut), pa.int64()), *(pa.array([x[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (h, doc, place))],
+        [pa.array(key[cut], pa.int64()), pa.array([None] * len(cut), pa.int64()), *(pa.array([pack(x[a:b]) for a, b in zip(cut, end, strict=True)], pa.binary()) for pack, x in ((np.ndarray.tobytes, h), (_zipped, doc), (_zipped, place)))],
         names=NAMES,
     )
 
 
 def _candidates(plane, bits: int, length: int, buckets: int):
     """Windows that may repeat. Of equal windows in one gathering, the least document's go on
-    (bucket, hashes, docs, places); the others are repeats already (bucket null)."""
+    (bucket, hashes, docs, places); the others are repeats already (id, places)."""
 
     def run(batches):
         rows, size = [], 0
@@ -98,13 +104,12 @@ def _candidates(plane, bits: int, length: int, buckets: int):
         first = doc == least
         yield _pack(w[first], doc[first], place[first], buckets)
         if not first.all():
-            yield from marks(doc[~first], place[~first])
+            yield from marks(doc[~first], place[~first], buckets)
 
     return run
 
 
 NAMES = ["bucket", "id", "hashes", "docs", "places"]
-_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
 
 def _some(h: np.ndarray, s: np.ndarray, length: int) -> np.ndarray:
@@ -114,25 +119,33 @@ def _some(h: np.ndarray, s: np.ndarray, length: int) -> np.ndarray:
     return tn.mix(w)
 
 
-def marks(doc: np.ndarray, place: np.ndarray):
-    """One row per document: bucket null, its id, and places: its window starts."""
+def marks(doc: np.ndarray, place: np.ndarray, buckets: int = 1):
+    """One row per document: its id, and places: its window starts. They pass through any bucket."""
     order = np.argsort(doc, kind="stable")
     doc, place = doc[order], place[order]
     cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     end = np.append(cut[1:], len(doc))
     none = pa.array([b""] * len(cut), pa.binary())
-    yield pa.RecordBatch.from_arrays([pa.array([None] * len(cut), pa.int64()), pa.array(doc[cut], pa.int64()), none, none, pa.array([place[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary())], names=NAMES)
+    yield pa.RecordBatch.from_arrays([pa.array(doc[cut] % buckets, pa.int64()), pa.array(doc[cut], pa.int64()), none, none, pa.array([place[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary())], names=NAMES)
 
 
 def _resolve(table: pa.Table) -> pa.Table:
-    """One hash range: windows whose hash a smaller document has, as one row per document."""
-    h, doc, place = (np.frombuffer(b"".join(table[c].to_pylist()), kind) for c, kind in (("hashes", np.uint64), ("docs", np.int64), ("places", np.int32)))
+    """One hash range: (id, starts) of windows whose hash a smaller document has."""
+    known = pc.is_valid(table["id"])
+    done = table.filter(known).select(["id", "places"]).rename_columns(["id", "starts"])
+    table = table.filter(pc.invert(known))
+    if not table.num_rows:
+        return done
+    h = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.uint64)
+    doc, place = (np.frombuffer(b"".join(map(zstandard.decompress, table[c].to_pylist())), kind) for c, kind in (("docs", np.int64), ("places", np.int32)))
     order = np.lexsort((doc, h))
     h, doc, place = h[order], doc[order], place[order]
-    new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-    least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else doc
-    late = doc > least
-    return pa.Table.from_batches(marks(doc[late], place[late])) if late.any() else pa.table({c: pa.array([], t) for c, t in zip(NAMES, _TYPES, strict=True)})
+    new = np.concatenate([[True], h[1:] != h[:-1]])
+    late = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+    if not late.any():
+        return done
+    more = pa.Table.from_batches(marks(doc[late], place[late])).select(["id", "places"]).rename_columns(["id", "starts"])
+    return pa.concat_tables([done, more])
 
 
 def repeated_windows(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
@@ -144,9 +157,8 @@ def repeated_windows(docs: DataFrame, length: int, id_col: str, text_col: str) -
     plane = seen_again(slim, bits, _half_hashes(length))
     buckets = 1 << max(6, (n // 2000).bit_length())
     schema = "bucket long, id long, hashes binary, docs binary, places binary"
-    found = materialize(slim.mapInArrow(_candidates(plane, bits, length, buckets), schema))  # read twice
-    late = found.filter("bucket is not null").groupBy("bucket").applyInArrow(_resolve, schema)
-    return found.filter("bucket is null").unionAll(late).select("id", F.col("places").alias("starts"))
+    found = slim.mapInArrow(_candidates(plane, bits, length, buckets), schema)
+    return found.groupBy("bucket").applyInArrow(_resolve, "id long, starts binary")
 
 
 def _cut(length: int, keep: list[str], text_col: str, starts_col: str):
