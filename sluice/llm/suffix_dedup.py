@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import P, materialize
+from .common import P
 from .line_dedup import found_again, plane_bits, seen_again
 
 ANCHOR = 20
@@ -157,19 +158,26 @@ def _anchors(length: int):
 
 
 _SENT = ["shard", "id", "text_hash", "anchors", "hashes", "docs", "texts", "starts", "sizes", "bytes"]
-_SENT_TYPES = [pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * 7]
 _SENT_DDL = "shard long, id long, text_hash long, anchors binary, hashes binary, docs binary, texts binary, starts binary, sizes binary, bytes binary"
 
 
-def _marks(doc: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
-    """Rows without a shard: of each text the stretches that go, as starts and sizes."""
+MARK = ["id", "text_hash", "starts", "sizes"]
+
+
+def _unzip(blob) -> bytes:
+    return zstandard.decompress(blob)
+
+
+def _marks(doc: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarray, shards: int = 1) -> pa.RecordBatch:
+    """Rows with an id: of each text the stretches that go, as starts and sizes. They pass through
+    any shard."""
     order = np.lexsort((text, doc))
     doc, text, start, size = doc[order], text[order], start[order], size[order]
     cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])) if len(doc) else np.zeros(0, np.int64)
     end = np.append(cut[1:], len(doc))[: len(cut)]
     blobs = [pa.array([x[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (start.astype(np.int32), size.astype(np.int32))]
     none = pa.array([None] * len(cut), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array([None] * len(cut), pa.int64()), pa.array(doc[cut], pa.int64()), pa.array(text[cut], pa.int64()), none, none, none, none, *blobs, none], names=_SENT)
+    return pa.RecordBatch.from_arrays([pa.array(doc[cut] % shards, pa.int64()), pa.array(doc[cut], pa.int64()), pa.array(text[cut], pa.int64()), none, none, none, none, *blobs, none], names=_SENT)
 
 
 def _candidates(plane, bits: int, length: int, shards: int):
@@ -208,7 +216,7 @@ def _candidates(plane, bits: int, length: int, shards: int):
         group = np.cumsum(new) - 1
         least = doc[np.flatnonzero(new)][group] == doc
         if not least.all():
-            yield _marks(doc[~least], text[~least], start[~least], size[~least])
+            yield _marks(doc[~least], text[~least], start[~least], size[~least], shards)
         first = new[least]
         pick = order[least]
         anchor, hashed, doc, text, start, size = (x[least] for x in (anchor, hashed, doc, text, start, size))
@@ -221,7 +229,7 @@ def _candidates(plane, bits: int, length: int, shards: int):
         for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
             some = by[a:b]
             for out, x in zip(columns, (anchor, hashed, doc, text, start.astype(np.int32), np.where(first, size, -size).astype(np.int32)), strict=False):
-                out.append(x[some].tobytes())
+                out.append(zip_.compress(x[some].tobytes()))
             columns[6].append(zip_.compress(b"".join([views[i].tobytes() for i in pick[some[first[some]]].tolist()])))
         none = pa.array([None] * len(cut), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(key[by[cut]], pa.int64()), none, none, *(pa.array(c, pa.binary()) for c in columns)], names=_SENT)
@@ -233,10 +241,15 @@ def _resolve(length: int):
     """One shard: which string starts a smaller document has, too, as marks."""
 
     def run(table: pa.Table) -> pa.Table:
+        known = pc.is_valid(table["id"])
+        done = table.filter(known).select(MARK)
+        table = table.filter(pc.invert(known))
+        return pa.concat_tables([done, resolve(table)]) if table.num_rows else done
+
+    def resolve(table: pa.Table) -> pa.Table:
         kinds = {"anchors": np.uint64, "hashes": np.uint64, "docs": np.int64, "texts": np.int64, "starts": np.int32, "sizes": np.int32}
-        anchor, hashed, doc, text, start, size = (np.concatenate([np.frombuffer(x.as_buffer(), k) for x in table[c]]) for c, k in kinds.items())
-        unzip = zstandard.ZstdDecompressor()
-        raw = np.frombuffer(b"".join([unzip.decompress(x.as_py(), max_output_size=1 << 31) for x in table["bytes"]]), np.uint8)
+        anchor, hashed, doc, text, start, size = (np.concatenate([np.frombuffer(_unzip(x.as_buffer()), k) for x in table[c]]) for c, k in kinds.items())
+        raw = np.frombuffer(b"".join([_unzip(x.as_buffer()) for x in table["bytes"]]), np.uint8)
         # Bytes came once per stretch and gathering: where sizes are above 0.
         has = size > 0
         size = np.abs(size)
@@ -257,7 +270,7 @@ def _resolve(length: int):
         open_ = np.flatnonzero(count[family] > 1)
         for some in np.array_split(open_, max(1, int(size[head[open_]].sum() + length * len(open_)) >> 21)) if len(open_) else []:
             out += _compare(some, family, head, group, doc, text, start, size, where, raw, late, length) if len(some) else []
-        return pa.Table.from_batches([_marks(*(np.concatenate(x) for x in zip(*out, strict=True)))])
+        return pa.Table.from_batches([_marks(*(np.concatenate(x) for x in zip(*out, strict=True)))]).select(MARK)
 
     return run
 
@@ -339,9 +352,9 @@ def dedup_strings(docs: DataFrame, length: int = 50, id_col: str = "doc_id", tex
     bits = plane_bits(n, 250)
     plane = seen_again(slim, bits, _anchors(length))
     shards = 1 << max(5, (n // 2000).bit_length())
-    found = materialize(slim.mapInArrow(_candidates(plane, bits, length, shards), _SENT_DDL))
-    late = found.filter("shard is not null").groupBy("shard").applyInArrow(_resolve(length), _SENT_DDL)
-    marks = found.filter("shard is null").unionAll(late).groupBy(F.col("id").alias(id_), F.col("text_hash").alias(text_hash)).agg(F.collect_list("starts").alias(STARTS), F.collect_list("sizes").alias(SIZES))
+    found = slim.mapInArrow(_candidates(plane, bits, length, shards), _SENT_DDL)
+    gone = found.groupBy("shard").applyInArrow(_resolve(length), "id long, text_hash long, starts binary, sizes binary")
+    marks = gone.groupBy(F.col("id").alias(id_), F.col("text_hash").alias(text_hash)).agg(F.collect_list("starts").alias(STARTS), F.collect_list("sizes").alias(SIZES))
     through = list(dict.fromkeys([*keep, text_col]))
     joined = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*through, id_col])]).join(marks, (F.col(id_col) == F.col(id_)) & (hashed == F.col(text_hash)), "left")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
