@@ -94,40 +94,64 @@ def _all(tests) -> Column:
     return out
 
 
-def _covered(rows: DataFrame, candidates: list[Column]) -> list[tuple[int, int]]:
-    """(bad, good) rows that each candidate covers."""
-    flags = F.filter(F.transform(F.array(*[F.struct(F.lit(i).alias("i"), c.alias("c")) for i, c in enumerate(candidates)]), lambda s: F.when(s["c"], s["i"])), lambda i: i.isNotNull())
-    found = rows.select("bad", F.explode(flags).alias("i")).groupBy("i").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n"))
-    at = {r["i"]: (r["p"], r["n"]) for r in found.toLocalIterator()}
-    return [at.get(i, (0, 0)) for i in range(len(candidates))]
+def _place(name: str) -> Column:
+    return F.col(f"{P}at_{name}")
+
+
+def _passed(thresholds: list[float], value: Column) -> Column:
+    """How many of the thresholds the value reaches."""
+    return F.size(F.filter(F.array(*map(F.lit, thresholds)), lambda x: x <= value))
+
+
+def _covered(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[Test, tuple[int, int]]:
+    """(bad, good) rows that each single test covers, from one histogram of places among cuts."""
+    places = F.explode(F.array(*[F.struct(F.lit(name).alias("f"), _place(name).alias("at")) for name in cuts])).alias("p")
+    counts: dict[str, dict[int, tuple[int, int]]] = {name: {} for name in cuts}
+    for r in rows.select("bad", places).groupBy("p.f", "p.at").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).toLocalIterator():
+        counts[r["f"]][r["at"]] = (r["p"], r["n"])
+    out = {}
+    for name, at in cuts.items():
+        for i, threshold in enumerate(at):
+            for above in (True, False):
+                some = [c for place, c in counts[name].items() if (place > i) == above]
+                out[Test(name, above, threshold)] = (sum(p for p, _ in some), sum(n for _, n in some))
+    return out
+
+
+def _counted(rows: DataFrame, conditions: list[Column]) -> list[tuple[int, int]]:
+    """(bad, good) rows that meet each condition."""
+    ask = [F.count(F.when(c & (F.col("bad") == bad), 1)).alias(f"c{i}_{bad}") for i, c in enumerate(conditions) for bad in (1, 0)]
+    r = rows.agg(*ask).first()
+    return [(r[f"c{i}_1"], r[f"c{i}_0"]) for i in range(len(conditions))]
 
 
 def learn(rows: DataFrame, max_rules: int = 8, max_tests: int = 3, cuts: int = 24, precision: float = 0.98, min_cover: int = 5) -> list[list[Test]]:
     """An ordered list of conjunctions that say a row is bad. rows: text_statistics() and bad
-    (0 or 1). Thresholds are quantiles of all labelled rows and of the bad ones. Without both
-    classes there is no rule."""
-    side = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in ("n_words", "word_chars", "n_symbols", "n_repeat_words")]), F.lit(3))
+    (0 or 1). Thresholds are quantiles of the good and of the bad rows. Without both classes
+    there is no rule."""
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", f"{P}upper", f"{P}marks")
+    side = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in counts]), F.lit(3))
     # At most some MAX_LABELLED rows of a few numbers: one partition, so no step has to shuffle.
-    rows = rows.select("bad", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", f"{P}upper", f"{P}marks", (side == 0).alias("prune"))
-    rows = materialize(rows.repartition(8)).coalesce(1)
+    rows = materialize(rows.select("bad", *counts, (side == 0).alias("prune")).repartition(8)).coalesce(1)
     at = [i / cuts for i in range(cuts + 1)]
     ask = [F.percentile_approx(f(), at, 2000).alias(name) for name, f in FEATURES.items()]
-    tests = set()
-    for r in rows.groupBy("bad").agg(*ask).toLocalIterator():
-        tests |= {Test(name, above, float(v)) for name in FEATURES for v in r[name] or () for above in (True, False)}
-    tests = sorted(tests, key=str)
+    found = [r.asDict() for r in rows.groupBy("bad").agg(*ask).toLocalIterator()]
+    if len(found) < 2:
+        return []
+    thresholds = {name: sorted({float(v) for r in found for v in r[name]}) for name in FEATURES}
+    rows = materialize(rows.withColumns({f"{P}at_{name}": _passed(t, FEATURES[name]()) for name, t in thresholds.items()})).coalesce(1)
     rules: list[list[Test]] = []
     left = rows
     for _ in range(max_rules):
         rule: list[Test] = []
         grow, best = left.filter(~F.col("prune")), 0.0
         for _ in range(max_tests):
-            cover = _covered(grow.filter(_all(rule)), [t.column() for t in tests]) if tests else []
+            cover = _covered(grow.filter(_all(rule)), thresholds)
             # m-estimate of precision, then cover: precise and large rules first.
-            scored = [((p + 0.5) / (p + n + 4), p, t) for (p, n), t in zip(cover, tests, strict=True) if p >= min_cover]
+            scored = [((p + 0.5) / (p + n + 4), p, str(t), t) for t, (p, n) in cover.items() if p >= min_cover]
             if not scored:
                 break
-            score, _, test = max(scored, key=lambda x: (x[0], x[1], str(x[2])))
+            score, _, _, test = max(scored, key=lambda x: x[:3])
             if score <= best + 1e-6:
                 break
             rule, best = [*rule, test], score
@@ -135,12 +159,14 @@ def learn(rows: DataFrame, max_rules: int = 8, max_tests: int = 3, cuts: int = 2
             break
         # Prune: the shortest beginning of the rule that is as precise on unseen rows.
         heads = [rule[: i + 1] for i in range(len(rule))]
-        seen = _covered(left.filter("prune"), [_all(h) for h in heads])
+        seen = _counted(left.filter("prune"), [_all(h) for h in heads])
         value = [((p + 0.5) / (p + n + 1), -len(h)) for (p, n), h in zip(seen, heads, strict=True)]
         rule = heads[max(range(len(heads)), key=lambda i: value[i])]
-        p, n = _covered(left, [_all(rule)])[0]
+        p, n = _counted(left, [_all(rule)])[0]
         if p < min_cover or p < precision * (p + n):  # imprecise: look for another beginning
-            tests = [t for t in tests if t.feature != rule[0].feature]
+            thresholds = {name: t for name, t in thresholds.items() if name != rule[0].feature}
+            if not thresholds:
+                break
             continue
         rules.append(rule)
         left = left.filter(~_all(rule))
