@@ -261,11 +261,11 @@ def test_lm_score(docs, rows, empty):
 
 def test_lm_probabilities_add_up():
     rng = np.random.default_rng(2)
-    w = rng.normal(size=(4 * lm_score.FEATURES + 1, lm_score.CLASSES)).astype(np.float32)
+    w = rng.normal(size=(lm_score.CLASSES, lm_score.WIDTH)).astype(np.float32)
     data = "The cat sat on the mat. El gato".encode()
     t = lm_score.Tokens(np.frombuffer(data, np.uint8), np.array([0, len(data), len(data)]))
     assert t.first.tolist() == [0, 9, 10] and t.h[8] == lm_score.END == t.h[9] and t.cls[8] == 0
-    assert np.allclose(lm_score.class_probabilities(w, t.features()).sum(1), 1, atol=1e-5)
+    assert np.allclose(lm_score.class_probabilities(w, t.features()).sum(0), 1, atol=1e-5)
 
 
 def test_lm_beats_the_unigram_on_held_out_text(spark, small):
