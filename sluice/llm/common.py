@@ -60,3 +60,17 @@ def words_in(text):
 
 def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
+
+
+SQUEEZED = f"{P}squeezed"
+
+
+def squeezed_docs(docs: DataFrame, columns, text_col: str) -> DataFrame:
+    """The columns of docs and __sl_squeezed, the text compressed for an exchange (null as empty)."""
+    from functools import partial
+
+    from .textnum import squeezed
+
+    some = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(text_col).alias(SQUEEZED))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.schema[:-1])
+    return some.mapInArrow(partial(squeezed, text=len(some.columns) - 1), f"{schema}, {SQUEEZED} binary")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,17 @@ def _places(h: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([(h >> np.uint64(64 - bits)), (h & np.uint64((1 << bits) - 1))]).astype(np.int64)
 
 
+def _squeeze(places: np.ndarray) -> bytes:
+    """Ascending places as their differences, byte by byte, compressed."""
+    steps = np.diff(places, prepend=0).astype("<u4")
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unsqueeze(blob) -> np.ndarray:
+    steps = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.int64)
+
+
 def column_of_hashes(batch):
     yield batch.column(0).to_numpy(zero_copy_only=False)
 
@@ -57,7 +69,7 @@ def _seen(bits: int, hashes):
         once = p[new]
         again = np.diff(np.append(np.flatnonzero(new), len(p))) > 1
         cut = np.searchsorted(once, np.arange(SHARDS + 1) * size)
-        rows = [(s, (once[a:b] - s * size).astype(np.uint32).tobytes(), np.packbits(again[a:b]).tobytes()) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+        rows = [(s, _squeeze(once[a:b] - s * size), np.packbits(again[a:b]).tobytes()) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["shard", "places", "again"])
 
     return run
@@ -71,7 +83,7 @@ def _merge(bits: int):
         planes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for s, places, again in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                p = np.frombuffer(places.as_buffer(), np.uint32)
+                p = _unsqueeze(places.as_buffer())
                 more = np.unpackbits(np.frombuffer(again.as_buffer(), np.uint8), count=len(p)).view(bool)
                 once, twice = planes.setdefault(s, (np.zeros(size, bool), np.zeros(size, bool)))
                 twice[p[once[p] | more]] = True

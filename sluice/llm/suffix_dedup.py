@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import P
+from .common import P, SQUEEZED, squeezed_docs
 from .line_dedup import found_again, plane_bits, seen_again
 
 ANCHOR = 20
 #: Anchors that a task gathers before it sends them on.
-GATHER = 1 << 18
+GATHER = 1 << 19
 #: Texts are looked at in pieces of so many string starts.
 PIECE = 1 << 20
 _U = np.uint64
@@ -36,41 +36,52 @@ _LOW = _U((1 << _PLACE) - 1)
 _SALT = _U(0xA24BAED4963EE407)
 
 
-def difference_cover_ranks(s: np.ndarray, depth: int, reach: int = 1) -> np.ndarray:
-    """Ranks of all suffixes of s (symbols >= 0), from 1. Suffixes that agree over `depth` base
-    symbols may share a rank; a symbol of s stands for `reach` base symbols."""
+def difference_cover_ranks(s: np.ndarray, depth: int, reach: int = 1, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Ranks of suffixes of s (symbols >= 0) among each other, from 1: of all, or of those that begin
+    at the wanted places (ascending). Suffixes that agree over `depth` base symbols may share a
+    rank; a symbol of s stands for `reach` base symbols."""
     n = len(s)
+    wanted = np.arange(n) if wanted is None else wanted
     t = np.concatenate([s.astype(np.int64) + 1, np.zeros(3, np.int64)])
     sample = np.concatenate([np.arange(1, n, 3), np.arange(2, n, 3)])
-    if not len(sample):
-        return np.ones(n, np.int64)
-    names = _dense(t[sample], t[sample + 1], t[sample + 2])
-    if names.max() < len(sample) and 3 * reach < depth:
-        cut = len(range(1, n, 3))
-        # A symbol less than all others ends the first half.
-        deeper = difference_cover_ranks(np.concatenate([names[:cut], [0], names[cut:]]), depth, 3 * reach)
-        names = _dense(np.delete(deeper, cut))
     rank = np.zeros(n + 3, np.int64)
-    rank[sample] = names
-    # The rest: a symbol and the rank after it.
-    rest = np.arange(0, n, 3)
+    if len(sample):
+        names = _dense(t[sample], t[sample + 1], t[sample + 2])
+        cut = len(range(1, n, 3))
+        # Ranks are needed of sampled places that are wanted or within two places after one.
+        needed = np.zeros(n + 3, bool)
+        for j in range(3):
+            needed[wanted + j] = True
+        needed = np.flatnonzero(needed[:n] & (np.arange(n) % 3 != 0))
+        place = np.where(needed % 3 == 1, needed // 3, cut + needed // 3)
+        if names.max() < len(sample) and 3 * reach < depth:
+            # A symbol less than all others ends the first half.
+            longer = np.concatenate([names[:cut], [0], names[cut:]])
+            place = np.where(needed % 3 == 1, needed // 3, cut + 1 + needed // 3)
+            order = np.argsort(place)
+            rank[needed[order]] = difference_cover_ranks(longer, depth, 3 * reach, place[order])
+        else:
+            rank[needed] = names[place]
+    # The rest: a symbol and the rank after it, merged by where they fall among the others.
+    kind = wanted % 3
+    rest = wanted[kind == 0]
     own = _dense(t[rest], rank[rest + 1])
     below, same = np.zeros(len(rest), np.int64), np.zeros(len(rest), np.int64)
-    for part, width in ((np.arange(1, n, 3), 1), (np.arange(2, n, 3), 2)):
-        part = part[np.argsort(rank[part], kind="stable")]
+    for width in (1, 2):
+        part = wanted[kind == width]
+        if not len(part):
+            continue
+        part = part[np.argsort(rank[part])]
         keys = [np.concatenate([t[part + j], t[rest + j]]) for j in range(width)]
         both = _dense(*keys, np.concatenate([rank[part + width], rank[rest + width]]))
         theirs, mine = both[: len(part)], both[len(part) :]
         at = np.searchsorted(theirs, mine)
-        if len(part):
-            below = np.maximum(below, np.where(at > 0, rank[part[np.maximum(at, 1) - 1]], 0))
-            at = np.minimum(at, len(part) - 1)
-            same = np.maximum(same, np.where(theirs[at] == mine, rank[part[at]], 0))
-    value = np.zeros(n, np.int64)
-    value[sample] = 2 * names
-    value[rest] = np.where(same > 0, 2 * same, 2 * below + 1)
-    order = np.zeros(n, np.int64)
-    order[rest] = np.where(same > 0, 0, own)
+        below = np.maximum(below, np.where(at > 0, rank[part[np.maximum(at, 1) - 1]], 0))
+        at = np.minimum(at, len(part) - 1)
+        same = np.maximum(same, np.where(theirs[at] == mine, rank[part[at]], 0))
+    value, order = 2 * rank[wanted], np.zeros(len(wanted), np.int64)
+    value[kind == 0] = np.where(same > 0, 2 * same, 2 * below + 1)
+    order[kind == 0] = np.where(same > 0, 0, own)
     return _dense(value, order)
 
 
@@ -94,9 +105,8 @@ def _dense(*keys: np.ndarray) -> np.ndarray:
 
 
 def equal_strings(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """A class number per start: equal if and only if the length bytes there are."""
-    rank = difference_cover_ranks(text, length)
-    order = np.argsort(rank[starts], kind="stable")
+    """A class number per start (ascending): equal if and only if the length bytes there are."""
+    order = np.argsort(difference_cover_ranks(text, length, 1, starts))
     new = np.ones(len(order), bool)
     for a in range(1, len(order), 1 << 17):
         b = min(len(order), a + (1 << 17))
@@ -175,7 +185,7 @@ def _marks(doc: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarra
     doc, text, start, size = doc[order], text[order], start[order], size[order]
     cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])) if len(doc) else np.zeros(0, np.int64)
     end = np.append(cut[1:], len(doc))[: len(cut)]
-    blobs = [pa.array([x[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (start.astype(np.int32), size.astype(np.int32))]
+    blobs = [pa.array([x[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (start.astype(np.int32), size.astype(np.uint8))]  # a stretch has 31 starts at most
     none = pa.array([None] * len(cut), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(doc[cut] % shards, pa.int64()), pa.array(doc[cut], pa.int64()), pa.array(text[cut], pa.int64()), none, none, none, none, *blobs, none], names=_SENT)
 
@@ -185,7 +195,7 @@ def _candidates(plane, bits: int, length: int, shards: int):
     go on, by anchor, their bytes once; the others are marked."""
 
     def run(batches):
-        held, size = [], 0
+        held, blocks, size = [], [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             texts = batch.column(1).to_numpy(zero_copy_only=False)
@@ -199,27 +209,26 @@ def _candidates(plane, bits: int, length: int, shards: int):
                     continue
                 # Where the anchor lies in its stretch is part of what makes stretches equal.
                 hashed = tn.mix(tn.span_hash(data, start, end + length - 1) + (end - start).astype(np.uint64) * _SALT)
-                held.append((anchor, hashed, ids[row0 + row], texts[row0 + row], start - at[row] + offset, end - start, [data[a:b] for a, b in zip(start.tolist(), (end + length - 1).tolist(), strict=True)]))
+                held.append((anchor, hashed, ids[row0 + row], texts[row0 + row], start - at[row] + offset, end - start, np.full(len(start), len(blocks)), start))
+                blocks.append(data)
                 size += len(start)
                 if size >= GATHER:
-                    yield from send(held)
-                    held, size = [], 0
+                    yield from send(held, blocks)
+                    held, blocks, size = [], [], 0
         if held:
-            yield from send(held)
+            yield from send(held, blocks)
 
-    def send(held):
-        anchor, hashed, doc, text, start, size = (np.concatenate(x) for x in list(zip(*held, strict=True))[:6])
-        views = [v for h in held for v in h[6]]
-        order = np.lexsort((doc, hashed, anchor))
-        anchor, hashed, doc, text, start, size = (x[order] for x in (anchor, hashed, doc, text, start, size))
+    def send(held, blocks):
+        anchor, hashed, doc, text, start, size, block, at = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(tn.mix(anchor + hashed * _SALT))
+        anchor, hashed, doc, text, start, size, block, at = (x[order] for x in (anchor, hashed, doc, text, start, size, block, at))
         new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (hashed[1:] != hashed[:-1])])
-        group = np.cumsum(new) - 1
-        least = doc[np.flatnonzero(new)][group] == doc
+        head = np.flatnonzero(new)
+        least = np.minimum.reduceat(doc, head)[np.cumsum(new) - 1] == doc
         if not least.all():
             yield _marks(doc[~least], text[~least], start[~least], size[~least], shards)
-        first = new[least]
-        pick = order[least]
-        anchor, hashed, doc, text, start, size = (x[least] for x in (anchor, hashed, doc, text, start, size))
+        anchor, hashed, doc, text, start, size, block, at = (x[least] for x in (anchor, hashed, doc, text, start, size, block, at))
+        first = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (hashed[1:] != hashed[:-1])])
         key_bits = shards.bit_length() - 1
         key = (tn.mix(anchor) >> _U(64 - key_bits)).astype(np.int64)
         by = np.argsort(key, kind="stable")
@@ -228,9 +237,11 @@ def _candidates(plane, bits: int, length: int, shards: int):
         columns: list[list] = [[] for _ in range(7)]
         for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
             some = by[a:b]
-            for out, x in zip(columns, (anchor, hashed, doc, text, start.astype(np.int32), np.where(first, size, -size).astype(np.int32)), strict=False):
+            for out, x in zip(columns, (anchor, hashed, doc, text, start.astype(np.int32), np.where(first, size, -size).astype(np.int8)), strict=False):
                 out.append(zip_.compress(x[some].tobytes()))
-            columns[6].append(zip_.compress(b"".join([views[i].tobytes() for i in pick[some[first[some]]].tolist()])))
+            once = some[first[some]]
+            spans = zip(block[once].tolist(), at[once].tolist(), (at[once] + size[once] + length - 1).tolist(), strict=True)
+            columns[6].append(zip_.compress(b"".join([blocks[i][x:y] for i, x, y in spans])))
         none = pa.array([None] * len(cut), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(key[by[cut]], pa.int64()), none, none, *(pa.array(c, pa.binary()) for c in columns)], names=_SENT)
 
@@ -247,36 +258,47 @@ def _resolve(length: int):
         return pa.concat_tables([done, resolve(table)]) if table.num_rows else done
 
     def resolve(table: pa.Table) -> pa.Table:
-        kinds = {"anchors": np.uint64, "hashes": np.uint64, "docs": np.int64, "texts": np.int64, "starts": np.int32, "sizes": np.int32}
+        kinds = {"anchors": np.uint64, "hashes": np.uint64, "docs": np.int64, "texts": np.int64, "starts": np.int32, "sizes": np.int8}
         anchor, hashed, doc, text, start, size = (np.concatenate([np.frombuffer(_unzip(x.as_buffer()), k) for x in table[c]]) for c, k in kinds.items())
         raw = np.frombuffer(b"".join([_unzip(x.as_buffer()) for x in table["bytes"]]), np.uint8)
         # Bytes came once per stretch and gathering: where sizes are above 0.
         has = size > 0
-        size = np.abs(size)
+        size = np.abs(size).astype(np.int64)
         where = np.zeros(len(size), np.int64)
         where[has] = np.cumsum(np.where(has, size + length - 1, 0))[has] - (size[has] + length - 1)
-        order = np.lexsort((~has, doc, hashed, anchor))
-        anchor, hashed, doc, text, start, size, where, has = (x[order] for x in (anchor, hashed, doc, text, start, size, where, has))
-        new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-        new = new_anchor | np.concatenate([[True], hashed[1:] != hashed[:-1]])
+        order = np.argsort(anchor)
+        family = np.empty(len(order), np.int64)
+        family[order] = np.cumsum(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]]))
+        # By anchor, then hash: by the upper half of the hash, if that tells them apart.
+        key = (family.astype(np.uint64) << _U(32)) | (hashed >> _U(32))
+        order = np.argsort(key)
+        if ((np.diff(key[order]) == 0) & (np.diff(hashed[order]) != 0)).any():
+            order = np.lexsort((hashed, family))
+        family, hashed, doc, text, start, size, where, has = (x[order] for x in (family, hashed, doc, text, start, size, where, has))
+        new = np.concatenate([[True], (family[1:] != family[:-1]) | (hashed[1:] != hashed[:-1])])
         head = np.flatnonzero(new)
         group = np.cumsum(new) - 1
-        least = doc[head][group]
-        late = doc > least
+        late = doc > np.minimum.reduceat(doc, head)[group]
+        # One copy of a group's bytes: any place that has them. Its least document owns it.
+        source = np.maximum.reduceat(np.where(has, np.arange(len(has)), -1), head)
         out = [(doc[late], text[late], start[late].astype(np.int64), size[late].astype(np.int64))]
         # Stretches that share their anchor with others: sort the suffixes of one copy of each.
-        family = np.cumsum(new_anchor)[head]
-        count = np.bincount(family)
-        open_ = np.flatnonzero(count[family] > 1)
-        for some in np.array_split(open_, max(1, int(size[head[open_]].sum() + length * len(open_)) >> 21)) if len(open_) else []:
-            out += _compare(some, family, head, group, doc, text, start, size, where, raw, late, length) if len(some) else []
+        family = family[head]
+        open_ = np.flatnonzero((np.bincount(family)[family] > 1) & (source >= 0))
+        owner = np.minimum.reduceat(doc, head)
+        # Some megabytes at a time, but all of an anchor together.
+        upto = np.cumsum(size[head[open_]] + length) >> 21
+        first = np.flatnonzero(np.concatenate([[True], family[open_][1:] != family[open_][:-1]]))
+        part = np.repeat(upto[first], np.diff(np.append(first, len(open_)))) if len(open_) else upto
+        for some in np.split(open_, np.flatnonzero(np.diff(part)) + 1) if len(open_) else []:
+            out += _compare(some, owner, source, group, doc, text, start, size, where, raw, late, length)
         return pa.Table.from_batches([_marks(*(np.concatenate(x) for x in zip(*out, strict=True)))]).select(MARK)
 
     return run
 
 
-def _compare(some, family, head, group, doc, text, start, size, where, raw, late, length):
-    at, n = where[head[some]], size[head[some]].astype(np.int64)
+def _compare(some, owner, source, group, doc, text, start, size, where, raw, late, length):
+    at, n = where[source[some]], size[source[some]]
     full = n + length  # a blank symbol, 0, stands between stretches
     begin = np.cumsum(full) - full
     symbols = np.zeros(int(full.sum()), np.int64)
@@ -286,7 +308,7 @@ def _compare(some, family, head, group, doc, text, start, size, where, raw, late
     piece = np.repeat(np.arange(len(some)), n)
     offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     cls = equal_strings(symbols, begin[piece] + offset, length)
-    owner = doc[head[some]][piece]
+    owner = owner[some][piece]
     least = np.full(cls.max() + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, cls, owner)
     gone = owner > least[cls]
@@ -304,13 +326,13 @@ def _compare(some, family, head, group, doc, text, start, size, where, raw, late
     return [(doc[spot], text[spot], start[spot].astype(np.int64) + offset[edge][which], (stop - edge)[which])]
 
 
-def _cut(length: int, keep: list[str], text_col: str):
+def _cut(length: int, keep: list[str]):
     def run(batches):
         for batch in batches:
             get = lambda c: batch.column(batch.schema.get_field_index(c))
             marked, sizes = get(STARTS), get(SIZES)
             kept, total, removed, spans = [], [], [], []
-            for row0, data, at in tn.slices(get(text_col)):
+            for row0, data, at in tn.slices(tn.unsqueezed(get(SQUEEZED))):
                 for r in range(len(at) - 1):
                     own = data[at[r] : at[r + 1]]
                     total.append(len(own))
@@ -321,7 +343,7 @@ def _cut(length: int, keep: list[str], text_col: str):
                         spans.append(0)
                         continue
                     s = np.frombuffer(b"".join(blobs), np.int32).astype(np.int64)
-                    n = np.frombuffer(b"".join(sizes[row0 + r].as_py()), np.int32)
+                    n = np.frombuffer(b"".join(sizes[row0 + r].as_py()), np.uint8).astype(np.int64)
                     gone = tn.covered(len(own), s, n + length - 1)
                     kept.append(own[~gone].tobytes())
                     removed.append(int(gone.sum()))
@@ -355,7 +377,7 @@ def dedup_strings(docs: DataFrame, length: int = 50, id_col: str = "doc_id", tex
     found = slim.mapInArrow(_candidates(plane, bits, length, shards), _SENT_DDL)
     gone = found.groupBy("shard").applyInArrow(_resolve(length), "id long, text_hash long, starts binary, sizes binary")
     marks = gone.groupBy(F.col("id").alias(id_), F.col("text_hash").alias(text_hash)).agg(F.collect_list("starts").alias(STARTS), F.collect_list("sizes").alias(SIZES))
-    through = list(dict.fromkeys([*keep, text_col]))
-    joined = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*through, id_col])]).join(marks, (F.col(id_col) == F.col(id_)) & (hashed == F.col(text_hash)), "left")
+    own_hash = f"{P}own_hash"
+    joined = squeezed_docs(docs.withColumn(own_hash, hashed), dict.fromkeys([*keep, id_col, own_hash]), text_col).join(marks, (F.col(id_col) == F.col(id_)) & (F.col(own_hash) == F.col(text_hash)), "left")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return joined.select(*[F.col(f"`{c}`") for c in through], STARTS, SIZES).mapInArrow(_cut(length, keep, text_col), f"{schema}, {KEPT} binary, {BYTES} long, {REMOVED} long, {SPANS} long")
+    return joined.select(*[F.col(f"`{c}`") for c in keep], SQUEEZED, STARTS, SIZES).mapInArrow(_cut(length, keep), f"{schema}, {KEPT} binary, {BYTES} long, {REMOVED} long, {SPANS} long")

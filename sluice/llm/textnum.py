@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 SLICE = 1 << 21
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -159,3 +160,17 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each run of True."""
     step = np.diff(np.concatenate(([0], mask.view(np.int8), [0])))
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+
+
+def squeezed(batches, text: int):
+    """Batches with the text column compressed, row by row, for an exchange."""
+    pack = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        data, at = buffers(batch.column(text))
+        blobs = pa.array([pack.compress(data[a:b].data) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())
+        yield batch.set_column(text, batch.schema.names[text], blobs)
+
+
+def unsqueezed(column: pa.Array) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor()
+    return pa.array([unpack.decompress(x.as_buffer()) for x in column], pa.large_binary())

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import P
+from .common import P, SQUEEZED, squeezed_docs
 from .line_dedup import found_again, plane_bits, seen_again
 
 #: Windows that a task gathers before it sends them on.
@@ -161,11 +161,11 @@ def repeated_windows(docs: DataFrame, length: int, id_col: str, text_col: str) -
     return found.groupBy("bucket").applyInArrow(_resolve, "id long, starts binary")
 
 
-def _cut(length: int, keep: list[str], text_col: str, starts_col: str):
+def _cut(length: int, keep: list[str], starts_col: str):
     def run(batches):
         for batch in batches:
             marked = batch.column(batch.schema.get_field_index(starts_col))
-            column = batch.column(batch.schema.get_field_index(text_col))
+            column = tn.unsqueezed(batch.column(batch.schema.get_field_index(SQUEEZED)))
             texts, totals, removed = [], [], []
             for row0, data, at in tn.slices(column):
                 starts, ends, first = tn.words(data, at)
@@ -204,7 +204,6 @@ def dedup_windows(docs: DataFrame, length: int = 13, id_col: str = "doc_id", tex
     keep = docs.columns if keep is None else keep
     id_, starts = f"{P}id", f"{P}starts"
     marks_ = repeated_windows(docs, length, id_col, text_col).groupBy(F.col("id").alias(id_)).agg(F.collect_list("starts").alias(starts))
-    through = list(dict.fromkeys([*keep, text_col]))
-    joined = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*through, id_col])]).join(marks_, F.col(id_col) == F.col(id_), "left")
+    joined = squeezed_docs(docs, dict.fromkeys([*keep, id_col]), text_col).join(marks_, F.col(id_col) == F.col(id_), "left")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return joined.select(*[F.col(f"`{c}`") for c in through], starts).mapInArrow(_cut(length, keep, text_col, starts), f"{schema}, {TEXT} string, {WORDS} long, {REMOVED} long")
+    return joined.select(*[F.col(f"`{c}`") for c in keep], SQUEEZED, starts).mapInArrow(_cut(length, keep, starts), f"{schema}, {TEXT} string, {WORDS} long, {REMOVED} long")
