@@ -68,7 +68,7 @@ def _pack(h: np.ndarray, doc: np.ndarray, place: np.ndarray, buckets: int):
 
 def _candidates(plane, bits: int, length: int, buckets: int):
     """Windows that may repeat. Of equal windows in one gathering, the least document's go on
-    (bucket, hashes, docs, places); the others are repeats already (id, places)."""
+    (bucket, hashes, docs, places); the others are repeats already: marks()."""
 
     def run(batches):
         rows, size = [], 0
@@ -97,19 +97,19 @@ def _candidates(plane, bits: int, length: int, buckets: int):
 
     def send(rows):
         w, doc, place = (np.concatenate(x) for x in zip(*rows, strict=True))
-        order = np.lexsort((doc, w))
+        order = np.argsort(w)
         w, doc, place = w[order], doc[order], place[order]
         new = np.concatenate([[True], w[1:] != w[:-1]])
-        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
         first = doc == least
         yield _pack(w[first], doc[first], place[first], buckets)
         if not first.all():
-            yield from marks(doc[~first], place[~first], buckets)
+            yield marks(doc[~first], place[~first], buckets)
 
     return run
 
 
-NAMES = ["bucket", "id", "hashes", "docs", "places"]
+NAMES = ["bucket", "part", "hashes", "docs", "places"]
 
 
 def _some(h: np.ndarray, s: np.ndarray, length: int) -> np.ndarray:
@@ -119,46 +119,63 @@ def _some(h: np.ndarray, s: np.ndarray, length: int) -> np.ndarray:
     return tn.mix(w)
 
 
-def marks(doc: np.ndarray, place: np.ndarray, buckets: int = 1):
-    """One row per document: its id, and places: its window starts. They pass through any bucket."""
-    order = np.argsort(doc, kind="stable")
+def marks(doc: np.ndarray, place: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Window starts that are repeats, packed by part of the documents. Such rows have a part and
+    no hashes, and pass through any bucket."""
+    part = (tn.mix(doc.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part)
+    part, doc, place = part[order], doc[order], place[order]
+    cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    end = np.append(cut[1:], len(part))[: len(cut)]
+    blobs = [pa.array([_zipped(x[a:b]) for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (doc, place.astype(np.int32))]
+    return pa.RecordBatch.from_arrays([pa.array(part[cut], pa.int64()), pa.array(part[cut], pa.int64()), pa.array([None] * len(cut), pa.binary()), *blobs], names=NAMES)
+
+
+def _unzipped(column, kind) -> np.ndarray:
+    return np.concatenate([np.frombuffer(zstandard.decompress(x.as_buffer()), kind) for x in column])
+
+
+def _resolve(parts: int):
+    """One hash range: windows whose hash a smaller document has, as marks."""
+
+    def run(table: pa.Table) -> pa.Table:
+        known = pc.is_valid(table["part"])
+        done = table.filter(known).select(NAMES[1:])
+        table = table.filter(pc.invert(known))
+        if not table.num_rows:
+            return done
+        h = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["hashes"]])
+        doc, place = _unzipped(table["docs"], np.int64), _unzipped(table["places"], np.int32)
+        order = np.argsort(h)
+        h, doc, place = h[order], doc[order], place[order]
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        late = doc > np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
+        return pa.concat_tables([done, pa.Table.from_batches([marks(doc[late], place[late], parts)]).select(NAMES[1:])])
+
+    return run
+
+
+def _per_document(table: pa.Table) -> pa.Table:
+    """One part of the documents: each one's window starts."""
+    doc, place = _unzipped(table["docs"], np.int64), _unzipped(table["places"], np.int32)
+    order = np.argsort(doc)
     doc, place = doc[order], place[order]
     cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-    end = np.append(cut[1:], len(doc))
-    none = pa.array([b""] * len(cut), pa.binary())
-    yield pa.RecordBatch.from_arrays([pa.array(doc[cut] % buckets, pa.int64()), pa.array(doc[cut], pa.int64()), none, none, pa.array([place[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary())], names=NAMES)
-
-
-def _resolve(table: pa.Table) -> pa.Table:
-    """One hash range: (id, starts) of windows whose hash a smaller document has."""
-    known = pc.is_valid(table["id"])
-    done = table.filter(known).select(["id", "places"]).rename_columns(["id", "starts"])
-    table = table.filter(pc.invert(known))
-    if not table.num_rows:
-        return done
-    h = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.uint64)
-    doc, place = (np.frombuffer(b"".join(map(zstandard.decompress, table[c].to_pylist())), kind) for c, kind in (("docs", np.int64), ("places", np.int32)))
-    order = np.lexsort((doc, h))
-    h, doc, place = h[order], doc[order], place[order]
-    new = np.concatenate([[True], h[1:] != h[:-1]])
-    late = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-    if not late.any():
-        return done
-    more = pa.Table.from_batches(marks(doc[late], place[late])).select(["id", "places"]).rename_columns(["id", "starts"])
-    return pa.concat_tables([done, more])
+    return pa.table({"id": pa.array(doc[cut], pa.int64()), "starts": pa.array([_zipped(np.sort(place[a:b])) for a, b in zip(cut, np.append(cut[1:], len(doc)), strict=True)], pa.binary())})
 
 
 def repeated_windows(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, starts): per document blobs of int32 starts of windows that a document with a
-    smaller id has, too."""
+    """(id, starts): of each document that has some, the starts of windows that a document with a
+    smaller id has, too (int32, compressed)."""
     slim = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     n = docs.count()
     bits = plane_bits(n, 160)
     plane = seen_again(slim, bits, _half_hashes(length))
     buckets = 1 << max(6, (n // 2000).bit_length())
-    schema = "bucket long, id long, hashes binary, docs binary, places binary"
+    schema = "bucket long, part long, hashes binary, docs binary, places binary"
     found = slim.mapInArrow(_candidates(plane, bits, length, buckets), schema)
-    return found.groupBy("bucket").applyInArrow(_resolve, "id long, starts binary")
+    late = found.groupBy("bucket").applyInArrow(_resolve(buckets), schema.partition(", ")[2])
+    return late.groupBy("part").applyInArrow(_per_document, "id long, starts binary")
 
 
 def _cut(length: int, keep: list[str], starts_col: str):
@@ -171,10 +188,10 @@ def _cut(length: int, keep: list[str], starts_col: str):
                 starts, ends, first = tn.words(data, at)
                 for r in range(len(at) - 1):
                     a, b = int(first[r]), int(first[r + 1])
-                    blobs = marked[row0 + r].as_py()
+                    blob = marked[row0 + r].as_py()
                     stay = np.ones(b - a, bool)
-                    if blobs:
-                        s = np.unique(np.frombuffer(b"".join(blobs), np.int32))
+                    if blob:
+                        s = np.unique(np.frombuffer(zstandard.decompress(blob), np.int32))
                         stay = ~tn.covered(b - a, s[s < b - a].astype(np.int64), length)
                     some = np.flatnonzero(stay) + a
                     texts.append(b" ".join([data[x:y].tobytes() for x, y in zip(starts[some].tolist(), ends[some].tolist(), strict=True)]))
@@ -203,7 +220,7 @@ def dedup_windows(docs: DataFrame, length: int = 13, id_col: str = "doc_id", tex
     """
     keep = docs.columns if keep is None else keep
     id_, starts = f"{P}id", f"{P}starts"
-    marks_ = repeated_windows(docs, length, id_col, text_col).groupBy(F.col("id").alias(id_)).agg(F.collect_list("starts").alias(starts))
+    marks_ = repeated_windows(docs, length, id_col, text_col).select(F.col("id").alias(id_), F.col("starts").alias(starts))
     joined = squeezed_docs(docs, dict.fromkeys([*keep, id_col]), text_col).join(marks_, F.col(id_col) == F.col(id_), "left")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return joined.select(*[F.col(f"`{c}`") for c in keep], SQUEEZED, starts).mapInArrow(_cut(length, keep, starts), f"{schema}, {TEXT} string, {WORDS} long, {REMOVED} long")
