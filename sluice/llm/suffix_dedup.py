@@ -167,27 +167,40 @@ def _anchors(length: int):
     return run
 
 
-_SENT = ["shard", "id", "text_hash", "anchors", "hashes", "docs", "texts", "starts", "sizes", "bytes"]
-_SENT_DDL = "shard long, id long, text_hash long, anchors binary, hashes binary, docs binary, texts binary, starts binary, sizes binary, bytes binary"
+_SENT = ["shard", "part", "anchors", "hashes", "docs", "texts", "starts", "sizes", "bytes"]
+_SENT_DDL = "shard long, part long, anchors binary, hashes binary, docs binary, texts binary, starts binary, sizes binary, bytes binary"
 
 
-MARK = ["id", "text_hash", "starts", "sizes"]
+MARK = ["part", "docs", "texts", "starts", "sizes"]
+_MARK_DDL = "part long, docs binary, texts binary, starts binary, sizes binary"
 
 
 def _unzip(blob) -> bytes:
     return zstandard.decompress(blob)
 
 
-def _marks(doc: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarray, shards: int = 1) -> pa.RecordBatch:
-    """Rows with an id: of each text the stretches that go, as starts and sizes. They pass through
-    any shard."""
-    order = np.lexsort((text, doc))
-    doc, text, start, size = doc[order], text[order], start[order], size[order]
-    cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])) if len(doc) else np.zeros(0, np.int64)
-    end = np.append(cut[1:], len(doc))[: len(cut)]
-    blobs = [pa.array([x[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (start.astype(np.int32), size.astype(np.uint8))]  # a stretch has 31 starts at most
+def _marks(doc: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Stretches that go, packed by part of the documents. Such rows have a part and no anchors, and
+    pass through any shard."""
+    part = (tn.mix(doc.astype(np.uint64)) % _U(parts)).astype(np.int64)
+    order = np.argsort(part)
+    part = part[order]
+    cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    end = np.append(cut[1:], len(part))[: len(cut)]
+    # A stretch has 31 starts at most.
+    blobs = [pa.array([zstandard.compress(x[a:b].tobytes(), 1) for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (doc[order], text[order], start[order].astype(np.int32), size[order].astype(np.uint8))]
     none = pa.array([None] * len(cut), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(doc[cut] % shards, pa.int64()), pa.array(doc[cut], pa.int64()), pa.array(text[cut], pa.int64()), none, none, none, none, *blobs, none], names=_SENT)
+    return pa.RecordBatch.from_arrays([pa.array(part[cut], pa.int64()), pa.array(part[cut], pa.int64()), none, none, *blobs, none], names=_SENT)
+
+
+def _per_text(table: pa.Table) -> pa.Table:
+    """One part of the documents: each text's stretches that go."""
+    doc, text, start, size = (np.concatenate([np.frombuffer(_unzip(x.as_buffer()), k) for x in table[c]]) for c, k in zip(MARK[1:], (np.int64, np.int64, np.int32, np.uint8), strict=True))
+    order = np.lexsort((text, doc))
+    doc, text, start, size = (x[order] for x in (doc, text, start, size))
+    cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])]))
+    blobs = {c: pa.array([zstandard.compress(x[a:b].tobytes(), 1) for a, b in zip(cut, np.append(cut[1:], len(doc)), strict=True)], pa.binary()) for c, x in ((STARTS, start), (SIZES, size))}
+    return pa.table({f"{P}id": pa.array(doc[cut], pa.int64()), f"{P}hash": pa.array(text[cut], pa.int64()), **blobs})
 
 
 def _candidates(plane, bits: int, length: int, shards: int):
@@ -243,16 +256,16 @@ def _candidates(plane, bits: int, length: int, shards: int):
             spans = zip(block[once].tolist(), at[once].tolist(), (at[once] + size[once] + length - 1).tolist(), strict=True)
             columns[6].append(zip_.compress(b"".join([blocks[i][x:y] for i, x, y in spans])))
         none = pa.array([None] * len(cut), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(key[by[cut]], pa.int64()), none, none, *(pa.array(c, pa.binary()) for c in columns)], names=_SENT)
+        yield pa.RecordBatch.from_arrays([pa.array(key[by[cut]], pa.int64()), none, *(pa.array(c, pa.binary()) for c in columns)], names=_SENT)
 
     return run
 
 
-def _resolve(length: int):
+def _resolve(length: int, parts: int):
     """One shard: which string starts a smaller document has, too, as marks."""
 
     def run(table: pa.Table) -> pa.Table:
-        known = pc.is_valid(table["id"])
+        known = pc.is_valid(table["part"])
         done = table.filter(known).select(MARK)
         table = table.filter(pc.invert(known))
         return pa.concat_tables([done, resolve(table)]) if table.num_rows else done
@@ -292,7 +305,7 @@ def _resolve(length: int):
         part = np.repeat(upto[first], np.diff(np.append(first, len(open_)))) if len(open_) else upto
         for some in np.split(open_, np.flatnonzero(np.diff(part)) + 1) if len(open_) else []:
             out += _compare(some, owner, source, group, doc, text, start, size, where, raw, late, length)
-        return pa.Table.from_batches([_marks(*(np.concatenate(x) for x in zip(*out, strict=True)))]).select(MARK)
+        return pa.Table.from_batches([_marks(*(np.concatenate(x) for x in zip(*out, strict=True)), parts)]).select(MARK)
 
     return run
 
@@ -336,14 +349,14 @@ def _cut(length: int, keep: list[str]):
                 for r in range(len(at) - 1):
                     own = data[at[r] : at[r + 1]]
                     total.append(len(own))
-                    blobs = marked[row0 + r].as_py()
-                    if not blobs:
+                    blob = marked[row0 + r].as_py()
+                    if not blob:
                         kept.append(own.tobytes())
                         removed.append(0)
                         spans.append(0)
                         continue
-                    s = np.frombuffer(b"".join(blobs), np.int32).astype(np.int64)
-                    n = np.frombuffer(b"".join(sizes[row0 + r].as_py()), np.uint8).astype(np.int64)
+                    s = np.frombuffer(_unzip(blob), np.int32).astype(np.int64)
+                    n = np.frombuffer(_unzip(sizes[row0 + r].as_py()), np.uint8).astype(np.int64)
                     gone = tn.covered(len(own), s, n + length - 1)
                     kept.append(own[~gone].tobytes())
                     removed.append(int(gone.sum()))
@@ -375,8 +388,8 @@ def dedup_strings(docs: DataFrame, length: int = 50, id_col: str = "doc_id", tex
     plane = seen_again(slim, bits, _anchors(length))
     shards = 1 << max(5, (n // 2000).bit_length())
     found = slim.mapInArrow(_candidates(plane, bits, length, shards), _SENT_DDL)
-    gone = found.groupBy("shard").applyInArrow(_resolve(length), "id long, text_hash long, starts binary, sizes binary")
-    marks = gone.groupBy(F.col("id").alias(id_), F.col("text_hash").alias(text_hash)).agg(F.collect_list("starts").alias(STARTS), F.collect_list("sizes").alias(SIZES))
+    gone = found.groupBy("shard").applyInArrow(_resolve(length, shards), _MARK_DDL)
+    marks = gone.groupBy("part").applyInArrow(_per_text, f"{id_} long, {text_hash} long, {STARTS} binary, {SIZES} binary")
     own_hash = f"{P}own_hash"
     joined = squeezed_docs(docs.withColumn(own_hash, hashed), dict.fromkeys([*keep, id_col, own_hash]), text_col).join(marks, (F.col(id_col) == F.col(id_)) & (F.col(own_hash) == F.col(text_hash)), "left")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
