@@ -104,6 +104,20 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM told GROUP BY doc_id""",
+    "op2_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+        win AS (SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS g FROM d, unnest(range(0, n - 49)) AS t(i)),
+        least AS (SELECT g, min(doc_id) AS lo FROM win GROUP BY g),
+        hit AS (SELECT DISTINCT doc_id, i FROM win JOIN least USING (g) WHERE doc_id > lo),
+        fresh AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS f FROM hit),
+        runs AS (SELECT doc_id, i, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM fresh),
+        spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, s),
+        total AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS last FROM spans GROUP BY doc_id),
+        pieces AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p, a AS q FROM spans
+                   UNION ALL SELECT d.doc_id, coalesce(last, 0), n FROM d LEFT JOIN total ON total.doc_id = d.doc_id),
+        kept AS (SELECT d.doc_id, string_agg(substring(h, 2 * p + 1, 2 * (q - p)), '' ORDER BY p) AS t FROM pieces JOIN d USING (doc_id) GROUP BY d.doc_id)
+        SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(t, ''))) AS kept_sha256
+        FROM d LEFT JOIN total ON total.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id""",
     "op6_substring_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         win AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS g FROM d, unnest(range(1, len(w) - 11)) AS t(i)),

@@ -3,8 +3,9 @@
 The first level looks for repeated windows of half the length. Of these the winnowed ones are
 enough (each full window holds one at least, and equal windows hold the same), and two Bloom
 planes tell which of them may repeat. Only where one does are windows of the full length looked
-at. Each further level asks for twice the length, at places where the windows of the level before
-repeat both at the place and one length on; it ends when no candidate is left.
+at. What is removed is known at that level. longest_repeats() goes on: each further level has twice
+the length, at places where windows of the level before repeat both there and one length on, until
+no candidate is left.
 
 A task keeps one document for each window hash that it has met, the least; only those move, packed
 by hash range. So a passage that many documents share moves once per task, not once per document.
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import P, SQUEEZED, squeezed_docs
+from .common import P, SQUEEZED, materialize, squeezed_docs
 from .line_dedup import found_again, plane_bits, seen_again
 
 #: Windows that a task gathers before it sends them on.
@@ -66,6 +67,19 @@ def _pack(h: np.ndarray, doc: np.ndarray, place: np.ndarray, buckets: int):
     )
 
 
+def _open_windows(plane, bits: int, length: int, h: np.ndarray, first: np.ndarray):
+    """(starts, hashes, texts) of the windows that hold a half-length gram that may repeat."""
+    g, at, half = _chosen(h, first, length)
+    at = at[found_again(plane.value, g, bits)] if len(g) else at
+    n = len(h) - length + 1
+    if n <= 0 or not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    near = tn.covered(len(h), np.maximum(at - (length - half), 0), np.minimum(at, length - half) + 1)[:n]
+    s = np.flatnonzero(tn.gram_rows(first, length, n) & near)
+    w = tn.grams(h, length)[s] if len(s) * 4 > n else _some(h, s, length)
+    return s, w, np.searchsorted(first, s, "right") - 1
+
+
 def _candidates(plane, bits: int, length: int, buckets: int):
     """Windows that may repeat. Of equal windows in one gathering, the least document's go on
     (bucket, hashes, docs, places); the others are repeats already: marks()."""
@@ -75,18 +89,9 @@ def _candidates(plane, bits: int, length: int, buckets: int):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for row0, h, first in _hashed(batch.column(1)):
-                g, at, half = _chosen(h, first, length)
-                at = at[found_again(plane.value, g, bits)] if len(g) else at
-                n = len(h) - length + 1
-                if n <= 0 or not len(at):
-                    continue
-                ok = tn.gram_rows(first, length, n)
-                near = tn.covered(len(h), np.maximum(at - (length - half), 0), np.minimum(at, length - half) + 1)[:n]
-                s = np.flatnonzero(ok & near)
+                s, w, row = _open_windows(plane, bits, length, h, first)
                 if not len(s):
                     continue
-                w = tn.grams(h, length)[s] if len(s) * 4 > n else _some(h, s, length)
-                row = np.searchsorted(first, s, "right") - 1
                 rows.append((w, ids[row0 + row], (s - first[row]).astype(np.int32)))
                 size += len(s)
                 if size >= FLUSH:
@@ -224,3 +229,38 @@ def dedup_windows(docs: DataFrame, length: int = 13, id_col: str = "doc_id", tex
     joined = squeezed_docs(docs, dict.fromkeys([*keep, id_col]), text_col).join(marks_, F.col(id_col) == F.col(id_), "left")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return joined.select(*[F.col(f"`{c}`") for c in keep], SQUEEZED, starts).mapInArrow(_cut(length, keep, starts), f"{schema}, {TEXT} string, {WORDS} long, {REMOVED} long")
+
+
+def _window_rows(plane, bits: int, length: int):
+    """(id, start, hash) of the windows that may repeat."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for row0, h, first in _hashed(batch.column(1)):
+                s, w, row = _open_windows(plane, bits, length, h, first)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row0 + row]), pa.array(s - first[row]), pa.array(w.view(np.int64))], names=["id", "start", "hash"])
+
+    return run
+
+
+def longest_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, longest): documents that share a window of `length` words with another document, and the
+    largest length * 2**k for which they share one.
+
+    A level's windows that occur in one document alone are dropped; a window of twice the length
+    starts where two neighbours are left, and its hash is made of theirs.
+    """
+    slim = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    bits = plane_bits(docs.count(), 160)
+    plane = seen_again(slim, bits, _half_hashes(length))
+    level, size, found = slim.mapInArrow(_window_rows(plane, bits, length), "id long, start long, hash long"), length, None
+    while True:
+        shared = level.select("hash", "id").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        alive = materialize(level.join(shared, "hash", "left_semi"))
+        ids = alive.select("id").distinct().withColumn("longest", F.lit(size))
+        found = ids if found is None else found.unionAll(ids)
+        if alive.isEmpty():
+            return found.groupBy("id").agg(F.max("longest").alias("longest"))
+        after = alive.select("id", (F.col("start") - size).alias("start"), F.col("hash").alias("after"))
+        level, size = alive.join(after, ["id", "start"]).select("id", "start", F.xxhash64("hash", "after").alias("hash")), size * 2

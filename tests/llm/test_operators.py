@@ -334,6 +334,24 @@ def test_window_dedup(docs, rows, empty):
     assert sum(r[3] for r in got) > 0 and d.dedup_windows(empty).count() == 0
 
 
+def test_longest_repeats(docs, rows, empty):
+    def longest(r):
+        best, size = None, 13
+        mine = words(r[1])
+        while True:
+            grams = {tuple(mine[i : i + size]) for i in range(len(mine) - size + 1)}
+            if not any(q[0] not in (None, r[0]) and any(tuple(words(q[1])[i : i + size]) in grams for i in range(len(words(q[1])) - size + 1)) for q in rows):
+                return best
+            best, size = size, size * 2
+
+    want = collections.defaultdict(int)
+    for r in rows:
+        if r[0] is not None and longest(r):
+            want[r[0]] = max(want[r[0]], longest(r))
+    assert {r.id: r.longest for r in window_dedup.longest_repeats(docs).collect()} == dict(want)
+    assert window_dedup.longest_repeats(empty).count() == 0
+
+
 def trusted_rows():
     rng = random.Random(8)
     good = [(i, sentence(rng, rng.randint(20, 60)), "en" if i % 2 else None) for i in range(300)]
