@@ -19,8 +19,10 @@ from .common import P, materialize
 
 ORDER = 4
 SYMBOLS = 48
-#: Labelled documents that the model is trained on, at most (within a few per cent).
+#: Labelled documents that the model is trained on, at most (within a few per cent). Limits are
+#: of all that it isn't trained on.
 MAX_TRUSTED = 8_000
+TRUSTED = "quality = 1 and coalesce(toxic, 0) = 0"
 
 
 def alphabet(text: DataFrame) -> np.ndarray:
@@ -141,38 +143,49 @@ def perplexities(docs: DataFrame, model, text_col: str = "text", keep: list[str]
     return through.mapInArrow(_score(model, keep, text_col), f"{schema}, {PERPLEXITY} double, {N_BYTES} long")
 
 
-def _trusted(docs: DataFrame, labels: DataFrame, id_col: str, max_trusted: int) -> DataFrame:
-    good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select(F.col(id_col).alias(f"{P}id")).filter(F.col(f"{P}id").isNotNull()).distinct()
-    stride = max(1, -(-good.count() // max_trusted))
-    good = good.filter(F.pmod(F.xxhash64(f"{P}id"), F.lit(stride)) == 0)
-    # Some max_trusted ids: a proven bound for the broadcast.
-    return docs.join(F.broadcast(good), F.col(id_col) == F.col(f"{P}id"), "left_semi")
+def _labelled(labels: DataFrame, id_col: str, which: str) -> DataFrame:
+    """(__sl_id): the ids whose labels are like that, once each."""
+    return labels.filter(which).select(F.col(id_col).alias(f"{P}id")).filter(F.col(f"{P}id").isNotNull()).distinct()
 
 
-def limits(scored: DataFrame, lang_col: str, quantile: float, slack: float, least: int = 50) -> list:
-    """Rows (lang, class, limit), null for any: the quantile of trusted perplexities times slack,
-    for each language and length class, each language, each class, and all. Those of fewer
-    than `least` texts are left out. Languages beyond the thousand most trusted use any."""
-    of = scored.filter(F.col(PERPLEXITY).isNotNull()).select(F.col(lang_col).alias("lang"), length_class().alias("class"), F.col(PERPLEXITY).alias("x"))
-    sets = of.select("x", F.explode(F.array(*[F.struct(l.alias("lang"), c.alias("class")) for l in (F.col("lang"), F.lit(None).cast("string")) for c in (F.col("class"), F.lit(None).cast("int"))])).alias("s"))
-    asked = sets.groupBy("s.lang", "s.class").agg(F.percentile_approx("x", quantile, 10000).alias("q"), F.count(F.lit(1)).alias("n"))
-    rows = asked.filter((F.col("n") >= least) | (F.col("lang").isNull() & F.col("class").isNull())).orderBy(F.desc("n"), "lang", "class").limit(4000).collect()
-    return [(r["lang"], r["class"], r["q"] * slack) for r in rows]
+def _in_training(ids: DataFrame, id_col: str, most: int):
+    """Whether an id of ids is one of the model's: three quarters of about `most` ids, by hash."""
+    stride = max(1, -(-ids.count() // most))
+    return (F.pmod(F.xxhash64(id_col), F.lit(stride)) == 0) & (F.pmod(F.xxhash64(F.lit("held out"), id_col), F.lit(4)) != 0)
+
 
+def _training_text(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
+    some = ids.filter(_in_training(ids, f"{P}id", most))
+    # Some `most` ids: a proven bound for the broadcast.
+    return materialize(docs.join(F.broadcast(some), F.col(id_col) == F.col(f"{P}id"), "left_semi").select(text_col))
 
-def _limit(rows: list, lang_col: str):
-    """The most specific limit as a column."""
-    by = {(lang, cls): limit for lang, cls, limit in rows}
 
-    def pick(pairs):
-        flat = [x for k, v in pairs for x in (F.lit(k), F.lit(float(v)))]
-        return F.create_map(*flat) if flat else F.create_map(F.lit("-"), F.lit(0.0))
+CLASS, LANG = f"{P}class", f"{P}lang"
 
-    lang, cls = F.col(lang_col), length_class().cast("string")
-    both = F.try_element_at(pick([(f"{c}/{l}", v) for (l, c), v in by.items() if l is not None and c is not None]), F.concat_ws("/", cls, lang))
-    one = F.try_element_at(pick([(l, v) for (l, c), v in by.items() if l is not None and c is None]), F.coalesce(lang, F.lit("")))
-    short = F.try_element_at(pick([(str(c), v) for (l, c), v in by.items() if l is None and c is not None]), cls)
-    return F.coalesce(F.when(lang.isNotNull(), both), one, short, F.lit(by.get((None, None))).cast("double"))
+
+def limits(scored: DataFrame, lang_col: str, quantile: float, slack: float, least: int = 50) -> DataFrame:
+    """Rows (__sl_lang, __sl_class, q), null for any: the quantile of all perplexities times slack,
+    for each language and length class, each language, each class, and all. Those of fewer
+    than `least` texts are left out, but not the one of all."""
+    of = scored.filter(F.col(PERPLEXITY).isNotNull()).select(F.col(lang_col).alias("lang"), length_class().alias("class"), F.col(PERPLEXITY).alias("x"))
+    every = [F.struct(l.alias(LANG), c.alias(CLASS)) for l in (F.col("lang"), F.lit(None).cast("string")) for c in (F.col("class"), F.lit(None).cast("int"))]
+    # A text without language counts once in what is for any language.
+    sets = of.select("x", F.explode(F.array_distinct(F.array(*every))).alias("s"))
+    asked = sets.groupBy(f"s.{LANG}", f"s.{CLASS}").agg(F.percentile_approx("x", quantile, 10000).alias("q"), F.count(F.lit(1)).alias("n"))
+    return asked.filter((F.col("n") >= least) | (F.col(LANG).isNull() & F.col(CLASS).isNull())).select(LANG, CLASS, (F.col("q") * slack).alias("q"))
+
+
+def _limited(scored: DataFrame, table: DataFrame, lang_col: str, limit_col: str) -> DataFrame:
+    """scored and the most specific limit that the table of limits() has for each row."""
+    any_ = {r[CLASS]: r["q"] for r in table.filter(F.col(LANG).isNull()).collect()}  # five rows at most
+    both = table.filter(F.col(LANG).isNotNull() & F.col(CLASS).isNotNull()).select(F.col(LANG).alias(f"{P}l2"), F.col(CLASS).alias(f"{P}c2"), F.col("q").alias(f"{P}q2"))
+    one = table.filter(F.col(LANG).isNotNull() & F.col(CLASS).isNull()).select(F.col(LANG).alias(f"{P}l1"), F.col("q").alias(f"{P}q1"))
+    out = scored.join(both, (F.col(lang_col) == F.col(f"{P}l2")) & (length_class() == F.col(f"{P}c2")), "left").join(one, F.col(lang_col) == F.col(f"{P}l1"), "left")
+    short = F.lit(any_.get(None)).cast("double")
+    for c, q in any_.items():
+        if c is not None:
+            short = F.when(length_class() == c, q).otherwise(short)
+    return out.withColumn(limit_col, F.coalesce(f"{P}q2", f"{P}q1", short)).drop(f"{P}l2", f"{P}c2", f"{P}q2", f"{P}l1", f"{P}q1")
 
 
 def length_class():
@@ -186,19 +199,21 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """The kept columns of docs (all by default), __sl_perplexity, __sl_bytes, __sl_limit and
     __sl_good.
 
-    Trusted text: documents with label quality 1 and toxic not 1, about max_trusted at most;
-    a quarter of them is held out of training. A document is good if its perplexity is at most
-    the quantile of held-out ones of its language and length class, times slack. Null or empty text has no perplexity and isn't good.
+    Trusted text: documents with label quality 1 and toxic not 1. The model is trained on three
+    quarters of about max_trusted of them at most; the limits are of all others. A document is
+    good if its perplexity is at most the quantile of those of its language and length class, times slack. Null or empty text has no perplexity and isn't good.
     Without trusted text there is no limit, and every document that has text is good.
     """
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
-    trusted = materialize(_trusted(docs.select(id_col, text_col, lang_col), labels, id_col, max_trusted))
-    held_out = F.pmod(F.xxhash64(F.lit("held out"), id_col), F.lit(4)) == 0
-    model = spark.sparkContext.broadcast(train(trusted.filter(~held_out).select(text_col)))
-    rows = limits(perplexities(trusted.filter(held_out), model, text_col, [lang_col]), lang_col, quantile, slack)
+    good = _labelled(labels, id_col, TRUSTED)
+    model = spark.sparkContext.broadcast(train(_training_text(docs, good, id_col, text_col, max_trusted)))
+    # Scores, not texts, meet the labels.
+    others = good.filter(~_in_training(good, f"{P}id", max_trusted))
+    judged = perplexities(docs, model, text_col, [id_col, lang_col]).join(others, F.col(id_col) == F.col(f"{P}id"), "left_semi")
+    table = materialize(limits(judged, lang_col, quantile, slack))
     through = list(dict.fromkeys([*keep, lang_col]))
-    out = perplexities(docs, model, text_col, through).withColumn(f"{P}limit", _limit(rows, lang_col))
+    out = _limited(perplexities(docs, model, text_col, through), table, lang_col, f"{P}limit")
     good = F.col(PERPLEXITY).isNotNull() & (F.col(f"{P}limit").isNull() | (F.col(PERPLEXITY) <= F.col(f"{P}limit")))
     return out.select(*[F.col(f"`{c}`") for c in keep], PERPLEXITY, N_BYTES, f"{P}limit", good.alias(f"{P}good"))
 

@@ -371,6 +371,18 @@ def test_quality_classifier(spark, docs, empty):
     assert perplexity.keep_good(docs, labels.limit(0)).count() > 0
 
 
+def test_limits_are_of_all_trusted_text_outside_the_model(spark):
+    """A language with 1 % of the trusted documents, far more of them than the model is trained on."""
+    rng = random.Random(11)
+    common_ = [(i, sentence(rng, 12), "en") for i in range(9900)]
+    rare = [(20000 + i, " ".join("".join(rng.choice("бвгджзклмнпрстуфхцчшщ") for _ in range(6)) for _ in range(12)), "ru") for i in range(100)]
+    df = spark.createDataFrame([*common_, *rare], "doc_id long, text string, lang string")
+    labels = df.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    got = perplexity.classify(df, labels, max_trusted=400, keep=["doc_id", "lang"]).filter("lang = 'ru'").collect()
+    assert sum(r["__sl_good"] for r in got) >= 98
+    assert {r["__sl_limit"] for r in got}.isdisjoint({r["__sl_limit"] for r in perplexity.classify(df, labels, max_trusted=400, keep=["lang"]).filter("lang = 'en'").collect()})
+
+
 def test_kneser_ney_adds_up(spark):
     good, _ = trusted_rows()
     _, table = perplexity.train(spark.createDataFrame([(t,) for _, t, _ in good], "text string"))
