@@ -1,5 +1,7 @@
 """Quality classifier: an interpolated modified Kneser-Ney model over characters, trained on
 trusted text; a document's perplexity is held against quantiles of trusted text in its language.
+Models of the same kind are trained on labelled toxic and labelled bad text: the window of a
+document that is likeliest under one of them, against the trusted model, shows single passages.
 
 Symbols are the most frequent bytes of the trusted text, one for a blank and one for all others.
 The counts of n-grams, their continuation counts and discounts are joined by context in Spark.
@@ -9,6 +11,8 @@ table of them is broadcast and each position of each text is one look-up.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +27,10 @@ SYMBOLS = 48
 #: of all that it isn't trained on.
 MAX_TRUSTED = 8_000
 TRUSTED = "quality = 1 and coalesce(toxic, 0) = 0"
+#: Labels of the texts that a rival model is trained on.
+RIVALS = ("toxic = 1", "quality = 0 and coalesce(toxic, 0) = 0")
+#: Bytes in which a rival is held against the trusted model.
+PASSAGE = 48
 
 
 def alphabet(text: DataFrame) -> np.ndarray:
@@ -97,9 +105,10 @@ def kneser_ney(counts: DataFrame) -> list[DataFrame]:
     return out
 
 
-def train(text: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(alphabet, log10 probability of the last symbol of each code). text: one column."""
-    table = alphabet(text)
+def train(text: DataFrame, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(alphabet, log10 probability of the last symbol of each code). text: one column. table: an
+    alphabet to use; else that of the text."""
+    table = alphabet(text) if table is None else table
     dense = np.full(1, 1.0 / SYMBOLS, np.float32)
     for k, level in enumerate(kneser_ney(ngrams(text, table))):
         # SYMBOLS ** (k + 1) rows at most; a context that was never seen backs off whole.
@@ -113,34 +122,59 @@ def train(text: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table, np.log10(dense)
 
 
+def _highest(value: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Per text: the highest sum over `width` neighbours, or over all of a shorter text."""
+    total = np.concatenate([[0.0], np.cumsum(value)])
+    # The window that starts at each byte, as far as its text goes.
+    begin = np.arange(len(value))
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    begin = np.maximum(at[:-1][row], np.minimum(begin, at[1:][row] - width))
+    ends = np.minimum(begin + width, at[1:][row])
+    out = np.full(len(at) - 1, -np.inf)
+    some = np.flatnonzero(np.diff(at))
+    if len(some):
+        out[some] = np.maximum.reduceat(total[ends] - total[begin], at[some])
+    return out
+
+
 def _score(model, keep: list[str], text_col: str):
     def run(batches):
-        table, dense = model.value
+        table, dense, *ratios = model.value
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))
             loss, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            rivals = [np.full(batch.num_rows, -np.inf) for _ in RIVALS]
             for first, data, at in tn.slices(column):
                 codes, row = _codes(data, at, table)
-                loss[first : first + len(at) - 1] = np.bincount(row, dense[codes], len(at) - 1)
-                n[first : first + len(at) - 1] = np.diff(at)
+                here = slice(first, first + len(at) - 1)
+                loss[here] = np.bincount(row, dense[codes], len(at) - 1)
+                n[here] = np.diff(at)
+                for out, ratio in zip(rivals, ratios, strict=False):
+                    if ratio is not None:
+                        out[here] = _highest(ratio[codes].astype(np.float64), at, PASSAGE)
             value = 10 ** (-loss / np.maximum(n, 1))
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(np.where(n > 0, value, np.nan), pa.float64(), from_pandas=True), pa.array(n, pa.int64())], names=[*keep, PERPLEXITY, N_BYTES])
+            numbers = [pa.array(np.where(n > 0, value, np.nan), pa.float64(), from_pandas=True), pa.array(n, pa.int64())]
+            numbers += [pa.array(np.where(np.isfinite(x), x, np.nan), pa.float64(), from_pandas=True) for x in rivals]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), *numbers], names=[*keep, PERPLEXITY, N_BYTES, *RATIOS])
 
     return run
 
 
 PERPLEXITY, N_BYTES = f"{P}perplexity", f"{P}bytes"
+RATIOS = [f"{P}rival{i}" for i in range(len(RIVALS))]
 #: Texts of one language and one length class (a power of four of bytes) are held against each other.
 CLASSES = (64, 256, 1024)
 
 
 def perplexities(docs: DataFrame, model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns of docs (all by default), __sl_perplexity (per byte; null without text)
-    and __sl_bytes. model: a broadcast of what train() gives."""
+    """The kept columns of docs (all by default), __sl_perplexity (per byte; null without text),
+    __sl_bytes, and for each rival the log10 of how much likelier than the trusted model it makes
+    the PASSAGE bytes that suit it best. model: a broadcast of what train() gives, and for each
+    rival the log10 ratio of each code, or None."""
     keep = docs.columns if keep is None else keep
     through = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return through.mapInArrow(_score(model, keep, text_col), f"{schema}, {PERPLEXITY} double, {N_BYTES} long")
+    return through.mapInArrow(_score(model, keep, text_col), f"{schema}, {PERPLEXITY} double, {N_BYTES} long, {', '.join(f'{c} double' for c in RATIOS)}")
 
 
 def _labelled(labels: DataFrame, id_col: str, which: str) -> DataFrame:
@@ -188,6 +222,16 @@ def _limited(scored: DataFrame, table: DataFrame, lang_col: str, limit_col: str)
     return out.withColumn(limit_col, F.coalesce(f"{P}q2", f"{P}q1", short)).drop(f"{P}l2", f"{P}c2", f"{P}q2", f"{P}l1", f"{P}q1")
 
 
+def _rival_limit(good: DataFrame, bad: DataFrame, ratio: str, loss: float, missed: float = 0.05, least: int = 50) -> float | None:
+    """The ratio that a `loss` of trusted texts are above. If almost all labelled bad texts lie
+    above it, the middle between the two. None, so no limit, of few trusted texts."""
+    q = good.agg(F.percentile_approx(ratio, 1 - loss, 10000).alias("q"), F.count(ratio).alias("n")).first()
+    low = bad.agg(F.percentile_approx(ratio, missed, 10000)).first()[0]
+    if low is None or q["n"] < least:
+        return None
+    return max(q["q"], (q["q"] + low) / 2)
+
+
 def length_class():
     out = F.lit(len(CLASSES))
     for i, top in reversed(list(enumerate(CLASSES))):
@@ -195,26 +239,42 @@ def length_class():
     return out
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.995, slack: float = 1.1, max_trusted: int = MAX_TRUSTED, keep: list[str] | None = None) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.995, slack: float = 1.1, max_trusted: int = MAX_TRUSTED, keep: list[str] | None = None, loss: float = 0.01) -> DataFrame:
     """The kept columns of docs (all by default), __sl_perplexity, __sl_bytes, __sl_limit and
     __sl_good.
 
     Trusted text: documents with label quality 1 and toxic not 1. The model is trained on three
     quarters of about max_trusted of them at most; the limits are of all others. A document is
-    good if its perplexity is at most the quantile of those of its language and length class, times slack. Null or empty text has no perplexity and isn't good.
-    Without trusted text there is no limit, and every document that has text is good.
+    good if its perplexity is at most the quantile of those of its language and length class, times
+    slack, and no passage of it is likelier under a rival model (of toxic, of bad text) than
+    the limit, which a share `loss` of trusted text is above. Null or empty text has no perplexity and isn't good.
+    Without trusted text there is no limit, and every document that has text is good. Without
+    labelled toxic or bad text there is no such rival.
     """
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
     good = _labelled(labels, id_col, TRUSTED)
-    model = spark.sparkContext.broadcast(train(_training_text(docs, good, id_col, text_col, max_trusted)))
+    table, dense = train(_training_text(docs, good, id_col, text_col, max_trusted))
+    sides = [_labelled(labels, id_col, which) for which in RIVALS]
+    ratios = []
+    for ids in sides:
+        text = _training_text(docs, ids, id_col, text_col, max_trusted)
+        ratios.append(train(text, table)[1] - dense if text.head(1) else None)
+    model = spark.sparkContext.broadcast((table, dense, *ratios))
     # Scores, not texts, meet the labels.
-    others = good.filter(~_in_training(good, f"{P}id", max_trusted))
-    judged = perplexities(docs, model, text_col, [id_col, lang_col]).join(others, F.col(id_col) == F.col(f"{P}id"), "left_semi")
-    table = materialize(limits(judged, lang_col, quantile, slack))
+    sets = [good, *sides]
+    others = [ids.filter(~_in_training(ids, f"{P}id", max_trusted)).withColumn(f"{P}set", F.lit(i)) for i, ids in enumerate(sets)]
+    judged = perplexities(docs, model, text_col, [id_col, lang_col]).join(reduce(DataFrame.union, others), F.col(id_col) == F.col(f"{P}id"))
+    judged = materialize(judged)
+    trusted = judged.filter(f"{P}set = 0")
+    limit_table = materialize(limits(trusted, lang_col, quantile, slack))
     through = list(dict.fromkeys([*keep, lang_col]))
-    out = _limited(perplexities(docs, model, text_col, through), table, lang_col, f"{P}limit")
+    out = _limited(perplexities(docs, model, text_col, through), limit_table, lang_col, f"{P}limit")
     good = F.col(PERPLEXITY).isNotNull() & (F.col(f"{P}limit").isNull() | (F.col(PERPLEXITY) <= F.col(f"{P}limit")))
+    for i, ratio in enumerate(RATIOS):
+        top = _rival_limit(trusted, judged.filter(f"{P}set = {i + 1}"), ratio, loss) if ratios[i] is not None else None
+        if top is not None:
+            good = good & (F.col(ratio) <= top)
     return out.select(*[F.col(f"`{c}`") for c in keep], PERPLEXITY, N_BYTES, f"{P}limit", good.alias(f"{P}good"))
 
 

@@ -383,6 +383,33 @@ def test_limits_are_of_all_trusted_text_outside_the_model(spark):
     assert {r["__sl_limit"] for r in got}.isdisjoint({r["__sl_limit"] for r in perplexity.classify(df, labels, max_trusted=400, keep=["lang"]).filter("lang = 'en'").collect()})
 
 
+def test_highest_window():
+    rng = np.random.default_rng(3)
+    at = np.array([0, 0, 5, 60, 61, 61])
+    v = rng.normal(size=61)
+    want = [max(v[i : min(i + 8, b)].sum() for i in range(a, max(a, b - 8) + 1)) if b > a else -np.inf for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+    assert np.allclose(perplexity._highest(v, at, 8), want)
+
+
+def test_single_rude_words_show(spark):
+    """Ordinary prose with one or two words that toxic text has, at random places."""
+    rng = random.Random(12)
+
+    def prose(rude):
+        w = sentence(rng, 60).split()
+        for _ in range(rude and rng.randint(2, 3)):
+            w.insert(rng.randrange(60), rng.choice(["wretched", "bumbler", "grumpfox"]))
+        return " ".join(w)
+
+    rows = [(i, prose(i % 4 == 0), "en", 1, int(i % 4 == 0)) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int, toxic int")
+    labels = df.filter("doc_id < 600").select("doc_id", "quality", "toxic")
+    got = {r.doc_id: r["__sl_good"] for r in perplexity.classify(df.select("doc_id", "text", "lang"), labels, keep=["doc_id"]).collect()}
+    unseen = range(600, 800)
+    assert sum(got[i] for i in unseen if i % 4 == 0) <= 5
+    assert sum(got[i] for i in unseen if i % 4) >= 144
+
+
 def test_kneser_ney_adds_up(spark):
     good, _ = trusted_rows()
     _, table = perplexity.train(spark.createDataFrame([(t,) for _, t, _ in good], "text string"))
