@@ -30,6 +30,10 @@ ANCHOR = 20
 GATHER = 1 << 19
 #: Texts are looked at in pieces of so many string starts.
 PIECE = 1 << 20
+#: Stretches that one anchor may have before they are told apart by string.
+HOT = 1 << 14
+#: Stretches of one anchor in a gathering that count.
+SEVERAL = 8
 _U = np.uint64
 _PLACE = 26
 _LOW = _U((1 << _PLACE) - 1)
@@ -203,8 +207,41 @@ def _per_text(table: pa.Table) -> pa.Table:
     return pa.table({f"{P}id": pa.array(doc[cut], pa.int64()), f"{P}hash": pa.array(text[cut], pa.int64()), **blobs})
 
 
-def _candidates(plane, bits: int, length: int, shards: int):
-    """Stretches whose anchor may repeat. Of equal stretches in one gathering the least document's
+def _often(plane, bits: int, length: int):
+    """(anchor, n): how many stretches of a gathering have an anchor, if they are several."""
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for _, _, data, at in _pieces(batch.column(2), length):
+                anchor = Stretches(data, at, length).anchor
+                held.append(anchor[found_again(plane.value, anchor, bits)] if len(anchor) else anchor)
+                size += len(held[-1])
+                if size >= GATHER:
+                    yield several(held)
+                    held, size = [], 0
+        if held:
+            yield several(held)
+
+    def several(held):
+        anchor, n = np.unique(np.concatenate(held), return_counts=True)
+        some = n >= SEVERAL
+        return pa.RecordBatch.from_arrays([pa.array(anchor[some].view(np.int64), pa.int64()), pa.array(n[some], pa.int64())], names=["anchor", "n"])
+
+    return run
+
+
+def hot_anchors(slim: DataFrame, plane, bits: int, length: int) -> np.ndarray:
+    """Ascending: anchors of more than HOT stretches, so fewer than a HOTth of all stretches.
+    One that has fewer than SEVERAL in each gathering isn't seen; it has fewer than SEVERAL
+    for each GATHER stretches of the corpus."""
+    rows = slim.mapInArrow(_often(plane, bits, length), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") > HOT).select("anchor").toArrow()
+    return np.sort(rows["anchor"].to_numpy().view(np.uint64)) if rows.num_rows else np.zeros(0, np.uint64)
+
+
+def _candidates(plane, hot, bits: int, length: int, shards: int):
+    """Stretches whose anchor may repeat. Those of hot anchors are cut into single strings with their
+    own hash for an anchor, so they spread over shards and equal ones still meet. Of equal stretches in one gathering the least document's
     go on, by anchor, their bytes once; the others are marked."""
 
     def run(batches):
@@ -222,6 +259,17 @@ def _candidates(plane, bits: int, length: int, shards: int):
                     continue
                 # Where the anchor lies in its stretch is part of what makes stretches equal.
                 hashed = tn.mix(tn.span_hash(data, start, end + length - 1) + (end - start).astype(np.uint64) * _SALT)
+                if len(hot.value):
+                    spot = np.minimum(np.searchsorted(hot.value, anchor), len(hot.value) - 1)
+                    is_hot = hot.value[spot] == anchor
+                    times = np.where(is_hot, end - start, 1)
+                    step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+                    is_hot, anchor, hashed, row, start, end = (np.repeat(x, times) for x in (is_hot, anchor, hashed, row, start, end))
+                    start = start + step
+                    end = np.where(is_hot, start + 1, end)
+                    own = tn.mix(tn.span_hash(data, start[is_hot], start[is_hot] + length))
+                    hashed[is_hot] = own
+                    anchor[is_hot] = tn.mix(own ^ anchor[is_hot])
                 held.append((anchor, hashed, ids[row0 + row], texts[row0 + row], start - at[row] + offset, end - start, np.full(len(start), len(blocks)), start))
                 blocks.append(data)
                 size += len(start)
@@ -387,7 +435,8 @@ def dedup_strings(docs: DataFrame, length: int = 50, id_col: str = "doc_id", tex
     bits = plane_bits(n, 250)
     plane = seen_again(slim, bits, _anchors(length))
     shards = 1 << max(5, (n // 2000).bit_length())
-    found = slim.mapInArrow(_candidates(plane, bits, length, shards), _SENT_DDL)
+    hot = docs.sparkSession.sparkContext.broadcast(hot_anchors(slim, plane, bits, length))
+    found = slim.mapInArrow(_candidates(plane, hot, bits, length, shards), _SENT_DDL)
     gone = found.groupBy("shard").applyInArrow(_resolve(length, shards), _MARK_DDL)
     marks = gone.groupBy("part").applyInArrow(_per_text, f"{id_} long, {text_hash} long, {STARTS} binary, {SIZES} binary")
     own_hash = f"{P}own_hash"

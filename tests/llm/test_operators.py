@@ -146,6 +146,33 @@ def test_suffix_dedup_of_one_id_and_long_texts(spark, monkeypatch):
     assert sorted(got, key=str) == sorted(model_strings([(*r,) for r in rows], 50), key=str)
 
 
+def test_suffix_dedup_spreads_a_hot_anchor(spark, monkeypatch):
+    """A phrase in every text with different neighbours; some of the texts share more."""
+    rng = random.Random(13)
+    phrase = "this very phrase is in each of the texts"
+    around = [(sentence(rng, 6), sentence(rng, 6)) for _ in range(300)]
+    rows = [(i, f"{a} {phrase} {b if i % 3 else around[i // 6][1]}") for i, (a, b) in enumerate(around)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    s = suffix_dedup
+    monkeypatch.setattr(s, "HOT", 100)
+    slim = df.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
+    plane = s.seen_again(slim, s.plane_bits(300, 250), s._anchors(50))
+    hot = s.hot_anchors(slim, plane, s.plane_bits(300, 250), 50)
+    assert len(hot) > 0
+    pa = pytest.importorskip("pyarrow")
+
+    def most(hot):
+        run = s._candidates(plane, spark.sparkContext.broadcast(hot), s.plane_bits(300, 250), 50, 32)
+        sent = pa.Table.from_batches(run(slim.toArrow().to_batches()))
+        anchors = [np.frombuffer(s._unzip(x.as_buffer()), np.uint64) for x in sent["anchors"] if x.is_valid]
+        return np.unique(np.concatenate(anchors), return_counts=True)[1].max()
+
+    assert most(hot[:0]) > 150 >= most(hot)
+    got = [(r.doc_id, bytes(r[s.KEPT]), r[s.BYTES], r[s.REMOVED], r[s.SPANS]) for r in s.dedup_strings(df, keep=["doc_id"]).collect()]
+    assert sorted(got, key=str) == sorted(model_strings(rows, 50), key=str)
+    assert sum(r[3] for r in got) > 0
+
+
 @pytest.mark.parametrize("symbols", [1, 2, 5])
 def test_difference_cover(symbols):
     rng = np.random.default_rng(symbols)
