@@ -22,7 +22,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"), nameless=True)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

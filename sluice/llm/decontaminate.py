@@ -124,7 +124,7 @@ def _hits(block, keep: list[str], text_col: str, again: bool):
                     for x, y in here:
                         mask[x:y] = True
                     spans.append([{"a": int(x), "b": int(y)} for x, y in zip(*tn.runs(mask), strict=True)])
-                    items.append(sorted(names[r] | set(old_items[row0 + r] if again else ())))
+                    items.append(sorted(names[r] | set(old_items[row0 + r] if again else ()), key=lambda x: (x is None, x or "")))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(counts, pa.int64()), pa.array(spans, _SPAN), pa.array(items, pa.list_(pa.string()))],
                 names=[*keep, WORDS, SPANS, ITEMS],
@@ -133,10 +133,11 @@ def _hits(block, keep: list[str], text_col: str, again: bool):
     return run
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, nameless: bool):
     """The benchmark in pieces of BLOCK_BYTES; only one piece at a time is on the driver."""
+    wanted = "t is not null" if nameless else "i is not null and t is not null"
     held, size = [], 0
-    for r in benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).filter("i is not null and t is not null").toLocalIterator():
+    for r in benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).filter(wanted).toLocalIterator():
         held.append((r["i"], r["t"]))
         size += len(r["t"])
         if size >= BLOCK_BYTES:
@@ -145,20 +146,21 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
     yield held
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", keep: list[str] | None = None, nameless: bool = False) -> DataFrame:
     """The kept columns of docs (all by default), one row per row, and __sl_words (number of
     words), __sl_spans (word ranges [a, b) inside occurrences of benchmark windows, apart from
     each other, ascending) and __sl_items (ids of those items as strings, sorted).
 
     A window is `window` neighbouring words of an item, or all words of a shorter item; an
-    item without words, text or id has none. Null text has no words. Repeated rows are rows
+    item without words or text has none. Nor has one without id, unless nameless: then its windows
+    count, and __sl_items ends with one null for all such items. Null text has no words. Repeated rows are rows
     of their own; empty tables are fine. A benchmark above BLOCK_BYTES goes through the
     documents in several passes, so what is broadcast stays bounded.
     """
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
     out, again = docs, False
-    for items in _blocks(benchmark, item_col, item_text):
+    for items in _blocks(benchmark, item_col, item_text, nameless):
         if again:  # rare: another pass for another block
             out = materialize(out)
         block = spark.sparkContext.broadcast(_Block(items, window))

@@ -61,7 +61,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    hits = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"), keep=["doc_id"], nameless=True)
     n_hit = decontaminate.hit_words()
     items = F.col(decontaminate.ITEMS)
     return hits.select(

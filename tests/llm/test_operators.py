@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import common, decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, shard, suffix_dedup, window_dedup
+from sluice.llm import common, decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, queries, shard, suffix_dedup, window_dedup
 from sluice.llm import textnum as tn
 from sluice.llm.components import components
 
@@ -503,6 +503,27 @@ def test_decontamination(spark, docs, rows, empty, monkeypatch, block):
     assert d.contamination(empty, bench).count() == 0 and d.clean(docs, bench.limit(0)).count() == len(rows)
 
 
+@pytest.mark.parametrize("block", [1, 1 << 20])
+def test_items_without_id_count_as_in_the_sql(spark, tmp_path, monkeypatch, block):
+    duckdb = pytest.importorskip("duckdb")
+    import corpus_pipeline
+
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    rng = random.Random(14)
+    a, b = sentence(rng, 14), sentence(rng, 14)
+    texts = [f"x {a} y", f"{b} {a}", b, sentence(rng, 30), "short one", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, a), (7, b), (None, "short one"), (None, b), (8, None)], "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.execute(queries.ORACLE["op9_decontamination"]).fetchall()
+    got = [tuple(r) for r in queries.op9_decontamination(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id for r in corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()} == {r[0] for r in want if not r[2]}
+
+
 def test_winnowing_guarantee():
     g = tn.mix(np.arange(1, 2000, dtype=np.uint64) % np.uint64(97))
     on = tn.chosen(g, 6)
