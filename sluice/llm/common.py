@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,20 +19,42 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where that is unset (a local session, as in tests) a temporary folder stands in.
+    Where it is unset, a local session (as in tests) gets a temporary folder; on a cluster that
+    would be a folder of each machine's own, so it is an error.
     """
     set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         set_dir = "file://" + tempfile.mkdtemp(prefix="sluice-checkpoint-")
         spark.sparkContext.setCheckpointDir(set_dir)
     return set_dir.rstrip("/")
 
 
+#: Tables that each open scratch() has written.
+_scratch: list[list[DataFrame]] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/sluice-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _scratch:
+        _scratch[-1].append(out)
+    return out
+
+
+@contextmanager
+def scratch():
+    """Tables that are materialized in this block are deleted at its end. What is to stay is
+    written by other means, or after it."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for table in _scratch.pop():
+            discard(table)
 
 
 def discard(df: DataFrame) -> None:
@@ -48,9 +71,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def width(df: DataFrame) -> int:
-    """Number of partitions a shuffle of this session has."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def spread_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, by: str, salts: int = 64) -> DataFrame:
+    """Inner join on key, where keys of hot have very many rows on the left and one on the right.
+
+    hot: (key), of bounded size. Rows of a hot key are dealt over `salts` tasks by the hash of
+    column `by`; the row on the right goes to each of them.
+    """
+    salt, mark = f"{P}salt", f"{P}hot"
+    marked = F.broadcast(hot.select(key).distinct().withColumn(mark, F.lit(True)))
+    dealt = left.join(marked, key, "left").withColumn(salt, F.when(F.col(mark), F.pmod(F.xxhash64(by), F.lit(salts))).otherwise(F.lit(0)).cast("int")).drop(mark)
+    last = F.when(F.col(mark), F.lit(salts - 1)).otherwise(F.lit(0))
+    copies = right.join(marked, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), last))).drop(mark)
+    return dealt.join(copies, [key, salt]).drop(salt)
 
 
 def words_in(text):

@@ -1,165 +1,117 @@
 """Line dedup with two Bloom filters.
 
-Hashes of all lines go through two bit planes: a bit of the first says that a hash was seen
-there, a bit of the second that one was seen there again. Only lines whose every bit is in the
-second plane may repeat; only those shuffle, for an exact count by their key.
+Hashes of all lines go to bit planes by hash range (repeats.py): a bit of the first plane says that
+a hash was seen there, a bit of the second that one was seen there again. Only lines whose every
+bit is in the second plane may repeat; only those shuffle with their text, for an exact count by
+their key and the choice of the document that keeps it.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, P, ascii_lower, materialize
+from . import textnum as tn
+from .common import P, SQUEEZED, squeezed_docs
+from .repeats import is_suspected, shards_for, suspected
 
-HASHES = 2
-SHARDS = 64
-#: Bits of a plane: 2**MIN_BITS at least, and 2**MAX_BITS (128 MB for the broadcast) at most. Beyond
-#: that more lines are suspected and shuffle; the result is the same.
-MIN_BITS, MAX_BITS = 20, 30
+FOUND, LOST, TOTAL, DROPPED = f"{P}found", f"{P}lost", f"{P}total", f"{P}dropped"
 
 
-def _places(h: np.ndarray, bits: int) -> np.ndarray:
-    """Of each 64-bit hash, HASHES places in the plane."""
-    h = h.view(np.uint64)
-    return np.concatenate([(h >> np.uint64(64 - bits)), (h & np.uint64((1 << bits) - 1))]).astype(np.int64)
+def _keys(column: pa.Array, min_chars: int):
+    """(first row, lower-cased bytes, starts, ends, row, hash) of the lines that are long enough."""
+    for row0, data, at in tn.slices(column):
+        data = tn.LOWERED[data]
+        starts, ends, row = tn.lines(data, at, min_chars)
+        yield row0, data, starts, ends, row, tn.span_hash(data, starts, ends)
 
 
-def _squeeze(places: np.ndarray) -> bytes:
-    """Ascending places as their differences, byte by byte, compressed."""
-    steps = np.diff(places, prepend=0).astype("<u4")
-    return zstandard.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
-
-
-def _unsqueeze(blob) -> np.ndarray:
-    steps = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
-    return np.cumsum(steps, dtype=np.int64)
-
-
-def column_of_hashes(batch):
-    yield batch.column(0).to_numpy(zero_copy_only=False)
-
-
-def _seen(bits: int, hashes):
-    """Per task: its places once each, sorted, with a flag for those met again; by shard."""
-
-    def run(batches):
-        size = (1 << bits) // SHARDS
-        pending = []
-        for batch in batches:
-            for h in hashes(batch):
-                pending.append(h)
-                if sum(map(len, pending)) >= 1 << 20:
-                    yield from flush(pending, size)
-                    pending = []
-        if pending:
-            yield from flush(pending, size)
-
-    def flush(pending, size):
-        # Both places of one hash may agree; that alone is not a repeat.
-        h = np.concatenate(pending)
-        both = _places(h, bits).reshape(HASHES, -1)
-        same = both[0] == both[1]
-        p = np.sort(np.concatenate([both[0], both[1][~same]]))
-        new = np.ones(len(p), bool)
-        new[1:] = p[1:] != p[:-1]
-        once = p[new]
-        again = np.diff(np.append(np.flatnonzero(new), len(p))) > 1
-        cut = np.searchsorted(once, np.arange(SHARDS + 1) * size)
-        rows = [(s, _squeeze(once[a:b] - s * size), np.packbits(again[a:b]).tobytes()) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["shard", "places", "again"])
+def _hashes(min_chars: int):
+    def run(batch):
+        for row0, _, _, _, row, h in _keys(batch.column(1), min_chars):
+            yield h, row0 + row
 
     return run
 
 
-def _merge(bits: int):
-    """Per shard: the second plane's bits. Streams the pieces; holds two planes of a shard."""
+def _suspected_lines(min_chars: int, shards: int, id_: str):
+    """(id, key, hash) of the suspected lines."""
 
     def run(batches):
-        size = (1 << bits) // SHARDS
-        planes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for s, places, again in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                p = _unsqueeze(places.as_buffer())
-                more = np.unpackbits(np.frombuffer(again.as_buffer(), np.uint8), count=len(p)).view(bool)
-                once, twice = planes.setdefault(s, (np.zeros(size, bool), np.zeros(size, bool)))
-                twice[p[once[p] | more]] = True
-                once[p] = True
-        for s, (_, twice) in planes.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([np.packbits(twice).tobytes()], pa.binary())], names=["shard", "bits"])
+            get = lambda c: batch.column(batch.schema.get_field_index(c))
+            some = np.flatnonzero(get(FOUND).is_valid())
+            if not len(some):
+                continue
+            ids, found = get(id_).take(pa.array(some)), get(FOUND).take(pa.array(some))
+            for row0, data, starts, ends, row, h in _keys(tn.unsqueezed(get(SQUEEZED).take(pa.array(some))), min_chars):
+                hit = np.flatnonzero(is_suspected(h, row, found.slice(row0, int(row.max(initial=-1)) + 1), shards))
+                keys = [data[a:b].tobytes() for a, b in zip(starts[hit].tolist(), ends[hit].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row0 + row[hit])).cast(pa.int64()), pa.array(keys, pa.binary()), pa.array(h[hit].view(np.int64))], names=["id", "key", "hash"])
 
     return run
 
 
-def seen_again(rows: DataFrame, bits: int, hashes=column_of_hashes):
-    """A broadcast of the second plane over all 64-bit hashes that `hashes` yields, as arrays, of
-    each batch of rows; by default the first column."""
-    pieces = rows.mapInArrow(_seen(bits, hashes), "shard int, places binary, again binary")
-    planes = pieces.repartition(SHARDS, "shard").mapInArrow(_merge(bits), "shard int, bits binary")
-    out = np.zeros((1 << bits) // 8, np.uint8)
-    step = len(out) // SHARDS
-    for r in planes.collect():  # 2**bits bits in all
-        out[r["shard"] * step : (r["shard"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
-    return rows.sparkSession.sparkContext.broadcast(out)
-
-
-def found_again(table: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
-    """Which hashes have all their bits in the second plane."""
-    p = _places(h, bits)
-    return ((table[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).astype(bool).reshape(HASHES, -1).all(0)
-
-
-def _suspected(plane, bits: int):
+def _cut(min_chars: int, keep: list[str]):
     def run(batches):
         for batch in batches:
-            hit = found_again(plane.value, batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False), bits)
-            kept = batch.filter(pa.array(hit))
-            yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=kept.schema.names[:-1])
+            get = lambda c: batch.column(batch.schema.get_field_index(c))
+            lost = get(LOST)
+            texts, total, dropped = [], [], []
+            for row0, data, at in tn.slices(tn.unsqueezed(get(SQUEEZED))):
+                gone: dict[int, list[int]] = {}
+                if len(lost.slice(row0, len(at) - 1)) - lost.slice(row0, len(at) - 1).null_count:
+                    low = tn.LOWERED[data]
+                    starts, ends, row = tn.lines(low, at, min_chars)
+                    h = tn.span_hash(low, starts, ends).view(np.int64)
+                    edge = np.searchsorted(row, np.arange(len(at)))
+                    for r in range(len(at) - 1):
+                        one = lost[row0 + r]
+                        if one.is_valid:
+                            a, b = edge[r], edge[r + 1]
+                            gone[r] = starts[a:b][np.isin(h[a:b], one.values.to_numpy())].tolist()
+                for r in range(len(at) - 1):
+                    own = data[at[r] : at[r + 1]]
+                    breaks = np.flatnonzero(own == 0x0A)
+                    total.append(len(breaks) + 1)
+                    dropped.append(len(gone.get(r, ())))
+                    if not dropped[-1]:
+                        texts.append(own.tobytes())
+                        continue
+                    # A line's place among the lines is the number of line ends before it.
+                    which = set(np.searchsorted(breaks, np.array(gone[r]) - at[r]).tolist())
+                    texts.append(b"\n".join([x for i, x in enumerate(own.tobytes().split(b"\n")) if i not in which]))
+            yield pa.RecordBatch.from_arrays([*map(get, keep), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(dropped, pa.int64())], names=[*keep, f"{P}text", TOTAL, DROPPED])
 
     return run
 
 
-def plane_bits(n: int, each: int) -> int:
-    """Bits of a plane for n rows with about `each` hashes: eight bits a hash, within bounds."""
-    return int(min(MAX_BITS, max(MIN_BITS, np.ceil(np.log2(max(1, n * each * 8))))))
-
-
-def line_key(line: Column) -> Column:
-    """A line without blanks at its ends, A-Z lower-cased."""
-    return ascii_lower(F.btrim(line, F.lit(BLANKS)))
-
-
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """(id, key): the lines that each document loses.
-
-    A key of at least min_chars code points that at least min_docs documents hold stays only
-    in the document with the largest id.
-    """
-    lines = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
-    keys = lines.select("id", line_key(F.col("line")).alias("key")).filter(F.char_length("key") >= min_chars).withColumn("hash", F.xxhash64("key"))
-    bits = plane_bits(docs.count(), 24)
-    plane = seen_again(keys.select("hash"), bits)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    suspects = materialize(keys.select("id", "key", "hash").mapInArrow(_suspected(plane, bits), f"id {id_type}, key string"))
-    # Distinct (key, id) first: a hot key is spread by the id before it is counted.
-    held = suspects.distinct()
-    common = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")).filter(F.col("n") >= min_docs)
-    return held.join(common.select("key", "last"), "key").filter(F.col("id") < F.col("last")).select("id", "key")
-
-
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """docs with the text less its repeated lines, and n_lines, n_dropped.
 
-    Lines are split at \\n; null or empty text is one empty line and comes back as "". Rows
-    with the same id count as one document, and lose the same lines. Rows with a null id
-    count for nothing and keep all lines. Columns n_lines and n_dropped of docs are replaced.
+    Lines are split at \\n; a line's key is the line less blanks at its ends, A-Z lower-cased. A key
+    of at least min_chars code points that at least min_docs documents hold stays only in the
+    document with the largest id. Null or empty text is one empty line and comes back as "".
+    Ids are whole numbers. Rows with the same id count as one document, and lose the same lines.
+    Rows with a null id count for nothing and keep all lines. Columns n_lines and n_dropped of
+    docs are replaced. Keys are counted as they are; in one document a key is told by a 64-bit hash.
     """
-    drop, lost, lines, kept = f"{P}drop", f"{P}id", f"{P}lines", f"{P}kept"
-    per_doc = repeated_lines(docs, id_col, text_col, min_chars, min_docs).groupBy(F.col("id").alias(lost)).agg(F.collect_set("key").alias(drop))
-    out = docs.join(per_doc, F.col(id_col) == F.col(lost), "left").withColumn(lines, F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"))
-    out = out.withColumn(kept, F.when(F.col(drop).isNull(), F.col(lines)).otherwise(F.filter(lines, lambda x: ~F.array_contains(F.col(drop), line_key(x)))))
-    others = [F.col(f"`{c}`") if c != text_col else F.array_join(kept, "\n").alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return out.select(*others, F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"))
+    own = f"{P}id"
+    keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped", text_col)]
+    slim = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    shards = shards_for(docs, text_col)
+    found = suspected(slim, _hashes(min_chars), shards).select(F.col("id").alias(own), F.col("found").alias(FOUND))
+    # Both joins take the texts in one partitioning, so they are exchanged once.
+    texts = squeezed_docs(docs, dict.fromkeys([*keep, id_col]), text_col)
+    held = texts.join(found, F.col(id_col).cast("long") == F.col(own), "left").mapInArrow(_suspected_lines(min_chars, shards, id_col), "id long, key binary, hash long")
+    # Distinct (key, id) first: a hot key is spread by the id before it is counted.
+    held = held.distinct()
+    common = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")).filter(F.col("n") >= min_docs)
+    lost = held.join(common.select("key", "last"), "key").filter(F.col("id") < F.col("last")).groupBy(F.col("id").alias(own)).agg(F.collect_set("hash").alias(LOST))
+    out = texts.join(lost, F.col(id_col).cast("long") == F.col(own), "left").drop(own)
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    cut = out.mapInArrow(_cut(min_chars, keep), f"{schema}{', ' * bool(keep)}{P}text string, {TOTAL} long, {DROPPED} long")
+    columns = [F.col(f"{P}text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c in (text_col, *keep)]
+    return cut.select(*columns, F.col(TOTAL).alias("n_lines"), F.col(DROPPED).alias("n_dropped"))

@@ -2,8 +2,8 @@
 
 Which bytes repeat is read off a sorted list of suffixes: equal strings are neighbours in it. The
 sort is distributed by anchors. The anchor of a string is the k-gram of least hash inside it, so
-equal strings have equal anchors, and all strings that could be equal meet in one partition. Two
-Bloom planes over anchors keep out text whose anchors occur once.
+equal strings have equal anchors, and all strings that could be equal meet in one partition.
+Bloom planes for each range of anchors (repeats.py) keep out text whose anchors occur once.
 
 In a partition, stretches of text with one anchor and the same bytes count once. What is left are
 stretches that share an anchor and differ somewhere. Their suffixes are sorted by difference cover:
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import textnum as tn
 from .common import P, SQUEEZED, squeezed_docs
-from .line_dedup import found_again, plane_bits, seen_again
+from .repeats import is_suspected, shards_for, suspected, unzipped, zipped
 
 ANCHOR = 20
 #: Anchors that a task gathers before it sends them on.
@@ -165,100 +165,116 @@ def _pieces(column: pa.Array, length: int):
 
 def _anchors(length: int):
     def run(batch):
-        for _, _, data, at in _pieces(batch.column(2), length):
-            yield Stretches(data, at, length).anchor.view(np.int64)
+        for row0, _, data, at in _pieces(batch.column(1), length):
+            stretches = Stretches(data, at, length)
+            yield stretches.anchor, row0 + stretches.row
 
     return run
 
 
-_SENT = ["shard", "part", "anchors", "hashes", "docs", "texts", "starts", "sizes", "bytes"]
-_SENT_DDL = "shard long, part long, anchors binary, hashes binary, docs binary, texts binary, starts binary, sizes binary, bytes binary"
+def _open_stretches(batch, length: int, shards: int):
+    """(rows, offset of the first byte in its text, bytes, offsets, start, end, row, anchor) of the
+    stretches whose anchor may repeat. batch: with the columns __sl_squeezed and __sl_found."""
+    get = lambda c: batch.column(batch.schema.get_field_index(c))
+    some = np.flatnonzero(get(FOUND).is_valid())
+    found = get(FOUND).take(pa.array(some))
+    for row0, offset, data, at in _pieces(tn.unsqueezed(get(SQUEEZED).take(pa.array(some))), length):
+        s = Stretches(data, at, length)
+        ok = is_suspected(s.anchor, s.row, found.slice(row0, len(at) - 1), shards)
+        if ok.any():
+            yield some[row0 : row0 + len(at) - 1], offset, data, at, s.start[ok], s.end[ok], s.row[ok], s.anchor[ok]
 
 
-MARK = ["part", "docs", "texts", "starts", "sizes"]
-_MARK_DDL = "part long, docs binary, texts binary, starts binary, sizes binary"
+_SENT = ["shard", "part", "anchors", "hashes", "docs", "texts", "which", "starts", "sizes", "bytes"]
+_SENT_DDL = "shard long, part long, anchors binary, hashes binary, docs binary, texts binary, which binary, starts binary, sizes binary, bytes binary"
 
 
-def _unzip(blob) -> bytes:
-    return zstandard.decompress(blob)
+MARK = ["part", "docs", "texts", "starts", "sizes"]
+_MARK_DDL = "part long, docs binary, texts binary, starts binary, sizes binary"
 
 
 def _marks(doc: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarray, parts: int) -> pa.RecordBatch:
     """Stretches that go, packed by part of the documents. Such rows have a part and no anchors, and
     pass through any shard."""
     part = (tn.mix(doc.astype(np.uint64)) % _U(parts)).astype(np.int64)
-    order = np.argsort(part)
+    order = np.lexsort((start, text, doc, part))
     part = part[order]
     cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
     end = np.append(cut[1:], len(part))[: len(cut)]
     # A stretch has 31 starts at most.
-    blobs = [pa.array([zstandard.compress(x[a:b].tobytes(), 1) for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (doc[order], text[order], start[order].astype(np.int32), size[order].astype(np.uint8))]
+    docs, texts, starts, sizes = (pa.array([zipped(x[a:b]) for a, b in zip(cut, end, strict=True)], pa.binary()) for x in (doc[order], text[order], start[order].astype(np.int32), size[order].astype(np.uint8)))
     none = pa.array([None] * len(cut), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(part[cut], pa.int64()), pa.array(part[cut], pa.int64()), none, none, *blobs, none], names=_SENT)
+    return pa.RecordBatch.from_arrays([pa.array(part[cut], pa.int64()), pa.array(part[cut], pa.int64()), none, none, docs, texts, none, starts, sizes, none], names=_SENT)
 
 
-def _per_text(table: pa.Table) -> pa.Table:
-    """One part of the documents: each text's stretches that go."""
-    doc, text, start, size = (np.concatenate([np.frombuffer(_unzip(x.as_buffer()), k) for x in table[c]]) for c, k in zip(MARK[1:], (np.int64, np.int64, np.int32, np.uint8), strict=True))
-    order = np.lexsort((text, doc))
+def _per_document(table: pa.Table) -> pa.Table:
+    """One part of the documents: each one's stretches that go, and of which text they are."""
+    doc, text, start, size = (np.concatenate([unzipped(x, k) for x in table[c]]) for c, k in zip(MARK[1:], (np.int64, np.int64, np.int32, np.uint8), strict=True))
+    order = np.lexsort((start, text, doc))
     doc, text, start, size = (x[order] for x in (doc, text, start, size))
-    cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])]))
-    blobs = {c: pa.array([zstandard.compress(x[a:b].tobytes(), 1) for a, b in zip(cut, np.append(cut[1:], len(doc)), strict=True)], pa.binary()) for c, x in ((STARTS, start), (SIZES, size))}
-    return pa.table({f"{P}id": pa.array(doc[cut], pa.int64()), f"{P}hash": pa.array(text[cut], pa.int64()), **blobs})
+    cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    blobs = [pa.array([zipped(x[a:b]) for a, b in zip(cut, np.append(cut[1:], len(doc)), strict=True)], pa.binary()) for x in (text, start, size)]
+    return pa.table([pa.array(doc[cut], pa.int64()), *blobs], names=[ID, TEXTS, STARTS, SIZES])
+
 
+def _stretch_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each stretch; its size is part of it."""
+    return tn.mix(tn.span_hash(data, start, end + length - 1) + (end - start).astype(np.uint64) * _SALT)
 
-def _often(plane, bits: int, length: int):
-    """(anchor, n): how many stretches of a gathering have an anchor, if they are several."""
+
+def _often(length: int):
+    """(anchor, n): how many different stretches of a gathering have an anchor, if they are several."""
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for _, _, data, at in _pieces(batch.column(2), length):
-                anchor = Stretches(data, at, length).anchor
-                held.append(anchor[found_again(plane.value, anchor, bits)] if len(anchor) else anchor)
-                size += len(held[-1])
+            for _, _, data, at in _pieces(batch.column(1), length):
+                s = Stretches(data, at, length)
+                held.append((s.anchor, _stretch_hash(data, s.start, s.end, length)))
+                size += len(s.anchor)
                 if size >= GATHER:
                     yield several(held)
                     held, size = [], 0
-        if held:
+        if size:
             yield several(held)
 
     def several(held):
-        anchor, n = np.unique(np.concatenate(held), return_counts=True)
+        anchor, hashed = (np.concatenate(x) for x in zip(*held, strict=True))
+        # Few anchors have several stretches: only theirs are told apart.
+        value, n = np.unique(anchor, return_counts=True)
+        often = np.isin(anchor, value[n >= SEVERAL])
+        anchor, hashed = anchor[often], hashed[often]
+        order = np.lexsort((hashed, anchor))
+        anchor, hashed = anchor[order], hashed[order]
+        new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (hashed[1:] != hashed[:-1])])[: len(anchor)]
+        anchor, n = np.unique(anchor[new], return_counts=True)
         some = n >= SEVERAL
         return pa.RecordBatch.from_arrays([pa.array(anchor[some].view(np.int64), pa.int64()), pa.array(n[some], pa.int64())], names=["anchor", "n"])
 
     return run
 
 
-def hot_anchors(slim: DataFrame, plane, bits: int, length: int) -> np.ndarray:
-    """Ascending: anchors of more than HOT stretches, so fewer than a HOTth of all stretches.
-    One that has fewer than SEVERAL in each gathering isn't seen; it has fewer than SEVERAL
-    for each GATHER stretches of the corpus."""
-    rows = slim.mapInArrow(_often(plane, bits, length), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") > HOT).select("anchor").toArrow()
+def hot_anchors(slim: DataFrame, length: int) -> np.ndarray:
+    """Ascending: anchors of more than HOT different stretches (those of each gathering added up), so
+    fewer than a HOTth of all stretches. One that has fewer than SEVERAL in each gathering isn't seen;
+    it has fewer than SEVERAL for each GATHER stretches of the corpus. slim: (id, text)."""
+    rows = slim.mapInArrow(_often(length), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") > HOT).select("anchor").toArrow()
     return np.sort(rows["anchor"].to_numpy().view(np.uint64)) if rows.num_rows else np.zeros(0, np.uint64)
 
 
-def _candidates(plane, hot, bits: int, length: int, shards: int):
+def _candidates(hot, length: int, shards: int, id_: str):
     """Stretches whose anchor may repeat. Those of hot anchors are cut into single strings with their
-    own hash for an anchor, so they spread over shards and equal ones still meet. Of equal stretches in one gathering the least document's
-    go on, by anchor, their bytes once; the others are marked."""
+    own hash for an anchor, so they spread over shards and equal ones still meet. Of equal stretches
+    in one gathering the least document's go on, by anchor, their bytes once; the others are marked."""
 
     def run(batches):
-        held, blocks, size = [], [], 0
+        held, blocks, docs, texts, n, size = [], [], [], [], 0, 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = batch.column(1).to_numpy(zero_copy_only=False)
-            for row0, offset, data, at in _pieces(batch.column(2), length):
-                s = Stretches(data, at, length)
-                if not len(s.anchor):
-                    continue
-                ok = found_again(plane.value, s.anchor, bits)
-                start, end, row, anchor = s.start[ok], s.end[ok], s.row[ok], s.anchor[ok]
-                if not len(start):
-                    continue
+            ids = batch.column(batch.schema.get_field_index(id_)).cast(pa.int64()).to_numpy(zero_copy_only=False)
+            hashes = batch.column(batch.schema.get_field_index(HASH)).to_numpy(zero_copy_only=False)
+            for rows, offset, data, at, start, end, row, anchor in _open_stretches(batch, length, shards):
                 # Where the anchor lies in its stretch is part of what makes stretches equal.
-                hashed = tn.mix(tn.span_hash(data, start, end + length - 1) + (end - start).astype(np.uint64) * _SALT)
+                hashed = _stretch_hash(data, start, end, length)
                 if len(hot.value):
                     spot = np.minimum(np.searchsorted(hot.value, anchor), len(hot.value) - 1)
                     is_hot = hot.value[spot] == anchor
@@ -270,39 +286,42 @@ def _candidates(plane, hot, bits: int, length: int, shards: int):
                     own = tn.mix(tn.span_hash(data, start[is_hot], start[is_hot] + length))
                     hashed[is_hot] = own
                     anchor[is_hot] = tn.mix(own ^ anchor[is_hot])
-                held.append((anchor, hashed, ids[row0 + row], texts[row0 + row], start - at[row] + offset, end - start, np.full(len(start), len(blocks)), start))
+                docs.append(ids[rows].astype(np.int64))
+                texts.append(hashes[rows])
+                held.append((anchor, hashed, n + row, start - at[row] + offset, end - start, np.full(len(start), len(blocks)), start))
                 blocks.append(data)
+                n += len(rows)
                 size += len(start)
                 if size >= GATHER:
-                    yield from send(held, blocks)
-                    held, blocks, size = [], [], 0
+                    yield from send(held, blocks, np.concatenate(docs), np.concatenate(texts))
+                    held, blocks, docs, texts, n, size = [], [], [], [], 0, 0
         if held:
-            yield from send(held, blocks)
+            yield from send(held, blocks, np.concatenate(docs), np.concatenate(texts))
 
-    def send(held, blocks):
-        anchor, hashed, doc, text, start, size, block, at = (np.concatenate(x) for x in zip(*held, strict=True))
+    def send(held, blocks, docs, texts):
+        anchor, hashed, row, start, size, block, at = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.argsort(tn.mix(anchor + hashed * _SALT))
-        anchor, hashed, doc, text, start, size, block, at = (x[order] for x in (anchor, hashed, doc, text, start, size, block, at))
+        anchor, hashed, row, start, size, block, at = (x[order] for x in (anchor, hashed, row, start, size, block, at))
         new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (hashed[1:] != hashed[:-1])])
-        head = np.flatnonzero(new)
-        least = np.minimum.reduceat(doc, head)[np.cumsum(new) - 1] == doc
+        doc = docs[row]
+        least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1] == doc
         if not least.all():
-            yield _marks(doc[~least], text[~least], start[~least], size[~least], shards)
-        anchor, hashed, doc, text, start, size, block, at = (x[least] for x in (anchor, hashed, doc, text, start, size, block, at))
+            yield _marks(doc[~least], texts[row[~least]], start[~least], size[~least], shards)
+        anchor, hashed, row, start, size, block, at = (x[least] for x in (anchor, hashed, row, start, size, block, at))
         first = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (hashed[1:] != hashed[:-1])])
-        key_bits = shards.bit_length() - 1
-        key = (tn.mix(anchor) >> _U(64 - key_bits)).astype(np.int64)
+        key = (tn.mix(anchor) >> _U(64 - (shards.bit_length() - 1))).astype(np.int64)
         by = np.argsort(key, kind="stable")
         cut = np.flatnonzero(np.concatenate([[True], np.diff(key[by]) > 0]))
         zip_ = zstandard.ZstdCompressor(level=1)
-        columns: list[list] = [[] for _ in range(7)]
+        columns: list[list] = [[] for _ in range(8)]
         for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
             some = by[a:b]
-            for out, x in zip(columns, (anchor, hashed, doc, text, start.astype(np.int32), np.where(first, size, -size).astype(np.int8)), strict=False):
-                out.append(zip_.compress(x[some].tobytes()))
+            own, which = np.unique(row[some], return_inverse=True)
+            for out, x in zip(columns, (anchor[some], hashed[some], docs[own], texts[own], which.astype(np.int32), start[some].astype(np.int32), np.where(first, size, -size).astype(np.int8)[some]), strict=False):
+                out.append(zip_.compress(np.ascontiguousarray(x).tobytes()))
             once = some[first[some]]
             spans = zip(block[once].tolist(), at[once].tolist(), (at[once] + size[once] + length - 1).tolist(), strict=True)
-            columns[6].append(zip_.compress(b"".join([blocks[i][x:y] for i, x, y in spans])))
+            columns[7].append(zip_.compress(b"".join([blocks[i][x:y] for i, x, y in spans])))
         none = pa.array([None] * len(cut), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(key[by[cut]], pa.int64()), none, *(pa.array(c, pa.binary()) for c in columns)], names=_SENT)
 
@@ -319,9 +338,11 @@ def _resolve(length: int, parts: int):
         return pa.concat_tables([done, resolve(table)]) if table.num_rows else done
 
     def resolve(table: pa.Table) -> pa.Table:
-        kinds = {"anchors": np.uint64, "hashes": np.uint64, "docs": np.int64, "texts": np.int64, "starts": np.int32, "sizes": np.int8}
-        anchor, hashed, doc, text, start, size = (np.concatenate([np.frombuffer(_unzip(x.as_buffer()), k) for x in table[c]]) for c, k in kinds.items())
-        raw = np.frombuffer(b"".join([_unzip(x.as_buffer()) for x in table["bytes"]]), np.uint8)
+        kinds = {"anchors": np.uint64, "hashes": np.uint64, "starts": np.int32, "sizes": np.int8}
+        anchor, hashed, start, size = (np.concatenate([unzipped(x, k) for x in table[c]]) for c, k in kinds.items())
+        which = [unzipped(x, np.int32) for x in table["which"]]
+        doc, text = (np.concatenate([unzipped(x, np.int64)[w] for x, w in zip(table[c], which, strict=True)]) for c in ("docs", "texts"))
+        raw = np.concatenate([unzipped(x, np.uint8) for x in table["bytes"]])
         # Bytes came once per stretch and gathering: where sizes are above 0.
         has = size > 0
         size = np.abs(size).astype(np.int64)
@@ -391,20 +412,20 @@ def _cut(length: int, keep: list[str]):
     def run(batches):
         for batch in batches:
             get = lambda c: batch.column(batch.schema.get_field_index(c))
-            marked, sizes = get(STARTS), get(SIZES)
+            hashes, marked, starts, sizes = get(HASH).to_numpy(), get(TEXTS), get(STARTS), get(SIZES)
             kept, total, removed, spans = [], [], [], []
             for row0, data, at in tn.slices(tn.unsqueezed(get(SQUEEZED))):
                 for r in range(len(at) - 1):
                     own = data[at[r] : at[r + 1]]
                     total.append(len(own))
-                    blob = marked[row0 + r].as_py()
-                    if not blob:
+                    if not marked[row0 + r].is_valid:
                         kept.append(own.tobytes())
                         removed.append(0)
                         spans.append(0)
                         continue
-                    s = np.frombuffer(_unzip(blob), np.int32).astype(np.int64)
-                    n = np.frombuffer(_unzip(sizes[row0 + r].as_py()), np.uint8).astype(np.int64)
+                    mine = unzipped(marked[row0 + r], np.int64) == hashes[row0 + r]
+                    s = unzipped(starts[row0 + r], np.int32)[mine].astype(np.int64)
+                    n = unzipped(sizes[row0 + r], np.uint8)[mine].astype(np.int64)
                     gone = tn.covered(len(own), s, n + length - 1)
                     kept.append(own[~gone].tobytes())
                     removed.append(int(gone.sum()))
@@ -414,7 +435,7 @@ def _cut(length: int, keep: list[str]):
     return run
 
 
-STARTS, SIZES = f"{P}starts", f"{P}sizes"
+ID, HASH, FOUND, TEXTS, STARTS, SIZES = f"{P}id", f"{P}hash", f"{P}found", f"{P}texts", f"{P}starts", f"{P}sizes"
 KEPT, BYTES, REMOVED, SPANS = f"{P}kept", f"{P}bytes", f"{P}removed", f"{P}spans"
 
 
@@ -428,18 +449,17 @@ def dedup_strings(docs: DataFrame, length: int = 50, id_col: str = "doc_id", tex
     keep all. Stretches of text are told apart by two 64-bit hashes, the strings in them by bytes.
     """
     keep = docs.columns if keep is None else keep
-    id_, text_hash = f"{P}id", f"{P}hash"
-    hashed = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    slim = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), hashed.alias("text_hash"), F.col(text_col).alias("text"))
-    n = docs.count()
-    bits = plane_bits(n, 250)
-    plane = seen_again(slim, bits, _anchors(length))
-    shards = 1 << max(5, (n // 2000).bit_length())
-    hot = docs.sparkSession.sparkContext.broadcast(hot_anchors(slim, plane, bits, length))
-    found = slim.mapInArrow(_candidates(plane, hot, bits, length, shards), _SENT_DDL)
-    gone = found.groupBy("shard").applyInArrow(_resolve(length, shards), _MARK_DDL)
-    marks = gone.groupBy("part").applyInArrow(_per_text, f"{id_} long, {text_hash} long, {STARTS} binary, {SIZES} binary")
-    own_hash = f"{P}own_hash"
-    joined = squeezed_docs(docs.withColumn(own_hash, hashed), dict.fromkeys([*keep, id_col, own_hash]), text_col).join(marks, (F.col(id_col) == F.col(id_)) & (F.col(own_hash) == F.col(text_hash)), "left")
+    shards = shards_for(docs, text_col)
+    slim = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    found = suspected(slim, _anchors(length), shards).select(F.col("id").alias(ID), F.col("found").alias(FOUND))
+    # All joins take the texts in one partitioning, so they are exchanged once.
+    hashed = docs.withColumn(HASH, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    texts = squeezed_docs(hashed, dict.fromkeys([*keep, id_col, HASH]), text_col)
+    same_id = F.col(id_col).cast("long") == F.col(ID)
+    open_ = texts.join(found, same_id, "left")
+    hot = docs.sparkSession.sparkContext.broadcast(hot_anchors(slim, length))
+    sent = open_.mapInArrow(_candidates(hot, length, shards, id_col), _SENT_DDL)
+    gone = sent.groupBy("shard").applyInArrow(_resolve(length, shards), _MARK_DDL)
+    marks = gone.groupBy("part").applyInArrow(_per_document, f"{ID} long, {TEXTS} binary, {STARTS} binary, {SIZES} binary")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return joined.select(*[F.col(f"`{c}`") for c in keep], SQUEEZED, STARTS, SIZES).mapInArrow(_cut(length, keep), f"{schema}, {KEPT} binary, {BYTES} long, {REMOVED} long, {SPANS} long")
+    return texts.join(marks, same_id, "left").mapInArrow(_cut(length, keep), f"{schema}, {KEPT} binary, {BYTES} long, {REMOVED} long, {SPANS} long")

@@ -22,6 +22,8 @@ BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of `[^\x20\x09-\x0D]+`.
 WORD = ~BLANK
+NOT_NEWLINE = np.ones(256, bool)
+NOT_NEWLINE[0x0A] = False
 #: Bytes of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`.
 ALNUM = np.zeros(256, bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -85,6 +87,21 @@ def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray = WORD) -> tuple[np
     return starts, ends, np.searchsorted(starts, at)
 
 
+def lines(data: np.ndarray, at: np.ndarray, min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, texts): byte spans of the lines, less blanks at their ends, that have at least
+    min_chars code points, and the text of each."""
+    starts, ends, first = words(data, at, NOT_NEWLINE)
+    row = text_of(first, len(starts))
+    solid = np.flatnonzero(WORD[data])
+    a = np.searchsorted(solid, starts)
+    b = np.searchsorted(solid, ends)
+    some = np.flatnonzero(b > a)
+    starts, ends, row = solid[a[some]], solid[b[some] - 1] + 1, row[some]
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    long = points[ends] - points[starts] >= min_chars
+    return starts[long], ends[long], row[long]
+
+
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span; equal bytes, equal hash."""
     total = np.zeros(len(data) + 1, np.uint64)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import common, decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, queries, shard, suffix_dedup, window_dedup
+from sluice.llm import common, decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, queries, repeats, shard, suffix_dedup, window_dedup
 from sluice.llm import textnum as tn
 from sluice.llm.components import components
 
@@ -94,16 +94,40 @@ def test_line_dedup(docs, rows, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
-def test_bloom_planes_have_no_misses(spark):
-    values = [i % 700 for i in range(1000)]
-    df = spark.createDataFrame([(v,) for v in values], "v long").repartition(5).select(F.xxhash64("v").alias("h"))
-    plane = line_dedup.seen_again(df, 20)
-    h = np.array([r.h for r in df.collect()], np.int64)
-    found = line_dedup.found_again(plane.value, h, 20)
-    counts = collections.Counter(h.tolist())
-    assert all(f for f, x in zip(found, h.tolist()) if counts[x] > 1)
-    assert sum(bool(f) for f, x in zip(found, h.tolist()) if counts[x] == 1) < 20
-    assert line_dedup.plane_bits(0, 24) == line_dedup.MIN_BITS and line_dedup.plane_bits(10**12, 24) == line_dedup.MAX_BITS
+@pytest.mark.parametrize("gather", [64, 1 << 19])
+def test_bloom_planes_have_no_misses(spark, monkeypatch, gather):
+    """Each document's hashes that occur twice are found, and few others, whatever a task gathers."""
+    monkeypatch.setattr(repeats, "GATHER", gather)
+    rng = random.Random(3)
+    rows = [(i, [rng.randrange(1500) for _ in range(6)]) for i in range(400)]
+
+    def hashes(batch):
+        lists = batch.column(1)
+        for r in range(len(lists)):
+            yield tn.mix(lists[r].values.to_numpy().astype(np.uint64)), np.full(len(lists[r]), r)
+
+    df = spark.createDataFrame(rows, "id long, v array<long>").repartition(5)
+    found = {r.id: r.found for r in repeats.suspected(df, hashes, 32).collect()}
+    counts = collections.Counter(v for _, vs in rows for v in vs)
+    pa = pytest.importorskip("pyarrow")
+    wrong = total = 0
+    for i, vs in rows:
+        h = tn.mix(np.array(vs, np.uint64))
+        told = repeats.is_suspected(h, np.zeros(len(h), int), pa.array([bytes(found[i]) if i in found else None], pa.binary()), 32)
+        assert all(t for t, v in zip(told, vs) if counts[v] > 1)
+        wrong += sum(bool(t) for t, v in zip(told, vs) if counts[v] == 1)
+        total += len(vs)
+    assert wrong < 0.1 * total
+
+
+def test_planes_never_fill_up():
+    """Ten million hashes of one range, ten times what a plane of 128 MB shared by 64 ranges had room
+    for: planes are as large as their hashes ask for, and few that occur once are suspected."""
+    rng = np.random.default_rng(4)
+    h = rng.integers(0, 1 << 32, 10_000_000, dtype=np.uint64).astype(np.uint32)
+    bits = repeats.plane_bits(len(h))
+    twice = repeats.planes([(repeats.places(h, bits), np.zeros(len(h), bool))], bits)
+    assert twice[repeats.places(h[:1000], bits)].all(0).mean() < 0.1
 
 
 def model_strings(rows, length):
@@ -155,16 +179,16 @@ def test_suffix_dedup_spreads_a_hot_anchor(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     s = suffix_dedup
     monkeypatch.setattr(s, "HOT", 100)
-    slim = df.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
-    plane = s.seen_again(slim, s.plane_bits(300, 250), s._anchors(50))
-    hot = s.hot_anchors(slim, plane, s.plane_bits(300, 250), 50)
+    hot = s.hot_anchors(df.select(F.col("doc_id").alias("id"), "text"), 50)
     assert len(hot) > 0
     pa = pytest.importorskip("pyarrow")
+    found = repeats.suspected(df.select(F.col("doc_id").alias("id"), "text"), s._anchors(50), 32).select(F.col("id").alias(s.ID), F.col("found").alias(s.FOUND))
+    texts = common.squeezed_docs(df.withColumn(s.HASH, F.xxhash64("text")), ["doc_id", s.HASH], "text").join(found, F.col("doc_id") == F.col(s.ID), "left")
 
     def most(hot):
-        run = s._candidates(plane, spark.sparkContext.broadcast(hot), s.plane_bits(300, 250), 50, 32)
-        sent = pa.Table.from_batches(run(slim.toArrow().to_batches()))
-        anchors = [np.frombuffer(s._unzip(x.as_buffer()), np.uint64) for x in sent["anchors"] if x.is_valid]
+        run = s._candidates(spark.sparkContext.broadcast(hot), 50, 32, "doc_id")
+        sent = pa.Table.from_batches(run(texts.toArrow().to_batches()))
+        anchors = [repeats.unzipped(x, np.uint64) for x in sent["anchors"] if x.is_valid]
         return np.unique(np.concatenate(anchors), return_counts=True)[1].max()
 
     assert most(hot[:0]) > 150 >= most(hot)
@@ -361,6 +385,33 @@ def test_window_dedup(docs, rows, empty):
     assert sum(r[3] for r in got) > 0 and d.dedup_windows(empty).count() == 0
 
 
+def test_windows_of_one_id_with_two_texts(spark):
+    """What repeats in one text of an id says nothing about its other texts."""
+    rng = random.Random(14)
+    x, y, z = sentence(rng, 40), sentence(rng, 40), sentence(rng, 40)
+    rows = [(1, x), (2, x), (2, y), (2, x + " " + z), (3, z), (4, y)]
+    d = window_dedup
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r[d.TEXT], r[d.WORDS], r[d.REMOVED]) for r in d.dedup_windows(df, keep=["doc_id"]).collect()]
+    assert sorted(got) == sorted(model_windows(rows))
+    assert sum(r[3] for r in got) == 160
+
+
+@pytest.mark.parametrize("length", [5, 16, 30, 60])
+def test_window_levels(spark, length):
+    rng = random.Random(length)
+    shared = sentence(rng, 200).split()
+    rows = []
+    for i in range(30):
+        a = rng.randrange(120)
+        rows.append((i, " ".join([*sentence(rng, 10).split(), *shared[a : a + rng.randint(4, 80)], *sentence(rng, 10).split()])))
+    steps = window_dedup.levels(length)
+    assert steps[-1] == length and all(b in (2 * a, 2 * a - 1) for a, b in zip(steps[:-1], steps[1:])) and len(steps) >= 2
+    d = window_dedup
+    got = [(r.doc_id, r[d.TEXT], r[d.WORDS], r[d.REMOVED]) for r in d.dedup_windows(spark.createDataFrame(rows, "doc_id long, text string"), length, keep=["doc_id"]).collect()]
+    assert sorted(got) == sorted(model_windows(rows, length)) and sum(r[3] for r in got) > 0
+
+
 def test_longest_repeats(docs, rows, empty):
     def longest(r):
         best, size = None, 13
