@@ -23,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import P, materialize
+from .common import P, materialize, spread_join
 from .components import components
 
 BANDS, ROWS = 25, 5
 K = BANDS * ROWS
 TILE = 384
+#: Members of a bucket, or texts with one leader, that one task takes.
+HOT = 1 << 14
 _U = np.uint64
 _CELL, _DART, _TIMES = _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB), _U(0x8EBC6AF09C88C6E3)
 _RANK_BITS = 44
@@ -149,13 +151,17 @@ def _signed(shingle: int):
 
 
 def _shingled(shingle: int):
+    """(node, set) of the rows (text, print) whose words have that print."""
+
     def run(batches):
         for batch in batches:
-            for row0, h, first in _hashed(batch.column(1)):
+            for row0, h, first in _hashed(batch.column(0)):
                 n = len(first) - 1
                 strip, row = strips(h, first, shingle)
                 at = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row0, n), pa.ListArray.from_arrays(at, pa.array(strip.view(np.int64), pa.int64()))], names=["node", "set"])
+                node = batch.column(1).slice(row0, n)
+                same = pa.array([x == y for x, y in zip(_prints(h, first), node.to_pylist(), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([node, pa.ListArray.from_arrays(at, pa.array(strip.view(np.int64), pa.int64()))], names=["node", "set"]).filter(same)
 
     return run
 
@@ -169,8 +175,9 @@ def _tile_links(threshold: float):
     """In one tile: links between its members that join different classes, as a forest."""
 
     def run(table: pa.Table) -> pa.Table:
-        node = table["node"].to_numpy()
-        cls = table["class"].to_numpy()
+        node = table["node"].to_pylist()
+        # Classes as numbers of this tile.
+        cls = table["class"].combine_chunks().dictionary_encode().indices.to_numpy()
         lists = table["set"].combine_chunks()
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         _, value = np.unique(lists.flatten().to_numpy(), return_inverse=True)
@@ -197,8 +204,8 @@ def _tile_links(threshold: float):
                 x, y = find(int(cls[o])), find(int(cls[m]))
                 if x != y:
                     root[max(x, y)] = min(x, y)
-                    out.append((int(node[o]), int(node[m])))
-        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+                    out.append((node[o], node[m]))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
 
     return run
 
@@ -210,49 +217,64 @@ def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, id_col: s
     least threshold are linked (if they share a bucket: 0.99995 at 0.8 and more above); classes
     are connected components. Texts with the same words are one class, and so are all texts
     without words (null, empty or blank) and all rows with one id. Null ids get a null class.
-    Ids are whole numbers.
+    Ids are whole numbers. A node is a print: 128 bits of a text's words.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = slim.filter(F.col("id").isNotNull())
     signed = materialize(known.mapInArrow(_signed(shingle), "id long, print binary, bands array<long>"))
-    first = signed.groupBy("print").agg(F.min("id").alias("node"))
-    own = signed.join(first, "print")
-    member = materialize(own.select("id", "node").distinct())
-    keys = own.filter("id = node").select("node", F.explode("bands").alias("key")).distinct()
+    # A hot key has more than a 5,000th of all band keys, so there are fewer than 5,000 of them.
+    hot_rows = max(HOT, signed.count() * BANDS // 5_000)
+    hot = lambda counted, key: counted.filter(F.col("n") > hot_rows).select(key)
+    first = signed.groupBy(F.col("print").alias("node")).agg(F.min("id").alias("id"))
+    # One row for each print; its bands follow from it.
+    keys = signed.groupBy(F.col("print").alias("node")).agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("key"))
     # The leader: least by a hash that all bands share, so that a group has few leaders.
     lead = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"].alias("leader")).filter("n > 1")
-    bucket = materialize(keys.join(lead, "key"))
-    near = bucket.filter("node <> leader").select("node", "leader").distinct()
-    wanted = bucket.select("node").distinct()
-    sets = materialize(known.join(wanted.withColumnRenamed("node", "id"), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_shingled(shingle), "node long, set array<long>"))
-    pairs = near.join(sets, "node").withColumnRenamed("set", "mine").join(sets.select(F.col("node").alias("leader"), "set"), "leader")
+    lead = materialize(lead)
+    bucket = materialize(spread_join(keys, lead, "key", hot(lead, "key"), "node"))
+    near = materialize(bucket.filter("node <> leader").select("node", "leader").distinct())
+    wanted = first.join(bucket.select("node").distinct(), "node").select("id", "node")
+    texts = known.join(wanted, "id").withColumn("h", F.xxhash64("text")).dropDuplicates(["id", "node", "h"]).select("text", "node")
+    sets = materialize(texts.mapInArrow(_shingled(shingle), "node binary, set array<long>"))
+    followers = near.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
+    led = near.join(sets, "node").withColumnRenamed("set", "mine")
+    pairs = spread_join(led, sets.select(F.col("node").alias("leader"), "set"), "leader", hot(followers, "leader"), "node")
     checked = materialize(pairs.select("node", "leader", (_similarity("mine", "set") >= threshold).alias("like")))
     links = checked.filter("like").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     label = components(links)
     # Members that aren't in their leader's class, against all of their bucket.
     named = bucket.filter("n > 2").join(label, "node", "left").withColumn("class", F.coalesce("root", "node")).select("key", "n", "node", "leader", "class")
-    named = named.join(label.select(F.col("node").alias("leader"), F.col("root").alias("main")), "leader", "left").withColumn("outside", F.col("class") != F.coalesce("main", "leader"))
+    main = lead.filter("n > 2").select("key", "leader").join(label.select(F.col("node").alias("leader"), F.col("root").alias("main")), "leader", "left").select("key", F.coalesce("main", "leader").alias("main"))
+    named = spread_join(named, main, "key", hot(lead, "key"), "node").withColumn("outside", F.col("class") != F.col("main")).drop("main")
     open_ = named.groupBy("key").agg(F.sum(F.col("outside").cast("int")).alias("o")).filter("o > 0")
-    named = named.join(open_, "key").withColumns({"tiles": F.ceil(F.col("n") / TILE), "rows": F.ceil(F.col("o") / TILE)})
+    named = spread_join(named, open_, "key", hot(lead, "key"), "node").withColumns({"tiles": F.ceil(F.col("n") / TILE), "rows": F.ceil(F.col("o") / TILE)})
     spot = F.pmod(F.xxhash64("node"), F.col("tiles")), F.pmod(F.xxhash64("node", F.lit(1)), F.col("rows"))
     # Each member meets every part of the outsiders; each outsider goes to every part of the members.
     as_member = named.select("key", "node", "class", F.lit(False).alias("outside"), spot[0].alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("j"))
     as_outside = named.filter("outside").select("key", "node", "class", F.lit(True).alias("outside"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("i"), spot[1].alias("j"))
     placed = as_member.union(as_outside).join(sets, "node")
-    more = placed.groupBy("key", "i", "j").applyInArrow(_tile_links(threshold), "a long, b long")
+    more = placed.groupBy("key", "i", "j").applyInArrow(_tile_links(threshold), "a binary, b binary")
     # Rows with one id and different words, too, are one class.
+    member = signed.select("id", F.col("print").alias("node")).distinct()
     several = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
     same = member.join(several, "id").filter("node <> a").select("a", F.col("node").alias("b"))
     final = components(links.union(more).union(same))
-    root = member.join(final, "node", "left").select("id", F.coalesce("root", "node").alias("class_id"))
-    root = root.groupBy("id").agg(F.min("class_id").alias("class_id"))
-    return docs.select(F.col(id_col)).join(root.withColumnRenamed("id", f"{P}id"), F.col(id_col) == F.col(f"{P}id"), "left").select(id_col, "class_id")
+    # A class is called by its least id.
+    rooted = first.join(final, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
+    called = materialize(rooted.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    class_of = spread_join(rooted.select("node", "root"), called.drop("n"), "root", hot(called, "root"), "node").select("node", "class_id")
+    own, ids = f"{P}node", f"{P}id"
+    # Alone in its class: its own least id. Rows with one id have one class.
+    named_ids = member.join(class_of, "node", "left").join(first.select("node", F.col("id").alias("alone")), "node").groupBy(F.col("id").alias(ids)).agg(F.min(F.coalesce("class_id", "alone")).alias("class_id"))
+    return docs.select(F.col(id_col)).join(named_ids, F.col(id_col).cast("long") == F.col(ids), "left").select(id_col, "class_id")
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that stay: of each class the row with the least id (any one
-    of the rows with that id). Rows with a null id stay."""
+    """The rows of docs that stay: of each class one row with the least id (of rows with that id
+    the one whose columns have the least hash). Rows with a null id stay."""
     id_col = options.get("id_col", "doc_id")
     stays = classes(docs, **options).filter(F.col("class_id").isNotNull()).select(F.col("class_id").alias(f"{P}id")).distinct()
-    kept = docs.join(stays, F.col(id_col) == F.col(f"{P}id"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+    kept = docs.join(stays, F.col(id_col).cast("long") == F.col(f"{P}id"), "left_semi")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = kept.groupBy(F.col(id_col).alias(f"{P}id")).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(f"{P}row")).select(f"{P}row.*")
+    return one.unionByName(docs.filter(F.col(id_col).isNull()))

@@ -278,6 +278,31 @@ def test_rows_of_one_id_are_one_class(spark):
     assert got == {5: 5, 7: 5, 9: 5, 8: 8}
 
 
+@pytest.mark.parametrize("hot", [1, 1 << 14])
+def test_no_link_of_an_id_with_two_texts_is_lost(spark, monkeypatch, hot):
+    """Near copies of either text of an id are in its class; groups above HOT give the same classes."""
+    rng = random.Random(15)
+    monkeypatch.setattr(near_dedup, "HOT", hot)
+
+    def near(text):
+        w = text.split()
+        w[rng.randrange(len(w))] = f"edit{rng.randrange(9)}"
+        return " ".join(w)
+
+    a, b = sentence(rng, 60), sentence(rng, 60)
+    rows = [(5, a), (5, b), (7, near(b)), (9, near(a))]
+    for i in range(20, 60, 2):
+        x, y = sentence(rng, 60), sentence(rng, 60)
+        rows += [(i, x), (i, y), (i, x.upper()), (rng.randint(100, 120), near(x)), (rng.randint(100, 120), near(y)), (200 + i, x)]
+    rows += [(300 + i, near(a)) for i in range(30)]
+    want = model_classes(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.class_id) for r in near_dedup.classes(df).collect())
+    assert got == sorted((r[0], want[r[0]]) for r in rows) and want[7] == want[9] == want[5] == 5
+    kept = [sorted(map(tuple, near_dedup.dedup(df.repartition(n)).collect())) for n in (1, 4)]
+    assert kept[0] == kept[1] and [r[0] for r in kept[0]] == sorted(set(want.values()))
+
+
 def test_dart_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     pool = tn.mix(np.arange(1, 4001, dtype=np.uint64))
