@@ -1,149 +1,238 @@
 """Benchmark decontamination by winnowing.
 
-Of each `WINDOW - GRAM + 1` neighbouring word grams of a text the least hash is a fingerprint, so
-two texts that share a window share a fingerprint inside it. Documents are looked up in the
-benchmark's fingerprints; only where one is found are the windows around it compared, first by
-hash, then word by word.
+Of each `window - GRAM_WORDS + 1` neighbouring word grams of a text the least hash is a fingerprint,
+so two texts that share a window share a fingerprint inside it. Fingerprints of documents are
+joined with those of the benchmark; where one is met, the windows around it are joined with the
+benchmark's windows by hash and compared word by word, and hits grow into spans of words.
+
+What a text hits depends on the text alone, so hits are kept by text, and documents join them.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import P, materialize
+from .common import P, materialize, spread_join
 
 GRAM_WORDS = 5
-#: Bytes of benchmark text in one block; a block is what a broadcast holds.
-BLOCK_BYTES = 8 << 20
-
+#: Bits of the sieve of benchmark fingerprints that tasks get, for full and for short windows: 2 to the
+#: power of these at most (16 MB, and 1 MB for each length). It only keeps most documents'
+#: fingerprints out of the join; a benchmark that fills it makes the join larger, not the result.
+SIEVE_BITS = 27, 23
+#: Documents with one window above which its join is dealt over several tasks.
+HOT = 1 << 14
+SPANS, ITEMS, WORDS = f"{P}spans", f"{P}items", f"{P}words"
+KEYS = [f"{P}text1", f"{P}text2"]
+_SPAN = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
-class _Block:
-    """Fingerprints and windows of some benchmark items."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
-        self.window, self.names = window, [i for i, _ in items]
-        column = pa.array([t for _, t in items], pa.large_string())
-        data, at = tn.buffers(column)
+def _tokens(column: pa.Array):
+    for row0, data, at in tn.slices(column):
         data = tn.LOWERED[data]
         starts, ends, first = tn.words(data, at, tn.ALNUM)
-        h = tn.span_hash(data, starts, ends)
-        #: window length -> window hash -> [(words, items)]
-        self.windows: dict[int, dict[int, dict[tuple, list[int]]]] = defaultdict(lambda: defaultdict(dict))
-        prints = set()
-        for i in range(len(items)):
-            a, b = int(first[i]), int(first[i + 1])
-            n = min(window, b - a)
-            if n == 0:
-                continue
-            for s, g in enumerate(tn.grams(h[a:b], n)):
-                text = tuple(data[starts[j] : ends[j]].tobytes() for j in range(a + s, a + s + n))
-                self.windows[n][int(g)].setdefault(text, [])
-                if i not in self.windows[n][int(g)][text]:
-                    self.windows[n][int(g)][text].append(i)
-            if n == window:
-                g = tn.grams(h[a:b], GRAM_WORDS)
-                prints.update(g[tn.chosen(g, window - GRAM_WORDS + 1)].tolist())
-        self.prints = np.array(sorted(prints), np.uint64)
-        self.keys = {n: np.array(sorted(w), np.uint64) for n, w in self.windows.items()}
-        self.windows = {n: dict(w) for n, w in self.windows.items()}
-        #: A bit for the low 20 bits of each fingerprint, to rule out most grams at once.
-        self.sieve = np.zeros(1 << 20, bool)
-        self.sieve[(self.prints & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-
-    def _found(self, g: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(keys, g)
-        at[at == len(keys)] = 0
-        return keys[at] == g
-
-    def starts(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """(length, starts, window hashes) of the windows whose hash an item has."""
-        out = []
-        for n, keys in self.keys.items():
-            if n == self.window:
-                g = tn.grams(h, GRAM_WORDS)
-                here = np.flatnonzero(self.sieve[(g & np.uint64((1 << 20) - 1)).astype(np.int64)])
-                here = here[self._found(g[here], self.prints)] if len(here) and len(self.prints) else here[:0]
-                # The windows that hold a fingerprint.
-                s = np.unique((here[:, None] - np.arange(self.window - GRAM_WORDS + 1)).ravel())
-                s = s[(s >= 0) & (s + n <= len(h))]
-            else:
-                s = np.arange(max(0, len(h) - n + 1))
-            row = np.searchsorted(first, s, "right")
-            s = s[s + n <= first[np.minimum(row, len(first) - 1)]]
-            if not len(s):
-                continue
-            w = h[s].copy()
-            for j in range(1, n):
-                w = w * tn.GRAM + h[s + j]
-            w = tn.mix(w)
-            ok = self._found(w, keys)
-            out.append((n, s[ok], w[ok]))
-        return out
+        yield row0, data, starts, ends, first, tn.span_hash(data, starts, ends)
 
 
-SPANS, ITEMS, WORDS = f"{P}spans", f"{P}items", f"{P}words"
-_SPAN = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+def _window_hash(h: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
+    w = h[s].copy()
+    for j in range(1, n):
+        w = w * tn.GRAM + h[s + j]
+    return tn.mix(w + np.uint64(n))
+
+
+def _words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, s: int, n: int) -> bytes:
+    return b" ".join([data[a:b].tobytes() for a, b in zip(starts[s : s + n].tolist(), ends[s : s + n].tolist(), strict=True)])
 
 
-def _hits(block, keep: list[str], text_col: str, again: bool):
-    """Adds what the block's items hit to what earlier blocks have hit."""
+def _prints(h: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, places) of the fingerprints."""
+    g = tn.grams(h, GRAM_WORDS)
+    at = np.flatnonzero(tn.chosen(g, window - GRAM_WORDS + 1) & tn.gram_rows(first, GRAM_WORDS, len(g)))
+    return g[at], at
+
+
+def _item_windows(window: int):
+    """(item, n, hash, words): each item's windows of n words; for a short item all its words."""
 
     def run(batches):
-        b = block.value
         for batch in batches:
-            counts, spans, items = [], [], []
-            old_spans = batch.column(batch.schema.get_field_index(SPANS)).to_pylist() if again else None
-            old_items = batch.column(batch.schema.get_field_index(ITEMS)).to_pylist() if again else None
-            for row0, data, at in tn.slices(batch.column(batch.schema.get_field_index(text_col))):
-                data = tn.LOWERED[data]
-                starts, ends, first = tn.words(data, at, tn.ALNUM)
-                h = tn.span_hash(data, starts, ends)
-                hit, names = defaultdict(list), defaultdict(set)
-                for n, s, w in b.starts(h, first):
-                    for i, g in zip(s.tolist(), w.tolist(), strict=True):
-                        text = tuple(data[starts[j] : ends[j]].tobytes() for j in range(i, i + n))
-                        if found := b.windows[n][g].get(text):
-                            r = int(np.searchsorted(first, i, "right")) - 1
-                            hit[r].append((i - int(first[r]), i - int(first[r]) + n))
-                            names[r].update(b.names[x] for x in found)
-                for r in range(len(at) - 1):
-                    n = int(first[r + 1] - first[r])
-                    counts.append(n)
-                    here = hit[r] + ([(x["a"], x["b"]) for x in old_spans[row0 + r]] if again else [])
-                    if not here:
-                        spans.append([])
-                        items.append([])
+            for row0, data, starts, ends, first, h in _tokens(batch.column(1)):
+                size = np.diff(first)
+                n = np.minimum(size, window)
+                s = np.concatenate([np.arange(a, a + t - k + 1) for a, t, k in zip(first[:-1], size, n, strict=True) if k] or [np.zeros(0, np.int64)]).astype(np.int64)
+                row = np.searchsorted(first, s, "right") - 1
+                hashes = np.zeros(len(s), np.uint64)
+                for k in np.unique(n[row]).tolist():
+                    of = n[row] == k
+                    hashes[of] = _window_hash(h, s[of], k)
+                text = [_words(data, starts, ends, x, k) for x, k in zip(s.tolist(), n[row].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row0 + row)), pa.array(n[row].astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(text, pa.binary())], names=["item", "n", "hash", "words"])
+
+    return run
+
+
+def _item_prints(window: int):
+    """(n, print): fingerprints of items of window words or more; of a short item, its n words' hash."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, _, _, first, h in _tokens(batch.column(1)):
+                size = np.diff(first)
+                g, at = _prints(h, first, window)
+                g = np.unique(g[size[np.searchsorted(first, at, "right") - 1] >= window])
+                short = np.flatnonzero((size > 0) & (size < window))
+                own = [int(_window_hash(h, first[[r]], int(size[r]))[0]) for r in short.tolist()]
+                n = np.concatenate([np.full(len(g), window), size[short]]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(np.concatenate([g, np.array(own, np.uint64)]).view(np.int64))], names=["n", "print"])
+
+    return run
+
+
+def _sieve(prints: DataFrame, window: int) -> dict[int, np.ndarray]:
+    """{n: bits}: which hashes, by their low bits, may be prints for windows of n words."""
+    size = {}
+    for r in prints.groupBy("n").count().collect():  # `window` rows at most
+        size[r["n"]] = 1 << max(10, min(SIEVE_BITS[r["n"] < window], (16 * r["count"]).bit_length()))
+    if not size:
+        return {}
+    masks = F.create_map(*[F.lit(x) for n, bits in size.items() for x in (n, bits - 1)])
+    low = F.col("print").bitwiseAND(F.element_at(masks, F.col("n")).cast("long"))
+    # Distinct places, as bits of 64 together: a 64th of the sieve's bits at most.
+    words = prints.select("n", F.shiftright(low, 6).cast("int").alias("at"), F.expr("shiftleft(1L, cast(print & 63 as int))").alias("bit"))
+    rows = words.groupBy("n", "at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    n, at, bits = (rows[c].to_numpy() for c in ("n", "at", "bits"))
+    out = {}
+    for k, total in size.items():
+        plane = np.zeros(total >> 6, np.int64)
+        plane[at[n == k]] = bits[n == k]
+        out[k] = plane.view(np.uint8)
+    return out
+
+
+def _sifted(plane: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = (h & np.uint64(8 * len(plane) - 1)).astype(np.int64)
+    return (plane[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _met(sieve, window: int):
+    """(text1, text2, n, print, at): prints of the documents that pass the sieve, and their places.
+    Equal prints of one text are one row."""
+
+    def run(batches):
+        planes = sieve.value
+        for batch in batches:
+            keys = [batch.column(i) for i in (0, 1)]
+            for row0, _, _, _, first, h in _tokens(batch.column(2)):
+                for n, plane in planes.items():
+                    if n == window:
+                        g, at = _prints(h, first, window)
+                    else:
+                        at = np.flatnonzero(tn.gram_rows(first, n, max(0, len(h) - n + 1)))
+                        g = _window_hash(h, at, n)
+                    ok = _sifted(plane, g)
+                    g, at = g[ok], at[ok]
+                    if not len(g):
                         continue
-                    mask = np.zeros(n, bool)
-                    for x, y in here:
-                        mask[x:y] = True
-                    spans.append([{"a": int(x), "b": int(y)} for x, y in zip(*tn.runs(mask), strict=True)])
-                    items.append(sorted(names[r] | set(old_items[row0 + r] if again else ()), key=lambda x: (x is None, x or "")))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(counts, pa.int64()), pa.array(spans, _SPAN), pa.array(items, pa.list_(pa.string()))],
-                names=[*keep, WORDS, SPANS, ITEMS],
-            )
+                    row = np.searchsorted(first, at, "right") - 1
+                    order = np.lexsort((at, g, row))
+                    g, at, row = g[order], at[order], row[order]
+                    new = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (row[1:] != row[:-1])]))
+                    lists = pa.ListArray.from_arrays(np.append(new, len(g)).astype(np.int32), pa.array((at - first[row]).astype(np.int32)))
+                    where = pa.array(row0 + row[new])
+                    yield pa.RecordBatch.from_arrays([keys[0].take(where), keys[1].take(where), pa.array(np.full(len(new), n, np.int32)), pa.array(g[new].view(np.int64)), lists], names=[*KEYS, "n", "print", "at"])
+
+    return run
+
+
+def _windows_around(window: int):
+    """(text1, text2, n, hash, at, words): the windows that hold a print that was met, once for each
+    different window of a text, with all its places. Rows: text1, text2, text, met (n, at)."""
+
+    def run(batches):
+        for batch in batches:
+            met = batch.column(3)
+            for row0, data, starts, ends, first, h in _tokens(batch.column(2)):
+                for r in range(len(first) - 1):
+                    a, b = int(first[r]), int(first[r + 1])
+                    by_n: dict[int, list[int]] = {}
+                    for m in met[row0 + r].as_py():
+                        by_n.setdefault(m["n"], []).extend(m["at"])
+                    for n, places in by_n.items():
+                        at = np.array(places, np.int64)
+                        if n == window:
+                            at = np.unique((at[:, None] - np.arange(window - GRAM_WORDS + 1)).ravel())
+                            at = at[(at >= 0) & (at + n <= b - a)]
+                        if not len(at):
+                            continue
+                        w = _window_hash(h, a + at, n)
+                        order = np.lexsort((at, w))
+                        w, at = w[order], at[order]
+                        new = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+                        lists = pa.ListArray.from_arrays(np.append(new, len(w)).astype(np.int32), pa.array(at.astype(np.int32)))
+                        text = [_words(data, starts, ends, a + x, n) for x in at[new].tolist()]
+                        own = [pa.array([k[row0 + r].as_py()] * len(new), pa.int64()) for k in (batch.column(0), batch.column(1))]
+                        yield pa.RecordBatch.from_arrays([*own, pa.array(np.full(len(new), n, np.int32)), pa.array(w[new].view(np.int64)), lists, pa.array(text, pa.binary())], names=[*KEYS, "n", "hash", "at", "words"])
 
     return run
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, nameless: bool):
-    """The benchmark in pieces of BLOCK_BYTES; only one piece at a time is on the driver."""
-    wanted = "t is not null" if nameless else "i is not null and t is not null"
-    held, size = [], 0
-    for r in benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).filter(wanted).toLocalIterator():
-        held.append((r["i"], r["t"]))
-        size += len(r["t"])
-        if size >= BLOCK_BYTES:
-            yield held
-            held, size = [], 0
-    yield held
+def _spans(table: pa.Table) -> pa.Table:
+    """One text: the words inside its hits, as spans. Rows: text1, text2, n, at, items."""
+    lengths, lists = table["n"].to_pylist(), table["at"]
+    a = np.concatenate([x.values.to_numpy() for x in lists]).astype(np.int64)
+    n = np.repeat(np.array(lengths, np.int64), [len(x) for x in lists])
+    mask = np.zeros(int((a + n).max()) + 1, np.int64)
+    np.add.at(mask, a, 1)
+    np.subtract.at(mask, a + n, 1)
+    spans = [{"a": int(x), "b": int(y)} for x, y in zip(*tn.runs(np.cumsum(mask) > 0), strict=True)]
+    items = set().union(*table["items"].to_pylist())
+    nameless = any(table["nameless"].to_pylist())
+    return pa.table({**{k: table[k].slice(0, 1) for k in KEYS}, SPANS: pa.array([spans], _SPAN), ITEMS: pa.array([sorted(items) + [None] * nameless], pa.list_(pa.string()))})
+
+
+def text_hits(texts: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """(text1, text2, __sl_spans, __sl_items) of the texts that hold a window of the benchmark.
+    texts: (text1, text2, text), may repeat. benchmark: (item, text)."""
+    spark = texts.sparkSession
+    prints = materialize(benchmark.mapInArrow(_item_prints(window), "n int, print long").distinct())
+    # Equal windows of the benchmark are one row; a window is of few items.
+    windows = benchmark.mapInArrow(_item_windows(window), "item string, n int, hash long, words binary")
+    windows = windows.groupBy("n", "hash", "words").agg(F.collect_set("item").alias("items"), F.max(F.col("item").isNull()).alias("nameless"))
+    sieve = spark.sparkContext.broadcast(_sieve(prints, window))
+    met = materialize(texts.mapInArrow(_met(sieve, window), f"{KEYS[0]} long, {KEYS[1]} long, n int, print long, at array<int>").distinct())
+    many = met.groupBy("n", "print").agg(F.count(F.lit(1)).alias("c"))
+    met = met.withColumn("key", F.struct("n", "print"))
+    # A print is hot in more than HOT texts and a 1,000th of all that passed: fewer than 1,000 prints.
+    hot_rows = max(HOT, met.count() // 1_000)
+    hot = many.filter(F.col("c") > hot_rows).select(F.struct("n", "print").alias("key"))
+    true = spread_join(met.drop("n", "print"), prints.select(F.struct("n", "print").alias("key")), "key", hot, KEYS[0])
+    per_text = materialize(true.select(*KEYS, F.struct("key.n", "at").alias("m")).groupBy(*KEYS).agg(F.collect_list("m").alias("met")))
+    once = texts.join(per_text, KEYS).dropDuplicates(KEYS).select(*KEYS, "text", "met")
+    around = materialize(once.mapInArrow(_windows_around(window), f"{KEYS[0]} long, {KEYS[1]} long, n int, hash long, at array<int>, words binary"))
+    around = around.withColumn("key", F.struct("n", "hash", "words"))
+    often = around.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > max(HOT, around.count() // 1_000)).select("key")
+    hits = spread_join(around.drop("n", "hash", "words"), windows.select(F.struct("n", "hash", "words").alias("key"), "items", "nameless"), "key", often, KEYS[0])
+    hits = hits.select(*KEYS, F.col("key.n").alias("n"), "at", "items", "nameless")
+    return hits.groupBy(*KEYS).applyInArrow(_spans, f"{KEYS[0]} long, {KEYS[1]} long, {SPANS} array<struct<a:long,b:long>>, {ITEMS} array<string>")
+
+
+def _counted(keep: int):
+    """The kept columns, the keys, and the number of words."""
+
+    def run(batches):
+        for batch in batches:
+            n = np.zeros(batch.num_rows, np.int64)
+            for row0, data, at in tn.slices(batch.column(keep)):
+                first = tn.words(tn.LOWERED[data], at, tn.ALNUM)[2]
+                n[row0 : row0 + len(at) - 1] = np.diff(first)
+            names = [c for i, c in enumerate(batch.schema.names) if i != keep]
+            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != keep), pa.array(n)], names=[*names, WORDS])
+
+    return run
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", keep: list[str] | None = None, nameless: bool = False) -> DataFrame:
@@ -153,24 +242,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_
 
     A window is `window` neighbouring words of an item, or all words of a shorter item; an
     item without words or text has none. Nor has one without id, unless nameless: then its windows
-    count, and __sl_items ends with one null for all such items. Null text has no words. Repeated rows are rows
-    of their own; empty tables are fine. A benchmark above BLOCK_BYTES goes through the
-    documents in several passes, so what is broadcast stays bounded.
+    count, and __sl_items ends with one null for all such items. Null text has no words. Repeated
+    rows are rows of their own; empty tables are fine. Texts are told apart by 128 bits.
+    Only a sieve of fixed size goes to the driver and to tasks, whatever the benchmark's size.
     """
-    spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
-    out, again = docs, False
-    for items in _blocks(benchmark, item_col, item_text, nameless):
-        if again:  # rare: another pass for another block
-            out = materialize(out)
-        block = spark.sparkContext.broadcast(_Block(items, window))
-        through = list(dict.fromkeys([*keep, text_col]))
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (docs.schema[c] for c in through))
-        schema += f", {WORDS} long, {SPANS} array<struct<a:long,b:long>>, {ITEMS} array<string>"
-        # The text travels on only while another block may need it; the last select drops it.
-        out = out.mapInArrow(_hits(block, through, text_col, again), schema)
-        again = True
-    return out.select(*[F.col(f"`{c}`") for c in keep], WORDS, SPANS, ITEMS)
+    keys = [F.xxhash64(*salt, F.col(text_col)).alias(k) for salt, k in zip(([], [F.lit(1)]), KEYS, strict=True)]
+    texts = docs.filter(F.col(text_col).isNotNull()).select(*keys, F.col(text_col).alias("text"))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text")).filter("text is not null" if nameless else "item is not null and text is not null")
+    # Written, so that its size is known: a small table of hits is broadcast, not the documents shuffled.
+    hits = materialize(text_hits(texts, items, window))
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    kept = docs.select(*[F.col(f"`{c}`") for c in keep], *keys, F.coalesce(F.col(text_col), F.lit("")).alias(f"{P}text"))
+    names = f"{schema}{', ' * bool(keep)}{KEYS[0]} long, {KEYS[1]} long, {WORDS} long"
+    out = kept.mapInArrow(_counted(len(keep) + 2), names).join(hits, KEYS, "left")
+    none = F.array().cast("array<struct<a:long,b:long>>"), F.array().cast("array<string>")
+    return out.select(*[F.col(f"`{c}`") for c in keep], WORDS, F.coalesce(SPANS, none[0]).alias(SPANS), F.coalesce(ITEMS, none[1]).alias(ITEMS))
 
 
 def hit_words() -> Column:
