@@ -1,12 +1,23 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model over characters, trained on
-trusted text; a document's perplexity is held against quantiles of trusted text in its language.
-Models of the same kind are trained on labelled toxic and labelled bad text: the window of a
-document that is likeliest under one of them, against the trusted model, shows single passages.
-
-Symbols are the most frequent bytes of the trusted text, one for a blank and one for all others.
-The counts of n-grams, their continuation counts and discounts are joined by context in Spark.
-The model has at most `SYMBOLS ** ORDER` probabilities however large the corpus is, so a dense
-table of them is broadcast and each position of each text is one look-up.
+"""Quality classifier: an interpolated modified Kneser-Ney model over words, trained on trusted text;
+a document's perplexity is held against quantiles of trusted text in its language. Labelled toxic and
+labelled bad text give rivals: Kneser-Ney unigrams, interpolated with the trusted model's. The
+passage of a document that a rival makes likeliest, against the trusted unigrams, shows single
+words that a whole document's perplexity hides. Rivals don't go beyond unigrams, and leave out words
+with few different left neighbours, so that they don't learn passages by heart that labelled texts
+share with clean ones. To them a word that repeats the one before it is one and the same token.
+
+An interpolated model is a sum. With g(h) the weight that a context h leaves to shorter ones,
+
+    log P(c | a b) = W(c) + W(b c) + W(a b c),     each term 0 if the n-gram was never seen,
+    W(c)     = log p(c),
+    W(b c)   = log p(c | b) - log p(c)  - log g(b),
+    W(a b c) = log p(c | a b) - log p(c | b) - log g(a b),
+
+and log g(b), log g(a b) where b, a b are contexts, which is folded into W(b) and W(a b). So the log
+probability of a text is the sum of one number for each of its n-grams: a join of the documents'
+n-grams with the model, sharded by hash (gramjoin.py). Counts, continuation counts, discounts and
+contexts are joined in Spark as well. Frequent n-grams are broadcast, in bounded number; a sieve of
+bounded size keeps n-grams that no model has out of the join.
 """
 
 from __future__ import annotations
@@ -18,117 +29,190 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import gramjoin
 from . import textnum as tn
 from .common import P, materialize
 
-ORDER = 4
-SYMBOLS = 48
-#: Labelled documents that the model is trained on, at most (within a few per cent). Limits are
+ORDER = 3
+#: Labelled documents that a model is trained on, at most (within a few per cent). Limits are
 #: of all that it isn't trained on.
 MAX_TRUSTED = 8_000
 TRUSTED = "quality = 1 and coalesce(toxic, 0) = 0"
 #: Labels of the texts that a rival model is trained on.
 RIVALS = ("toxic = 1", "quality = 0 and coalesce(toxic, 0) = 0")
-#: Bytes in which a rival is held against the trusted model.
-PASSAGE = 48
-
-
-def alphabet(text: DataFrame) -> np.ndarray:
-    """Byte -> symbol: 0 for blanks, 1 for rare bytes, the rest by frequency. text: one column."""
-
-    def count(batches):
-        n = np.zeros(256, np.int64)
-        for batch in batches:
-            for _, data, _ in tn.slices(batch.column(0)):
-                n += np.bincount(data, minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256), pa.int32()), pa.array(n, pa.int64())], names=["byte", "n"])
-
-    out = np.ones(256, np.uint8)
-    rows = text.mapInArrow(count, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()  # 256 rows
-    ranked = sorted((-r["n"], r["byte"]) for r in rows if r["n"] and not tn.BLANK[r["byte"]])
-    for i, (_, byte) in enumerate(ranked[: SYMBOLS - 2]):
-        out[byte] = i + 2
-    out[tn.BLANK] = 0
-    return out
-
-
-def _codes(data: np.ndarray, at: np.ndarray, table: np.ndarray):
-    """Per byte: the code of the ORDER symbols that end there (blanks stand before a text; the
-    digits of a code are symbols, to the base SYMBOLS), and the text number."""
-    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    sym = table[data].astype(np.int64)
-    place = np.arange(len(data)) - at[:-1][row] if len(data) else np.zeros(0, np.int64)
-    code = sym.copy()
-    for j in range(1, min(ORDER, len(sym))):
-        before = np.zeros(len(sym), np.int64)
-        before[j:] = sym[:-j]
-        before[place < j] = 0
-        code += before * SYMBOLS**j
-    return code, row
-
-
-def ngrams(text: DataFrame, table: np.ndarray) -> DataFrame:
-    """(gram, n): counts of all n-grams of the highest order, summed within tasks first."""
-
-    def count(batches):
-        seen, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            for _, data, at in tn.slices(batch.column(0)):
-                more, times = np.unique(_codes(data, at, table)[0], return_counts=True)
-                seen, place = np.unique(np.concatenate([seen, more]), return_inverse=True)
-                n = np.bincount(place, np.concatenate([n, times]), len(seen)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(n, pa.int64())], names=["gram", "n"])
-
-    return text.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def kneser_ney(counts: DataFrame) -> list[DataFrame]:
-    """Per order from 1 up: (gram, context, p, back): the discounted probability of a gram after
-    its context, and the context's weight for the next lower order. Interpolation adds them up.
-
-    counts: (gram, n) of the highest order. Lower orders count distinct left neighbours.
-    """
-    levels = [materialize(counts)]
-    for k in range(ORDER - 1, 0, -1):
-        shorter = F.pmod("gram", F.lit(SYMBOLS**k))
-        levels.insert(0, materialize(levels[0].groupBy(shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n"))))
-    out = []
-    for level in levels:
-        many = {r["n"]: r["t"] for r in level.filter("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("t")).collect()}
-        t1, t2, t3, t4 = (many.get(i, 0) for i in (1, 2, 3, 4))
-        y = t1 / (t1 + 2 * t2) if t1 and t2 else 0.5
-        d = [min(max(i - (i + 1) * y * b / a, 0.1), i) if a and b else 0.5 for i, a, b in ((1, t1, t2), (2, t2, t3), (3, t3, t4))]
-        discount = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        grams = level.withColumn("context", F.expr(f"gram div {SYMBOLS}")).withColumn("d", discount)
-        totals = grams.groupBy("context").agg(F.sum("n").alias("all"), F.sum("d").alias("held"))
-        out.append(grams.join(totals, "context").select("gram", "context", ((F.col("n") - F.col("d")) / F.col("all")).alias("p"), (F.col("held") / F.col("all")).alias("back")))
-    return out
-
-
-def train(text: DataFrame, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(alphabet, log10 probability of the last symbol of each code). text: one column. table: an
-    alphabet to use; else that of the text."""
-    table = alphabet(text) if table is None else table
-    dense = np.full(1, 1.0 / SYMBOLS, np.float32)
-    for k, level in enumerate(kneser_ney(ngrams(text, table))):
-        # SYMBOLS ** (k + 1) rows at most; a context that was never seen backs off whole.
-        rows = level.toArrow()
-        gram, context = rows["gram"].to_numpy(), rows["context"].to_numpy()
-        back = np.ones(SYMBOLS**k, np.float32)
-        back[context] = rows["back"].to_numpy()
-        lower = np.tile(dense, SYMBOLS)
-        dense = (lower.reshape(-1, SYMBOLS) * back[:, None]).ravel()
-        dense[gram] += rows["p"].to_numpy().astype(np.float32)
-    return table, np.log10(dense)
+#: Tokens in which a rival is held against the trusted model.
+PASSAGE = 8
+#: Different left neighbours that a word of a rival has, at least.
+NEIGHBOURS = 4
+#: N-grams of each order, and words of a rival, that are broadcast, at most; places of the sieve, as a
+#: power of two.
+HEADS, SIEVE_BITS = 20_000, 27
+_U = np.uint64
+END, BEGIN, AGAIN = _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F), _U(0x8EBC6AF09C88C6E3)
+_ORDERS = (_U(0), _U(0x9E6C63D0676A9A99), _U(0xB5AD4ECEDA1CE2A9))
+
+
+class Tokens:
+    """Tokens of some texts: words lower-cased and an end each. h: per token; first: per text."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray):
+        data = tn.LOWERED[data]
+        starts, ends, first = tn.words(data, at)
+        n = len(at) - 1
+        self.first = first + np.arange(n + 1)
+        self.h = np.full(len(starts) + n, END)
+        self.h[np.arange(len(starts)) + tn.text_of(first, len(starts))] = tn.span_hash(data, starts, ends)
+        self.row = np.repeat(np.arange(n), np.diff(self.first))
+        self.place = np.arange(len(self.h)) - self.first[:-1][self.row]
+
+    def before(self, k: int) -> np.ndarray:
+        """The token k places before each, or BEGIN."""
+        out = np.full(len(self.h), BEGIN)
+        out[k:] = self.h[:-k] if len(self.h) > k else BEGIN
+        out[self.place < k] = BEGIN
+        return out
+
+    def for_rivals(self) -> np.ndarray:
+        return np.where(self.h == self.before(1), AGAIN, self.h)
+
+    def grams(self) -> list[np.ndarray]:
+        """Hashes of the n-grams of each order that end at each token."""
+        a, b = self.before(2), self.before(1)
+        return [self.h, gram_hash(b, self.h), gram_hash(a, b, self.h)]
+
+
+def gram_hash(*h: np.ndarray) -> np.ndarray:
+    out = h[0]
+    for x in h[1:]:
+        out = out * tn.GRAM + x
+    return tn.mix(out ^ _ORDERS[len(h) - 1])
+
+
+_TRIGRAMS = "set int, abc long, ab long, bc long, b long, c long, n long"
+
+
+def _trigrams(batches):
+    """Counts of the trigrams of rows (set, text), summed within a batch."""
+    for batch in batches:
+        sets = batch.column(0).to_numpy(zero_copy_only=False)
+        for row0, data, at in tn.slices(batch.column(1)):
+            t = Tokens(data, at)
+            a, b = t.before(2), t.before(1)
+            abc, own = gram_hash(a, b, t.h), sets[row0 + t.row].astype(np.int64)
+            order = np.lexsort((abc, own))
+            cut, end = gramjoin._pair_cuts(abc[order], own[order].astype(np.uint64))
+            at = order[cut]
+            c = np.where(own[at] > 0, t.for_rivals()[at], t.h[at])
+            columns = [abc[at], gram_hash(a[at], b[at]), gram_hash(b[at], t.h[at]), b[at], c]
+            yield pa.RecordBatch.from_arrays([pa.array(own[at].astype(np.int32)), *(pa.array(x.view(np.int64)) for x in columns), pa.array(end - cut)], names=["set", "abc", "ab", "bc", "b", "c", "n"])
+
+
+def _discounted(level: DataFrame) -> DataFrame:
+    """level (set, ..., n) with the modified discount d of each count."""
+    many: dict[int, dict[int, int]] = {}
+    for r in level.filter("n <= 4").groupBy("set", "n").agg(F.count(F.lit(1)).alias("t")).collect():  # 4 rows a set
+        many.setdefault(r["set"], {})[r["n"]] = r["t"]
+    out = F.lit(0.5)
+    for s, counts in many.items():
+        t = [counts.get(i, 0) for i in (1, 2, 3, 4)]
+        y = t[0] / (t[0] + 2 * t[1]) if t[0] and t[1] else 0.5
+        d = [min(max(i - (i + 1) * y * t[i] / t[i - 1], 0.1), i) if t[i - 1] and t[i] else 0.5 for i in (1, 2, 3)]
+        own = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+        out = F.when(F.col("set") == s, own).otherwise(out)
+    return level.withColumn("d", out)
+
+
+def kneser_ney(text: DataFrame) -> tuple[DataFrame, list[DataFrame], list[float], float, float]:
+    """(model, rivals, left, unknown, start). model: rows (order, hash, w, raw) of the n-grams of set 0, the
+    trusted one; w of a unigram is less that of an unknown token; raw: its count. rivals: for each
+    other set rows (hash, ratio, n), log10 of how much likelier than set 0 it makes a word, and left: the
+    same of all other words. unknown: log10 probability of an unknown token; start: what each text
+    begins with. text: (set, text)."""
+    key = ["set", "abc", "ab", "bc", "b", "c"]
+    every = materialize(text.mapInArrow(_trigrams, _TRIGRAMS).groupBy(*key).agg(F.sum("n").alias("n")))
+    # Lower orders count distinct left neighbours; after the begin of a text there is but one.
+    first = int(BEGIN.view(np.int64))
+    bi = every.groupBy("set", "bc", "b", "c").agg(F.when(F.first("b") == F.lit(first), F.sum("n")).otherwise(F.count(F.lit(1))).alias("n"), F.sum("n").alias("raw"))
+    bi = materialize(bi)
+    uni = materialize(_discounted(materialize(bi.groupBy("set", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("raw").alias("raw")))))
+    totals = {r["set"]: (r["n"], r["d"], r["v"]) for r in uni.groupBy("set").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.count(F.lit(1)).alias("v")).collect()}  # a row a set
+    n, d, v = totals.get(0, (1, 1.0, 0))
+    unknown = d / n / (v + 1)
+    of = lambda level: level.filter("set = 0").drop("set")
+    p1 = materialize(of(uni).select("c", ((F.col("n") - F.col("d")) / n + unknown).alias("p"), "raw"))
+    again = bi.filter("set = 0 and b = c").agg(F.lit(int(AGAIN.view(np.int64))).alias("c"), ((F.count(F.lit(1)) + 1) / F.lit(n)).alias("under"))
+    under = p1.select("c", F.col("p").alias("under")).union(again)
+    rivals, left = [], []
+    for s in range(1, 1 + len(RIVALS)):
+        if s not in totals or 0 not in totals:
+            rivals.append(None)
+            left.append(0.0)
+            continue
+        # What its words of few neighbours have goes to the trusted unigrams, as discounts do.
+        all_ = totals[s][0]
+        own = uni.filter((F.col("set") == s) & (F.col("n") >= max(NEIGHBOURS, all_ // HEADS + 1)))
+        rest = 1.0 - (own.agg(F.sum(F.col("n") - F.col("d"))).first()[0] or 0.0) / all_
+        own = own.join(under, "c", "left").fillna({"under": unknown})
+        rivals.append(own.select(F.col("c").alias("hash"), F.log10((F.col("n") - F.col("d")) / all_ / F.col("under") + rest).alias("ratio")))
+        left.append(float(np.log10(rest)))
+    tri, bi = (materialize(_discounted(x.filter("set = 0"))).drop("set") for x in (every, bi))
+    g2 = materialize(bi.groupBy("b").agg(F.sum("n").alias("all2"), (F.sum("d") / F.sum("n")).alias("g2")))
+    g3 = materialize(tri.groupBy("ab").agg(F.sum("n").alias("all3"), (F.sum("d") / F.sum("n")).alias("g3")))
+    log, none = F.log10, F.lit(0.0)
+    p2 = bi.join(g2, "b").join(p1.select("c", F.col("p").alias("p1")), "c")
+    p2 = materialize(p2.select("bc", "raw", "g2", "p1", ((F.col("n") - F.col("d")) / F.col("all2") + F.col("g2") * F.col("p1")).alias("p")))
+    after = g2.select(F.col("b").alias("c"), log("g2").alias("after"))
+    one = p1.join(after, "c", "left").select(F.lit(1).alias("order"), F.col("c").alias("hash"), (log("p") - float(np.log10(unknown)) + F.coalesce("after", none)).alias("w"), "raw")
+    after = g3.select(F.col("ab").alias("bc"), log("g3").alias("after"))
+    two = p2.join(after, "bc", "left").select(F.lit(2).alias("order"), F.col("bc").alias("hash"), (log("p") - log("p1") - log("g2") + F.coalesce("after", none)).alias("w"), "raw")
+    p3 = tri.join(g3, "ab").join(p2.select("bc", F.col("p").alias("p2")), "bc")
+    three = p3.select(F.lit(3).alias("order"), F.col("abc").alias("hash"), (log((F.col("n") - F.col("d")) / F.col("all3") + F.col("g3") * F.col("p2")) - log("p2") - log("g3")).alias("w"), F.col("n").alias("raw"))
+    both = int(gram_hash(np.array([BEGIN]), np.array([BEGIN])).view(np.int64)[0])
+    start = g2.filter(F.col("b") == first).select(log("g2").alias("x")).union(g3.filter(F.col("ab") == both).select(log("g3"))).agg(F.sum("x")).first()[0]
+    return one.union(two).union(three), rivals, left, float(np.log10(unknown)), start or 0.0
+
+
+def _sieve(table: DataFrame, n: int) -> np.ndarray:
+    """A bit for the low bits of each hash of the table; 16 bits a hash, 2**SIEVE_BITS at most."""
+    size = 1 << max(10, min(SIEVE_BITS, (16 * n).bit_length()))
+    low = F.col("hash").bitwiseAND(F.lit(size - 1).cast("long"))
+    words = table.select(F.shiftright(low, 6).cast("int").alias("at"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("bit"))
+    rows = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    plane = np.zeros(size >> 6, np.int64)
+    plane[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+    return plane.view(np.uint8)
+
+
+def _sorted(rows: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes ascending, values) of rows (hash, value), few enough for a broadcast."""
+    rows = rows.select("hash", value).toArrow()
+    h = rows["hash"].to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    return h[order], rows[value].to_numpy()[order].astype(np.float64)
+
+
+def _heads(table: DataFrame) -> DataFrame:
+    """HEADS n-grams of each order at most, those with the highest counts."""
+    total = {r["order"]: r["n"] for r in table.groupBy("order").agg(F.sum("raw").alias("n")).collect()}  # ORDER rows
+    return table.filter(reduce(lambda x, y: x | y, [(F.col("order") == o) & (F.col("raw") > n // HEADS) for o, n in total.items()], F.lit(False)))
+
+
+def _at(have: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of h are there, the places of those)."""
+    if not len(have):
+        return np.zeros(len(h), bool), np.zeros(0, np.int64)
+    at = np.searchsorted(have, h)
+    at[at == len(have)] = 0
+    found = have[at] == h
+    return found, at[found]
 
 
 def _highest(value: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """Per text: the highest sum over `width` neighbours, or over all of a shorter text."""
     total = np.concatenate([[0.0], np.cumsum(value)])
-    # The window that starts at each byte, as far as its text goes.
-    begin = np.arange(len(value))
+    # The window that starts at each token, as far as its text goes.
     row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    begin = np.maximum(at[:-1][row], np.minimum(begin, at[1:][row] - width))
+    begin = np.maximum(at[:-1][row], np.minimum(np.arange(len(value)), at[1:][row] - width))
     ends = np.minimum(begin + width, at[1:][row])
     out = np.full(len(at) - 1, -np.inf)
     some = np.flatnonzero(np.diff(at))
@@ -137,71 +221,102 @@ def _highest(value: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _score(model, keep: list[str], text_col: str):
-    def run(batches):
-        table, dense, *ratios = model.value
+def _sent(model, shards: int):
+    """The n-grams of rows (id, lang, key1, key2, text) to the shards; a unit is a text."""
+
+    def pieces(batches):
+        sieve, head, head_w, rivals = model.value
+        low = _U(8 * len(sieve) - 1)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text_col))
-            loss, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            rivals = [np.full(batch.num_rows, -np.inf) for _ in RIVALS]
-            for first, data, at in tn.slices(column):
-                codes, row = _codes(data, at, table)
-                here = slice(first, first + len(at) - 1)
-                loss[here] = np.bincount(row, dense[codes], len(at) - 1)
-                n[here] = np.diff(at)
-                for out, ratio in zip(rivals, ratios, strict=False):
-                    if ratio is not None:
-                        out[here] = _highest(ratio[codes].astype(np.float64), at, PASSAGE)
-            value = 10 ** (-loss / np.maximum(n, 1))
-            numbers = [pa.array(np.where(n > 0, value, np.nan), pa.float64(), from_pandas=True), pa.array(n, pa.int64())]
-            numbers += [pa.array(np.where(np.isfinite(x), x, np.nan), pa.float64(), from_pandas=True) for x in rivals]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), *numbers], names=[*keep, PERPLEXITY, N_BYTES, *RATIOS])
+            ids, langs, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [batch.column(i).to_numpy() for i in (2, 3)]
+            for row0, data, at in tn.slices(batch.column(4), 1 << 19):
+                t = Tokens(data, at)
+                n = len(at) - 1
+                known, out_h, out_row = np.zeros(n), [], []
+                for h in t.grams():
+                    place = (h & low).astype(np.int64)
+                    some = np.flatnonzero((sieve[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+                    h, row = h[some], t.row[some]
+                    here, spot = _at(head, h)
+                    known += np.bincount(row[here], head_w[spot], n)
+                    out_h.append(h[~here])
+                    out_row.append(row[~here])
+                own = {"id": np.array([ids[row0 + r] for r in range(n)], object), "lang": np.array([langs[row0 + r] for r in range(n)], object)}
+                own |= {"key1": keys[0][row0 : row0 + n], "key2": keys[1][row0 : row0 + n], "tokens": np.diff(t.first), "units": np.ones(n, np.int64), "known": known}
+                for c, rival in zip(RATIOS, rivals, strict=True):
+                    if rival is None:
+                        own[c] = np.full(n, np.nan)
+                        continue
+                    words, ratio, left = rival
+                    here, spot = _at(words, t.for_rivals())
+                    value = np.full(len(t.h), left)
+                    value[here] = ratio[spot]
+                    value[t.h == END] = 0.0
+                    own[c] = _highest(value, t.first, PASSAGE)
+                yield np.concatenate(out_h), np.concatenate(out_row), n, own
+
+    return lambda batches: gramjoin.send(pieces(batches), shards)
+
+
+PERPLEXITY, N_TOKENS = f"{P}perplexity", f"{P}tokens"
+RATIOS = [f"{P}rival{i}" for i in range(len(RIVALS))]
+ID, LANG, KEYS = f"{P}id", f"{P}lang", [f"{P}text1", f"{P}text2"]
+
+
+def _finish(unknown: float, start: float):
+    """Perplexity per token of each text; a text without words has none."""
+    names = [ID, LANG, *KEYS, N_TOKENS, PERPLEXITY, *RATIOS]
+
+    def run(own: dict, sums: np.ndarray) -> pa.Table:
+        n = own["tokens"]
+        value = 10.0 ** (-(sums[:, 0] + own["known"] + start) / n - unknown)
+        numbers = [pa.array(np.where(n > 1, x, np.nan), pa.float64(), from_pandas=True) for x in (value, *(own[c] for c in RATIOS))]
+        return pa.table([pa.array(own["id"].tolist(), pa.int64()), pa.array(own["lang"].tolist(), pa.string()), pa.array(own["key1"]), pa.array(own["key2"]), pa.array(n - 1), *numbers], names=names)
 
     return run
 
 
-PERPLEXITY, N_BYTES = f"{P}perplexity", f"{P}bytes"
-RATIOS = [f"{P}rival{i}" for i in range(len(RIVALS))]
-#: Texts of one language and one length class (a power of four of bytes) are held against each other.
-CLASSES = (64, 256, 1024)
+def scores(docs: DataFrame, training: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(__sl_id, __sl_lang, two keys of the text, __sl_tokens (words), __sl_perplexity (null without
+    words), and for each rival the log10 of how much likelier than the trusted unigrams it makes the
+    PASSAGE tokens that suit it best): one row per row of docs. training: (set, text)."""
+    model, rivals, left, unknown, start = kneser_ney(training)
+    table = materialize(model)
+    n = table.count()
+    shards = 1 << max(5, (n >> 17).bit_length())
+    words = [(*_sorted(r, "ratio"), x) if r is not None else None for r, x in zip(rivals, left, strict=True)]
+    known = docs.sparkSession.sparkContext.broadcast((_sieve(table, n), *_sorted(_heads(table), "w"), words))
+    rows = docs.select(F.col(id_col).cast("long"), F.col(lang_col).cast("string"), *text_keys(text_col), F.col(text_col))
+    sent = rows.mapInArrow(_sent(known, shards), gramjoin.SENT)
+    schema = f"{ID} long, {LANG} string, {KEYS[0]} long, {KEYS[1]} long, {N_TOKENS} long, {PERPLEXITY} double, {', '.join(f'{c} double' for c in RATIOS)}"
+    return gramjoin.sums(sent, gramjoin.packed_table(table.select("hash", "w"), ["w"], shards, np.float32), 1, np.float32, _finish(unknown, start), schema)
 
 
-def perplexities(docs: DataFrame, model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns of docs (all by default), __sl_perplexity (per byte; null without text),
-    __sl_bytes, and for each rival the log10 of how much likelier than the trusted model it makes
-    the PASSAGE bytes that suit it best. model: a broadcast of what train() gives, and for each
-    rival the log10 ratio of each code, or None."""
-    keep = docs.columns if keep is None else keep
-    through = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return through.mapInArrow(_score(model, keep, text_col), f"{schema}, {PERPLEXITY} double, {N_BYTES} long, {', '.join(f'{c} double' for c in RATIOS)}")
+def text_keys(text_col: str):
+    return [F.xxhash64(*salt, F.col(text_col)).alias(k) for salt, k in zip(([], [F.lit(1)]), KEYS, strict=True)]
 
 
 def _labelled(labels: DataFrame, id_col: str, which: str) -> DataFrame:
     """(__sl_id): the ids whose labels are like that, once each."""
-    return labels.filter(which).select(F.col(id_col).alias(f"{P}id")).filter(F.col(f"{P}id").isNotNull()).distinct()
+    return labels.filter(which).select(F.col(id_col).cast("long").alias(ID)).filter(F.col(ID).isNotNull()).distinct()
 
 
-def _in_training(ids: DataFrame, id_col: str, most: int):
+def _in_training(ids: DataFrame, most: int):
     """Whether an id of ids is one of the model's: three quarters of about `most` ids, by hash."""
     stride = max(1, -(-ids.count() // most))
-    return (F.pmod(F.xxhash64(id_col), F.lit(stride)) == 0) & (F.pmod(F.xxhash64(F.lit("held out"), id_col), F.lit(4)) != 0)
+    return (F.pmod(F.xxhash64(ID), F.lit(stride)) == 0) & (F.pmod(F.xxhash64(F.lit("held out"), ID), F.lit(4)) != 0)
 
 
-def _training_text(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    some = ids.filter(_in_training(ids, f"{P}id", most))
-    # Some `most` ids: a proven bound for the broadcast.
-    return materialize(docs.join(F.broadcast(some), F.col(id_col) == F.col(f"{P}id"), "left_semi").select(text_col))
+CLASS = f"{P}class"
+#: Texts of one language and one length class (by words) are held against each other.
+CLASSES = (12, 40, 160)
 
 
-CLASS, LANG = f"{P}class", f"{P}lang"
-
-
-def limits(scored: DataFrame, lang_col: str, quantile: float, slack: float, least: int = 50) -> DataFrame:
+def limits(scored: DataFrame, quantile: float, slack: float, least: int = 50) -> DataFrame:
     """Rows (__sl_lang, __sl_class, q), null for any: the quantile of all perplexities times slack,
     for each language and length class, each language, each class, and all. Those of fewer
     than `least` texts are left out, but not the one of all."""
-    of = scored.filter(F.col(PERPLEXITY).isNotNull()).select(F.col(lang_col).alias("lang"), length_class().alias("class"), F.col(PERPLEXITY).alias("x"))
+    of = scored.filter(F.col(PERPLEXITY).isNotNull()).select(F.col(LANG).alias("lang"), length_class().alias("class"), F.col(PERPLEXITY).alias("x"))
     every = [F.struct(l.alias(LANG), c.alias(CLASS)) for l in (F.col("lang"), F.lit(None).cast("string")) for c in (F.col("class"), F.lit(None).cast("int"))]
     # A text without language counts once in what is for any language.
     sets = of.select("x", F.explode(F.array_distinct(F.array(*every))).alias("s"))
@@ -209,12 +324,12 @@ def limits(scored: DataFrame, lang_col: str, quantile: float, slack: float, leas
     return asked.filter((F.col("n") >= least) | (F.col(LANG).isNull() & F.col(CLASS).isNull())).select(LANG, CLASS, (F.col("q") * slack).alias("q"))
 
 
-def _limited(scored: DataFrame, table: DataFrame, lang_col: str, limit_col: str) -> DataFrame:
+def _limited(scored: DataFrame, table: DataFrame, limit_col: str) -> DataFrame:
     """scored and the most specific limit that the table of limits() has for each row."""
     any_ = {r[CLASS]: r["q"] for r in table.filter(F.col(LANG).isNull()).collect()}  # five rows at most
     both = table.filter(F.col(LANG).isNotNull() & F.col(CLASS).isNotNull()).select(F.col(LANG).alias(f"{P}l2"), F.col(CLASS).alias(f"{P}c2"), F.col("q").alias(f"{P}q2"))
     one = table.filter(F.col(LANG).isNotNull() & F.col(CLASS).isNull()).select(F.col(LANG).alias(f"{P}l1"), F.col("q").alias(f"{P}q1"))
-    out = scored.join(both, (F.col(lang_col) == F.col(f"{P}l2")) & (length_class() == F.col(f"{P}c2")), "left").join(one, F.col(lang_col) == F.col(f"{P}l1"), "left")
+    out = scored.join(both, (F.col(LANG) == F.col(f"{P}l2")) & (length_class() == F.col(f"{P}c2")), "left").join(one, F.col(LANG) == F.col(f"{P}l1"), "left")
     short = F.lit(any_.get(None)).cast("double")
     for c, q in any_.items():
         if c is not None:
@@ -223,61 +338,72 @@ def _limited(scored: DataFrame, table: DataFrame, lang_col: str, limit_col: str)
 
 
 def _rival_limit(good: DataFrame, bad: DataFrame, ratio: str, loss: float, missed: float = 0.05, least: int = 50) -> float | None:
-    """The ratio that a `loss` of trusted texts are above. If almost all labelled bad texts lie
-    above it, the middle between the two. None, so no limit, of few trusted texts."""
+    """The ratio that a `loss` of trusted texts are above, and not below 0, where both are as likely.
+    If almost all labelled bad texts lie above it, the middle between the two. None, so no limit, of
+    few trusted texts."""
     q = good.agg(F.percentile_approx(ratio, 1 - loss, 10000).alias("q"), F.count(ratio).alias("n")).first()
     low = bad.agg(F.percentile_approx(ratio, missed, 10000)).first()[0]
     if low is None or q["n"] < least:
         return None
-    return max(q["q"], (q["q"] + low) / 2)
+    return max(0.0, q["q"], (q["q"] + low) / 2)
 
 
 def length_class():
     out = F.lit(len(CLASSES))
     for i, top in reversed(list(enumerate(CLASSES))):
-        out = F.when(F.col(N_BYTES) < top, i).otherwise(out)
+        out = F.when(F.col(N_TOKENS) < top, i).otherwise(out)
     return out
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.995, slack: float = 1.1, max_trusted: int = MAX_TRUSTED, keep: list[str] | None = None, loss: float = 0.01) -> DataFrame:
-    """The kept columns of docs (all by default), __sl_perplexity, __sl_bytes, __sl_limit and
-    __sl_good.
+LIMIT, GOOD = f"{P}limit", f"{P}good"
+
+
+def verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.995, slack: float = 1.1, max_trusted: int = MAX_TRUSTED, loss: float = 0.01) -> DataFrame:
+    """scores() of docs with __sl_limit and __sl_good: one row per row of docs.
 
-    Trusted text: documents with label quality 1 and toxic not 1. The model is trained on three
-    quarters of about max_trusted of them at most; the limits are of all others. A document is
-    good if its perplexity is at most the quantile of those of its language and length class, times
-    slack, and no passage of it is likelier under a rival model (of toxic, of bad text) than
-    the limit, which a share `loss` of trusted text is above. Null or empty text has no perplexity and isn't good.
-    Without trusted text there is no limit, and every document that has text is good. Without
-    labelled toxic or bad text there is no such rival.
+    Trusted text: documents with label quality 1 and toxic not 1. A model is trained on three
+    quarters of about max_trusted labelled documents at most; the limits are of all others. A document
+    is good if its perplexity per token is at most the quantile of those of its language and length
+    class, times slack, and no passage of it is likelier under a rival model (of toxic, of bad text)
+    than the limit, which a share `loss` of trusted text is above. Text without words (null, empty or
+    blank) has no perplexity and isn't good. Without trusted text there is no limit, and every
+    document that has words is good. Without labelled toxic or bad text there is no such rival.
+    Ids are whole numbers; rows with one id are judged one by one, and share its labels.
     """
-    spark = docs.sparkSession
-    keep = docs.columns if keep is None else keep
-    good = _labelled(labels, id_col, TRUSTED)
-    table, dense = train(_training_text(docs, good, id_col, text_col, max_trusted))
-    sides = [_labelled(labels, id_col, which) for which in RIVALS]
-    ratios = []
-    for ids in sides:
-        text = _training_text(docs, ids, id_col, text_col, max_trusted)
-        ratios.append(train(text, table)[1] - dense if text.head(1) else None)
-    model = spark.sparkContext.broadcast((table, dense, *ratios))
-    # Scores, not texts, meet the labels.
-    sets = [good, *sides]
-    others = [ids.filter(~_in_training(ids, f"{P}id", max_trusted)).withColumn(f"{P}set", F.lit(i)) for i, ids in enumerate(sets)]
-    judged = perplexities(docs, model, text_col, [id_col, lang_col]).join(reduce(DataFrame.union, others), F.col(id_col) == F.col(f"{P}id"))
-    judged = materialize(judged)
+    sides = [_labelled(labels, id_col, which) for which in (TRUSTED, *RIVALS)]
+    chosen = [_in_training(ids, max_trusted) for ids in sides]
+    # Some max_trusted ids a set: a proven bound for the broadcast.
+    taught = reduce(DataFrame.union, [ids.filter(c).withColumn("set", F.lit(s)) for s, (ids, c) in enumerate(zip(sides, chosen, strict=True))])
+    training = docs.join(F.broadcast(taught), F.col(id_col).cast("long") == F.col(ID)).select("set", F.col(text_col).alias("text"))
+    scored = materialize(scores(docs, materialize(training), id_col, text_col, lang_col))
+    others = reduce(DataFrame.union, [ids.filter(~c).select(F.col(ID).alias(f"{P}other"), F.lit(s).alias(f"{P}set")) for s, (ids, c) in enumerate(zip(sides, chosen, strict=True))])
+    judged = materialize(scored.join(others, F.col(ID) == F.col(f"{P}other")))
     trusted = judged.filter(f"{P}set = 0")
-    limit_table = materialize(limits(trusted, lang_col, quantile, slack))
-    through = list(dict.fromkeys([*keep, lang_col]))
-    out = _limited(perplexities(docs, model, text_col, through), limit_table, lang_col, f"{P}limit")
-    good = F.col(PERPLEXITY).isNotNull() & (F.col(f"{P}limit").isNull() | (F.col(PERPLEXITY) <= F.col(f"{P}limit")))
+    out = _limited(scored, materialize(limits(trusted, quantile, slack)), LIMIT)
+    good = F.col(PERPLEXITY).isNotNull() & (F.col(LIMIT).isNull() | (F.col(PERPLEXITY) <= F.col(LIMIT)))
     for i, ratio in enumerate(RATIOS):
-        top = _rival_limit(trusted, judged.filter(f"{P}set = {i + 1}"), ratio, loss) if ratios[i] is not None else None
+        top = _rival_limit(trusted, judged.filter(f"{P}set = {i + 1}"), ratio, loss)
         if top is not None:
-            good = good & (F.col(ratio) <= top)
-    return out.select(*[F.col(f"`{c}`") for c in keep], PERPLEXITY, N_BYTES, f"{P}limit", good.alias(f"{P}good"))
+            good = good & (F.coalesce(ratio, F.lit(0.0)) <= top)
+    return out.withColumn(GOOD, good)
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None, **options) -> DataFrame:
+    """The kept columns of docs (all by default), __sl_perplexity, __sl_tokens, __sl_limit and
+    __sl_good, as verdicts() finds them for their text and language."""
+    keep = docs.columns if keep is None else keep
+    told = verdicts(docs, labels, id_col, text_col, lang_col, **options)
+    found = [PERPLEXITY, N_TOKENS, LIMIT, GOOD]
+    if keep == [id_col, lang_col]:
+        return told.select(F.col(ID).cast(docs.schema[id_col].dataType).alias(id_col), F.col(LANG).alias(lang_col), *found)
+    # A verdict depends on the text and its language.
+    once = materialize(told.select(*KEYS, LANG, *found).dropDuplicates([*KEYS, LANG]))
+    other, names = [f"{P}own1", f"{P}own2"], [f"{P}k{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(lang_col).cast("string").alias(f"{P}ownlang"), *[k.alias(o) for k, o in zip(text_keys(text_col), other, strict=True)])
+    same = (F.col(other[0]) == F.col(KEYS[0])) & (F.col(other[1]) == F.col(KEYS[1])) & F.col(f"{P}ownlang").eqNullSafe(F.col(LANG))
+    return rows.join(once, same).select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], *found)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of docs that classify() finds good."""
-    return classify(docs, labels, **options).filter(f"{P}good").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return classify(docs, labels, **options).filter(GOOD).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -50,7 +50,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = perplexity.classify(docs, read(spark, sf_dir, "labels"), keep=["doc_id", "lang"])
-    return out.select("doc_id", "lang", F.col(perplexity.N_BYTES).alias("n_bytes"), F.col(perplexity.PERPLEXITY).alias("perplexity"), F.col(f"{P}limit").alias("limit"), F.col(f"{P}good").alias("kept"))
+    return out.select("doc_id", "lang", F.col(perplexity.N_TOKENS).alias("n_words"), F.col(perplexity.PERPLEXITY).alias("perplexity"), F.col(perplexity.LIMIT).alias("limit"), F.col(perplexity.GOOD).alias("kept"))
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import common, decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, queries, repeats, shard, suffix_dedup, window_dedup
+from sluice.llm import common, decontaminate, gramjoin, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, queries, repeats, shard, suffix_dedup, window_dedup
 from sluice.llm import textnum as tn
 from sluice.llm.components import components
 
@@ -513,11 +513,70 @@ def test_single_rude_words_show(spark):
     assert sum(got[i] for i in unseen if i % 4) >= 144
 
 
-def test_kneser_ney_adds_up(spark):
-    good, _ = trusted_rows()
-    _, table = perplexity.train(spark.createDataFrame([(t,) for _, t, _ in good], "text string"))
-    p = 10.0 ** table.reshape(-1, perplexity.SYMBOLS).astype(np.float64)
-    assert np.allclose(p.sum(1), 1, atol=1e-3)
+def model_kneser_ney(texts):
+    """P(token | two before) of an interpolated modified Kneser-Ney model, by the book."""
+    tri = collections.Counter()
+    for x in texts:
+        t = ["<s>", "<s>", *words(lower(x)), "</s>"]
+        tri.update(zip(t, t[1:], t[2:]))
+    bi, uni = collections.Counter(), collections.Counter()
+    for (a, b, c), n in tri.items():
+        bi[b, c] += n if b == "<s>" else 1
+    for _, c in bi:
+        uni[c] += 1
+
+    def level(counts):
+        t = collections.Counter(counts.values())
+        y = t[1] / (t[1] + 2 * t[2]) if t[1] and t[2] else 0.5
+        d = [min(max(i - (i + 1) * y * t[i + 1] / t[i], 0.1), i) if t[i] and t[i + 1] else 0.5 for i in (1, 2, 3)]
+        total, held = collections.Counter(), collections.Counter()
+        for g, n in counts.items():
+            g = g if isinstance(g, tuple) else (g,)
+            total[g[:-1]] += n
+            held[g[:-1]] += d[min(n, 3) - 1]
+
+        def p(g, below):
+            n = counts.get(g if len(g) > 1 else g[0], 0)
+            if not total[g[:-1]]:
+                return below
+            return ((n - d[min(n, 3) - 1] if n else 0) + held[g[:-1]] * below) / total[g[:-1]]
+
+        return p
+
+    one, two, three = level(uni), level(bi), level(tri)
+    return lambda a, b, c: three((a, b, c), two((b, c), one((c,), 1 / (len(uni) + 1)))), set(uni)
+
+
+@pytest.mark.parametrize("heads", [3, 20_000])
+def test_perplexity_is_that_of_kneser_ney(spark, rows, monkeypatch, heads):
+    """Also of texts with unknown words; whether n-grams are broadcast or joined."""
+    monkeypatch.setattr(perplexity, "HEADS", heads)
+    rng = random.Random(17)
+    taught = [" ".join(rng.choice("ab bc cd de ef fg gh A é".split()) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    asked = [*taught[:20], *(r[1] for r in rows), "zz ab yy", "ab ab ab cd"]
+    p, vocabulary = model_kneser_ney(taught)
+    assert abs(sum(p("ab", "cd", c) for c in vocabulary) + p("ab", "cd", "new") - 1) < 1e-9
+    want = []
+    for x in asked:
+        t = ["<s>", "<s>", *words(lower(x)), "</s>"]
+        loss = -sum(math.log10(p(*t[i : i + 3])) for i in range(len(t) - 2))
+        want.append(10 ** (loss / (len(t) - 2)) if len(t) > 3 else None)
+    training = spark.createDataFrame([(0, t) for t in taught], "set int, text string").repartition(3)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(asked)], "doc_id long, text string, lang string").repartition(3)
+    got = {r["__sl_id"]: r["__sl_perplexity"] for r in perplexity.scores(docs, training, "doc_id", "text", "lang").collect()}
+    for i, w in enumerate(want):
+        assert got[i] is None if w is None else abs(got[i] / w - 1) < 1e-4
+
+
+def test_gathered_sums_must_match(spark):
+    """A gathering whose rows are not those that were sent ends the job, not the result."""
+    pa = pytest.importorskip("pyarrow")
+    import pickle
+
+    own = pickle.dumps((2, {"units": np.ones(1, int)}))
+    table = pa.table({"gather": [1, 1], "units": [None, repeats.zipped(np.array([0], np.uint32))], "sums": [None, np.ones(1).tobytes()], "own": [own, None]})
+    with pytest.raises(RuntimeError):
+        gramjoin._gathered(1, lambda own, sums: None)(table)
 
 
 def test_sharding(docs, rows, empty, spark):
