@@ -48,37 +48,18 @@ NEIGHBOURS = 4
 #: power of two.
 HEADS, SIEVE_BITS = 20_000, 27
 _U = np.uint64
-END, BEGIN, AGAIN = _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F), _U(0x8EBC6AF09C88C6E3)
+AGAIN = _U(0x8EBC6AF09C88C6E3)
 _ORDERS = (_U(0), _U(0x9E6C63D0676A9A99), _U(0xB5AD4ECEDA1CE2A9))
 
 
-class Tokens:
-    """Tokens of some texts: words lower-cased and an end each. h: per token; first: per text."""
+def for_rivals(t: tn.Tokens) -> np.ndarray:
+    return np.where(t.h == t.before(1), AGAIN, t.h)
 
-    def __init__(self, data: np.ndarray, at: np.ndarray):
-        data = tn.LOWERED[data]
-        starts, ends, first = tn.words(data, at)
-        n = len(at) - 1
-        self.first = first + np.arange(n + 1)
-        self.h = np.full(len(starts) + n, END)
-        self.h[np.arange(len(starts)) + tn.text_of(first, len(starts))] = tn.span_hash(data, starts, ends)
-        self.row = np.repeat(np.arange(n), np.diff(self.first))
-        self.place = np.arange(len(self.h)) - self.first[:-1][self.row]
 
-    def before(self, k: int) -> np.ndarray:
-        """The token k places before each, or BEGIN."""
-        out = np.full(len(self.h), BEGIN)
-        out[k:] = self.h[:-k] if len(self.h) > k else BEGIN
-        out[self.place < k] = BEGIN
-        return out
-
-    def for_rivals(self) -> np.ndarray:
-        return np.where(self.h == self.before(1), AGAIN, self.h)
-
-    def grams(self) -> list[np.ndarray]:
-        """Hashes of the n-grams of each order that end at each token."""
-        a, b = self.before(2), self.before(1)
-        return [self.h, gram_hash(b, self.h), gram_hash(a, b, self.h)]
+def grams(t: tn.Tokens) -> list[np.ndarray]:
+    """Hashes of the n-grams of each order that end at each token."""
+    a, b = t.before(2), t.before(1)
+    return [t.h, gram_hash(b, t.h), gram_hash(a, b, t.h)]
 
 
 def gram_hash(*h: np.ndarray) -> np.ndarray:
@@ -96,13 +77,13 @@ def _trigrams(batches):
     for batch in batches:
         sets = batch.column(0).to_numpy(zero_copy_only=False)
         for row0, data, at in tn.slices(batch.column(1)):
-            t = Tokens(data, at)
+            t = tn.Tokens(data, at)
             a, b = t.before(2), t.before(1)
             abc, own = gram_hash(a, b, t.h), sets[row0 + t.row].astype(np.int64)
             order = np.lexsort((abc, own))
             cut, end = gramjoin._pair_cuts(abc[order], own[order].astype(np.uint64))
             at = order[cut]
-            c = np.where(own[at] > 0, t.for_rivals()[at], t.h[at])
+            c = np.where(own[at] > 0, for_rivals(t)[at], t.h[at])
             columns = [abc[at], gram_hash(a[at], b[at]), gram_hash(b[at], t.h[at]), b[at], c]
             yield pa.RecordBatch.from_arrays([pa.array(own[at].astype(np.int32)), *(pa.array(x.view(np.int64)) for x in columns), pa.array(end - cut)], names=["set", "abc", "ab", "bc", "b", "c", "n"])
 
@@ -131,7 +112,7 @@ def kneser_ney(text: DataFrame) -> tuple[DataFrame, list[DataFrame], list[float]
     key = ["set", "abc", "ab", "bc", "b", "c"]
     every = materialize(text.mapInArrow(_trigrams, _TRIGRAMS).groupBy(*key).agg(F.sum("n").alias("n")))
     # Lower orders count distinct left neighbours; after the begin of a text there is but one.
-    first = int(BEGIN.view(np.int64))
+    first = int(tn.BEGIN.view(np.int64))
     bi = every.groupBy("set", "bc", "b", "c").agg(F.when(F.first("b") == F.lit(first), F.sum("n")).otherwise(F.count(F.lit(1))).alias("n"), F.sum("n").alias("raw"))
     bi = materialize(bi)
     uni = materialize(_discounted(materialize(bi.groupBy("set", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("raw").alias("raw")))))
@@ -167,7 +148,7 @@ def kneser_ney(text: DataFrame) -> tuple[DataFrame, list[DataFrame], list[float]
     two = p2.join(after, "bc", "left").select(F.lit(2).alias("order"), F.col("bc").alias("hash"), (log("p") - log("p1") - log("g2") + F.coalesce("after", none)).alias("w"), "raw")
     p3 = tri.join(g3, "ab").join(p2.select("bc", F.col("p").alias("p2")), "bc")
     three = p3.select(F.lit(3).alias("order"), F.col("abc").alias("hash"), (log((F.col("n") - F.col("d")) / F.col("all3") + F.col("g3") * F.col("p2")) - log("p2") - log("g3")).alias("w"), F.col("n").alias("raw"))
-    both = int(gram_hash(np.array([BEGIN]), np.array([BEGIN])).view(np.int64)[0])
+    both = int(gram_hash(np.array([tn.BEGIN]), np.array([tn.BEGIN])).view(np.int64)[0])
     start = g2.filter(F.col("b") == first).select(log("g2").alias("x")).union(g3.filter(F.col("ab") == both).select(log("g3"))).agg(F.sum("x")).first()[0]
     return one.union(two).union(three), rivals, left, float(np.log10(unknown)), start or 0.0
 
@@ -230,10 +211,10 @@ def _sent(model, shards: int):
         for batch in batches:
             ids, langs, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [batch.column(i).to_numpy() for i in (2, 3)]
             for row0, data, at in tn.slices(batch.column(4), 1 << 19):
-                t = Tokens(data, at)
+                t = tn.Tokens(data, at)
                 n = len(at) - 1
                 known, out_h, out_row = np.zeros(n), [], []
-                for h in t.grams():
+                for h in grams(t):
                     place = (h & low).astype(np.int64)
                     some = np.flatnonzero((sieve[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
                     h, row = h[some], t.row[some]
@@ -248,10 +229,10 @@ def _sent(model, shards: int):
                         own[c] = np.full(n, np.nan)
                         continue
                     words, ratio, left = rival
-                    here, spot = _at(words, t.for_rivals())
+                    here, spot = _at(words, for_rivals(t))
                     value = np.full(len(t.h), left)
                     value[here] = ratio[spot]
-                    value[t.h == END] = 0.0
+                    value[t.h == tn.END] = 0.0
                     own[c] = _highest(value, t.first, PASSAGE)
                 yield np.concatenate(out_h), np.concatenate(out_row), n, own
 

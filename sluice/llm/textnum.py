@@ -191,3 +191,32 @@ def squeezed(batches, text: int):
 def unsqueezed(column: pa.Array) -> pa.Array:
     unpack = zstandard.ZstdDecompressor()
     return pa.array([unpack.decompress(x.as_buffer()) for x in column], pa.large_binary())
+
+
+END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
+
+
+class Tokens:
+    """Tokens of some texts: words with A-Z lower-cased, and an end each. h: their hashes; first: per
+    text; row, place: of each token its text and its place there."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray):
+        data = LOWERED[data]
+        starts, ends, first = words(data, at)
+        n = len(at) - 1
+        self.data, self.starts, self.ends = data, starts, ends
+        self.first = first + np.arange(n + 1)
+        #: Where the words are among the tokens.
+        self.word = np.arange(len(starts)) + text_of(first, len(starts))
+        self.h = np.full(len(starts) + n, END)
+        self.h[self.word] = span_hash(data, starts, ends)
+        self.row = np.repeat(np.arange(n), np.diff(self.first))
+        self.place = np.arange(len(self.h)) - self.first[:-1][self.row]
+
+    def before(self, k: int, of: np.ndarray | None = None) -> np.ndarray:
+        """The token (or what `of` has for it) k places before each, or BEGIN."""
+        of = self.h if of is None else of
+        out = np.full(len(of), BEGIN)
+        out[k:] = of[:-k] if len(of) > k else BEGIN
+        out[self.place < k] = BEGIN
+        return out
