@@ -51,7 +51,10 @@ def unsteps(blob) -> np.ndarray:
 def shards_for(docs: DataFrame, text_col: str, each: int = 1 << 23) -> int:
     """A power of two: a shard for each `each` bytes of text, within bounds that keep packed rows
     from becoming single hashes."""
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    return shards_of(docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0, each)
+
+
+def shards_of(size: int, each: int) -> int:
     return 1 << min(17, max(5, int(size // each).bit_length()))
 
 

@@ -346,7 +346,7 @@ def test_lm_probabilities_add_up():
     assert t.first.tolist() == [0, 9, 10] and t.h[8] == tn.END == t.h[9]
     past = lm_score.History(t)
     for (rows, y), shape in zip(past.both(), lm_score.SHAPES):
-        p = lm_score.softmax(rng.normal(size=shape).astype(np.float32), rows)
+        p = lm_score.softmax(rng.normal(size=shape).astype(np.float32), rows)  # of any weights
         assert p.shape == (10, shape[1]) and np.allclose(p.sum(1), 1, atol=1e-5) and (y < shape[1]).all()
 
 
@@ -357,17 +357,18 @@ def test_lm_gradient_is_that_of_the_likelihood(spark):
     w = [rng.normal(size=shape).astype(np.float32) for shape in lm_score.SHAPES]
     docs = spark.createDataFrame([(i * 5, t) for i, t in enumerate(texts) if not lm_score.held_out(i * 5)], "id long, text string").repartition(2)
     past = lm_score.History(tokens_of(*[r.text for r in docs.collect()]))
-    sent = spark.sparkContext.broadcast(w)
+    sent = spark.sparkContext.broadcast(lm_score.with_bias(w))
     rows = docs.mapInArrow(lm_score._gradient(sent, (0, 1)), lm_score._COUNTED).groupBy("shard", "part").applyInArrow(lm_score._summed(False), "shard long, counts binary")
     got = lm_score.cell_sum(rows)
     for i, (r, y) in enumerate(past.both()):
-        loss = lambda x: -np.log(lm_score.softmax(x.astype(np.float64), r)[np.arange(len(y)), y]).sum()  # noqa: B023, E731
-        for cell in [(r[0][0], y[0]), (r[2][3], y[3]), (r[4][1], 0), (r[1][2], 7)]:
+        whole = lambda x: lm_score.with_bias([x if i == j else v for j, v in enumerate(w)])[i]  # noqa: B023, E731
+        loss = lambda x: -np.log(lm_score.softmax(whole(x), r)[np.arange(len(y)), y]).sum()  # noqa: B023, E731
+        bias = lm_score.FEATURES * lm_score.ROWS if i == 0 else int(past.cls[2] + 1) * (lm_score.FEATURES * lm_score.PART_ROWS + 1) - 1
+        for cell in [(r[0][0], y[0]), (r[2][3], y[3]), (bias, y[2]), (bias, 0), (r[1][2], 7)]:
             up, down = w[i].astype(np.float64), w[i].astype(np.float64)
             up[cell] += 1e-4
             down[cell] -= 1e-4
             assert abs((loss(up) - loss(down)) / 2e-4 - got[i][cell]) < 2e-2
-        assert abs(got[i].sum()) < 0.5
 
 
 def test_lm_score_is_that_of_the_model(spark, docs, rows):
@@ -382,6 +383,9 @@ def test_lm_score_is_that_of_the_model(spark, docs, rows):
             for f in fs:
                 for a, b in zip(f.tolist(), y.tolist()):
                     n[a, b] += 1
+        for q in range(len(past.cls)):
+            joint[0][-1, past.cls[q]] += 1
+            joint[1][(past.cls[q] + 1) * (lm_score.FEATURES * lm_score.PART_ROWS + 1) - 1, past.part[q]] += 1
         for h, c, q in zip(t.h.tolist(), past.cls.tolist(), past.part.tolist()):
             count[h] += 1
             tokens[c, q] += 1
@@ -394,7 +398,8 @@ def test_lm_score_is_that_of_the_model(spark, docs, rows):
         total = 0.0
         for i in range(len(t.h)):
             for x, (fs, y) in zip(w, past.both()):
-                z = np.exp(sum(x[f[i]].astype(np.float64) for f in fs))
+                bias = -1 if x is w[0] else (past.cls[i] + 1) * (lm_score.FEATURES * lm_score.PART_ROWS + 1) - 1
+                z = np.exp(sum(x[f[i]].astype(np.float64) for f in fs) + x[bias])
                 total += math.log10(z[y[i]] / z.sum())
             own = past.cls[i], past.part[i]
             total += math.log10((count[int(t.h[i])] + 0.5) / (tokens[own] + 0.5 * (len(types[own]) + 1)))
