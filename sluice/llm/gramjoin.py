@@ -73,7 +73,9 @@ def send(pieces, shards: int):
 
 def _packed(gather: int, held, shards: int) -> pa.RecordBatch:
     h, unit = (np.concatenate([p[i] for p in held]) for i in (0, 1))
-    order = np.lexsort((unit, h))
+    # By hash, then unit. Hashes that agree but for their lowest bits may come in turns.
+    low = _U((1 << max(1, int(unit.max(initial=0)).bit_length())) - 1)
+    order = np.argsort((h & ~low) | unit.astype(np.uint64))
     h, unit = h[order], unit[order]
     new, end = _pair_cuts(h, unit)
     n, h, unit = (end - new).astype(np.uint32), h[new], unit[new].astype(np.uint32)
