@@ -31,6 +31,22 @@ def shared_dir(spark: SparkSession) -> str:
     return set_dir.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """Jobs in this block hand texts to Python in batches of that size, not of 64 MB: each running
+    task holds several copies of a batch outside the heap."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 #: Tables that each open scratch() has written.
 _scratch: list[list[DataFrame]] = []
 
@@ -38,7 +54,8 @@ _scratch: list[list[DataFrame]] = []
 def materialize(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/sluice-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     if _scratch:
         _scratch[-1].append(out)

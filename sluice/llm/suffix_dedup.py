@@ -29,7 +29,7 @@ ANCHOR = 20
 #: Anchors that a task gathers before it sends them on.
 GATHER = 1 << 19
 #: Texts are looked at in pieces of so many string starts.
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Stretches that one anchor may have before they are told apart by string.
 HOT = 1 << 14
 #: Stretches of one anchor in a gathering that count.

@@ -6,11 +6,13 @@ by the slice (or one text, if that is longer) and not by the batch.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import zstandard
 
-SLICE = 1 << 21
+SLICE = 1 << 19
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -63,6 +65,19 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - (at[0] if len(at) else 0)
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except AttributeError:  # another C library
+    _trim = None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: idle workers keep what their largest batch took, else."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(column: pa.Array, limit: int = SLICE):
     """Yield (first row, bytes, offsets) of runs of rows of about limit bytes."""
     data, at = buffers(column)
@@ -71,6 +86,7 @@ def slices(column: pa.Array, limit: int = SLICE):
         last = max(first + 1, int(np.searchsorted(at, at[first] + limit, "right")) - 1)
         yield first, data[at[first] : at[last]], at[first : last + 1] - at[first]
         first = last
+    give_back()
 
 
 def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
