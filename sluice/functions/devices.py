@@ -99,3 +99,8 @@ def export_lines(audience: DataFrame, etype: int) -> tuple[DataFrame, DataFrame]
     if etype == PC:
         return audience.select(F.col("visitor_id").cast("string").alias("value")), total
     return audience.filter(F.coalesce("typ", F.lit("")) != "").select(F.concat_ws("\t", "typ", "did").alias("value")), total
+
+
+def export_partition(table: DataFrame, column: str, value, etype: int) -> tuple[DataFrame, DataFrame]:
+    """export_lines() of one partition of a table of audiences; the filter reaches the partitions."""
+    return export_lines(table.filter(F.col(column) == F.lit(value)), etype)

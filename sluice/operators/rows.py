@@ -67,3 +67,13 @@ def csv_line(*cells: Column, drop_last: bool = False) -> Column:
     """Cells joined by commas, nulls empty."""
     kept = cells[:-1] if drop_last else cells
     return F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in kept])
+
+
+def head_bytes(content: Column, n: int) -> Column:
+    """The first n bytes of a binary column."""
+    return F.substring(content, 1, n)
+
+
+def tail_bytes(content: Column, n: int) -> Column:
+    """The last n bytes of a binary column."""
+    return F.when(F.octet_length(content) > n, F.substring(content, -n, n)).otherwise(content)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .days import day_list
@@ -363,8 +363,12 @@ def path(ctx: Context) -> DataFrame:
     w = ctx.warehouse
     rows = _in_dates(w.visits, ctx).join(_audience(ctx, "visitor_id"), "visitor_id", "left_semi")
     rows = rows.join(w.meta_referer, rows.referer_url_id == w.meta_referer.url_id).join(w.meta_domain, rows.page_domain_id == w.meta_domain.domain_id)
-    step = F.struct(F.col("begintime").alias("at"), domain_of(F.col("url")).alias("ref"))
-    lists = rows.groupBy("visitor_id", "site_id", "domain").agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    # A step goes in only if it differs from the one before it, so a visitor's list holds changes alone.
+    key = ["visitor_id", "site_id", "domain"]
+    step = rows.select(*key, F.col("begintime").alias("at"), domain_of(F.col("url")).alias("ref"))
+    before = F.lag("ref").over(Window.partitionBy(*key).orderBy("at", "ref"))
+    changes = step.withColumn("before", before).filter(F.col("before").isNull() | (F.col("ref") != F.col("before")))
+    lists = changes.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("at", "ref"))).alias("steps"))
     refs = lists.select("domain", F.transform("steps", lambda s: s["ref"]).alias("refs"))
     paths = refs.select(F.array_join(merge_runs(F.concat("refs", F.array("domain"))), ">").alias("paths"))
     return _count(paths, "paths")
@@ -372,9 +376,10 @@ def path(ctx: Context) -> DataFrame:
 
 @report("path", "percent")
 def path_percent(ctx: Context) -> DataFrame:
+    # Every row counts for one list; few paths are left when they are added up.
     counts = path(ctx)
-    total = counts.agg(F.sum("cnt").alias("num"))  # one row
-    return counts.crossJoin(F.broadcast(total)).select("paths", "cnt", (F.col("cnt") * F.lit(100.0) / F.col("num")).alias("per"))
+    total = F.sum("cnt").over(Window.partitionBy())
+    return counts.select("paths", "cnt", (F.col("cnt") * F.lit(100.0) / total).alias("per"))
 
 
 # Running them

@@ -15,7 +15,7 @@ from .operators import rows, sets
 from .plans import audience, reports, wide
 from .plans.days import day_column, last_days
 from .plans.warehouse import CATEGORIES, stand_in
-from .sources import cells, tables
+from .sources import cells, files, tables
 from .streaming import rules as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; of this machine only in a local session."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="sluice-work-")
+    return f"{base}/work-{uuid.uuid4().hex}"
+
+
 # Rules
 
 
@@ -186,7 +196,9 @@ _report("depth", "session", "SELECT pageviews AS depth, 'sessions' AS metric, co
 _report("depth", "visitors", "SELECT depth, count(*) AS cnt FROM (SELECT visitor, max(pageviews) AS depth FROM sess GROUP BY 1) GROUP BY 1")
 _report("frequency", "visitors", "SELECT CASE WHEN f >= 10 THEN '>10' ELSE CAST(f AS VARCHAR) END AS name, count(*) AS visitors, CAST(sum(f) AS BIGINT) AS impressions FROM (SELECT visitorid, count(*) AS f FROM imp GROUP BY 1) GROUP BY 1")
 for _m, _t in (("impressions", "imp"), ("click", "clk")):
-    _report("ad_summary", _m, f"SELECT dt, spotid AS spot_id, name, cnt FROM (SELECT dt, spotid, count(*) AS cnt FROM {_t} GROUP BY 1, 2) LEFT JOIN (SELECT * FROM names WHERE id < 20) p ON spotid = p.id")
+    for _e in (reports.PC, reports.MOBILE):
+        _report("ad_summary", _m, f"SELECT dt, spotid AS spot_id, name, cnt FROM (SELECT dt, spotid, count(*) AS cnt FROM {_t} GROUP BY 1, 2) LEFT JOIN (SELECT * FROM names WHERE id < 20) p ON spotid = p.id", _e)
+    _report("region", _m, _AT.format(f"SELECT {_ADS} FROM {_t}"), reports.MOBILE)
 _PATHS = f"""
     , vis AS (SELECT visitor, k % 2 AS site_id, k % 6 AS page, ts, k % 12 AS ref FROM ev WHERE {_DATES} AND visitor IN (SELECT id FROM aud)),
     steps AS (SELECT visitor, site_id, lower(d.n_name) || '.example' AS domain, ts, regexp_extract('http://www.' || lower(replace(r.n_name, ' ', '')) || '.example/' || r.n_nationkey, '(\\w+\\.)+\\w+', 0) AS ref
@@ -383,6 +395,105 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.upsert(old, new, "c_custkey")
 
 
+# Stores, files and modes
+
+
+@query("report_store_range", "SELECT strftime(o_orderdate, '%Y%m%d') AS dt, count(*) AS cnt, 7 AS tag_id FROM orders WHERE o_orderdate < DATE '1995-01-01' OR o_orderdate >= DATE '1995-02-01' AND o_orderdate < DATE '1995-04-01' GROUP BY 1 UNION ALL SELECT strftime(o_orderdate, '%Y%m%d'), 2 * count(*), 7 FROM orders WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1995-01-20' GROUP BY 1")
+def report_store_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report is stored; then January is replaced by rows that end on its 19th day."""
+    path = work_folder(spark)
+    days = table(spark, sf_dir, "orders").filter("o_orderdate < '1995-04-01'").groupBy(F.date_format("o_orderdate", "yyyyMMdd").alias("dt")).agg(F.count(F.lit(1)).alias("cnt"))
+    tables.save_report(days.repartition(1), path, 7, "orders")
+    again = days.filter("dt >= '19950101' and dt < '19950120'").withColumn("cnt", 2 * F.col("cnt"))
+    tables.replace_report(again.repartition(1), path, 7, "orders", "19950101", "19950131")
+    return spark.read.option("recursiveFileLookup", False).parquet(path).select(F.col("dt").cast("string").alias("dt"), "cnt", "tag_id")
+
+
+@query("export_partition", "SELECT CAST(c_custkey AS VARCHAR) AS value FROM customer WHERE c_mktsegment = 'BUILDING'")
+def export_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows_ = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("visitor_id"), F.col("c_mktsegment").alias("part"))
+    return devices.export_partition(rows_, "part", "BUILDING", reports.PC)[0]
+
+
+@query("csv_rule", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey > 9")
+def csv_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark)
+    table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").write.option("header", True).csv(path)
+    return files.rule_over_csv(spark, path, 'c_mktsegment = "BUILDING" and c_nationkey > 9 | c_custkey, c_name')
+
+
+for _f in ("max", "min", "avg"):
+    _rule(f"rule_table_{_f}", "orders", f'o_orderstatus != "P" | distinct(o_orderpriority) | {_f}(o_totalprice) > 0 | o_orderpriority', f"SELECT o_orderpriority, {_f}(o_totalprice) AS made FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1", "table", {f"{_f}(o_totalprice)": "made"})
+
+
+@query("scan_lines", "SELECT r_name AS value FROM region UNION ALL SELECT n_name FROM nation")
+def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a folder tree and of a second folder; empty names count for nothing."""
+    path = work_folder(spark)
+    table(spark, sf_dir, "region").select("r_name").write.text(f"{path}/a/deep/er")
+    table(spark, sf_dir, "nation").select("n_name").write.text(f"{path}/b")
+    return files.read_lines(spark, f"{path}/a", "", f"{path}/b", recursive=True)
+
+
+@query("split_files", "SELECT CAST(ceil(count(*) / 7.0) AS BIGINT) AS files, count(*) AS lines, sum(strlen(n_name) + 1)::BIGINT AS bytes FROM nation")
+def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark)
+    files.split_lines(table(spark, sf_dir, "nation").select("n_name").coalesce(1), path, 7)
+    sizes = files.listing(spark, path, glob="part-*").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return files.read_lines(spark, path).agg(F.count(F.lit(1)).alias("lines")).crossJoin(F.broadcast(sizes)).select("files", "lines", "bytes")
+
+
+@query("merged_file", "SELECT n_name AS value FROM nation")
+def merged_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark)
+    table(spark, sf_dir, "nation").select("n_name").repartition(3).write.text(f"{path}/in")
+    files.merge_files(spark, f"{path}/in", f"{path}/out")
+    return files.read_lines(spark, f"{path}/out")
+
+
+@query("file_checksum", "SELECT md5(string_agg(r_name || chr(10), '' ORDER BY r_regionkey)) AS md5 FROM region")
+def file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark)
+    table(spark, sf_dir, "region").coalesce(1).sortWithinPartitions("r_regionkey").select("r_name").write.text(path)
+    return files.checksums(spark, f"{path}/part-*").select("md5")
+
+
+@query("head_lines", "SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 5")
+def head_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows.head(rows.page(table(spark, sf_dir, "events").select("event_id", "event_type"), ["event_id"]), 5)
+
+
+@query("head_tail_bytes", "SELECT c_custkey, substring(c_name, 1, 8) AS head, right(c_name, 4) AS tail FROM customer")
+def head_tail_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.col("c_name").cast("binary")
+    return table(spark, sf_dir, "customer").select("c_custkey", rows.head_bytes(name, 8).cast("string").alias("head"), rows.tail_bytes(name, 4).cast("string").alias("tail"))
+
+
+@query("document_update", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'SET' ELSE c_mktsegment END AS c_mktsegment, c_acctbal FROM customer")
+def document_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One field of some documents is set; their other fields stay."""
+    old = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    return tables.set_fields(old, F.col("c_custkey") % 5 == 0, {"c_mktsegment": F.lit("SET")})
+
+
+@query("find_by_ids", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (3, 5, 8, 100000000)")
+def find_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.find(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", [3, 5, 8, 100000000])
+
+
+@query("keyed_remove", "SELECT c_custkey FROM customer WHERE c_custkey % 4 <> 1")
+def keyed_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = table(spark, sf_dir, "customer").select("c_custkey")
+    return tables.remove_by(old, old.filter("c_custkey % 4 = 1"), "c_custkey")
+
+
+@query("orc_store", "SELECT n_nationkey::BIGINT AS n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+def orc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark)
+    tables.widened(table(spark, sf_dir, "nation").filter("n_regionkey = 1").select("n_nationkey", "n_name")).write.orc(path)
+    return spark.read.orc(path)
+
+
 # Days, scans, lines
 
 
@@ -416,8 +527,7 @@ def line_map_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_rule_filter", "SELECT event_type, CAST(user_id AS VARCHAR) AS user_id FROM events WHERE event_type = 'view' AND user_id > 5")
 def stream_rule_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages as files, through a stream that takes what is there, into files again."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="sluice-stream-")
-    work = f"{base}/stream-{uuid.uuid4().hex}"
+    work = work_folder(spark)
     table(spark, sf_dir, "events").select(F.to_json(F.struct("event_type", "user_id")).alias("value")).write.mode("overwrite").text(f"{work}/in")
     messages = streams.line_stream(spark, f"{work}/in")
     streams.start(streams.filter_stream(messages, 'event_type = "view" and user_id > 5 | event_type, user_id'), f"{work}/out", f"{work}/checkpoint").awaitTermination()

@@ -117,7 +117,8 @@ def execute_json(rule: str | Rule, lines: DataFrame, column: str = "value", last
     if rule.group or rule.having is not None:
         raise RuleRunError("messages can be filtered and projected only")
     doc = "__rule_doc"
-    rows = lines.select(F.try_parse_json(F.col(column)).alias(doc)).filter(F.col(doc).isNotNull())
+    # explode() of one value keeps the parsing from being repeated wherever a cell is used.
+    rows = lines.select(F.explode(F.array(F.try_parse_json(F.col(column)))).alias(doc)).filter(F.col(doc).isNotNull())
     path = lambda text: "$" + "".join(f"['{p}']" for p in text.split("."))
     cell = lambda text: F.try_variant_get(F.col(doc), path(text), "variant")
     if strict_columns:

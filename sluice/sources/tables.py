@@ -35,6 +35,31 @@ def save_report(df: DataFrame, path: str, tag: int, metric: str) -> None:
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tag_id", "metric_name", "dt").parquet(path)
 
 
+def replace_report(df: DataFrame, path: str, tag: int, metric: str, first: str, last: str) -> None:
+    """Write a report's rows in place of all that the tag and metric have from day first to day last,
+    also on days that df has no rows for."""
+    from .files import file_system
+
+    save_report(df.filter(F.col("dt").between(first, last)), path, tag, metric)
+    kept = {str(r["dt"]) for r in df.select("dt").distinct().toLocalIterator()}  # a row a day
+    fs, folder = file_system(df.sparkSession, f"{path}/tag_id={tag}/metric_name={metric}")
+    if fs.exists(folder):
+        for status in fs.listStatus(folder):
+            day = status.getPath().getName().partition("=")[2]
+            if first <= day <= last and day not in kept:
+                fs.delete(status.getPath(), True)
+
+
+def find(df: DataFrame, key: str, ids: list) -> DataFrame:
+    """Documents by their ids, given as a short list."""
+    return df.filter(F.col(key).isin(ids))
+
+
+def set_fields(df: DataFrame, which, fields: dict) -> DataFrame:
+    """df with some fields of the documents that match set; which: a condition, null for no match."""
+    return df.withColumns({c: F.when(which, v).otherwise(F.col(f"`{c}`")) if c in df.columns else F.when(which, v) for c, v in fields.items()})
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows of old whose key isn't in new, and new; missing columns are null."""
     return old.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
