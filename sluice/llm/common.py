@@ -51,21 +51,21 @@ def small_batches(spark: SparkSession, size: str = "8m"):
 _scratch: list[list[DataFrame]] = []
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives lost executors."""
+def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage and survives lost executors. keep: the
+    table outlives the scratch() it is written in; discard() deletes it."""
     path = f"{shared_dir(df.sparkSession)}/sluice-{uuid.uuid4().hex}"
     with small_batches(df.sparkSession):
         df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
-    if _scratch:
+    if _scratch and not keep:
         _scratch[-1].append(out)
     return out
 
 
 @contextmanager
 def scratch():
-    """Tables that are materialized in this block are deleted at its end. What is to stay is
-    written by other means, or after it."""
+    """Tables that are materialized in this block are deleted at its end, but for those to keep."""
     _scratch.append([])
     try:
         yield

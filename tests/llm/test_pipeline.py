@@ -42,6 +42,11 @@ def test_stages(spark, small):
     assert docs.agg(F.countDistinct("shard")).first()[0] <= 40
 
 
-def test_run(spark, small):
+def test_run(spark, small, monkeypatch, tmp_path):
+    from sluice.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
     out = corpus_pipeline.run(spark, small)
+    # Stages leave the last one's input and what it wrote itself.
+    assert len(list(tmp_path.glob("sluice-*"))) <= 3
     assert out.count() > 0 and {"size", "shard", "slot"} <= set(out.columns)
