@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm import decontaminate, mixture, near_dedup, perplexity, shard
-from sluice.llm.common import materialize, read
+from sluice.llm.common import discard, materialize, read, scratch
 
 
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,14 +42,19 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixed),
     ("sharding", sharded),
 ]
-#: Model fits and hash signatures have no SQL; tests/llm compares each stage with brute force.
+#: Model fits and hash signatures have no SQL; tests/llm holds
+#: planted cases and invariants against the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages. What a stage wrote for itself, and what the next one has read, is deleted; tables
+    behind the last stage's result stay."""
     docs = read(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = materialize(docs)
-    return docs
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        with scratch():
+            out = materialize(stage(spark, docs, sf_dir), keep=True)
+        if i:
+            discard(docs)
+        docs = out
+    return STAGES[-1][1](spark, docs, sf_dir)
