@@ -25,7 +25,7 @@ from . import textnum as tn
 from .repeats import unzipped, zipped
 
 #: Occurrences that a task gathers before it sends them on.
-GATHER = 1 << 19
+GATHER = 1 << 20
 _U = np.uint64
 _SENT = ["gather", "shard", "hashes", "times", "units", "counts", "own"]
 SENT = "gather long, shard long, hashes binary, times binary, units binary, counts binary, own binary"
