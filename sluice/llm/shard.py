@@ -5,7 +5,7 @@ order. Splitters between shards are found by counting exact bytes below candidat
 radix histogram over the next `BITS` bits, taken only inside the cells that still hold a
 splitter, until each splitter is within tolerance of its target. Then rows move once.
 
-A group of equal texts is cut only if its nearer edge is more than ten tolerances away, so
+A group of equal texts is cut only if its nearer edge is more than three tolerances away, so
 a hot group spreads over several shards instead of making one of them too large.
 """
 
@@ -19,6 +19,8 @@ from .common import P, materialize
 BITS = 10
 LEVELS = 6  # of BITS bits each, for either half of the key
 HALF = BITS * LEVELS
+#: Tolerances that the edge of a group of equal texts may be from a boundary that spares the group.
+GROUP = 3
 
 
 def _key(col: Column) -> Column:
@@ -30,7 +32,7 @@ def splitters(rows: DataFrame, size: str, k1: str, k2: str, n_shards: int, toler
     """Keys (k1, k2) at which shards 1, 2, ... begin. Nothing but counts of at most
     (n_shards - 1) * 2**BITS cells comes to the driver in a round."""
     total = rows.agg(F.sum(size)).first()[0] or 0
-    slack, group_slack = tolerance * total / n_shards, 10 * tolerance * total / n_shards
+    slack, group_slack = tolerance * total / n_shards, GROUP * tolerance * total / n_shards
     goals = {s: total * s / n_shards for s in range(1, n_shards)}
     done: dict[int, tuple[int, int]] = {}
     # Per open splitter: the depth and key prefix of its cell, and exact bytes below that cell.

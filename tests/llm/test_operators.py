@@ -643,6 +643,18 @@ def test_gathered_sums_must_match(spark):
         gramjoin._gathered(1, lambda own, sums: None)(table)
 
 
+def off_target(rows, shards):
+    """How far each boundary between shards is from its place, in bytes. rows: (shard, size)."""
+    sizes = collections.Counter()
+    for at, n in rows:
+        sizes[at] += n
+    total, below, out = sum(sizes.values()), 0, []
+    for s in range(shards - 1):
+        below += sizes[s]
+        out.append(abs(below - total * (s + 1) / shards))
+    return out
+
+
 def test_sharding(docs, rows, empty, spark):
     out = shard.shard(docs, 4)
     assert set(docs.columns) - {"size", "shard"} <= set(out.columns) and {"size", "shard", "slot"} <= set(out.columns)
@@ -665,6 +677,7 @@ def test_sharding(docs, rows, empty, spark):
         places[r.text].add(r["shard"])
     mean = sum(sizes.values()) / 10
     assert len(sizes) == 10 and all(abs(s - mean) < 0.15 * mean for s in sizes.values())
+    assert max(off_target([(r["shard"], r["size"]) for r in got], 10)) <= 0.03 * mean + max(r["size"] for r in got)
     assert len(places["hot " * 20]) > 2 and sum(len(p) > 1 for t, p in places.items()) <= 2
 
 
@@ -750,6 +763,19 @@ def test_winnowing_guarantee():
     assert (slow == on).all()
 
 
+def model_targets(size):
+    """Targets by repeated filling. size: words by source, in the order in which weights are dealt."""
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(size)}
+    target, total, free = {}, 1.5 * sum(size.values()), set(size)
+    while True:
+        level = (total - sum(target.values())) / sum(weight[s] for s in free) if free else 0
+        over = {s for s in free if level * weight[s] > 2 * size[s]}
+        if not over:
+            return target | {s: level * weight[s] for s in free}
+        target |= {s: 2.0 * size[s] for s in over}
+        free -= over
+
+
 def test_mixing(docs, rows, empty, spark):
     out = mixture.mix(docs)
     got = out.collect()
@@ -758,18 +784,9 @@ def test_mixing(docs, rows, empty, spark):
     for r in got:
         by[r["source"]].append(r)
     names = sorted((s for s in by if s is not None)) + [None]
-    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
     size = {s: sum(r["size"] for r in x) for s, x in by.items()}
     assert {s: {r["source_size"] for r in x} for s, x in by.items()} == {s: {n} for s, n in size.items()}
-    target, total, free = {}, 1.5 * sum(size.values()), set(names)
-    while True:
-        level = (total - sum(target.values())) / sum(weight[s] for s in free) if free else 0
-        over = {s for s in free if level * weight[s] > 2 * size[s]}
-        if not over:
-            break
-        target |= {s: 2.0 * size[s] for s in over}
-        free -= over
-    target |= {s: level * weight[s] for s in free}
+    target = model_targets({s: size[s] for s in names})
     for s, x in by.items():
         assert all(abs(r["target"] - target[s]) < 1e-6 for r in x)
         taken = sum(r["size"] * r["repeats"] for r in x)
