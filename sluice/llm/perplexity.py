@@ -115,7 +115,7 @@ def kneser_ney(text: DataFrame) -> tuple[DataFrame, list[DataFrame], list[float]
     first = int(tn.BEGIN.view(np.int64))
     bi = every.groupBy("set", "bc", "b", "c").agg(F.when(F.first("b") == F.lit(first), F.sum("n")).otherwise(F.count(F.lit(1))).alias("n"), F.sum("n").alias("raw"))
     bi = materialize(bi)
-    uni = materialize(_discounted(materialize(bi.groupBy("set", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("raw").alias("raw")))))
+    uni = _discounted(materialize(bi.groupBy("set", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("raw").alias("raw"))))
     totals = {r["set"]: (r["n"], r["d"], r["v"]) for r in uni.groupBy("set").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.count(F.lit(1)).alias("v")).collect()}  # a row a set
     n, d, v = totals.get(0, (1, 1.0, 0))
     unknown = d / n / (v + 1)
@@ -136,7 +136,7 @@ def kneser_ney(text: DataFrame) -> tuple[DataFrame, list[DataFrame], list[float]
         own = own.join(under, "c", "left").fillna({"under": unknown})
         rivals.append(own.select(F.col("c").alias("hash"), F.log10((F.col("n") - F.col("d")) / all_ / F.col("under") + rest).alias("ratio")))
         left.append(float(np.log10(rest)))
-    tri, bi = (materialize(_discounted(x.filter("set = 0"))).drop("set") for x in (every, bi))
+    tri, bi = (_discounted(x.filter("set = 0")).drop("set") for x in (every, bi))
     g2 = materialize(bi.groupBy("b").agg(F.sum("n").alias("all2"), (F.sum("d") / F.sum("n")).alias("g2")))
     g3 = materialize(tri.groupBy("ab").agg(F.sum("n").alias("all3"), (F.sum("d") / F.sum("n")).alias("g3")))
     log, none = F.log10, F.lit(0.0)
