@@ -42,8 +42,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixed),
     ("sharding", sharded),
 ]
-#: Model fits and hash signatures have no SQL; tests/llm holds
-#: planted cases and invariants against the stages.
+#: Model fits and hash signatures have no SQL; tests/llm holds each stage against brute force,
+#: given what the stage before it kept.
 ORACLE_SQL = None
 
 
