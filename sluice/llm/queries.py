@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, shard, suffix_dedup, window_dedup
+from . import decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, shard, spelling, suffix_dedup, window_dedup
 from .common import P, read
 
 
@@ -79,6 +79,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"), typo_every=31)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_mixing": op10_mixing,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -142,4 +147,25 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE tab AS MATERIALIZED (
+          SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+        few AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+        coded AS (SELECT *, hex(encode(doc_id || ':' || run)) AS x FROM few),
+        hashed AS (SELECT run, k, xor(list_reduce(list_concat([4294967295], list_transform(range(length(x) // 2), lambda i: CAST('0x' || substring(x, 2 * i + 1, 2) AS BIGINT))),
+                     lambda s, b: xor(t[xor(s, b) % 256 + 1], s >> 8)), 4294967295) AS h FROM coded, tab),
+        typed AS (SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+        words AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+        cuts AS MATERIALIZED (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS cut FROM words, unnest(range(1, length(word) + 1)) AS t(i)),
+        pairs AS (SELECT a.word, b.word AS other, b.n AS m FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+                  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+                  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word),
+        best AS (SELECT word, count(*) AS n_near, min({'less': -m, 'other': other}) AS b FROM pairs GROUP BY word),
+        told AS MATERIALIZED (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 10 * n THEN b.other END AS form, CASE WHEN -b.less >= 10 * n THEN -b.less END AS form_n
+                 FROM words LEFT JOIN best USING (word)),
+        chain AS (SELECT word, coalesce(form, word) AS root FROM told
+                  UNION SELECT chain.word, told.form FROM chain JOIN told ON told.word = chain.root WHERE told.form IS NOT NULL),
+        last AS (SELECT chain.word, root FROM chain JOIN told ON told.word = chain.root WHERE told.form IS NULL)
+        SELECT told.word, form, root, n, n_near, form_n FROM told JOIN last USING (word)""",
 }

@@ -7,6 +7,7 @@ by the slice (or one text, if that is longer) and not by the batch.
 from __future__ import annotations
 
 import ctypes
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -89,14 +90,39 @@ def slices(column: pa.Array, limit: int = SLICE):
     give_back()
 
 
+def pieces(column: pa.Array, inside: np.ndarray, limit: int = SLICE):
+    """As slices(), but a text longer than two limits comes in several slices, each cut after a byte
+    that is not `inside`."""
+    for row, data, at in slices(column, limit):
+        a = 0
+        while len(at) == 2 and len(data) - a > 2 * limit:
+            b = a + limit
+            while b < len(data):
+                out = np.flatnonzero(~inside[data[b : b + limit]])
+                if len(out):
+                    b += int(out[0]) + 1
+                    break
+                b = min(b + limit, len(data))
+            yield row, data[a:b], np.array([0, b - a])
+            a = b
+        if not a:
+            yield row, data, at
+        elif a < len(data):
+            yield row, data[a:], np.array([0, len(data) - a])
+
+
 def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first): byte spans of the words, and each text's first word number."""
-    inside = kind[data]
-    before = np.zeros(len(data), bool)
+    return spans(kind[data], at)
+
+
+def spans(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first) of the stretches of bytes that are inside."""
+    before = np.zeros(len(inside), bool)
     before[1:] = inside[:-1]
-    after = np.zeros(len(data), bool)
+    after = np.zeros(len(inside), bool)
     after[:-1] = inside[1:]
-    edges = at[(at > 0) & (at < len(data))]
+    edges = at[(at > 0) & (at < len(inside))]
     before[edges] = False
     after[edges - 1] = False
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
@@ -125,6 +151,40 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((total[ends] - total[starts]) * _power("down", len(data) + 1)[starts])
 
 
+def packed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The byte spans as a binary array."""
+    size = ends - starts
+    to = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=to[1:])
+    taken = data[np.arange(to[-1]) + np.repeat(starts - to[:-1], size)]
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(to), pa.py_buffer(np.ascontiguousarray(taken))])
+
+
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = np.where(_CRC & 1, (_CRC >> 1) ^ np.uint32(0xEDB88320), _CRC >> 1).astype(np.uint32)
+#: Spans longer than this get their crc32 one by one.
+LANE = 64
+
+
+def crcs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, begun: np.ndarray) -> np.ndarray:
+    """The crc32 of each byte span, going on from the crc32 of what stands before it."""
+    size = ends - starts
+    order = np.argsort(-size, kind="stable")
+    long = int(np.searchsorted(-size[order], -LANE))
+    out = np.zeros(len(size), np.uint32)
+    for i in order[:long]:
+        out[i] = zlib.crc32(data[starts[i] : ends[i]].data, int(begun[i]))
+    order = order[long:]
+    size, at = size[order], starts[order]
+    state = begun[order].astype(np.uint32) ^ np.uint32(0xFFFFFFFF)
+    for k in range(int(size[0]) if len(size) else 0):
+        n = int(np.searchsorted(-size, -k))  # those with more than k bytes
+        state[:n] = _CRC[(state[:n] ^ data[at[:n] + k]) & 0xFF] ^ (state[:n] >> 8)
+    out[order] = state ^ np.uint32(0xFFFFFFFF)
+    return out
+
+
 def grams(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k neighbours, as many as len(h) - k + 1; text borders are the caller's."""
     n = len(h) - k + 1
@@ -195,6 +255,27 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
+def whole_groups(batches, n_keys: int):
+    """(table, cuts): rows of whole groups, and where each begins and the last ends. Batches are
+    sorted by their first n_keys columns."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table]).combine_chunks()
+        new = np.ones(table.num_rows, bool)
+        keys = [table.column(i).to_numpy() for i in range(n_keys)]
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+        cut = np.flatnonzero(new)
+        if len(cut) > 1:
+            yield table.slice(0, cut[-1]).combine_chunks(), cut
+        held = table.slice(cut[-1])
+    if held is not None:
+        yield held.combine_chunks(), np.array([0, held.num_rows])
+
+
 def squeezed(batches, text: int):
     """Batches with the text column compressed, row by row, for an exchange."""
     pack = zstandard.ZstdCompressor(level=1)
