@@ -51,10 +51,15 @@ def small_batches(spark: SparkSession, size: str = "8m"):
 _scratch: list[list[DataFrame]] = []
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A name in the shared folder that nothing has yet."""
+    return f"{shared_dir(spark)}/sluice-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors. keep: the
     table outlives the scratch() it is written in; discard() deletes it."""
-    path = f"{shared_dir(df.sparkSession)}/sluice-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     with small_batches(df.sparkSession):
         df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)

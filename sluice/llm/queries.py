@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, shard, spelling, suffix_dedup, window_dedup
-from .common import P, read
+from . import decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, shard, spelling, suffix_dedup, token_files, window_dedup
+from .common import P, new_folder, read
 
 
 def _digest(text):
@@ -79,6 +80,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark)
+    token_files.write_ids(read(spark, sf_dir, "documents").select("doc_id", "text"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"), typo_every=31)
 
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_mixing": op10_mixing,
+    "op12_token_files": op12_token_files,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
