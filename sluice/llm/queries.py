@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, lm_score, mixture, near_dedup, perplexity, quality_rules, shard, spelling, suffix_dedup, token_files, window_dedup
+from . import decontaminate, line_dedup, lm_score, mixture, near_dedup, periodic, perplexity, quality_rules, shard, spelling, suffix_dedup, token_files, window_dedup
 from .common import P, new_folder, read
 
 
@@ -80,6 +80,35 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """docs with every tenth text made periodic from some word on, as the contract of op11 plants runs."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h, n = F.crc32(F.col("doc_id").cast("string").cast("binary")), F.greatest(F.size("w"), F.lit(1)).cast("long")
+    planted = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.col("g") % n)
+    planted = planted.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    turned = F.transform("w", lambda w, i: F.when(i >= F.col("a"), F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))).otherwise(w))
+    return planted.select("doc_id", F.when(F.size("w") > 0, F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = looped(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs, keep=["doc_id"])
+    runs = F.col(periodic.RUNS)
+    best = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("less"))))
+    lines = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        (-F.col("best.back")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.less")).alias("period"),
+        F.floor(F.lit(-1000) * F.col("best.length") / F.col("best.less")).alias("exponent_milli"),
+        _digest(lines).alias("runs_sha256"),
+        _digest(F.col(periodic.COLLAPSED)).alias("collapsed_sha256"),
+    )
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     token_files.write_ids(read(spark, sf_dir, "documents").select("doc_id", "text"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -101,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_mixing": op10_mixing,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_token_files": op12_token_files,
     "op13_spelling_variants": op13_spelling_variants,
 }
