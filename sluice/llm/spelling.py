@@ -26,8 +26,8 @@ from .common import P, discard, materialize
 
 LIMIT = 8192
 DEPTH = 5
-#: Cells of a matrix of pairs, or letters of words, that are looked at together.
-CELLS = 1 << 22
+#: Cells of a matrix of pairs, or letters of words, that are looked at together; few, for the cache.
+CELLS = 1 << 18
 LEAD = 0xC3
 #: Bytes that a text isn't cut after: letters, and all of other characters.
 INSIDE = np.zeros(256, bool)
@@ -138,22 +138,37 @@ def one_edit(code: np.ndarray, start: np.ndarray, size: np.ndarray, a: np.ndarra
     return ok
 
 
-def _candidates(mask, size, a, b, path: int, twice: bool):
-    """Pairs of a and b, by masks and lengths; twice: a and b are the same words."""
+def _candidates(mask, size, half, a, b, path: int, twice: bool):
+    """Pairs (shorter, longer) of a and b, by masks, lengths and halves; twice: a and b are the same words."""
     step = max(1, CELLS // max(1, len(b)))
     for i in range(0, len(a), step):
-        x = mask[a[i : i + step]][:, None] ^ mask[b][None, :]
-        r, c = np.nonzero(np.bitwise_count(x) <= 2)
-        x = x[r, c]
-        r, c = a[i : i + step][r], b[c]
+        mine, other = a[i : i + step], b[i:] if twice else b
+        near = np.bitwise_count(mask[mine][:, None] ^ mask[other][None, :]) <= 2
+        r, c = np.divmod(np.flatnonzero(near), len(other))
+        r, c = mine[r], other[c]
         ok = np.abs(size[r] - size[c]) <= 1
         if twice:
             ok &= r < c
-        for bits in DIFFER[path]:
-            ok &= (x & np.uint64(bits)) != 0
         r, c = r[ok], c[ok]
         swap = size[r] > size[c]
-        yield np.where(swap, c, r), np.where(swap, r, c)
+        r, c = np.where(swap, c, r), np.where(swap, r, c)
+        # One edit leaves the first half of the letters as it is, or the second.
+        longer = size[c] > size[r]
+        ok = (half[0][r] == np.where(longer, half[1][c], half[0][c])) | (half[2][r] == np.where(longer, half[3][c], half[2][c]))
+        r, c = r[ok], c[ok]
+        x = mask[r] ^ mask[c]
+        ok = np.ones(len(r), bool)
+        for bits in DIFFER[path]:
+            ok &= (x & np.uint64(bits)) != 0
+        yield r[ok], c[ok]
+
+
+def halves(code: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Hashes of each word's first half, of the first half of a word with a letter less, and of what
+    is left of each of those lengths at the word's end."""
+    begin, end = at[:-1], at[1:]
+    n = end - begin
+    return [tn.span_hash(code, *span) for span in ((begin, begin + n // 2), (begin, begin + (n - 1) // 2), (begin + n // 2, end), (begin + (n - 1) // 2 + 1, end))]
 
 
 def _near(batches):
@@ -163,6 +178,7 @@ def _near(batches):
         words = table.column(5).combine_chunks() if table.column(5).num_chunks != 1 else table.column(5).chunk(0)
         mask, size = table.column(7).to_numpy().view(np.uint64), table.column(8).to_numpy()
         code, at = codes(words)
+        half = halves(code, at)
         found = []
         for p, q in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
             if q - p < 2:
@@ -180,7 +196,7 @@ def _near(batches):
                     mine = own[size[own] == n]
                     lots += [(mine, mine, True), (mine, own[size[own] == n + 1], False)]
             for a, b, twice in lots:
-                for r, c in _candidates(mask, size, a, b, int(path[p]), twice):
+                for r, c in _candidates(mask, size, half, a, b, int(path[p]), twice):
                     ok = one_edit(code, at, size, r, c)
                     found.append((r[ok], c[ok]))
         if found:
