@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from . import rules
 from .functions import devices, geo, text
 from .operators import rows, sets
+from .operators.numbering import running_total, work_folder
 from .plans import audience, reports, wide
 from .plans.days import day_column, last_days
 from .plans.warehouse import CATEGORIES, stand_in
@@ -42,16 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share; of this machine only in a local session."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="sluice-work-")
-    return f"{base}/work-{uuid.uuid4().hex}"
-
-
 # Rules
 
 
@@ -94,8 +84,9 @@ def rule_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rule_executable_sql", "SELECT l_returnflag, l_linestatus FROM lineitem WHERE (l_quantity > 45 OR l_discount > 0.09) AND l_tax < 0.02 GROUP BY l_returnflag, l_linestatus HAVING count(*) > 3")
 def rule_executable_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table(spark, sf_dir, "lineitem").withColumns({"disc": F.col("l_discount") > 0.09, "low": F.col("l_tax") < 0.02}).createOrReplaceTempView("rule_lines")
-    return spark.sql(rules.executable_sql("rule_lines", "l_quantity > 45 or disc = true and low = true | distinct(l_returnflag) | count() > 3 | l_returnflag, l_linestatus"))
+    view = f"rule_lines_{uuid.uuid4().hex}"  # views belong to all users of a session
+    table(spark, sf_dir, "lineitem").withColumns({"disc": F.col("l_discount") > 0.09, "low": F.col("l_tax") < 0.02}).createOrReplaceTempView(view)
+    return spark.sql(rules.executable_sql(view, "l_quantity > 45 or disc = true and low = true | distinct(l_returnflag) | count() > 3 | l_returnflag, l_linestatus"))
 
 
 # The warehouse in SQL. Each query below takes what it needs of it.
@@ -435,12 +426,30 @@ def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_lines(spark, f"{path}/a", "", f"{path}/b", recursive=True)
 
 
-@query("split_files", "SELECT CAST(ceil(count(*) / 7.0) AS BIGINT) AS files, count(*) AS lines, sum(strlen(n_name) + 1)::BIGINT AS bytes FROM nation")
+@query(
+    "split_files",
+    "WITH l AS (SELECT o_orderkey, o_orderpriority, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) SELECT n // 700 AS file, count(*) AS lines, min(o_orderkey) AS first, max(o_orderkey) AS last, sum(strlen(o_orderkey || ' ' || o_orderpriority) + 1)::BIGINT AS bytes FROM l GROUP BY 1",
+)
 def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark)
-    files.split_lines(table(spark, sf_dir, "nation").select("n_name").coalesce(1), path, 7)
-    sizes = files.listing(spark, path, glob="part-*").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-    return files.read_lines(spark, path).agg(F.count(F.lit(1)).alias("lines")).crossJoin(F.broadcast(sizes)).select("files", "lines", "bytes")
+    lines = table(spark, sf_dir, "orders").repartitionByRange(8, "o_orderkey").sortWithinPartitions("o_orderkey")
+    files.split_lines(lines.select(F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("value")), path, 700)
+    key = F.split("value", " ")[0].cast("long")
+    parts = files.split_parts(spark, path).groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.min(key).alias("first"), F.max(key).alias("last"))
+    sizes = files.listing(spark, path, glob="part-*").groupBy(F.regexp_extract("path", r"/file=(\d+)/", 1).cast("long").alias("file")).agg(F.sum("length").alias("bytes"))
+    return parts.join(sizes, "file")
+
+
+@query("line_numbers", "SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) + 99 AS n FROM lineitem")
+def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    return tables.next_ids(table(spark, sf_dir, "lineitem").select(*order).orderBy(*order), 100, "n").select("l_orderkey", "l_linenumber", "n")
+
+
+@query("running_revenue", "SELECT o_orderkey, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS cents FROM orders")
+def running_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    return running_total(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], cents, "cents").select("o_orderkey", "cents")
 
 
 @query("merged_file", "SELECT n_name AS value FROM nation")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import rules
+from ..operators.numbering import numbered, work_folder
 
 
 class SourceError(ValueError):
@@ -65,8 +66,25 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_lines(lines: DataFrame, path: str, every: int) -> None:
-    """Write files of at most `every` lines."""
-    lines.write.option("maxRecordsPerFile", every).mode("overwrite").text(path)
+    """Write the lines, in the order of their partitions and of the rows in them, as folders file=0,
+    file=1, ..., each with one file of `every` lines; the last may have fewer.
+
+    Lines are numbered over all partitions (see numbering); those of one file meet in one task, which
+    holds no others' lines. Null is an empty line. No lines, no files.
+    """
+    if every < 1:
+        raise SourceError("files need a line at least")
+    spark, column = lines.sparkSession, lines.columns[0]
+    work = work_folder(spark)
+    rows = numbered(lines.select(F.coalesce(F.col(f"`{column}`"), F.lit("")).alias("value")), "n", path=work)
+    rows = rows.withColumn("file", F.floor(F.col("n") / every)).repartition("file").sortWithinPartitions("file", "n")
+    rows.select("value", "file").write.partitionBy("file").mode("overwrite").text(path)
+    remove(spark, work, recursive=True, force=True)
+
+
+def split_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value): the lines that split_lines() has written, with the number of their file."""
+    return spark.read.schema("value string, file long").text(path).select("file", "value")
 
 
 def fan_out(lines: DataFrame, *paths: str) -> None:
@@ -79,10 +97,15 @@ def fan_out(lines: DataFrame, *paths: str) -> None:
         kept.unpersist()
 
 
-def merge_files(spark: SparkSession, source: str, target: str) -> None:
-    """Lines of a folder's files, in file order, as one file: for results that are small."""
-    rows = spark.read.text(source).select("value", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
-    rows.orderBy("f", "i").select("value").coalesce(1).write.mode("overwrite").text(target)
+def merge_files(spark: SparkSession, source: str, target: str, newline: bool = False) -> None:
+    """Lines of a folder's files, in file order, as one file: for results that are small.
+    newline: an empty line after each file."""
+    at = F.col("_metadata.file_path").alias("f")
+    rows = spark.read.text(source).select("value", at, F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    if newline:
+        ends = spark.read.format("binaryFile").load(source).select(F.lit("").alias("value"), F.col("path").alias("f"), F.lit((1 << 63) - 1).alias("b"), F.lit(0).cast("long").alias("i"))
+        rows = rows.unionByName(ends)
+    rows.orderBy("f", "b", "i").select("value").coalesce(1).write.mode("overwrite").text(target)
 
 
 def upload_source(spark: SparkSession, files: list[str], local_dir: str | None = None, store: list[str] | None = None, store_recursive: bool = False) -> DataFrame:

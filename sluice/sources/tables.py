@@ -7,6 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.numbering import numbered
+
 
 def catalog(spark: SparkSession) -> list[tuple[str, str]]:
     """(database, table) of all databases."""
@@ -70,12 +72,5 @@ def remove_by(old: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def next_ids(df: DataFrame, start: int, name: str = "id") -> DataFrame:
-    """Whole numbers from start on, without gaps: counts per partition, then row numbers in each."""
-    from pyspark.sql import Window
-
-    part = df.withColumns({"__p": F.spark_partition_id(), "__i": F.monotonically_increasing_id()})
-    counts = part.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"), F.min("__i").alias("__first"))
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
-    offsets = counts.select("__p", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    out = part.join(F.broadcast(offsets), "__p")
-    return out.withColumn(name, F.lit(start) + F.col("__off") + F.col("__i") - F.col("__first")).drop("__p", "__i", "__first", "__off")
+    """df with whole numbers from start on, without gaps."""
+    return numbered(df, name, start)
