@@ -66,25 +66,31 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_lines(lines: DataFrame, path: str, every: int) -> None:
-    """Write the lines, in the order of their partitions and of the rows in them, as folders file=0,
-    file=1, ..., each with one file of `every` lines; the last may have fewer.
+    """Write the lines, in the order of their partitions and of the rows in them, as files part-00000,
+    part-00001, ... of `every` lines each; the last may have fewer.
 
-    Lines are numbered over all partitions (see numbering); those of one file meet in one task, which
-    holds no others' lines. Null is an empty line. No lines, no files.
+    Lines are numbered over all partitions (see numbering); those of one file go to one task, which
+    gets no others. Null is an empty line. No lines, no files.
     """
     if every < 1:
         raise SourceError("files need a line at least")
     spark, column = lines.sparkSession, lines.columns[0]
     work = work_folder(spark)
     rows = numbered(lines.select(F.coalesce(F.col(f"`{column}`"), F.lit("")).alias("value")), "n", path=work)
-    rows = rows.withColumn("file", F.floor(F.col("n") / every)).repartition("file").sortWithinPartitions("file", "n")
-    rows.select("value", "file").write.partitionBy("file").mode("overwrite").text(path)
+    parts = -(-spark.read.parquet(work).count() // every)
+    if parts:
+        rows = rows.repartitionById(parts, F.floor(F.col("n") / every).cast("int")).sortWithinPartitions("n")
+        rows.select("value").write.mode("overwrite").text(path)
+    else:
+        remove(spark, path, recursive=True, force=True)
+        make_dir(spark, path)
     remove(spark, work, recursive=True, force=True)
 
 
 def split_parts(spark: SparkSession, path: str) -> DataFrame:
     """(file, value): the lines that split_lines() has written, with the number of their file."""
-    return spark.read.schema("value string, file long").text(path).select("file", "value")
+    file = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    return spark.read.text(path).select(file.alias("file"), "value")
 
 
 def fan_out(lines: DataFrame, *paths: str) -> None:
