@@ -13,7 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .days import day_list
+from ..operators.ranges import ip_number, narrowest
+from .days import day_column, day_list
 from .warehouse import Warehouse
 
 PC, MOBILE = 1, 2
@@ -41,6 +42,14 @@ class Context:
     geo: Callable[[Column], Column] | None = None  # ip -> map with "country" and "region"
     hobbies: tuple[str, ...] = HOBBIES
     drill_country: int = DRILL_COUNTRY
+    ip_ranges: DataFrame | None = None  # first, last (ips as numbers), country, region; taken before geo
+    daily: bool = False  # day by day: all reports have a column more, day
+    total: bool = False  # with daily: rows of the whole range too, whose day is null
+
+    @property
+    def by(self) -> list[str]:
+        """What every count is grouped by, besides its own keys."""
+        return ["day"] if self.daily else []
 
     @property
     def key(self) -> str:
@@ -87,7 +96,30 @@ def report(dimension: str, *metrics: str, etypes: tuple[int, ...] = (PC,), produ
 
 
 def _in_dates(df: DataFrame, ctx: Context) -> DataFrame:
-    return df.filter(F.col("dt").between(ctx.first, ctx.last))
+    """Rows of the range. Day by day, each has its day; for totals it is there once more without, so
+    that distinct counts of days and of the range come from one reading."""
+    out = df.filter(F.col("dt").between(ctx.first, ctx.last))
+    if not ctx.daily:
+        return out
+    return out.withColumn("day", F.explode(F.array("dt", F.lit(None))) if ctx.total else F.col("dt"))
+
+
+def _all_days(ctx: Context) -> Column:
+    days = day_column(ctx.first, ctx.last)
+    return F.explode(F.concat(days, F.array(F.lit(None).cast("string"))) if ctx.total else days)
+
+
+def _each_day(df: DataFrame, ctx: Context) -> DataFrame:
+    """What doesn't hang on the day, for each day."""
+    return df.withColumn("day", _all_days(ctx)) if ctx.daily else df
+
+
+def _filled(df: DataFrame, ctx: Context, *sums: str) -> DataFrame:
+    """Sums of the range, or of each day; days without rows have zeros."""
+    if not ctx.daily:
+        return df
+    zeros = df.sparkSession.range(1).select(_all_days(ctx).alias("day"), *[F.lit(0).cast("long").alias(c) for c in sums])
+    return df.unionByName(zeros).groupBy("day").agg(*[F.sum(c).alias(c) for c in sums])
 
 
 def _audience(ctx: Context, name: str) -> DataFrame:
@@ -140,11 +172,11 @@ def _demography(column: str, etypes: tuple[int, ...]) -> None:
     def build(ctx: Context, metric: str) -> DataFrame:
         rows = wide_rows(ctx)
         if metric == "value":
-            return _count(rows.distinct(), column)
-        log = _ad_log(ctx, metric).select(F.col(ctx.log_key).alias(ctx.key))
+            return _each_day(_count(rows.distinct(), column), ctx)
+        log = _ad_log(ctx, metric).select(*ctx.by, F.col(ctx.log_key).alias(ctx.key))
         # Log rows are counted by id first: every wide row then weighs that many.
-        per_id = log.groupBy(ctx.key).agg(F.count(F.lit(1)).alias("n"))
-        return rows.join(per_id, ctx.key).groupBy(column).agg(F.sum("n").alias("cnt"))
+        per_id = log.groupBy(*ctx.by, ctx.key).agg(F.count(F.lit(1)).alias("n"))
+        return rows.join(per_id, ctx.key).groupBy(*ctx.by, column).agg(F.sum("n").alias("cnt"))
 
     name = "mob_os" if column == "os" else column
     for metric in ("value", "impressions", "click"):
@@ -160,20 +192,21 @@ for _column, _etypes in (("sex", (PC, MOBILE)), ("age", (PC, MOBILE)), ("industr
 
 def _os_names(ctx: Context, counts: DataFrame) -> DataFrame:
     dim = ctx.warehouse.dim_os.groupBy("id").agg(F.max("name").alias("name"))
-    return _named(counts, dim, "ostype", "left").select(F.coalesce("name", F.lit(UNKNOWN)).alias("ostypename"), "ostype", "cnt")
+    return _named(counts, dim, "ostype", "left").select(*ctx.by, F.coalesce("name", F.lit(UNKNOWN)).alias("ostypename"), "ostype", "cnt")
 
 
 @report("os", "visitors")
 def os_visitors(ctx: Context) -> DataFrame:
     """Visitors by system, of both logs: one who is in both counts twice."""
-    ads = _ad_rows(ctx, "impressions").filter("visitorid is not null").select("visitorid", "ostype").distinct()
-    site = _sessions(ctx).select("visitor_id", F.col("os_id").alias("ostype")).distinct()
-    return _os_names(ctx, _count(ads.select("ostype").unionAll(site.select("ostype")), "ostype"))
+    by = ctx.by
+    ads = _ad_rows(ctx, "impressions").filter("visitorid is not null").select(*by, "visitorid", "ostype").distinct()
+    site = _sessions(ctx).select(*by, "visitor_id", F.col("os_id").alias("ostype")).distinct()
+    return _os_names(ctx, _count(ads.select(*by, "ostype").unionAll(site.select(*by, "ostype")), *by, "ostype"))
 
 
 @report("os", "impressions", "click")
 def os_ads(ctx: Context, metric: str) -> DataFrame:
-    return _os_names(ctx, _count(_ad_rows(ctx, metric), "ostype"))
+    return _os_names(ctx, _count(_ad_rows(ctx, metric), *ctx.by, "ostype"))
 
 
 # Interests
@@ -185,29 +218,29 @@ def hobby(ctx: Context, metric: str) -> DataFrame:
     rows = ctx.warehouse.user_category.join(_audience(ctx, own), own)
     rows = rows.select(own, F.explode(F.split("categories", r"\|")).alias("catid")).filter(F.col("catid").isin(list(ctx.hobbies)))
     if metric == "value":
-        counts = _count(rows, "catid")
+        counts = _each_day(_count(rows, "catid"), ctx)
     else:
         # Log ids are of the web log for both kinds of audience.
-        per_id = _ad_log(ctx, metric).select(F.col("visitorid").alias(own)).groupBy(own).agg(F.count(F.lit(1)).alias("n"))
-        counts = rows.join(per_id, own).groupBy("catid").agg(F.sum("n").alias("cnt"))
-    return _named(counts, ctx.warehouse.dim_category, "catid").select(F.col("name").alias("interest"), "cnt")
+        per_id = _ad_log(ctx, metric).select(*ctx.by, F.col("visitorid").alias(own)).groupBy(*ctx.by, own).agg(F.count(F.lit(1)).alias("n"))
+        counts = rows.join(per_id, own).groupBy(*ctx.by, "catid").agg(F.sum("n").alias("cnt"))
+    return _named(counts, ctx.warehouse.dim_category, "catid").select(*ctx.by, F.col("name").alias("interest"), "cnt")
 
 
 @report("hotsite", "visitors", products=())
 def hotsite(ctx: Context) -> DataFrame:
     ids = _audience(ctx, "userid").distinct()
-    return _count(ctx.warehouse.user_domain.join(ids, "userid"), "domain")
+    return _each_day(_count(ctx.warehouse.user_domain.join(ids, "userid"), "domain"), ctx)
 
 
 # Keywords, pages, sources
 
 
-def _by_name(rows: DataFrame, key: str, dim: DataFrame, filled: bool = True) -> DataFrame:
+def _by_name(rows: DataFrame, key: str, dim: DataFrame, by: list[str], filled: bool = True) -> DataFrame:
     """Count by key, name the keys, add up equal names."""
-    out = _named(_count(rows, key), dim, key)
+    out = _named(_count(rows, *by, key), dim, key)
     if filled:
         out = out.filter("name <> ''")
-    return out.groupBy("name").agg(F.sum("cnt").alias("cnt"))
+    return out.groupBy(*by, "name").agg(F.sum("cnt").alias("cnt"))
 
 
 @report("keyword", "session", "pageviews", "visitors")
@@ -215,35 +248,35 @@ def keyword(ctx: Context, metric: str) -> DataFrame:
     """session: distinct (keyword, session); pageviews: session rows; visitors: rows with a keyword."""
     rows = _sessions(ctx)
     if metric == "session":
-        rows = rows.select("search_keyword_id", "session_id").distinct()
+        rows = rows.select(*ctx.by, "search_keyword_id", "session_id").distinct()
     elif metric == "visitors":
         rows = rows.filter("search_keyword_id > 0")
-    return _by_name(rows, "search_keyword_id", ctx.warehouse.dim_keyword)
+    return _by_name(rows, "search_keyword_id", ctx.warehouse.dim_keyword, ctx.by)
 
 
 @report("page", "session", "visitors")
 def page_distinct(ctx: Context, metric: str) -> DataFrame:
     other = "session_id" if metric == "session" else "visitor_id"
-    counts = _count(_pages(ctx).select("page_url_id", other).distinct(), "page_url_id")
-    return _named(counts, ctx.warehouse.dim_url, "page_url_id").filter("name <> ''").select("name", "cnt")
+    counts = _count(_pages(ctx).select(*ctx.by, "page_url_id", other).distinct(), *ctx.by, "page_url_id")
+    return _named(counts, ctx.warehouse.dim_url, "page_url_id").filter("name <> ''").select(*ctx.by, "name", "cnt")
 
 
 @report("page", "pageviews")
 def page_views(ctx: Context) -> DataFrame:
-    counts = _count(_pages(ctx), "page_url_id", "page_title_id")
+    counts = _count(_pages(ctx), *ctx.by, "page_url_id", "page_title_id")
     out = _named(counts, ctx.warehouse.dim_url.withColumnRenamed("name", "url"), "page_url_id")
     out = _named(out, ctx.warehouse.dim_title.withColumnRenamed("name", "title"), "page_title_id")
-    return out.groupBy("page_url_id", "url", "title").agg(F.sum("cnt").alias("cnt"))
+    return out.groupBy(*ctx.by, "page_url_id", "url", "title").agg(F.sum("cnt").alias("cnt"))
 
 
 @report("source", "session", "pageviews", "visitors")
 def source(ctx: Context, metric: str) -> DataFrame:
     rows = _sessions(ctx)
     if metric == "visitors":
-        rows = rows.select("referer_domain_id", "visitor_id").distinct()
+        rows = rows.select(*ctx.by, "referer_domain_id", "visitor_id").distinct()
     amount = F.sum("pageviews") if metric == "pageviews" else F.count(F.lit(1))
-    counts = rows.groupBy("referer_domain_id").agg(amount.alias("cnt"))
-    return _named(counts, ctx.warehouse.dim_source, "referer_domain_id").groupBy("name").agg(F.sum("cnt").alias("cnt"))
+    counts = rows.groupBy(*ctx.by, "referer_domain_id").agg(amount.alias("cnt"))
+    return _named(counts, ctx.warehouse.dim_source, "referer_domain_id").groupBy(*ctx.by, "name").agg(F.sum("cnt").alias("cnt"))
 
 
 # Regions
@@ -255,40 +288,52 @@ def _place(country: Column, region: Column, ctx: Context) -> Column:
     return F.when(country == str(ctx.drill_country), F.concat(country, F.lit("$"), region.cast("string"))).otherwise(country)
 
 
-def _located(rows: DataFrame, ctx: Context) -> DataFrame:
-    """rows: (id) -> counts by location name."""
+def _located(counts: DataFrame, ctx: Context) -> DataFrame:
+    """counts: (id, cnt) -> counts by location name."""
     dim, c = ctx.warehouse.dim_location, F.col("country")
     name = F.when(c == ctx.drill_country, F.concat("country_name", "region_name")).otherwise(F.col("country_name"))
     places = dim.select(_place(c, F.col("region"), ctx).alias("id"), name.alias("location")).distinct()
-    counts = _count(rows.filter("id <> ''"), "id")
-    return counts.join(places, "id").groupBy("location").agg(F.sum("cnt").alias("cnt"))
+    counts = counts.filter("id <> ''").groupBy(*ctx.by, "id").agg(F.sum("cnt").alias("cnt"))
+    return counts.join(places, "id").groupBy(*ctx.by, "location").agg(F.sum("cnt").alias("cnt"))
+
+
+def _by_ip(rows: DataFrame, ctx: Context) -> DataFrame:
+    """(id, cnt): rows by the place of their ip. They are counted by ip first, so that each ip is
+    looked up once."""
+    counts = _count(rows, *ctx.by, "ip")
+    if ctx.ip_ranges is not None:
+        where = ctx.ip_ranges.select("first", "last", "country", "region")
+        out = narrowest(counts.withColumn("__ip", ip_number(F.col("ip"))), "__ip", where)
+        return out.select(*ctx.by, _place(F.col("country"), F.col("region"), ctx).alias("id"), "cnt")
+    if ctx.geo is None:
+        raise ReportError("no ranges of ips, and no function from ip to place")
+    out = counts.withColumn("__geo", ctx.geo(F.col("ip")))
+    return out.select(*ctx.by, _place(F.col("__geo")["country"], F.col("__geo")["region"], ctx).alias("id"), "cnt")
 
 
-def _geo_rows(rows: DataFrame, ctx: Context) -> DataFrame:
-    if ctx.geo is None:
-        raise ReportError("no function from ip to place")
-    out = rows.withColumn("__geo", ctx.geo(F.col("ip")))
-    return out.select(_place(F.col("__geo")["country"], F.col("__geo")["region"], ctx).alias("id"))
+def _by_site(rows: DataFrame, ctx: Context) -> DataFrame:
+    """(id, cnt): rows by their country and province."""
+    return _count(rows.select(*ctx.by, _place(F.col("country_id"), F.col("province_id"), ctx).alias("id")), *ctx.by, "id")
 
 
 @report("region", "session", "pageviews")
 def region_site(ctx: Context, metric: str) -> DataFrame:
     rows = _sessions(ctx)
     if metric == "session":
-        rows = rows.select("visitor_id", "session_id", "country_id", "province_id").distinct()
-    return _located(rows.select(_place(F.col("country_id"), F.col("province_id"), ctx).alias("id")), ctx)
+        rows = rows.select(*ctx.by, "visitor_id", "session_id", "country_id", "province_id").distinct()
+    return _located(_by_site(rows, ctx), ctx)
 
 
 @report("region", "visitors")
 def region_visitors(ctx: Context) -> DataFrame:
-    ads = _geo_rows(_ad_rows(ctx, "impressions").filter("visitorid is not null").select("ip", "visitorid").distinct(), ctx)
-    site = _sessions(ctx).select("country_id", "province_id", "visitor_id").distinct()
-    return _located(ads.unionAll(site.select(_place(F.col("country_id"), F.col("province_id"), ctx).alias("id"))), ctx)
+    ads = _by_ip(_ad_rows(ctx, "impressions").filter("visitorid is not null").select(*ctx.by, "ip", "visitorid").distinct(), ctx)
+    site = _by_site(_sessions(ctx).select(*ctx.by, "country_id", "province_id", "visitor_id").distinct(), ctx)
+    return _located(ads.unionByName(site), ctx)
 
 
 @report("region", "impressions", "click", etypes=(PC, MOBILE))
 def region_ads(ctx: Context, metric: str) -> DataFrame:
-    return _located(_geo_rows(_ad_rows(ctx, metric).filter(F.col(ctx.log_key).isNotNull()), ctx), ctx)
+    return _located(_by_ip(_ad_rows(ctx, metric).filter(F.col(ctx.log_key).isNotNull()), ctx), ctx)
 
 
 # Summary, depth, frequency, placements
@@ -301,46 +346,46 @@ def unpivot(df: DataFrame, keys: list[str], metrics: list[str], value: str = "cn
 
 @report("summary", "session")
 def summary_session(ctx: Context) -> DataFrame:
-    one = _sessions(ctx).agg(F.count(F.lit(1)).alias("sessions"), F.coalesce(F.sum("pageviews"), F.lit(0)).alias("pageviews"))
-    return unpivot(one, [], ["sessions", "pageviews"])
+    one = _sessions(ctx).groupBy(*ctx.by).agg(F.count(F.lit(1)).alias("sessions"), F.coalesce(F.sum("pageviews"), F.lit(0)).alias("pageviews"))
+    return unpivot(_filled(one, ctx, "sessions", "pageviews"), ctx.by, ["sessions", "pageviews"])
 
 
 @report("summary", "visitors")
 def summary_visitors(ctx: Context) -> DataFrame:
-    return _sessions(ctx).agg(F.countDistinct("visitor_id").alias("cnt"))
+    return _filled(_sessions(ctx).groupBy(*ctx.by).agg(F.countDistinct("visitor_id").alias("cnt")), ctx, "cnt")
 
 
 @report("summary", "impressions", "click")
 def summary_ads(ctx: Context, metric: str) -> DataFrame:
-    return _ad_rows(ctx, metric).agg(F.count(F.lit(1)).alias("cnt"))
+    return _filled(_count(_ad_rows(ctx, metric), *ctx.by), ctx, "cnt")
 
 
 @report("depth", "session")
 def depth_session(ctx: Context) -> DataFrame:
     """Sessions by depth, and their page views (depth * sessions)."""
-    by = _sessions(ctx).groupBy(F.col("pageviews").alias("depth")).agg(F.count(F.lit(1)).alias("sessions"))
-    return unpivot(by.withColumn("pageviews", F.col("depth") * F.col("sessions")), ["depth"], ["sessions", "pageviews"])
+    by = _sessions(ctx).groupBy(*ctx.by, F.col("pageviews").alias("depth")).agg(F.count(F.lit(1)).alias("sessions"))
+    return unpivot(by.withColumn("pageviews", F.col("depth") * F.col("sessions")), [*ctx.by, "depth"], ["sessions", "pageviews"])
 
 
 @report("depth", "visitors")
 def depth_visitors(ctx: Context) -> DataFrame:
-    deepest = _sessions(ctx).groupBy("visitor_id").agg(F.max("pageviews").alias("depth"))
-    return _count(deepest, "depth")
+    deepest = _sessions(ctx).groupBy(*ctx.by, "visitor_id").agg(F.max("pageviews").alias("depth"))
+    return _count(deepest, *ctx.by, "depth")
 
 
 @report("frequency", "visitors")
 def frequency(ctx: Context, most: int = 10, label: str = ">10") -> DataFrame:
     """Visitors, and their impressions, by number of impressions; `most` and above is one row."""
-    per = _ad_rows(ctx, "impressions").filter("visitorid is not null").groupBy("visitorid").agg(F.count(F.lit(1)).alias("f"))
-    hist = per.groupBy("f").agg(F.count(F.lit(1)).alias("n"))
+    per = _ad_rows(ctx, "impressions").filter("visitorid is not null").groupBy(*ctx.by, "visitorid").agg(F.count(F.lit(1)).alias("f"))
+    hist = per.groupBy(*ctx.by, "f").agg(F.count(F.lit(1)).alias("n"))
     name = F.when(F.col("f") >= most, F.lit(label)).otherwise(F.col("f").cast("string"))
-    return hist.groupBy(name.alias("name")).agg(F.sum("n").alias("visitors"), F.sum(F.col("n") * F.col("f")).alias("impressions"))
+    return hist.groupBy(*ctx.by, name.alias("name")).agg(F.sum("n").alias("visitors"), F.sum(F.col("n") * F.col("f")).alias("impressions"))
 
 
 @report("ad_summary", "click", "impressions", etypes=(PC, MOBILE))
 def ad_summary(ctx: Context, metric: str) -> DataFrame:
-    counts = _count(_ad_rows(ctx, metric), "dt", "spotid")
-    return _named(counts, ctx.warehouse.dim_position, "spotid", "left").select("dt", F.col("spotid").alias("spot_id"), "name", "cnt")
+    counts = _count(_ad_rows(ctx, metric), *ctx.by, "dt", "spotid")
+    return _named(counts, ctx.warehouse.dim_position, "spotid", "left").select(*ctx.by, "dt", F.col("spotid").alias("spot_id"), "name", "cnt")
 
 
 # Paths
@@ -364,22 +409,23 @@ def path(ctx: Context) -> DataFrame:
     rows = _in_dates(w.visits, ctx).join(_audience(ctx, "visitor_id"), "visitor_id", "left_semi")
     rows = rows.join(w.meta_referer, rows.referer_url_id == w.meta_referer.url_id).join(w.meta_domain, rows.page_domain_id == w.meta_domain.domain_id)
     # A step goes in only if it differs from the one before it, so a visitor's list holds changes alone.
-    key = ["visitor_id", "site_id", "domain"]
+    key = [*ctx.by, "visitor_id", "site_id", "domain"]
     step = rows.select(*key, F.col("begintime").alias("at"), domain_of(F.col("url")).alias("ref"))
     before = F.lag("ref").over(Window.partitionBy(*key).orderBy("at", "ref"))
     changes = step.withColumn("before", before).filter(F.col("before").isNull() | (F.col("ref") != F.col("before")))
     lists = changes.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("at", "ref"))).alias("steps"))
-    refs = lists.select("domain", F.transform("steps", lambda s: s["ref"]).alias("refs"))
-    paths = refs.select(F.array_join(merge_runs(F.concat("refs", F.array("domain"))), ">").alias("paths"))
-    return _count(paths, "paths")
+    refs = lists.select(*ctx.by, "domain", F.transform("steps", lambda s: s["ref"]).alias("refs"))
+    paths = refs.select(*ctx.by, F.array_join(merge_runs(F.concat("refs", F.array("domain"))), ">").alias("paths"))
+    return _count(paths, *ctx.by, "paths")
 
 
 @report("path", "percent")
 def path_percent(ctx: Context) -> DataFrame:
-    # Every row counts for one list; few paths are left when they are added up.
+    """The total is one row, or one a day: it is summed up by task and goes to all of them."""
     counts = path(ctx)
-    total = F.sum("cnt").over(Window.partitionBy())
-    return counts.select("paths", "cnt", (F.col("cnt") * F.lit(100.0) / total).alias("per"))
+    total = F.broadcast(counts.groupBy(*ctx.by).agg(F.sum("cnt").alias("__total")).withColumnsRenamed({"day": "__day"}))
+    out = counts.join(total, F.col("day").eqNullSafe(F.col("__day"))) if ctx.daily else counts.crossJoin(total)
+    return out.select(*ctx.by, "paths", "cnt", (F.col("cnt") * F.lit(100.0) / F.col("__total")).alias("per"))
 
 
 # Running them
@@ -399,15 +445,13 @@ def build_report(ctx: Context, dimension: str, metric: str) -> DataFrame:
     return r.build(ctx)
 
 
-def by_day(ctx: Context, dimension: str, metric: str) -> DataFrame:
-    """The report for each day of the range, latest first, with its day."""
+def by_day(ctx: Context, dimension: str, metric: str, total: bool = False) -> DataFrame:
+    """The report for each day of the range, latest first, with its day; total: and for the whole
+    range, with null as its day, last. One plan, which reads each table as often as one report does."""
     from dataclasses import replace
 
-    days = [build_report(replace(ctx, first=d, last=d), dimension, metric).withColumn("day", F.lit(d)) for d in ctx.days]
-    out = days[0]
-    for d in days[1:]:
-        out = out.unionByName(d)
-    return out
+    out = build_report(replace(ctx, daily=True, total=total), dimension, metric)
+    return out.select(*[c for c in out.columns if c != "day"], "day").orderBy(F.desc_nulls_last("day"))
 
 
 #: What a full run makes, by group.

@@ -70,3 +70,16 @@ def stand_in(spark: SparkSession, sf_dir: str) -> Warehouse:
         meta_domain=nation.filter("n_nationkey < 6").select(F.col("n_nationkey").alias("domain_id"), F.concat(F.lower("n_name"), F.lit(".example")).alias("domain")),
         meta_referer=nation.filter("n_nationkey < 10").select(F.col("n_nationkey").alias("url_id"), F.concat(F.lit("http://www."), F.lower(F.regexp_replace("n_name", " ", "")), F.lit(".example/"), F.col("n_nationkey")).alias("url")),
     )
+
+
+def stand_in_ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(first, last, country, region) of ips in 10.0.0.0/8, from nation and region: some nested, some
+    touching, gaps, and one that holds most others."""
+    t = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    net, n, r = 10 << 24, F.col("n_nationkey").cast("long"), F.col("r_regionkey").cast("long")
+    at = F.lit(net) + n % 7 * 256 + n * 4
+    small = t("nation").select(at.alias("first"), (at + 3 + n % 3 * 2).alias("last"), F.col("n_nationkey").alias("country"), F.col("n_regionkey").alias("region"))
+    start = F.lit(net) + (r + 2) * 256
+    middle = t("region").select(start.alias("first"), (start + 79 + 20 * r).alias("last"), (r + 10).cast("int").alias("country"), F.col("r_regionkey").alias("region"))
+    huge = t("region").filter("r_regionkey = 3").select(F.lit(net + 4 * 256).cast("long").alias("first"), F.lit(net + (1 << 24) - 1).cast("long").alias("last"), F.lit(8).alias("country"), F.col("r_regionkey").alias("region"))
+    return small.unionByName(middle).unionByName(huge)

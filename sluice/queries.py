@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 from . import rules
 from .functions import devices, geo, text
 from .operators import rows, sets
+from .operators.ranges import narrowest
 from .operators.numbering import running_total, work_folder
 from .plans import audience, reports, wide
 from .plans.days import day_column, last_days
-from .plans.warehouse import CATEGORIES, stand_in
+from .plans.warehouse import CATEGORIES, stand_in, stand_in_ip_ranges
 from .sources import cells, files, tables
 from .streaming import rules as streams
 
@@ -201,6 +203,62 @@ _report("path", "topology", _PATHS + "SELECT paths, cnt FROM paths")
 _report("path", "percent", _PATHS + "SELECT paths, cnt, cnt * 100.0 / sum(cnt) OVER () AS per FROM paths")
 
 
+# Places of ips by ranges
+
+
+_RANGES = f"""
+    , ranges AS (SELECT 167772160 + n_nationkey % 7 * 256 + n_nationkey * 4 AS first, 167772160 + n_nationkey % 7 * 256 + n_nationkey * 4 + 3 + n_nationkey % 3 * 2 AS last, n_nationkey AS c, n_regionkey AS r FROM nation
+                 UNION ALL SELECT 167772160 + (r_regionkey + 2) * 256, 167772160 + (r_regionkey + 2) * 256 + 79 + 20 * r_regionkey, r_regionkey + 10, r_regionkey FROM region
+                 UNION ALL SELECT 167773184, 184549375, 8, 3),
+    held AS (SELECT ip, arg_min({{'c': c, 'r': r}}, last - first) AS p FROM (SELECT DISTINCT ip, k FROM logs) JOIN ranges ON 167772160 + k % 7 * 256 + k BETWEEN first AND last GROUP BY ip),
+    located AS (SELECT ip, {_PLACE.format(c="CAST(p.c AS VARCHAR)", r="CAST(p.r AS VARCHAR)")} AS id FROM held)"""
+
+
+def _with_ranges(spark: SparkSession, sf_dir: str) -> reports.Context:
+    return replace(context(spark, sf_dir), geo=None, ip_ranges=stand_in_ip_ranges(spark, sf_dir))
+
+
+@query("region_impressions_ranges", _PRELUDE + _RANGES + _AT.format("SELECT id FROM imp JOIN located USING (ip)"))
+def region_impressions_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.build_report(_with_ranges(spark, sf_dir), "region", "impressions")
+
+
+@query("region_visitors_ranges", _PRELUDE + _RANGES + _AT.format(f"SELECT id FROM (SELECT DISTINCT ip, visitorid FROM imp) JOIN located USING (ip) UNION ALL SELECT {_SITE} FROM (SELECT DISTINCT country_id, province_id, visitor FROM sess)"))
+def region_visitors_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.build_report(_with_ranges(spark, sf_dir), "region", "visitors")
+
+
+@query("order_discount_ranges", "WITH b AS (SELECT p_partkey AS band, CAST(p_retailprice * 100 AS BIGINT) AS first, CAST(p_retailprice * 100 AS BIGINT) + p_size * p_size * 4000 AS last FROM part), o AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders), best AS (SELECT o_orderkey, min((last - first, -first, band)) AS m FROM o JOIN b ON cents BETWEEN first AND last GROUP BY 1) SELECT o.o_orderkey, m[3] AS band FROM o LEFT JOIN best USING (o_orderkey)")
+def order_discount_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The narrowest of many overlapping price bands for each order."""
+    first = (F.col("p_retailprice") * 100).cast("long")
+    bands = table(spark, sf_dir, "part").select(first.alias("first"), (first + F.col("p_size").cast("long") * F.col("p_size") * 4000).alias("last"), F.col("p_partkey").alias("band"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    return narrowest(orders, "cents", bands).select("o_orderkey", "band")
+
+
+# Reports day by day
+
+
+_DAYS = "(SELECT strftime(d, '%Y%m%d') AS day FROM generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-20', INTERVAL 1 DAY) t(d) UNION ALL SELECT NULL) dd"
+
+
+def _daily(dimension: str, metric: str, sql: str, total: bool = True) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return reports.by_day(context(spark, sf_dir), dimension, metric, total)
+
+    query(f"{dimension}_{metric}_by_day", _PRELUDE + sql)(run)
+
+
+#: A row of a log for its day and one for the range.
+_TWICE = "(SELECT *, dt AS day FROM {0} UNION ALL SELECT *, NULL FROM {0})"
+_daily("summary", "visitors", f"SELECT dd.day, coalesce(cnt, 0) AS cnt FROM {_DAYS} LEFT JOIN (SELECT day, count(DISTINCT visitor) AS cnt FROM {_TWICE.format('sess')} GROUP BY 1) c ON c.day IS NOT DISTINCT FROM dd.day")
+_daily("summary", "impressions", f"SELECT dd.day, coalesce(cnt, 0) AS cnt FROM {_DAYS} LEFT JOIN (SELECT dt AS day, count(*) AS cnt FROM imp GROUP BY 1) c ON c.day = dd.day WHERE dd.day IS NOT NULL", total=False)
+_daily("os", "visitors", f"SELECT coalesce(name, 'Unknown') AS ostypename, ostype, cnt, day FROM (SELECT day, ostype, count(*) AS cnt FROM (SELECT day, ostype FROM (SELECT DISTINCT day, visitorid, ostype FROM {_TWICE.format('imp')}) UNION ALL SELECT day, os_id FROM (SELECT DISTINCT day, visitor, os_id FROM {_TWICE.format('sess')})) GROUP BY ALL) LEFT JOIN {_OSDIM} ON ostype = d.id")
+_daily("region", "impressions", f"SELECT day, location, count(*) AS cnt FROM (SELECT day, {_ADS} FROM {_TWICE.format('imp')}) x JOIN places ON x.id = places.id GROUP BY ALL")
+_daily("frequency", "visitors", f"SELECT day, CASE WHEN f >= 10 THEN '>10' ELSE CAST(f AS VARCHAR) END AS name, count(*) AS visitors, CAST(sum(f) AS BIGINT) AS impressions FROM (SELECT day, visitorid, count(*) AS f FROM {_TWICE.format('imp')} GROUP BY ALL) GROUP BY ALL")
+
+
 @query("summary_last7_days", _PRELUDE + "SELECT dt AS day, count(*) AS cnt FROM imp WHERE dt >= '20240114' GROUP BY 1")
 def summary_last7_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = context(spark, sf_dir)
