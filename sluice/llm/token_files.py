@@ -22,6 +22,7 @@ any other. A reader starts at all checkpoints at once and looks each code up in
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 
@@ -38,22 +39,45 @@ MAGIC, CODE_MAGIC = b"HUFFIDS1", b"HUFFCOD1"
 SEGMENT, BLOCK, STRIDE = 1 << 20, 1 << 16, 1 << 9
 #: Segments in a file, and ids that a task sorts, at most (documents are whole).
 SEGMENTS_A_FILE, TASK_IDS = 32, 1 << 26
-#: Words whose ids a worker keeps, and characters of new words that are encoded together.
-MEMO, LOT = 1 << 18, 1 << 16
+#: Words whose ids a worker keeps (twice as many at most), characters of new words that are encoded
+#: together, and bytes of text whose words are looked up together.
+MEMO, LOT, TOGETHER = 3 << 17, 1 << 16, 1 << 22
+#: Letters, and marks after them, that tokenizers of words tell apart.
+_MARKED, _LETTERS = re.compile(rb"([A-Za-z]+)([.,;:!?]*)"), re.compile(rb"[a-z]+")
 _HEAD = struct.Struct("<8sQQQQ")
 _loaded: dict[str, tuple] = {}
 
 
+class Memo:
+    """The ids of words that were met lately: those of this round, and of the round before."""
+
+    def __init__(self):
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        #: Whether the model alone gives the ids of lower-case letters; not known before the first lot.
+        self.direct: bool | None = None
+
+    def get(self, word: bytes) -> bytes | None:
+        ids = self.new.get(word)
+        if ids is None and (ids := self.old.get(word)) is not None:
+            self.new[word] = ids
+        return ids
+
+    def next_round(self, most: int) -> None:
+        if len(self.new) > most:
+            self.old, self.new = self.new, {}
+
+
 def _tokenizer(path: str):
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), {})
+        _loaded[path] = (Tokenizer.from_file(path), Memo())
     return _loaded[path]
 
 
-def _learn(tokenizer, memo: dict[bytes, bytes], words: list[bytes]) -> None:
+def _learn(tokenizer, memo: Memo, words: list[bytes]) -> None:
     """Put the ids of words into memo. They are encoded side by side, as a call has its price."""
     lot: list[bytes] = []
     size = 0
@@ -66,24 +90,63 @@ def _learn(tokenizer, memo: dict[bytes, bytes], words: list[bytes]) -> None:
         begin = np.cumsum([0, *[len(x) + 1 for x in texts]])
         out = tokenizer.encode(" ".join(texts), add_special_tokens=False)
         at = np.fromiter((x[0] for x in out.offsets), np.int64, len(out.offsets))
-        cut = np.searchsorted(at, begin)
-        ids = np.array(out.ids, "<u4")
+        cut = (4 * np.searchsorted(at, begin)).tolist()
+        ids = np.array(out.ids, "<u4").tobytes()
         for i, x in enumerate(lot):
-            memo[x] = ids[cut[i] : cut[i + 1]].tobytes()
+            memo.new[x] = ids[cut[i] : cut[i + 1]]
         lot, size = [], 0
 
 
+def _learn_letters(tokenizer, memo: Memo, words: list[bytes]) -> None:
+    """As _learn(), for words of a to z alone: nothing is to be normalised or split there, so the
+    model takes them as they are. Whether that is so with this tokenizer is tried on its first words."""
+    if memo.direct is None and words:
+        some = words[:1000]
+        _learn(tokenizer, memo, some)
+        memo.direct = all(memo.new[w] == _model_ids(tokenizer.model, w) for w in some)
+        words = words[1000:]
+    if memo.direct:
+        model = tokenizer.model
+        for w in words:
+            memo.new[w] = _model_ids(model, w)
+    else:
+        _learn(tokenizer, memo, words)
+
+
+def _model_ids(model, word: bytes) -> bytes:
+    ids = [t.id for t in model.tokenize(word.decode())]
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _known(tokenizer, memo: Memo, words: list[bytes]) -> list[bytes]:
+    """The ids of distinct words. Letters are looked up in lower case, without the marks after them."""
+    memo.next_round(MEMO)
+    now = memo.new.get
+    out = [now(w) for w in words]
+    parts: dict[int, tuple[bytes, ...]] = {}
+    for i, ids in enumerate(out):
+        if ids is None:
+            w = words[i]
+            m = _MARKED.fullmatch(w)
+            parts[i] = (m[1].lower(), m[2]) if m and m[2] else (m[1].lower(),) if m else (w,)
+    new = list(dict.fromkeys(p for some in parts.values() for p in some if memo.get(p) is None))
+    plain = [_LETTERS.fullmatch(w) is not None for w in new]
+    _learn_letters(tokenizer, memo, [w for w, ok in zip(new, plain, strict=True) if ok])
+    _learn(tokenizer, memo, [w for w, ok in zip(new, plain, strict=True) if not ok])
+    for i, some in parts.items():
+        out[i] = now(some[0]) if len(some) == 1 else now(some[0]) + now(some[1])
+    return out
+
+
 def word_ids(path: str, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, offsets): the token ids of each text, word by word; each distinct word is encoded once."""
+    """(ids, offsets): the token ids of each text, word by word; each distinct word is looked up once."""
     tokenizer, memo = _tokenizer(path)
     starts, ends, first = tn.words(data, at)
     told = tn.packed(data, starts, ends).dictionary_encode()
-    words = told.dictionary.to_pylist()
-    if len(memo) > MEMO:
-        memo.clear()
-    _learn(tokenizer, memo, [w for w in words if w not in memo])
-    blobs = [memo[w] for w in words]
-    size = np.array([len(b) // 4 for b in blobs], np.int64)
+    raw, cut = tn.buffers(told.dictionary)
+    raw, cut = raw.tobytes(), cut.tolist()
+    blobs = _known(tokenizer, memo, [raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)])
+    size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
     begin = np.cumsum(size) - size
     flat = np.frombuffer(b"".join(blobs), "<u4")
     which = told.indices.to_numpy()
@@ -107,7 +170,7 @@ def _packed_ids(path: str, end_id: int, by_word: bool):
         end = np.array([end_id], "<u4")
         for batch in batches:
             parts: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
-            for row0, data, at in tn.pieces(batch.column(1), tn.WORD) if by_word else tn.slices(batch.column(1)):
+            for row0, data, at in tn.pieces(batch.column(1), tn.WORD, TOGETHER) if by_word else tn.slices(batch.column(1)):
                 ids, cut = (word_ids if by_word else text_ids)(path, data, at)
                 for r in range(len(at) - 1):
                     parts[row0 + r].append(ids[cut[r] : cut[r + 1]])
@@ -318,8 +381,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, by_
     on all machines), add end_id to each, and write the ids to a new folder, in ascending order of
     the documents' ids.
 
-    by_word: the tokenizer drops white space and treats what stands between blanks alike wherever it
-    stands, so each distinct word is encoded once a worker. Turn it off for tokenizers that don't.
+    by_word: the tokenizer drops white space, treats what stands between blanks alike wherever it
+    stands, lower-cases letters and tells them from marks such as commas; then a worker encodes a
+    word once, as long as it keeps it (MEMO). Turn it off for tokenizers that don't work so.
 
     Null and empty texts have the end id alone. Documents with a null id come first. Rows with one id
     are documents of their own, in the order of a hash of their ids. An empty table gives a folder with
