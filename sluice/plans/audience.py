@@ -96,21 +96,12 @@ class Builder:
             depends = [self._stage(p, open_) for p in node.parts]
             frame = self._merged(node.op, depends)
         elif node.key == "tag":
-            if node.op in ("nin", "notin"):
-                raise AudienceError("tags can't be excluded")
-            if node.op != "in" or not node.value:
-                raise AudienceError("tag needs `in` and at least one tag")
-            for i in node.value:
-                if i in open_:
-                    raise AudienceError(f"tag {i} refers to itself")
-                if i not in self.tags:
-                    raise AudienceError(f"no tag {i}")
-                depends.append(self._stage(tree(self.tags[i]), (*open_, i)))
+            depends = [self._stage(t, (*open_, i)) for i, t in self.referred(node, open_)]
             if len(depends) == 1:  # another name for that stage
                 return depends[0]
             frame = self._merged("$or", depends)
         else:
-            frame = self._leaf(node)
+            frame = self.leaf(node)
         self.stages[name] = Stage(name, list(dict.fromkeys(depends)), node, frame)
         return name
 
@@ -118,7 +109,21 @@ class Builder:
         frames = [self.stages[n].frame for n in dict.fromkeys(names)]
         return intersect_all(frames) if op == "$and" else union_all(frames).distinct()
 
-    def _leaf(self, leaf: Leaf) -> DataFrame:
+    def referred(self, node: Leaf, open_: tuple = ()) -> list[tuple[int, Leaf | Both]]:
+        """The tags that a reference names, with their trees; open_: the tags it stands in."""
+        if node.op in ("nin", "notin"):
+            raise AudienceError("tags can't be excluded")
+        if node.op != "in" or not node.value:
+            raise AudienceError("tag needs `in` and at least one tag")
+        for i in node.value:
+            if i in open_:
+                raise AudienceError(f"tag {i} refers to itself")
+            if i not in self.tags:
+                raise AudienceError(f"no tag {i}")
+        return [(i, tree(self.tags[i])) for i in node.value]
+
+    def leaf(self, leaf: Leaf) -> DataFrame:
+        """(id): the ids of one leaf rule."""
         make = (LEAVES | self.leaves).get(leaf.key)
         if make is None:
             raise AudienceError(f"unknown key {leaf.key}")

@@ -26,18 +26,49 @@ def is_sql(spark: SparkSession, sql: str) -> bool:
     return True
 
 
-def _nodes(plan):
-    yield plan
-    for group in (plan.children(), plan.innerChildren()):
-        for i in range(group.size()):
-            if hasattr(group.apply(i), "children"):
-                yield from _nodes(group.apply(i))
+def _each(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _nodes(plan, out: list | None = None) -> list:
+    """All nodes of a plan: children, those inside (as the queries of a WITH), and plans of subqueries."""
+    out = [] if out is None else out
+    out.append(plan)
+    for child in [*_each(plan.children()), *_each(plan.innerChildren())]:
+        if hasattr(child, "children") and hasattr(child, "subqueries"):
+            _nodes(child, out)
+    for inner in _each(plan.subqueries()):
+        _nodes(inner, out)
+    return out
+
+
+def _names(plan, known: frozenset[str], out: list[str]) -> None:
+    """Names of tables below a node, without those of the queries of a WITH around it."""
+    if plan.nodeName() == "UnresolvedWith":
+        known_in = set(known)
+        for pair in _each(plan.cteRelations()):
+            # A query of a WITH sees those before it, and itself if it may be recursive.
+            alias = {pair._1().lower()}
+            _names(pair._2(), frozenset(known_in | alias if plan.allowRecursion() else known_in), out)
+            known_in |= alias
+        _names(plan.child(), frozenset(known_in), out)
+        return
+    if plan.nodeName() in ("UnresolvedRelation", "UnresolvedTable", "UnresolvedTableOrView", "UnresolvedView"):
+        parts = _each(plan.multipartIdentifier())
+        if len(parts) > 1 or parts[0].lower() not in known:
+            out.append(".".join(parts))
+    elif plan.nodeName() == "UnresolvedIdentifier":
+        out.append(".".join(_each(plan.nameParts())))
+    for child in [*_each(plan.children()), *_each(plan.subqueries())]:
+        _names(child, known, out)
 
 
 def table_names(spark: SparkSession, sql: str) -> list[str]:
-    """Tables that a statement reads or writes, once each, in the order of its plan."""
-    found = re.findall(r"Unresolved(?:Relation|TableOrView|Identifier|Table)\s*\[([^\]]+)\]", _plan(spark, sql).toString())
-    return list(dict.fromkeys(".".join(p.strip() for p in f.split(",")) for f in found))
+    """Tables that a statement reads or writes, once each, in the order of its plan; names that the
+    statement gives to queries of its own (WITH) are none."""
+    out: list[str] = []
+    _names(_plan(spark, sql), frozenset(), out)
+    return list(dict.fromkeys(out))
 
 
 def check_safe(spark: SparkSession, sql: str) -> None:

@@ -14,7 +14,7 @@ from .functions import devices, geo, text
 from .operators import rows, sets
 from .operators.ranges import narrowest
 from .operators.numbering import running_total, work_folder
-from .plans import audience, reports, wide
+from .plans import audience, bitmaps, reports, wide
 from .plans.days import day_column, last_days
 from .plans.warehouse import CATEGORIES, stand_in, stand_in_ip_ranges
 from .sources import cells, files, tables
@@ -292,6 +292,60 @@ _audience("audience_no_clicks", {"key": "clickCount", "op": "<", "value": 1}, _C
 _audience("audience_tagref", {"op": "$and", "rules": [{"key": "tag", "op": "in", "value": [1, 2]}, {"key": "campaign", "op": "in", "value": [7, 8]}]}, f"(({_CAMP.format('1, 2')} INTERSECT {_CLICKS.format(12)}) UNION {_EXPOSED.format(20)}) INTERSECT {_CAMP.format('7, 8')}")
 
 
+# The same on bitmaps
+
+
+def _numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense numbers of all customers and of all who are in a log."""
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id")).union(table(spark, sf_dir, "events").select(F.col("user_id").cast("string")))
+    return bitmaps.number_ids(ids, work_folder(spark))
+
+
+_TEN = {
+    "op": "$or",
+    "rules": [
+        {"op": "$and", "rules": [{"key": "campaign", "op": "in", "value": [c, c + 1]}, {"key": "mediaDomain", "op": "=", "value": f"site{c % 4}"}, {"key": "clickCount", "op": "<", "value": 9 + c}]}
+        for c in (1, 4, 7)
+    ]
+    + [{"key": "tag", "op": "in", "value": [1]}, {"key": "exposeCount", "op": ">=", "value": 25}],
+}
+_TEN_SQL = " UNION ".join(
+    f"({_CAMP.format(f'{c}, {c + 1}')} INTERSECT SELECT visitorid FROM logs WHERE event_type = 'view' AND spotid % 4 = {c % 4} INTERSECT {_CLICKS.format(9 + c)})" for c in (1, 4, 7)
+) + f" UNION ({_CAMP.format('1, 2')} INTERSECT {_CLICKS.format(12)}) UNION {_EXPOSED.format(25)}"
+
+
+@query("audience_tree_bitmaps", _PRELUDE + _TEN_SQL)
+def audience_tree_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbers = _numbers(spark, sf_dir)
+    return bitmaps.members(bitmaps.tree_bits(_builder(spark, sf_dir), _TEN, numbers), numbers)
+
+
+@query("audience_tree_joins", _PRELUDE + _TEN_SQL)
+def audience_tree_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _builder(spark, sf_dir).build(_TEN)
+
+
+@query("merge_except_bitmaps", _PRELUDE + "SELECT count(*) AS cnt FROM (SELECT id FROM buyers EXCEPT SELECT id FROM joiners)")
+def merge_except_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return bitmaps.size(bitmaps.merged_bits("$except", [_id_counts(ev, "purchase"), _id_counts(ev, "signup")], _numbers(spark, sf_dir)))
+
+
+_ACTS = "WITH acts AS (SELECT DISTINCT event_type AS a, user_id FROM events WHERE value > 60)"
+
+
+@query("kept_bitmaps", _ACTS + " SELECT a AS audience, count(*) AS cnt FROM acts GROUP BY 1 UNION ALL SELECT 'view and click', count(*) FROM (SELECT user_id FROM acts WHERE a = 'view' INTERSECT SELECT user_id FROM acts WHERE a = 'click') UNION ALL SELECT 'signup or purchase', count(DISTINCT user_id) FROM acts WHERE a IN ('signup', 'purchase')")
+def kept_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of an audience for each kind of event, and of two that are combined from what is kept."""
+    acts = table(spark, sf_dir, "events").filter("value > 60").select(F.col("event_type").alias("audience"), "user_id")
+    path = work_folder(spark)
+    bitmaps.bitmaps(acts, "audience", "user_id", _numbers(spark, sf_dir)).write.parquet(path)
+    maps = spark.read.parquet(path)
+    both = bitmaps.kept_size(bitmaps.combined(maps, "audience", ["view", "click"], "$and")).select(F.lit("view and click").alias("audience"), "cnt")
+    either = bitmaps.kept_size(bitmaps.combined(maps, "audience", ["signup", "purchase"], "$or")).select(F.lit("signup or purchase").alias("audience"), "cnt")
+    return bitmaps.kept_size(maps, "audience").unionByName(both).unionByName(either)
+
+
 @query("merge_join", _PRELUDE + "SELECT id FROM buyers INTERSECT SELECT id FROM joiners")
 def merge_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
