@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..plans.reports import MOBILE, PC
@@ -101,6 +103,17 @@ def export_lines(audience: DataFrame, etype: int) -> tuple[DataFrame, DataFrame]
     return audience.filter(F.coalesce("typ", F.lit("")) != "").select(F.concat_ws("\t", "typ", "did").alias("value")), total
 
 
+def export_to(audience: DataFrame, etype: int, path: str) -> dict[str, int]:
+    """Write an audience's file lines and say what was written: total (rows, before rows without a type
+    are left out), lines and bytes. All is counted in the pass that writes, on the tasks that succeed."""
+    name = uuid.uuid4().hex
+    seen, written = Observation(f"seen-{name}"), Observation(f"written-{name}")
+    lines, _ = export_lines(audience.observe(seen, F.count(F.lit(1)).alias("total")), etype)
+    size = F.coalesce(F.sum(F.octet_length("value").cast("long") + 1), F.lit(0))
+    lines.observe(written, F.count(F.lit(1)).alias("lines"), size.alias("bytes")).write.mode("overwrite").text(path)
+    return {**seen.get, **written.get}
+
+
 def export_partition(table: DataFrame, column: str, value, etype: int) -> tuple[DataFrame, DataFrame]:
     """export_lines() of one partition of a table of audiences; the filter reaches the partitions."""
     return export_lines(table.filter(F.col(column) == F.lit(value)), etype)

@@ -17,7 +17,7 @@ from .operators.numbering import running_total, work_folder
 from .plans import audience, bitmaps, reports, wide
 from .plans.days import day_column, last_days
 from .plans.warehouse import CATEGORIES, stand_in, stand_in_ip_ranges
-from .sources import cells, files, tables
+from .sources import byteranges, cells, files, tables
 from .streaming import rules as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -506,10 +506,64 @@ def report_store_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report is stored; then January is replaced by rows that end on its 19th day."""
     path = work_folder(spark)
     days = table(spark, sf_dir, "orders").filter("o_orderdate < '1995-04-01'").groupBy(F.date_format("o_orderdate", "yyyyMMdd").alias("dt")).agg(F.count(F.lit(1)).alias("cnt"))
-    tables.save_report(days.repartition(1), path, 7, "orders")
+    tables.replace_report(days, path, 7, "orders", "00000000", "99999999")
     again = days.filter("dt >= '19950101' and dt < '19950120'").withColumn("cnt", 2 * F.col("cnt"))
-    tables.replace_report(again.repartition(1), path, 7, "orders", "19950101", "19950131")
-    return spark.read.option("recursiveFileLookup", False).parquet(path).select(F.col("dt").cast("string").alias("dt"), "cnt", "tag_id")
+    tables.replace_report(again, path, 7, "orders", "19950101", "19950131")
+    return tables.read_reports(spark, path, "dt string, cnt long").select("dt", "cnt", "tag_id")
+
+
+@query("export_totals", _PRELUDE + "SELECT count(*) AS total, count(*) FILTER (CAST(id AS BIGINT) % 3 <> 0) AS lines, CAST(sum(CASE WHEN CAST(id AS BIGINT) % 3 <> 0 THEN strlen(id) + 6 END) AS BIGINT) AS bytes, count(*) FILTER (CAST(id AS BIGINT) % 3 <> 0) AS in_files FROM aud")
+def export_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An audience is written; the counts come from the same pass, and are held against the files."""
+    path, n = work_folder(spark), F.col("did").cast("long")
+    ids = context(spark, sf_dir, reports.MOBILE).audience
+    typ = F.when(n % 3 == 0, F.lit("")).when(n % 2 == 0, "imei").otherwise("idfa")
+    told = devices.export_to(ids.select(typ.alias("typ"), "did"), reports.MOBILE, path)
+    return files.read_lines(spark, path).agg(F.count(F.lit(1)).alias("in_files")).select(*[F.lit(told[k]).cast("long").alias(k) for k in ("total", "lines", "bytes")], "in_files")
+
+
+def _customer_file(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one file: a line for each customer, by key."""
+    path = work_folder(spark)
+    line = F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
+    table(spark, sf_dir, "customer").repartition(1).sortWithinPartitions("c_custkey").select(line.alias("value")).write.text(path)
+    return path
+
+
+_CUSTOMER_LINES = "WITH l AS (SELECT c_custkey AS k, c_custkey || '|' || c_name || '|' || c_mktsegment AS value FROM customer)"
+
+
+@query("byte_range_lines", _CUSTOMER_LINES + " SELECT value, CAST(coalesce(sum(strlen(value) + 1) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM l")
+def byte_range_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a file that is read in ranges of 9,999 bytes, and the bytes they begin at."""
+    return byteranges.read_ranges(spark, _customer_file(spark, sf_dir), 9_999).select("value", "start")
+
+
+@query("file_bytes_at", _CUSTOMER_LINES + ", f AS (SELECT string_agg(value || chr(10), '' ORDER BY k) AS t FROM l) SELECT 'head' AS part, substring(t, 1, 100) AS data FROM f UNION ALL SELECT 'at 777', substring(t, 778, 50) FROM f UNION ALL SELECT 'tail', substring(t, -100) FROM f")
+def file_bytes_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _customer_file(spark, sf_dir)
+    name = files.listing(spark, path, glob="part-*").first().path
+    parts = {"head": byteranges.head_bytes(spark, name, 100), "at 777": byteranges.read_at(spark, name, 777, 50), "tail": byteranges.tail_bytes(spark, name, 100)}
+    out = [df.select(F.lit(part).alias("part"), F.col("data").cast("string").alias("data")) for part, df in parts.items()]
+    return out[0].unionAll(out[1]).unionAll(out[2])
+
+
+_CRC32C = "list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 2197175160) ELSE c >> 1 END))"
+
+
+@query(
+    "block_checksum",
+    _CUSTOMER_LINES
+    + f""", tab AS MATERIALIZED (SELECT {_CRC32C} AS t), f AS (SELECT hex(encode(string_agg(value || chr(10), '' ORDER BY k))) AS x FROM l),
+    chunks AS (SELECT i, substring(x, 1024 * i + 1, 1024) AS h FROM f, unnest(range((length(x) + 1023) // 1024)) AS u(i)),
+    crcs AS (SELECT i, xor(list_reduce(list_concat([4294967295], list_transform(range(length(h) // 2), lambda j: CAST('0x' || substring(h, 2 * j + 1, 2) AS BIGINT))), lambda s, b: xor(t[xor(s, b) % 256 + 1], s >> 8)), 4294967295) AS c FROM chunks, tab),
+    blocks AS (SELECT i // 8 AS b, md5(unhex(string_agg(lpad(hex(c), 8, '0'), '' ORDER BY i))) AS m FROM crcs GROUP BY 1),
+    file AS (SELECT count(*) AS blocks, string_agg(m, '' ORDER BY b) AS m FROM blocks)
+    SELECT blocks, md5(unhex(m || repeat('00', CAST(greatest(32, pow(2, ceil(log2(16 * blocks)))) AS INTEGER) - 16 * blocks))) AS checksum FROM file""",
+)
+def block_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checksum of checksums of a file of blocks of 4,096 bytes."""
+    return byteranges.block_checksums(spark, _customer_file(spark, sf_dir), 4096).select("blocks", "checksum")
 
 
 @query("export_partition", "SELECT CAST(c_custkey AS VARCHAR) AS value FROM customer WHERE c_mktsegment = 'BUILDING'")
