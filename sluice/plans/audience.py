@@ -85,6 +85,10 @@ class Builder:
         node = tree(data) if isinstance(data, dict) else data
         return self.stages[self._stage(node, _open)].frame
 
+    def stage(self, data: dict | Leaf | Both) -> str:
+        """The name of the stage of a tree, which is built with all that it needs."""
+        return self._stage(tree(data) if isinstance(data, dict) else data, ())
+
     def _stage(self, node: Leaf | Both, open_: tuple) -> str:
         name = rule_hash(node)
         if name in self.stages:

@@ -14,10 +14,11 @@ from .functions import devices, geo, text
 from .operators import rows, sets
 from .operators.ranges import narrowest
 from .operators.numbering import running_total, work_folder
-from .plans import audience, bitmaps, reports, wide
+from .plans import audience, bitmaps, reports, stages, wide
 from .plans.days import day_column, last_days
 from .plans.warehouse import CATEGORIES, stand_in, stand_in_ip_ranges
 from .sources import byteranges, cells, files, tables
+from .streaming import due
 from .streaming import rules as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -320,6 +321,12 @@ def audience_tree_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitmaps.members(bitmaps.tree_bits(_builder(spark, sf_dir), _TEN, numbers), numbers)
 
 
+@query("audience_tree_stages", _PRELUDE + _TEN_SQL)
+def audience_tree_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tree, stage by stage: each is saved, those that need no other side by side."""
+    return stages.Run(_builder(spark, sf_dir), _TEN, stages.save_in(work_folder(spark))).wait()
+
+
 @query("audience_tree_joins", _PRELUDE + _TEN_SQL)
 def audience_tree_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _builder(spark, sf_dir).build(_TEN)
@@ -699,6 +706,23 @@ def line_map_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.map_lines(table(spark, sf_dir, "customer").select(F.col("c_name").alias("value")), lambda s: s[::-1])
 
 
+@query(
+    "due_items_stream",
+    "WITH m AS (SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS ms, epoch_us(ts) // 1000 + 60000 * CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) * 60 AS due, lead(epoch_us(ts) // 1000) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS until FROM events), "
+    "e AS (SELECT max(ms) AS final FROM m) SELECT CAST(user_id AS VARCHAR) AS key, due AS due_ms, CAST(event_id AS VARCHAR) AS item FROM m, e WHERE event_type <> 'purchase' AND due <= coalesce(until, final)",
+)
+def due_items_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event sets when its user is due next, a purchase takes that back; what fires."""
+    path = work_folder(spark)
+    ev = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    hours = F.regexp_extract("props", "([0-9]+)", 1).cast("long")
+    when = F.when(F.col("event_type") != "purchase", F.timestamp_millis(F.unix_millis("at") + 3_600_000 * hours))
+    ev.select(F.col("user_id").cast("string").alias("key"), "at", F.col("event_id").alias("number"), when.alias("due"), F.col("event_id").cast("string").alias("item")).write.parquet(f"{path}/in")
+    messages = spark.readStream.schema("key string, at timestamp, number long, due timestamp, item string").parquet(f"{path}/in")
+    streams.start(due.due_items(messages), f"{path}/out", f"{path}/state").awaitTermination()
+    return spark.read.schema(due.OUT).parquet(f"{path}/out").select("key", F.unix_millis("due").alias("due_ms"), "item")
+
+
 @query("stream_rule_filter", "SELECT event_type, CAST(user_id AS VARCHAR) AS user_id FROM events WHERE event_type = 'view' AND user_id > 5")
 def stream_rule_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages as files, through a stream that takes what is there, into files again."""
