@@ -33,9 +33,9 @@ from . import textnum as tn
 from .common import materialize
 from .repeats import shards_of, unzipped, zipped
 
-CLASSES, PARTS = 32, 24
+CLASSES, PARTS = 64, 32
 #: Rows of each feature in the two softmaxes.
-ROWS, PART_ROWS = 1 << 12, 1 << 8
+ROWS, PART_ROWS = 1 << 13, 1 << 8
 FEATURES = 4
 HEADS = 20_000
 #: Tokens a task gathers before it sends its counts on.
@@ -95,15 +95,33 @@ def fill_bias(table: np.ndarray, i: int) -> None:
     t[:, -1] = t[:, : (ROWS, PART_ROWS)[i]].sum(1, dtype=np.float64)
 
 
+#: Tokens whose outcomes are worked on together, so few that they stay in the cache.
+TOGETHER = 1 << 11
+
+
+def _sums(weights: np.ndarray, rows: list[np.ndarray]):
+    """(slice, sums) for some tokens at a time: the sum of a token's rows of weights (with_bias()).
+    The sums are overwritten at the next step."""
+    z, more = (np.empty((TOGETHER, weights.shape[1]), np.float32) for _ in range(2))
+    for i in range(0, len(rows[0]), TOGETHER):
+        some = slice(i, min(i + TOGETHER, len(rows[0])))
+        own, other = z[: some.stop - i], more[: some.stop - i]
+        np.take(weights, rows[0][some], 0, own, "clip")  # "clip": without it, numpy buffers the output
+        for r in rows[1:]:
+            np.take(weights, r[some], 0, other, "clip")
+            own += other
+        yield some, own
+
+
 def softmax(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """(tokens, outcomes): probabilities, from the sum of a token's rows of weights (with_bias())."""
-    z = weights[rows[0]]
-    for r in rows[1:]:
-        z += weights[r]
-    # Sums of a few logarithms of frequencies: exp() can't overflow.
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
-    return z
+    """(tokens, outcomes): probabilities."""
+    out = np.empty((len(rows[0]), weights.shape[1]), np.float32)
+    ones = np.ones(weights.shape[1], np.float32)
+    for some, z in _sums(weights, rows):
+        # Sums of a few logarithms of frequencies: exp() can't overflow.
+        np.exp(z, out=z)
+        np.divide(z, (z @ ones)[:, None], out=out[some])
+    return out
 
 
 def _add(out: np.ndarray, rows: list[np.ndarray], value: np.ndarray) -> None:
@@ -301,12 +319,11 @@ def log_probability(weights: list[np.ndarray], past: History) -> np.ndarray:
     """log10 of P(class | history) * P(part | class, history) of each token."""
     out = np.zeros(len(past.cls))
     for w, (rows, y) in zip(weights, past.both(), strict=True):
-        z = w[rows[0]]
-        for r in rows[1:]:
-            z += w[r]
-        own = z[np.arange(len(y)), y].astype(np.float64)
-        np.exp(z, out=z)
-        out += own - np.log(z.sum(1))
+        ones = np.ones(w.shape[1], np.float32)
+        for some, z in _sums(w, rows):
+            own = z[np.arange(len(z)), y[some]].astype(np.float64)
+            np.exp(z, out=z)
+            out[some] += own - np.log(z @ ones)
     return out / np.log(10)
 
 
