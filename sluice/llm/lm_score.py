@@ -102,7 +102,7 @@ TOGETHER = 1 << 11
 def _sums(weights: np.ndarray, rows: list[np.ndarray]):
     """(slice, sums) for some tokens at a time: the sum of a token's rows of weights (with_bias()).
     The sums are overwritten at the next step."""
-    z, more = (np.empty((TOGETHER, weights.shape[1]), np.float32) for _ in range(2))
+    z, more = (np.empty((TOGETHER, weights.shape[1]), weights.dtype) for _ in range(2))
     for i in range(0, len(rows[0]), TOGETHER):
         some = slice(i, min(i + TOGETHER, len(rows[0])))
         own, other = z[: some.stop - i], more[: some.stop - i]
@@ -115,8 +115,8 @@ def _sums(weights: np.ndarray, rows: list[np.ndarray]):
 
 def softmax(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     """(tokens, outcomes): probabilities."""
-    out = np.empty((len(rows[0]), weights.shape[1]), np.float32)
-    ones = np.ones(weights.shape[1], np.float32)
+    out = np.empty((len(rows[0]), weights.shape[1]), weights.dtype)
+    ones = np.ones(weights.shape[1], weights.dtype)
     for some, z in _sums(weights, rows):
         # Sums of a few logarithms of frequencies: exp() can't overflow.
         np.exp(z, out=z)
@@ -319,7 +319,7 @@ def log_probability(weights: list[np.ndarray], past: History) -> np.ndarray:
     """log10 of P(class | history) * P(part | class, history) of each token."""
     out = np.zeros(len(past.cls))
     for w, (rows, y) in zip(weights, past.both(), strict=True):
-        ones = np.ones(w.shape[1], np.float32)
+        ones = np.ones(w.shape[1], w.dtype)
         for some, z in _sums(w, rows):
             own = z[np.arange(len(z)), y[some]].astype(np.float64)
             np.exp(z, out=z)
