@@ -24,7 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_dir:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # local-cluster has machines of its own
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         set_dir = "file://" + tempfile.mkdtemp(prefix="sluice-checkpoint-")
         spark.sparkContext.setCheckpointDir(set_dir)

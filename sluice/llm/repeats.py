@@ -49,13 +49,18 @@ def unsteps(blob) -> np.ndarray:
 
 
 def shards_for(docs: DataFrame, text_col: str, each: int = 1 << 23) -> int:
-    """A power of two: a shard for each `each` bytes of text, within bounds that keep packed rows
-    from becoming single hashes."""
+    """A power of two: a shard for each `each` bytes of text; a million at most, so that a shard of 100 TB
+    has 100 MB of text."""
     return shards_of(docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0, each)
 
 
 def shards_of(size: int, each: int) -> int:
-    return 1 << min(17, max(5, int(size // each).bit_length()))
+    return 1 << min(20, max(5, int(size // each).bit_length()))
+
+
+def gathered(shards: int) -> int:
+    """Hashes that a task gathers: some for each shard, so that packed rows don't become single hashes."""
+    return max(GATHER, 4 * shards)
 
 
 def short(h: np.ndarray, shards: int) -> np.ndarray:
@@ -81,6 +86,8 @@ def _suspects(ids: np.ndarray, h32: np.ndarray, parts: int) -> pa.RecordBatch:
 
 
 def _sent(hashes, shards: int):
+    most = gathered(shards)
+
     def run(batches):
         held, size = [], 0
         for batch in batches:
@@ -88,7 +95,7 @@ def _sent(hashes, shards: int):
             for h, row in hashes(batch):
                 held.append((h.view(np.uint64), ids[row]))
                 size += len(h)
-                if size >= GATHER:
+                if size >= most:
                     yield from send(held)
                     held, size = [], 0
         if size:

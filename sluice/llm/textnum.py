@@ -16,6 +16,8 @@ import zstandard
 SLICE = 1 << 19
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+#: Of a second hash, which tells spans apart that the first one doesn't.
+_OTHER = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -144,10 +146,10 @@ def lines(data: np.ndarray, at: np.ndarray, min_chars: int) -> tuple[np.ndarray,
     return starts[long], ends[long], row[long]
 
 
-def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span; equal bytes, equal hash."""
+def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
+    """A 64-bit hash of each byte span; equal bytes, equal hash. second: another one."""
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _power("up", len(data) + 1)[: len(data)], out=total[1:])
+    np.cumsum((_OTHER if second else _BYTE)[data] * _power("up", len(data) + 1)[: len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * _power("down", len(data) + 1)[starts])
 
 

@@ -5,7 +5,7 @@ Levels double up to the length that is asked for: windows of 7 words and then of
 word where the length is odd) may repeat at the level before. The first level is sampled by
 winnowing: each window of the second level holds one of its grams at least, and equal windows hold
 the same. What may repeat at a level is told by Bloom planes for each range of hashes (repeats.py);
-at the last level windows are compared by 128 bits. longest_repeats() goes on doubling from there
+at the last level windows are compared by 128 bits, made of two hashes of each word. longest_repeats() goes on doubling from there
 until no candidate is left.
 
 A task keeps one document for each window that it has met, the least; only those move, packed by
@@ -153,13 +153,15 @@ def _candidates(steps: list[int], shards: int, id_: str):
                 continue
             ids, hashes, found = (get(c).take(some) for c in (id_, HASH, FOUND))
             ids, hashes = ids.cast(pa.int64()).to_numpy(), hashes.to_numpy()
-            for row0, h, first in _hashed(tn.unsqueezed(get(SQUEEZED).take(some))):
+            for row0, data, at in tn.slices(tn.unsqueezed(get(SQUEEZED).take(some))):
+                word_at, word_end, first = tn.words(data, at)
+                h = tn.span_hash(data, word_at, word_end)
                 s, row = _open(h, first, found.slice(row0, len(first) - 1), steps, len(steps) - 1, shards)
                 if not len(s):
                     continue
                 docs.append(ids[row0 : row0 + len(first) - 1])
                 texts.append(hashes[row0 : row0 + len(first) - 1])
-                rows.append((window_hash(h, s, length), window_hash(h, s, length, _SECOND), n + row, (s - first[row]).astype(np.int32)))
+                rows.append((window_hash(h, s, length), window_hash(tn.span_hash(data, word_at, word_end, True), s, length, _SECOND), n + row, (s - first[row]).astype(np.int32)))
                 n += len(first) - 1
                 size += len(s)
                 if size >= FLUSH:
