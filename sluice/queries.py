@@ -17,7 +17,7 @@ from .operators.numbering import running_total, work_folder
 from .plans import audience, bitmaps, reports, stages, wide
 from .plans.days import day_column, last_days
 from .plans.warehouse import CATEGORIES, stand_in, stand_in_ip_ranges
-from .sources import byteranges, cells, files, tables
+from .sources import byteranges, cellfilter, cells, files, tables
 from .streaming import due
 from .streaming import rules as streams
 
@@ -493,6 +493,21 @@ def cells_scan_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.scan(_cells(spark, sf_dir), "u00003", "u00040", [("e", "view"), ("e", "click")]).select("row", "qualifier", "value", "ts")
 
 
+_CELLS_SQL = "WITH c AS (SELECT printf('u%05d', user_id) AS row, event_type AS qualifier, regexp_extract(props, '([0-9]+)', 1) AS value, event_id AS ts FROM events)"
+
+
+@query("cells_filter", _CELLS_SQL + " SELECT row, qualifier, value, ts FROM c WHERE row LIKE 'u0000%' AND (qualifier = 'view' AND value >= '5' OR qualifier LIKE 'pur%')")
+def cells_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_ = "PrefixFilter ('u0000') AND (QualifierFilter (=, 'binary:view') AND ValueFilter (>=, 'binary:5') OR ColumnPrefixFilter ('pur'))"
+    return cellfilter.filtered(_cells(spark, sf_dir), text_).select("row", "qualifier", "value", "ts")
+
+
+@query("cells_filter_rows", _CELLS_SQL + ", n AS (SELECT row, arg_max(value, ts) FILTER (qualifier = 'click') AS v, bool_and(value <> '7') AS ok FROM c GROUP BY row) SELECT row, qualifier, value, ts FROM c JOIN n USING (row) WHERE ok AND v > '4'")
+def cells_filter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_ = "SKIP ValueFilter (!=, 'binary:7') AND SingleColumnValueFilter ('e', 'click', >, 'binary:4', true, true)"
+    return cellfilter.filtered(_cells(spark, sf_dir), text_).select("row", "qualifier", "value", "ts")
+
+
 @query("cells_versions", "SELECT row, qualifier, ts FROM (SELECT printf('u%05d', user_id) AS row, event_type AS qualifier, event_id AS ts, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS n FROM events WHERE user_id IN (1, 2, 3)) WHERE n <= 3")
 def cells_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.get(_cells(spark, sf_dir), ["u00001", "u00002", "u00003"], versions=3).select("row", "qualifier", "ts")
