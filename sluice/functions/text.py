@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,5 +22,16 @@ def replace_extension(path: str, extension: str) -> str:
     return os.path.splitext(path)[0] + ("" if not extension else "." + extension.lstrip("."))
 
 
+def unique_names(paths: list[str], now: datetime | None = None) -> list[str]:
+    """A name of a text file beside each path, with the time; of names that would be one, later ones
+    get a number."""
+    stamp, seen, out = (now or datetime.now()).strftime("%Y%m%d%H%M%S"), {}, []
+    for p in paths:
+        name = os.path.splitext(p)[0] + stamp
+        n = seen[name] = seen.get(name, 0) + 1
+        out.append(f"{name}{f'-{n}' if n > 1 else ''}.txt")
+    return out
+
+
 def job_prefix(statement: Column) -> Column:
     return F.substring(F.md5(statement), 1, 8)

@@ -169,6 +169,30 @@ def touch(spark: SparkSession, path: str) -> None:
         fs.create(p).close()
 
 
+def set_mode(spark: SparkSession, path: str, mode: int) -> None:
+    """Access rights, as 0o640."""
+    fs, p = file_system(spark, path)
+    fs.setPermission(p, spark.sparkContext._jvm.org.apache.hadoop.fs.permission.FsPermission(format(mode, "o")))
+
+
+def set_owner(spark: SparkSession, path: str, owner: str | None = None, group: str | None = None) -> None:
+    fs, p = file_system(spark, path)
+    fs.setOwner(p, owner, group)
+
+
+def set_times(spark: SparkSession, path: str, modified: int, accessed: int = -1) -> None:
+    """Times in milliseconds since 1970; -1 leaves one as it is."""
+    fs, p = file_system(spark, path)
+    fs.setTimes(p, modified, accessed)
+
+
+def status(spark: SparkSession, path: str) -> dict:
+    """What the store says of one file or folder."""
+    fs, p = file_system(spark, path)
+    s = fs.getFileStatus(p)
+    return {"length": s.getLen(), "folder": s.isDirectory(), "modified": s.getModificationTime(), "mode": int(s.getPermission().toOctal()), "owner": s.getOwner(), "group": s.getGroup(), "block": s.getBlockSize()}
+
+
 def content_summary(spark: SparkSession, path: str) -> dict[str, int]:
     fs, p = file_system(spark, path)
     s = fs.getContentSummary(p)

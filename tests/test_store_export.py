@@ -98,3 +98,21 @@ def test_counts_with_tasks_that_are_tried_again(tmp_path):
     out = subprocess.run([sys.executable, "-c", RETRIED, f"file://{tmp_path}/o"], capture_output=True, text=True, timeout=300)
     size = sum(len(f"imei\t{i}\n") for i in range(1000))
     assert f"TOLD {{'total': 1000, 'lines': 1000, 'bytes': {size}}}" in out.stdout, out.stderr[-2000:]
+
+
+def test_rights_times_and_names(spark, tmp_path):
+    from datetime import datetime
+
+    from sluice.functions import text
+    from sluice.sources import files
+
+    path = tmp_path / "f.txt"
+    path.write_text("abc")
+    files.set_mode(spark, str(path), 0o640)
+    files.set_times(spark, str(path), 1_700_000_000_000)
+    told = files.status(spark, str(path))
+    assert path.stat().st_mode & 0o777 == 0o640 and told["mode"] == 640
+    assert (told["length"], told["folder"], told["modified"]) == (3, False, 1_700_000_000_000)
+    files.set_owner(spark, str(path), told["owner"], told["group"])
+    names = text.unique_names(["/a/b.csv", "/a/b.txt", "/c/d"], datetime(2024, 1, 2, 3, 4, 5))
+    assert names == ["/a/b20240102030405.txt", "/a/b20240102030405-2.txt", "/c/d20240102030405.txt"]
