@@ -94,17 +94,29 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, by: str, salts: int = 64) -> DataFrame:
+#: Hot keys that are broadcast, at most: a key with no more than a share 1 / HOT_KEYS of all rows isn't hot.
+HOT_KEYS = 500_000
+#: Rows of a hot key that one task gets, about, if they'd make more than SALTS tasks.
+HOT_SHARE, SALTS = 1 << 20, 64
+
+
+def hot_bound(rows: int, least: int) -> int:
+    """Rows that a hot key has at least, so that there are fewer than HOT_KEYS of them."""
+    return max(least, rows // HOT_KEYS)
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, by: str) -> DataFrame:
     """Inner join on key, where keys of hot have very many rows on the left and one on the right.
 
-    hot: (key), of bounded size. Rows of a hot key are dealt over `salts` tasks by the hash of
-    column `by`; the row on the right goes to each of them.
+    hot: (key, n), n the rows on the left; of bounded size (hot_bound()). Rows of a hot key are dealt
+    over SALTS tasks, or as many as HOT_SHARE rows each ask for, by the hash of column `by`; the row
+    on the right goes to each of them.
     """
-    salt, mark = f"{P}salt", f"{P}hot"
-    marked = F.broadcast(hot.select(key).distinct().withColumn(mark, F.lit(True)))
-    dealt = left.join(marked, key, "left").withColumn(salt, F.when(F.col(mark), F.pmod(F.xxhash64(by), F.lit(salts))).otherwise(F.lit(0)).cast("int")).drop(mark)
-    last = F.when(F.col(mark), F.lit(salts - 1)).otherwise(F.lit(0))
-    copies = right.join(marked, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), last))).drop(mark)
+    salt, many = f"{P}salt", f"{P}salts"
+    tasks = F.greatest(F.lit(SALTS), F.ceil(F.max("n") / HOT_SHARE)).cast("int")
+    marked = F.broadcast(hot.groupBy(key).agg(tasks.alias(many)))
+    dealt = left.join(marked, key, "left").withColumn(salt, F.when(F.col(many).isNotNull(), F.pmod(F.xxhash64(by), F.col(many))).otherwise(F.lit(0)).cast("int")).drop(many)
+    copies = right.join(marked, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(many), F.lit(1)) - 1))).drop(many)
     return dealt.join(copies, [key, salt]).drop(salt)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import P, materialize, spread_join
+from .common import P, hot_bound, materialize, spread_join
 
 GRAM_WORDS = 5
 #: Bits of the sieve of benchmark fingerprints that tasks get, for full and for short windows: 2 to the
@@ -206,15 +206,14 @@ def text_hits(texts: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     met = materialize(texts.mapInArrow(_met(sieve, window), f"{KEYS[0]} long, {KEYS[1]} long, n int, print long, at array<int>").distinct())
     many = met.groupBy("n", "print").agg(F.count(F.lit(1)).alias("c"))
     met = met.withColumn("key", F.struct("n", "print"))
-    # A print is hot in more than HOT texts and a 1,000th of all that passed: fewer than 1,000 prints.
-    hot_rows = max(HOT, met.count() // 1_000)
-    hot = many.filter(F.col("c") > hot_rows).select(F.struct("n", "print").alias("key"))
+    hot_rows = hot_bound(met.count(), HOT)
+    hot = many.filter(F.col("c") > hot_rows).select(F.struct("n", "print").alias("key"), F.col("c").alias("n"))
     true = spread_join(met.drop("n", "print"), prints.select(F.struct("n", "print").alias("key")), "key", hot, KEYS[0])
     per_text = materialize(true.select(*KEYS, F.struct("key.n", "at").alias("m")).groupBy(*KEYS).agg(F.collect_list("m").alias("met")))
     once = texts.join(per_text, KEYS).dropDuplicates(KEYS).select(*KEYS, "text", "met")
     around = materialize(once.mapInArrow(_windows_around(window), f"{KEYS[0]} long, {KEYS[1]} long, n int, hash long, at array<int>, words binary"))
     around = around.withColumn("key", F.struct("n", "hash", "words"))
-    often = around.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > max(HOT, around.count() // 1_000)).select("key")
+    often = around.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > hot_bound(around.count(), HOT)).select("key", F.col("c").alias("n"))
     hits = spread_join(around.drop("n", "hash", "words"), windows.select(F.struct("n", "hash", "words").alias("key"), "items", "nameless"), "key", often, KEYS[0])
     hits = hits.select(*KEYS, F.col("key.n").alias("n"), "at", "items", "nameless")
     return hits.groupBy(*KEYS).applyInArrow(_spans, f"{KEYS[0]} long, {KEYS[1]} long, {SPANS} array<struct<a:long,b:long>>, {ITEMS} array<string>")

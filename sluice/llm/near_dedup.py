@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import P, materialize, spread_join
+from .common import P, hot_bound, materialize, spread_join
 from .components import components
 
 BANDS, ROWS = 25, 5
@@ -222,9 +222,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, id_col: s
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = slim.filter(F.col("id").isNotNull())
     signed = materialize(known.mapInArrow(_signed(shingle), "id long, print binary, bands array<long>"))
-    # A hot key has more than a 5,000th of all band keys, so there are fewer than 5,000 of them.
-    hot_rows = max(HOT, signed.count() * BANDS // 5_000)
-    hot = lambda counted, key: counted.filter(F.col("n") > hot_rows).select(key)
+    hot_rows = hot_bound(signed.count() * BANDS, HOT)
+    hot = lambda counted, key: counted.filter(F.col("n") > hot_rows).select(key, "n")
     first = signed.groupBy(F.col("print").alias("node")).agg(F.min("id").alias("id"))
     # One row for each print; its bands follow from it.
     keys = signed.groupBy(F.col("print").alias("node")).agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("key"))
