@@ -41,7 +41,7 @@ SEGMENT, BLOCK, STRIDE = 1 << 20, 1 << 16, 1 << 9
 SEGMENTS_A_FILE, TASK_IDS = 32, 1 << 26
 #: Words whose ids a worker keeps (twice as many at most), characters of new words that are encoded
 #: together, and bytes of text whose words are looked up together.
-MEMO, LOT, TOGETHER = 3 << 17, 1 << 16, 1 << 22
+MEMO, LOT, TOGETHER = 3 << 17, 1 << 16, 1 << 21
 #: Letters, and marks after them, that tokenizers of words tell apart.
 _MARKED, _LETTERS = re.compile(rb"([A-Za-z]+)([.,;:!?]*)"), re.compile(rb"[a-z]+")
 _HEAD = struct.Struct("<8sQQQQ")
