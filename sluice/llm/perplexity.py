@@ -36,7 +36,7 @@ from .common import P, materialize
 ORDER = 3
 #: Labelled documents that a model is trained on, at most (within a few per cent). Limits are
 #: of all that it isn't trained on.
-MAX_TRUSTED = 8_000
+MAX_TRUSTED = 2_000
 TRUSTED = "quality = 1 and coalesce(toxic, 0) = 0"
 #: Labels of the texts that a rival model is trained on.
 RIVALS = ("toxic = 1", "quality = 0 and coalesce(toxic, 0) = 0")
