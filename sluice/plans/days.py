@@ -34,9 +34,9 @@ def last_days(first: str, last: str, n: int = 7) -> list[str]:
     return day_list(first, last)[:n]
 
 
-def day_column(first: str, last: str) -> Column:
+def day_column(first: str | Column, last: str | Column) -> Column:
     """The days as an array, latest first."""
-    d = lambda x: F.to_date(F.lit(x), "yyyyMMdd")
+    d = lambda x: F.to_date(x if isinstance(x, Column) else F.lit(x), "yyyyMMdd")
     return F.transform(F.sequence(d(last), d(first), F.expr("interval -1 day")), lambda x: F.date_format(x, "yyyyMMdd"))
 
 

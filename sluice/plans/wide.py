@@ -16,7 +16,9 @@ def distinct_rows(joined: DataFrame) -> DataFrame:
     return joined.distinct()
 
 
-def save_orc(df: DataFrame, table: str) -> DataFrame:
+def save_orc(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
+    """The table, which is made of df if it isn't there; path: where its files are to be."""
     if not df.sparkSession.catalog.tableExists(table):
-        df.write.format("orc").mode("ignore").saveAsTable(table)
+        writer = df.write.format("orc").mode("ignore")
+        (writer.option("path", path) if path else writer).saveAsTable(table)
     return df.sparkSession.table(table)

@@ -384,7 +384,8 @@ def wide_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("table_count", _PRELUDE + "SELECT count(*) AS cnt FROM aud")
 def table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context(spark, sf_dir).audience.agg(F.count(F.lit(1)).alias("cnt"))
+    n = audience.table_count(context(spark, sf_dir).audience, empty_ok=True)
+    return spark.range(1).select(F.lit(n).cast("long").alias("cnt"))
 
 
 @query("lbs_bbox", f"SELECT 'did' AS typ, CAST(vec_id AS VARCHAR) AS visitor_id FROM (SELECT vec_id, CAST(trunc(CAST(CAST(embedding[1] AS DOUBLE) * 180 AS FLOAT) * 1000000) AS BIGINT) AS x, CAST(trunc(CAST(CAST(embedding[2] AS DOUBLE) * 90 AS FLOAT) * 1000000) AS BIGINT) AS y FROM embeddings) WHERE x > {geo.box(4.0, 8.0, 1500000)[0]} AND x <= {geo.box(4.0, 8.0, 1500000)[1]} AND y > {geo.box(4.0, 8.0, 1500000)[2]} AND y <= {geo.box(4.0, 8.0, 1500000)[3]} GROUP BY vec_id")
@@ -686,17 +687,20 @@ def keyed_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("orc_store", "SELECT n_nationkey::BIGINT AS n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
 def orc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = work_folder(spark)
-    tables.widened(table(spark, sf_dir, "nation").filter("n_regionkey = 1").select("n_nationkey", "n_name")).write.orc(path)
-    return spark.read.orc(path)
+    rows_ = tables.widened(table(spark, sf_dir, "nation").filter("n_regionkey = 1").select("n_nationkey", "n_name"))
+    return wide.save_orc(rows_, f"wide_{uuid.uuid4().hex}", work_folder(spark))
 
 
 # Days, scans, lines
 
 
-@query("day_range_desc", "SELECT strftime(d, '%Y%m%d') AS day FROM (SELECT unnest(generate_series(DATE '2024-01-05', DATE '2024-01-20', INTERVAL 1 DAY)) AS d)")
+@query("day_range_desc", "SELECT strftime(d, '%Y%m%d') AS day, count(event_id) AS cnt FROM (SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS d FROM events WHERE user_id = 1) LEFT JOIN events ON CAST(ts AS DATE) = d AND user_id = 1 GROUP BY d")
 def day_range_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(1).select(F.explode(day_column(FIRST, LAST)).alias("day"))
+    """All days from a user's first event to the last, latest first, with the events of each; some have none."""
+    own = table(spark, sf_dir, "events").filter("user_id = 1").select(F.date_format("ts", "yyyyMMdd").alias("day"))
+    every = own.agg(F.min("day").alias("a"), F.max("day").alias("z")).filter("a is not null").select(F.explode(day_column(F.col("a"), F.col("z"))).alias("day"))
+    counts = own.groupBy("day").agg(F.count(F.lit(1)).alias("cnt"))
+    return every.join(counts, "day", "left").select("day", F.coalesce("cnt", F.lit(0)).alias("cnt")).orderBy(F.desc("day"))
 
 
 @query("scan_parquet_pruned", "SELECT l_returnflag, count(*) AS cnt FROM lineitem WHERE l_quantity > 45 GROUP BY 1")
