@@ -59,7 +59,8 @@ def _names(plan, known: frozenset[str], out: list[str]) -> None:
             out.append(".".join(parts))
     elif plan.nodeName() == "UnresolvedIdentifier":
         out.append(".".join(_each(plan.nameParts())))
-    for child in [*_each(plan.children()), *_each(plan.subqueries())]:
+    target = [plan.table()] if plan.nodeName() == "InsertIntoStatement" else []  # is no child of it
+    for child in [*target, *_each(plan.children()), *_each(plan.subqueries())]:
         _names(child, known, out)
 
 

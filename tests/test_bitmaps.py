@@ -80,6 +80,9 @@ def test_errors_are_those_of_joins(builder, spark, small):
         ("with t as (select 1) select * from db.t", ["db.t"]),
         ("select * from (with t as (select * from q) select * from t) join t", ["q", "t"]),
         ("insert into dst select * from `odd.name`.src", ["dst", "odd.name.src"]),
+        ("insert overwrite table d partition (a = 1) with t as (select * from s) select * from t", ["d", "s"]),
+        ("merge into t using s on t.a = s.a when matched then delete", ["t", "s"]),
+        ("delete from t where a in (select b from u)", ["t", "u"]),
         ("select exists (select 1 from e where e.k in (select k from f)) from g", ["g", "e", "f"]),
         ("create table n.m as select * from o", ["n.m", "o"]),
         ("select 'Unresolved(x) UnresolvedRelation [no]' from a, a", ["a"]),
