@@ -41,9 +41,11 @@ SEGMENT, BLOCK, STRIDE = 1 << 20, 1 << 16, 1 << 9
 SEGMENTS_A_FILE, TASK_IDS = 32, 1 << 26
 #: Words whose ids a worker keeps (twice as many at most), characters of new words that are encoded
 #: together, and bytes of text whose words are looked up together.
-MEMO, LOT, TOGETHER = 3 << 17, 1 << 16, 1 << 21
+MEMO, LOT, TOGETHER = 3 << 17, 1 << 16, 1 << 22
 #: Letters, and marks after them, that tokenizers of words tell apart.
-_MARKED, _LETTERS = re.compile(rb"([A-Za-z]+)([.,;:!?]*)"), re.compile(rb"[a-z]+")
+#: Small letters beyond a to z: U+00DF to U+00FF, without the sign of division.
+_SMALL = rb"\xc3[\x9f-\xb6\xb8-\xbf]"
+_MARKED, _LETTERS = re.compile(rb"((?:[A-Za-z]|" + _SMALL + rb")+)([.,;:!?]*)"), re.compile(rb"(?:[a-z]|" + _SMALL + rb")+")
 _HEAD = struct.Struct("<8sQQQQ")
 _loaded: dict[str, tuple] = {}
 
@@ -56,6 +58,8 @@ class Memo:
         self.old: dict[bytes, bytes] = {}
         #: Whether the model alone gives the ids of lower-case letters; not known before the first lot.
         self.direct: bool | None = None
+        #: How the tokenizer writes small letters beyond a to z before its model sees them.
+        self.written: dict[int, str] = {}
 
     def get(self, word: bytes) -> bytes | None:
         ids = self.new.get(word)
@@ -73,7 +77,10 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), Memo())
+        tokenizer, memo = Tokenizer.from_file(path), Memo()
+        split = tokenizer.pre_tokenizer
+        memo.written = {c: split.pre_tokenize_str(chr(c))[0][0] if split else chr(c) for c in range(0xDF, 0x100) if c != 0xF7}
+        _loaded[path] = (tokenizer, memo)
     return _loaded[path]
 
 
@@ -98,23 +105,24 @@ def _learn(tokenizer, memo: Memo, words: list[bytes]) -> None:
 
 
 def _learn_letters(tokenizer, memo: Memo, words: list[bytes]) -> None:
-    """As _learn(), for words of a to z alone: nothing is to be normalised or split there, so the
-    model takes them as they are. Whether that is so with this tokenizer is tried on its first words."""
+    """As _learn(), for words of small letters alone: nothing is to be normalised or split there, so the
+    model takes them as they are written. Whether that is so with this tokenizer is tried on its first words."""
     if memo.direct is None and words:
         some = words[:1000]
         _learn(tokenizer, memo, some)
-        memo.direct = all(memo.new[w] == _model_ids(tokenizer.model, w) for w in some)
+        memo.direct = all(memo.new[w] == _model_ids(tokenizer.model, w, memo.written) for w in some)
         words = words[1000:]
     if memo.direct:
         model = tokenizer.model
         for w in words:
-            memo.new[w] = _model_ids(model, w)
+            memo.new[w] = _model_ids(model, w, memo.written)
     else:
         _learn(tokenizer, memo, words)
 
 
-def _model_ids(model, word: bytes) -> bytes:
-    ids = [t.id for t in model.tokenize(word.decode())]
+def _model_ids(model, word: bytes, written: dict[int, str]) -> bytes:
+    text = word.decode()
+    ids = [t.id for t in model.tokenize(text if text.isascii() else text.translate(written))]
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
