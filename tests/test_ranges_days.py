@@ -40,6 +40,35 @@ def test_narrowest_range(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def rows_made(df):
+    """The most rows that a node of the plan, as it ran, gave on."""
+    most, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name, made = node.nodeName(), node.metrics().get("numOutputRows")
+        most = max(most, made.get().value() if made.isDefined() else 0)
+        todo += [node.executedPlan()] if name.startswith("AdaptiveSparkPlan") else [node.plan()] if "QueryStage" in name else []
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return most
+
+
+@pytest.mark.parametrize("share", [1 << 16, 50, 7])
+def test_overlapping_ranges_make_no_pairs(spark, monkeypatch, share):
+    """Some thousand points in some thousand ranges each; many that begin or end together; many parts."""
+    monkeypatch.setattr("sluice.operators.ranges.SHARE", share, raising=False)
+    rng = random.Random(8)
+    ranges = [(a := rng.choice([0, 500, rng.randrange(4000), 9000]), a + rng.choice([0, 1, 700, 60_000, rng.randrange(20_000)]), i) for i in range(900)]
+    ranges += [(4000, 4000, 1000), (4000, 4000, 999), (-5, 2**33, 1001), (None, 5, 1002), (2**40, 2**41, 1003), (-9, -2, 1004)]
+    points = [rng.randrange(30_000) for _ in range(900)] + [4000, 0, 2**32 - 1, 2**32, -1, None]
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(points)], "i int, p long").repartition(5)
+    table = spark.createDataFrame(ranges, "first long, last long, band int").repartition(3)
+    out = narrowest(rows, "p", table)
+    got = {r.i: r.band for r in out.collect()}
+    held = lambda p: min(((b - a, -a, n) for a, b, n in ranges if a is not None and p is not None and 0 <= p < 2**32 and a <= p <= b), default=(None,))[-1]
+    assert got == {i: held(p) for i, p in enumerate(points)}
+    assert rows_made(out) < 4 * (len(points) + len(ranges))
+
+
 DAILY = [("sex", "value"), ("sex", "impressions"), ("os", "visitors"), ("os", "click"), ("hobby", "value"), ("hobby", "click"), ("hotsite", "visitors"), ("keyword", "session"), ("page", "session"), ("page", "pageviews"), ("region", "session"), ("region", "visitors"), ("source", "visitors"), ("summary", "session"), ("summary", "visitors"), ("depth", "session"), ("depth", "visitors"), ("frequency", "visitors"), ("ad_summary", "click"), ("path", "topology"), ("path", "percent")]
 
 
