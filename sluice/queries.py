@@ -625,7 +625,7 @@ def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.split_lines(lines.select(F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("value")), path, 700)
     key = F.split("value", " ")[0].cast("long")
     parts = files.split_parts(spark, path).groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.min(key).alias("first"), F.max(key).alias("last"))
-    sizes = files.listing(spark, path, glob="part-*").groupBy(F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("long").alias("file")).agg(F.sum("length").alias("bytes"))
+    sizes = files.split_files(spark, path).groupBy("file").agg(F.sum("length").alias("bytes"))
     return parts.join(sizes, "file")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,12 +65,17 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.md5("content").alias("md5"))
 
 
+#: Files that split_lines() writes by a task of their own; if there are more, tasks write several, of so many lines in all.
+TASKS, TASK_LINES = 1000, 1 << 17
+
+
 def split_lines(lines: DataFrame, path: str, every: int) -> None:
-    """Write the lines, in the order of their partitions and of the rows in them, as files part-00000,
-    part-00001, ... of `every` lines each; the last may have fewer.
+    """Write the lines, in the order of their partitions and of the rows in them, as files of `every`
+    lines each; the last may have fewer. They are named part-00000, part-00001, ..., up to TASKS files;
+    more are named by the task that writes them and their number there, in order. split_files() numbers both.
 
-    Lines are numbered over all partitions (see numbering); those of one file go to one task, which
-    gets no others. Null is an empty line. No lines, no files.
+    Lines are numbered over all partitions (see numbering); those of one file go to one task. Tasks are
+    fewer than files, as each reports to the driver. Null is an empty line. No lines, no files.
     """
     if every < 1:
         raise SourceError("files need a line at least")
@@ -79,18 +84,31 @@ def split_lines(lines: DataFrame, path: str, every: int) -> None:
     rows = numbered(lines.select(F.coalesce(F.col(f"`{column}`"), F.lit("")).alias("value")), "n", path=work)
     parts = -(-spark.read.parquet(work).count() // every)
     if parts:
-        rows = rows.repartitionById(parts, F.floor(F.col("n") / every).cast("int")).sortWithinPartitions("n")
-        rows.select("value").write.mode("overwrite").text(path)
+        each = max(1, min(TASK_LINES // every, -(-parts // TASKS)))
+        task = F.floor(F.col("n") / (every * each)).cast("int")
+        rows = rows.repartitionById(-(-parts // each), task).sortWithinPartitions("n")
+        rows.select("value").write.mode("overwrite").option("maxRecordsPerFile", every).text(path)
     else:
         remove(spark, path, recursive=True, force=True)
         make_dir(spark, path)
     remove(spark, work, recursive=True, force=True)
 
 
+def _split_number(spark: SparkSession, path: str, name: Column) -> Column:
+    """The number of a file of split_lines(), from its name. All tasks but the last write equally many."""
+    own = lambda c: F.regexp_extract(c, r"-c(\d+)[^-/]*$", 1).cast("long")
+    each = (listing(spark, path, glob="part-*").agg(F.max(own("path"))).first()[0] or 0) + 1
+    return F.regexp_extract(name, r"part-(\d+)-[^/]*$", 1).cast("long") * each + own(name)
+
+
+def split_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, length): number and bytes of each file that split_lines() has written."""
+    return listing(spark, path, glob="part-*").select(_split_number(spark, path, F.col("path")).alias("file"), "length")
+
+
 def split_parts(spark: SparkSession, path: str) -> DataFrame:
     """(file, value): the lines that split_lines() has written, with the number of their file."""
-    file = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
-    return spark.read.text(path).select(file.alias("file"), "value")
+    return spark.read.text(path).select(_split_number(spark, path, F.col("_metadata.file_name")).alias("file"), "value")
 
 
 def fan_out(lines: DataFrame, *paths: str) -> None:

@@ -31,6 +31,21 @@ def test_split_uneven_partitions_nulls_and_errors(spark, tmp_path):
         files.split_lines(lines.select("v"), f"file://{tmp_path}/p", 0)
 
 
+@pytest.mark.parametrize("n, every", [(100, 4), (97, 4), (9, 4), (100, 30), (41, 1)])
+def test_many_files_take_few_tasks(spark, tmp_path, monkeypatch, n, every):
+    """More files than tasks: each task reports to the driver, so there must not be one for each file."""
+    monkeypatch.setattr(files, "TASKS", 5, raising=False)
+    lines = spark.range(0, n, 1, 3).select(F.col("id").cast("string").alias("value"))
+    out = f"file://{tmp_path}/out"
+    files.split_lines(lines, out, every)
+    names = sorted(f.name for f in (tmp_path / "out").glob("part-*"))
+    assert len(names) == -(-n // every) and len({x[5:10] for x in names}) <= 5
+    assert sorted((r.file, int(r.value)) for r in files.split_parts(spark, out).collect()) == [(i // every, i) for i in range(n)]
+    sizes = [sum(len(str(i)) + 1 for i in range(k, min(n, k + every))) for k in range(0, n, every)]
+    assert sorted(tuple(r) for r in files.split_files(spark, out).collect()) == list(enumerate(sizes))
+    assert [int(x) for name in names for x in (tmp_path / "out" / name).read_text().split()] == list(range(n))
+
+
 def test_numbers_on_eight_partitions(spark):
     df = spark.range(0, 1000, 1, 8).filter("id % 7 <> 0").filter("id < 300 or id > 700")
     got = [tuple(r) for r in tables.next_ids(df, 5, "n").orderBy("n").collect()]
