@@ -138,29 +138,48 @@ def one_edit(code: np.ndarray, start: np.ndarray, size: np.ndarray, a: np.ndarra
     return ok
 
 
-def _candidates(mask, size, half, a, b, path: int, twice: bool):
-    """Pairs (shorter, longer) of a and b, by masks, lengths and halves; twice: a and b are the same words."""
-    step = max(1, CELLS // max(1, len(b)))
-    for i in range(0, len(a), step):
-        mine, other = a[i : i + step], b[i:] if twice else b
-        near = np.bitwise_count(mask[mine][:, None] ^ mask[other][None, :]) <= 2
-        r, c = np.divmod(np.flatnonzero(near), len(other))
-        r, c = mine[r], other[c]
-        ok = np.abs(size[r] - size[c]) <= 1
-        if twice:
-            ok &= r < c
-        r, c = r[ok], c[ok]
-        swap = size[r] > size[c]
-        r, c = np.where(swap, c, r), np.where(swap, r, c)
-        # One edit leaves the first half of the letters as it is, or the second.
-        longer = size[c] > size[r]
-        ok = (half[0][r] == np.where(longer, half[1][c], half[0][c])) | (half[2][r] == np.where(longer, half[3][c], half[2][c]))
-        r, c = r[ok], c[ok]
-        x = mask[r] ^ mask[c]
-        ok = np.ones(len(r), bool)
-        for bits in DIFFER[path]:
-            ok &= (x & np.uint64(bits)) != 0
-        yield r[ok], c[ok]
+#: DIFFER as a table; no bits: nothing more must differ.
+_DIFFER = np.zeros((len(DIFFER), max(map(len, DIFFER))), np.uint64)
+for _p, _bits in enumerate(DIFFER):
+    _DIFFER[_p, : len(_bits)] = _bits
+
+
+def _meetings(begin: np.ndarray, end: np.ndarray):
+    """(i, place): each place of begin[i] to end[i], some CELLS at a time."""
+    n = np.maximum(end - begin, 0)
+    upto, i = np.cumsum(n), 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + CELLS, "right")))
+        own = np.repeat(np.arange(i, j), n[i:j])
+        yield own, np.arange(len(own)) - np.repeat(upto[i:j] - n[i:j] - (upto[i - 1] if i else 0), n[i:j]) + begin[own]
+        i = j
+
+
+def _candidates(tile, path, crossed, side, mask, size, half):
+    """Pairs (shorter, longer) of words of one tile, by halves, masks and lengths.
+
+    One edit leaves the first half of the letters as it is, or the second. So words are put in order by
+    tile, length and half, and those that are equal there meet; then their masks tell most of them apart.
+    """
+    for k in (0, 2):
+        place = tn.mix(tile * tn.GRAM + np.uint64(k))
+        key = lambda h, n: tn.mix(tn.mix(place + n.astype(np.uint64)) ^ h)  # noqa: B023, E731
+        short, long = key(half[k], size), key(half[k + 1], size - 1)
+        order = np.argsort(short)
+        held = short[order]
+        met = np.searchsorted(held, long, "left"), np.searchsorted(held, long, "right")
+        for more, (begin, end) in enumerate(((np.arange(1, len(held) + 1), np.searchsorted(held, held, "right")), met)):
+            for own, other in _meetings(begin, end):
+                r, c = (order[other], own) if more else (order[own], order[other])
+                x = mask[r] ^ mask[c]
+                ok = (np.bitwise_count(x) <= 2) & (tile[r] == tile[c]) & (size[r] + more == size[c]) & (half[k][r] == half[k + more][c])
+                if k:  # equal first halves: told before
+                    ok &= half[0][r] != half[more][c]
+                r, c, x = r[ok], c[ok], x[ok]
+                ok = ~crossed[r] | (side[r] != side[c])
+                for bits in _DIFFER[path[r]].T:
+                    ok &= (bits == 0) | (x & bits != 0)
+                yield r[ok], c[ok]
 
 
 def halves(code: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -179,26 +198,12 @@ def _near(batches):
         mask, size = table.column(7).to_numpy().view(np.uint64), table.column(8).to_numpy()
         code, at = codes(words)
         half = halves(code, at)
+        tile = np.repeat(np.arange(len(cut) - 1, dtype=np.uint64), np.diff(cut))
+        crossed = table.column(2).to_numpy() != table.column(3).to_numpy()
         found = []
-        for p, q in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            if q - p < 2:
-                continue
-            every = np.arange(p, q)
-            own, other = every[side[p:q] == 0], every[side[p:q] == 1]
-            crossed = len(other) > 0 or table.column(2)[p].as_py() != table.column(3)[p].as_py()
-            if crossed:
-                lots = [(own[size[own] == n], other[np.abs(size[other] - n) <= 1], False) for n in np.unique(size[own])]
-            elif q - p <= 256:
-                lots = [(own, own, True)]
-            else:
-                lots = []
-                for n in np.unique(size[own]):
-                    mine = own[size[own] == n]
-                    lots += [(mine, mine, True), (mine, own[size[own] == n + 1], False)]
-            for a, b, twice in lots:
-                for r, c in _candidates(mask, size, half, a, b, int(path[p]), twice):
-                    ok = one_edit(code, at, size, r, c)
-                    found.append((r[ok], c[ok]))
+        for r, c in _candidates(tile, path, crossed, side, mask, size, half):
+            ok = one_edit(code, at, size, r, c)
+            found.append((r[ok], c[ok]))
         if found:
             r, c = (np.concatenate(x) for x in zip(*found, strict=True))
             n = table.column(6).combine_chunks()

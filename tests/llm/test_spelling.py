@@ -108,3 +108,25 @@ def test_long_texts_come_in_pieces():
             got[row0 + r].append(data[at[r] : at[r + 1]].tobytes())
     assert [b"".join(got[i]).decode() for i in range(4)] == texts
     assert len(got[1]) > 5 and all(x[-1:] == b" " for x in got[1][:-1]) and len(got[3]) == 1
+
+
+def test_words_of_a_tile_meet_by_halves(monkeypatch):
+    """Words of one bucket: few pairs are looked at, not all; those that are near come out."""
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choices("abcdef", k=rng.choice([9, 10]))) for _ in range(1500)})
+    met, plain = [], spelling._meetings
+
+    def counting(begin, end):
+        for own, other in plain(begin, end):
+            met.append(len(own))
+            yield own, other
+
+    monkeypatch.setattr(spelling, "_meetings", counting)
+    n = len(words)
+    first = next(iter(spelling._masked([pa.RecordBatch.from_arrays([pa.array(words), pa.array([2] * n)], names=["word", "n"])])))
+    same = [pa.array([0] * n) for _ in range(5)]
+    names = [spelling.PATH, spelling.VALUE, spelling.LEFT, spelling.RIGHT, spelling.SIDE, "word", "n", spelling.MASK, spelling.SIZE]
+    batch = pa.RecordBatch.from_arrays([*same, first.column(0), first.column(1), first.column(3), first.column(2)], names=names)
+    got = sorted(x for out in spelling._near([batch]) for x in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True))
+    assert got == sorted((a, b) for a in words for b in words if near(a, b)) and got
+    assert sum(met) < 20 * n
