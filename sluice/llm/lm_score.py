@@ -124,11 +124,24 @@ def softmax(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def excess(weights: np.ndarray, rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """(outcomes, tokens): probabilities, less one for what each token is. Turned while it is in the cache."""
+    out = np.empty((weights.shape[1], len(y)), weights.dtype)
+    ones = np.ones(weights.shape[1], weights.dtype)
+    for some, z in _sums(weights, rows):
+        np.exp(z, out=z)
+        np.divide(z, (z @ ones)[:, None], out=z)
+        z[np.arange(len(z)), y[some]] -= 1
+        out[:, some] = z.T
+    return out
+
+
 def _add(out: np.ndarray, rows: list[np.ndarray], value: np.ndarray) -> None:
-    """out[r] += value for each r of rows, also where rows repeat."""
-    every = np.concatenate(rows)
-    for j, column in enumerate(np.ascontiguousarray(value.T)):
-        out[:, j] += np.bincount(every, np.tile(column, len(rows)), len(out))
+    """out[r, j] += value[j] for each r of rows, also where rows repeat."""
+    every, weight = np.concatenate(rows), np.empty((len(rows), value.shape[1]))
+    for j, column in enumerate(value):
+        weight[:] = column  # as doubles, else bincount() makes a copy
+        out[:, j] += np.bincount(every, weight.ravel(), len(out))
 
 
 def held_out(id_, folds: int = 5, fold: int = 1) -> bool:
@@ -270,9 +283,7 @@ def _gradient(weights, step: tuple[int, int]):
         for batch in batches:
             for _, t in _texts(batch, True, step):
                 for w, out, (rows, y) in zip(weights.value, off, History(t).both(), strict=True):
-                    p = softmax(w, rows)
-                    p[np.arange(len(y)), y] -= 1
-                    _add(out, rows, p)
+                    _add(out, rows, excess(w, rows, y))
         yield from blocks(np.concatenate([x.ravel() for x in off]), False)
 
     return run

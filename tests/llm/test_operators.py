@@ -819,3 +819,19 @@ def test_word_hashes_agree_with_words():
 
 def test_digest_is_of_bytes():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_excess_is_as_the_softmax_and_adds_up():
+    """Turned, piece by piece, with nothing changed; rows that repeat are added up."""
+    rng = np.random.default_rng(3)
+    weights, n = rng.normal(size=(50, 7)).astype(np.float32), 2 * lm_score.TOGETHER + 5
+    rows, y = [rng.integers(0, 50, n) for _ in range(4)], rng.integers(0, 7, n)
+    want = lm_score.softmax(weights, rows)
+    want[np.arange(n), y] -= 1
+    got = lm_score.excess(weights, rows, y)
+    assert np.array_equal(got, want.T)
+    out, total = np.zeros((50, 7), np.float32, order="F"), np.zeros((50, 7))
+    lm_score._add(out, rows, got)
+    for r in rows:
+        np.add.at(total, r, want.astype(np.float64))
+    assert np.allclose(out, total, atol=1e-3)
