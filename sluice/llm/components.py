@@ -14,7 +14,9 @@ def components(links: DataFrame) -> DataFrame:
     Each round a node takes the least label near it, then that label's own label. Labels live
     in the shared folder, so lost executors cost no more than the round they were in.
     """
-    both = materialize(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
+    # Each link both ways round, by one pass over links.
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = materialize(links.filter("a <> b").select(F.inline(ways)).distinct())
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))

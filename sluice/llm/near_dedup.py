@@ -224,7 +224,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, id_col: s
     signed = materialize(known.mapInArrow(_signed(shingle), "id long, print binary, bands array<long>"))
     hot_rows = hot_bound(signed.count() * BANDS, HOT)
     hot = lambda counted, key: counted.filter(F.col("n") > hot_rows).select(key, "n")
-    first = signed.groupBy(F.col("print").alias("node")).agg(F.min("id").alias("id"))
+    first = materialize(signed.groupBy(F.col("print").alias("node")).agg(F.min("id").alias("id")))
     # One row for each print; its bands follow from it.
     keys = signed.groupBy(F.col("print").alias("node")).agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("key"))
     # The leader: least by a hash that all bands share, so that a group has few leaders.
@@ -244,9 +244,10 @@ def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, id_col: s
     # Members that aren't in their leader's class, against all of their bucket.
     named = bucket.filter("n > 2").join(label, "node", "left").withColumn("class", F.coalesce("root", "node")).select("key", "n", "node", "leader", "class")
     main = lead.filter("n > 2").select("key", "leader").join(label.select(F.col("node").alias("leader"), F.col("root").alias("main")), "leader", "left").select("key", F.coalesce("main", "leader").alias("main"))
-    named = spread_join(named, main, "key", hot(lead, "key"), "node").withColumn("outside", F.col("class") != F.col("main")).drop("main")
+    # Written, as it is read for three ends: else the plan would hold all of this as often.
+    named = materialize(spread_join(named, main, "key", hot(lead, "key"), "node").withColumn("outside", F.col("class") != F.col("main")).drop("main", "leader"))
     open_ = named.groupBy("key").agg(F.sum(F.col("outside").cast("int")).alias("o")).filter("o > 0")
-    named = spread_join(named, open_, "key", hot(lead, "key"), "node").withColumns({"tiles": F.ceil(F.col("n") / TILE), "rows": F.ceil(F.col("o") / TILE)})
+    named = materialize(spread_join(named, open_, "key", hot(lead, "key"), "node")).withColumns({"tiles": F.ceil(F.col("n") / TILE), "rows": F.ceil(F.col("o") / TILE)})
     spot = F.pmod(F.xxhash64("node"), F.col("tiles")), F.pmod(F.xxhash64("node", F.lit(1)), F.col("rows"))
     # Each member meets every part of the outsiders; each outsider goes to every part of the members.
     as_member = named.select("key", "node", "class", F.lit(False).alias("outside"), spot[0].alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("j"))
@@ -259,9 +260,9 @@ def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, id_col: s
     same = member.join(several, "id").filter("node <> a").select("a", F.col("node").alias("b"))
     final = components(links.union(more).union(same))
     # A class is called by its least id.
-    rooted = first.join(final, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
+    rooted = materialize(first.join(final, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root")))
     called = materialize(rooted.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    class_of = spread_join(rooted.select("node", "root"), called.drop("n"), "root", hot(called, "root"), "node").select("node", "class_id")
+    class_of = materialize(spread_join(rooted.select("node", "root"), called.drop("n"), "root", hot(called, "root"), "node").select("node", "class_id"))
     own, ids = f"{P}node", f"{P}id"
     # Alone in its class: its own least id. Rows with one id have one class.
     named_ids = member.join(class_of, "node", "left").join(first.select("node", F.col("id").alias("alone")), "node").groupBy(F.col("id").alias(ids)).agg(F.min(F.coalesce("class_id", "alone")).alias("class_id"))
@@ -272,7 +273,7 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that stay: of each class one row with the least id (of rows with that id
     the one whose columns have the least hash). Rows with a null id stay."""
     id_col = options.get("id_col", "doc_id")
-    stays = classes(docs, **options).filter(F.col("class_id").isNotNull()).select(F.col("class_id").alias(f"{P}id")).distinct()
+    stays = materialize(classes(docs, **options).filter(F.col("class_id").isNotNull()).select(F.col("class_id").alias(f"{P}id")).distinct())
     kept = docs.join(stays, F.col(id_col).cast("long") == F.col(f"{P}id"), "left_semi")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     one = kept.groupBy(F.col(id_col).alias(f"{P}id")).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(f"{P}row")).select(f"{P}row.*")

@@ -835,3 +835,15 @@ def test_excess_is_as_the_softmax_and_adds_up():
     for r in rows:
         np.add.at(total, r, want.astype(np.float64))
     assert np.allclose(out, total, atol=1e-3)
+
+
+def test_near_dedup_has_no_large_plan(spark, small, monkeypatch):
+    """The driver plans each query again after each of its exchanges: no query may have dozens."""
+    from sluice.llm import components, near_dedup
+
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    seen = []
+    for module in (near_dedup, components):
+        monkeypatch.setattr(module, "materialize", lambda df, f=module.materialize: (seen.append(exchanges(df)), f(df))[1])
+    seen.append(exchanges(near_dedup.dedup(spark.read.parquet(f"{small}/documents.parquet"))))
+    assert max(seen) < 10
