@@ -3,8 +3,8 @@
 A word's mask has a bit for each letter, set if the letter stands in the word an odd number of times.
 One inserted or deleted letter flips one bit, one replaced letter two at most. So of three bands that
 a mask is split into, one at least is equal in two near words. Words are joined on equal bands; a
-pair whose lengths differ by one at most and whose masks differ in two bits at most is then compared
-letter by letter. A pair is told in the first of its equal bands only.
+pair with an equal half whose lengths differ by one at most and whose masks differ in two bits at most
+is then compared letter by letter. A pair is told in the first of its equal bands only.
 
 A bucket (words that are equal in a band) of more than LIMIT words is split by the same rule again:
 the other bits of the mask fall into three bands, of which one is equal in two near words. What is
